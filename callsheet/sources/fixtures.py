@@ -90,8 +90,12 @@ def history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def outcomes(spark: SparkSession, sf_dir: str | None = None) -> DataFrame:
-    """Outcome-code dimension (4 rows; the code ``error`` is absent on purpose)."""
-    return spark.createDataFrame(OUTCOME_ROWS, SCHEMAS["outcomes"])
+    """Outcome-code dimension (4 rows; the code ``error`` is absent on purpose).
+
+    Built as an inline table (a local relation with exact size statistics),
+    so the planner can see it is tiny and broadcast it."""
+    rows = F.array(*[F.struct(F.lit(st).alias("st"), F.lit(bsc).alias("bsc")) for st, bsc in OUTCOME_ROWS])
+    return spark.range(1).select(F.inline(rows))
 
 
 def _order_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
