@@ -87,5 +87,5 @@ def read_list_csv(spark, path: str, columns: Iterable[str] | None = None) -> Dat
     """Read a written list back as text columns (BOM stripped from the header)."""
     cols = list(columns) if columns is not None else [c for c in K.OUTPUT_COLUMNS]
     schema = ", ".join(f"`{BOM + c if i == 0 else c}` string" for i, c in enumerate(cols))
-    df = spark.read.schema(schema).options(**CSV_OPTIONS).csv(path)
+    df = spark.read.schema(schema).options(**CSV_OPTIONS).option("multiLine", "true").csv(path)
     return df.withColumnRenamed(BOM + cols[0], cols[0])
