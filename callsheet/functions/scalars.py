@@ -60,9 +60,15 @@ def distinct_concat(col: str, sep: str = K.LIST_SEPARATOR, max_len: int | None =
     All-NULL (or empty) group -> NULL.  No truncation by default; ``max_len``
     cuts the result to that many characters, like a bounded group-concat
     setting on the source database.
+
+    Built on ``collect_set``: its buffer de-duplicates map-side, so the
+    aggregate needs one exchange (``listagg(DISTINCT ...) WITHIN GROUP``
+    plans two, and Spark 4.1 cannot run two of those in one aggregate).
+    Only the distinct values of one group meet in one task -- exactly the
+    size of that group's result string.
     """
-    q = sep.replace("\\", "\\\\").replace("'", "\\'")
-    agg = F.expr(f"listagg(DISTINCT `{col}`, '{q}') WITHIN GROUP (ORDER BY `{col}`)")
+    values = F.array_sort(F.collect_set(F.col(col)))
+    agg = F.when(F.size(values) > 0, F.array_join(values, sep))
     if max_len is not None:
         agg = F.substring(agg, 1, max_len)
     return agg

@@ -16,12 +16,13 @@ from pyspark.sql import functions as F
 
 
 def exclude_keys(df: DataFrame, excluded: DataFrame, key: str = "nmcont", scope: str = "cod_cli",
-                 null_aware: bool = True) -> DataFrame:
+                 null_aware: bool = True, df_keys_not_null: bool = False) -> DataFrame:
     """Rows of ``df`` whose (``scope``, ``key``) is not in ``excluded``.
 
     ``null_aware=True`` reproduces ``key NOT IN (SELECT key ... WHERE scope = df.scope)``:
     a NULL ``key`` in ``excluded`` removes every row of that scope, and a
-    NULL ``key`` in ``df`` survives only when its scope excludes nothing.
+    NULL ``key`` in ``df`` survives only when its scope excludes nothing
+    (``df_keys_not_null=True`` skips that branch when ``df`` cannot have one).
     The flag table has one row per scope value (portfolio code), a bounded
     dimension, so it is broadcast; the key anti-join is left to the planner.
     """
@@ -29,6 +30,10 @@ def exclude_keys(df: DataFrame, excluded: DataFrame, key: str = "nmcont", scope:
     kept = df.join(excluded.filter(F.col(key).isNotNull()).select(*keys).distinct(), keys, "left_anti")
     if not null_aware:
         return kept
+    if df_keys_not_null:
+        # only the poison rule applies; the NULL-key filter reaches the scan
+        poison = excluded.filter(F.col(key).isNull()).select(scope).distinct()
+        return kept.join(F.broadcast(poison), scope, "left_anti")
     flags = excluded.groupBy(scope).agg(
         F.max(F.col(key).isNull()).alias("_poisoned"),
         F.lit(True).alias("_nonempty"),

@@ -80,31 +80,32 @@ def _params(params: MailingParams | None, kw: dict) -> MailingParams:
     return p
 
 
-def contract_info(t: Mapping[str, DataFrame], p: MailingParams, summary: DataFrame,
-                  latest: DataFrame) -> DataFrame:
-    """Per contract: Contratos, TipoProduto, BindingID, goods, latest-agreement
-    labels and ``staco``; contracts whose latest agreement is paid (P G A) are
-    removed with NOT IN semantics per portfolio."""
-    values = instalment_labels(t["receivables"], p.portfolios, p.case_insensitive, p.max_len).join(
-        summary.select(*CONTRACT, "TipoProduto", "BindingID"), CONTRACT, "inner"
-    )
-    values = exclude_keys(values, contracts_with_latest(latest, K.PAID_STATUSES), null_aware=p.null_aware)
+def contract_info(t: Mapping[str, DataFrame], p: MailingParams, latest: DataFrame) -> DataFrame:
+    """Per contract: Contratos, goods, latest-agreement labels and ``staco``;
+    contracts whose latest agreement is paid (P G A) are removed with NOT IN
+    semantics per portfolio.  All inputs are aggregates keyed by the
+    contract, so the joins here add no exchange."""
+    values = instalment_labels(t["receivables"], p.portfolios, p.case_insensitive, p.max_len)
+    values = exclude_keys(values, contracts_with_latest(latest, K.PAID_STATUSES), null_aware=p.null_aware,
+                          df_keys_not_null=True)
     return values.join(goods_summary(t["goods"], p.portfolios), CONTRACT, "left").join(
         agreement_labels(latest), CONTRACT, "left"
     )
 
 
+CARRIED = ["BindingID", "TipoProduto"]
+
+
 def eligible_accounts(t: Mapping[str, DataFrame], p: MailingParams, summary: DataFrame,
                       recent: str | None = None) -> DataFrame:
-    """Active accounts of the portfolios whose contract has a binding row.
+    """Active accounts of the portfolios whose contract has a binding row,
+    with the contract's ``BindingID`` and ``TipoProduto`` attached.
 
     ``recent='drop'`` removes accounts contacted in the last 60 days;
     ``recent='flag'`` adds boolean ``_recent`` instead (the batch uses it).
     """
-    acc = active_accounts(t["accounts"], p.portfolios).join(
-        summary.filter("has_binding").select(*CONTRACT), CONTRACT, "left_semi"
-    )
-    acc = account_rows(acc)
+    binding = summary.filter("has_binding").select(*CONTRACT, *CARRIED)
+    acc = account_rows(active_accounts(t["accounts"], p.portfolios)).join(binding, CONTRACT, "inner")
     if recent is None:
         return acc
     rec = recent_accounts(t["history"], p.as_of)
@@ -116,18 +117,20 @@ def eligible_accounts(t: Mapping[str, DataFrame], p: MailingParams, summary: Dat
 
 
 def _base(t: Mapping[str, DataFrame], p: MailingParams, cohorts: list[str]) -> DataFrame:
+    """Eligible accounts x best phones (one row per account) joined to the
+    contract information; carries the columns the cohort rules need."""
     summary = complement_summary(t["complements"], p.portfolios, p.max_len)
     latest = latest_agreement(t["agreements"], p.since, p.portfolios)
 
     recent = None
     if "never" in cohorts:
         recent = "drop" if cohorts == ["never"] else "flag"
-    extra = ["_recent"] if recent == "flag" else []
+    carried = CARRIED + (["_recent"] if recent == "flag" else [])
     acc = eligible_accounts(t, p, summary, recent)
-    ranked = rank_account_phones(acc, t["phones"], p.slots, p.case_insensitive, extra_keys=extra)
-    wide = pivot_phones(ranked, p.slots, extra_keys=extra)
+    ranked = rank_account_phones(acc, t["phones"], p.slots, p.case_insensitive, extra_keys=carried)
+    wide = pivot_phones(ranked, p.slots, extra_keys=carried)
 
-    info = contract_info(t, p, summary, latest)
+    info = contract_info(t, p, latest)
     if "cpc" in cohorts:
         cpc = last_contact(t["accounts"], t["history"], t["outcomes"], p.portfolios, K.CPC_MARK,
                            p.case_insensitive).select(*CONTRACT, F.lit(True).alias("_cpc"))
