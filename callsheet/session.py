@@ -35,16 +35,20 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster the setting must point at shared storage and is taken as
-    given.  Only when it is unset (local tests) a scratch folder is created
+    given (and handed to the SparkContext if it has no checkpoint folder
+    yet).  Only when it is unset (local tests) a scratch folder is created
     and registered.
     """
+    sc = spark.sparkContext
+    current = sc._jsc.sc().getCheckpointDir()
     conf = spark.conf.get("spark.checkpoint.dir", None)
     if conf:
+        if not current.isDefined():
+            sc.setCheckpointDir(conf)
         return conf
-    jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
-    if jdir.isDefined():
-        return jdir.get()
+    if current.isDefined():
+        return current.get()
     path = tempfile.mkdtemp(prefix="callsheet-ckpt-")
-    spark.sparkContext.setCheckpointDir(path)
+    sc.setCheckpointDir(path)
     spark.conf.set("spark.checkpoint.dir", path)
     return path
