@@ -13,11 +13,11 @@ MAILINGS = [
     ("qua_nunca_contatados", "Nunca Contatados", "Carteiras novas e clientes sem histórico de contato para maximizar alcance.", 2),
 ]
 
-# ---- fixed values: portfolio code -> display name, file prefix (default AutosPF)
+# ---- fixed values: portfolio code -> file prefix (default AutosPF)
 PORTFOLIOS = [
-    (517, "Itapeva Autos", "AutosPF"),
-    (518, "DivZero", "DivZeroPF"),
-    (519, "Cedidas", "CedidasPF"),
+    (517, "AutosPF"),
+    (518, "DivZeroPF"),
+    (519, "CedidasPF"),
 ]
 DEFAULT_FILE_PREFIX = "AutosPF"
 

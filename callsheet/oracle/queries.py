@@ -34,7 +34,6 @@ CATALOGUE = """catalogo AS (
     ('qua_nunca_contatados', 'Nunca Contatados', 2)) AS v(mailing, titulo, dia_recomendado)
 )"""
 
-PORTFOLIO_NAME = "CASE cod_cli WHEN 517 THEN 'Itapeva Autos' WHEN 518 THEN 'DivZero' WHEN 519 THEN 'Cedidas' END"
 PORTFOLIO_PREFIX = ("COALESCE(CASE cod_cli WHEN 517 THEN 'AutosPF' WHEN 518 THEN 'DivZeroPF' "
                     "WHEN 519 THEN 'CedidasPF' END, 'AutosPF')")
 MAILING_SUFFIX = ("COALESCE(CASE mailing WHEN 'seg_quebras_rcs' THEN 'QuebrasRejeitadas' WHEN 'ter_cpc' THEN 'CPC' "
@@ -69,7 +68,7 @@ ORACLE: dict[str, str] = {
         FROM (SELECT DISTINCT CAST(data_at AS DATE) AS run_date,
                      CAST(isodow(CAST(data_at AS DATE)) - 1 AS INTEGER) AS weekday FROM history) d"""),
     "portfolio_labels": W("", f"""
-        SELECT cod_cli, {PORTFOLIO_NAME} AS carteira, {PORTFOLIO_PREFIX} AS file_prefix
+        SELECT cod_cli, cod_cli IN (517, 518, 519) AS known, {PORTFOLIO_PREFIX} AS file_prefix
         FROM (SELECT DISTINCT cod_cli FROM accounts) a"""),
     "mailing_file_label": W(ALL + "," + COUNTS, f"""
         SELECT cod_cli, mailing, n_rows,

@@ -26,8 +26,8 @@ def catalogue(spark: SparkSession) -> DataFrame:
 
 
 def portfolio_dim(spark: SparkSession) -> DataFrame:
-    """(cod_cli, carteira, file_prefix) for the known portfolios."""
-    return _inline(spark, K.PORTFOLIOS, ["cod_cli", "carteira", "file_prefix"])
+    """(cod_cli, file_prefix) for the known portfolios."""
+    return _inline(spark, K.PORTFOLIOS, ["cod_cli", "file_prefix"])
 
 
 def suffix_dim(spark: SparkSession) -> DataFrame:
@@ -54,10 +54,12 @@ def mailing_calendar(spark: SparkSession, dates: DataFrame, date_col: str = "run
 
 
 def portfolio_labels(spark: SparkSession, codes: DataFrame) -> DataFrame:
-    """(cod_cli, carteira, file_prefix) for each code; unknown codes get no
-    display name and the default prefix."""
+    """(cod_cli, known, file_prefix) for each code; unknown codes get the
+    default prefix and ``known`` false."""
     return codes.select("cod_cli").join(portfolio_dim(spark), "cod_cli", "left").select(
-        "cod_cli", "carteira", F.coalesce("file_prefix", F.lit(K.DEFAULT_FILE_PREFIX)).alias("file_prefix")
+        "cod_cli",
+        F.col("file_prefix").isNotNull().alias("known"),
+        F.coalesce("file_prefix", F.lit(K.DEFAULT_FILE_PREFIX)).alias("file_prefix"),
     )
 
 
