@@ -70,3 +70,27 @@ def load_tables(spark: SparkSession, source: str, **kw) -> dict[str, DataFrame]:
 
         return fixture_tables(spark, source)
     return load_parquet(spark, source)
+
+
+# Tables whose ``cod_cli`` is the portfolio code (history's holds account ids).
+PORTFOLIO_PARTITIONED = ["accounts", "agreements", "complements", "receivables", "goods"]
+SORT_KEYS = {"accounts": "cod_cad", "agreements": "nmcont", "complements": "nmcont", "receivables": "nmcont",
+             "goods": "nmcont", "phones": "cod_cad", "history": "cod_cli"}
+
+
+def write_tables(tables: dict[str, DataFrame], root: str, mode: str = "overwrite") -> None:
+    """Store the eight tables as parquet under ``root/{name}``.
+
+    Portfolio-keyed tables are partitioned by ``cod_cli`` on disk, so a run
+    for some portfolios reads only their folders (partition pruning).  Rows
+    are sorted within each file by the join key, which tightens the parquet
+    min/max statistics that filters are checked against.
+    """
+    for name, df in tables.items():
+        key = SORT_KEYS.get(name)
+        if key:
+            df = df.sortWithinPartitions(key)
+        w = df.write.mode(mode)
+        if name in PORTFOLIO_PARTITIONED:
+            w = w.partitionBy("cod_cli")
+        w.parquet(f"{root}/{name}")
