@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from callsheet import constants as K
@@ -27,11 +27,14 @@ def rank_agreements(agreements: DataFrame, since=K.AGREEMENTS_SINCE, portfolios=
     """``rn_aco`` = 1 for the newest agreement (highest ``cod_aco``) of each
     contract, counted only among agreements since ``since``.
 
-    This is the literal ranking; :func:`latest_agreement` gives the same top
-    row without sorting whole contracts.
+    This is the literal ranking, computed with :func:`split_row_number` so a
+    contract with a third of all agreements is numbered by many tasks;
+    :func:`latest_agreement` gives the top row with a plain aggregate.
     """
-    w = Window.partitionBy(*CONTRACT).orderBy(F.col("cod_aco").desc_nulls_last())
-    return agreements_since(agreements, since, portfolios).withColumn("rn_aco", F.row_number().over(w))
+    from callsheet.operators.ranking import split_row_number
+
+    return split_row_number(agreements_since(agreements, since, portfolios), CONTRACT,
+                            [F.col("cod_aco").desc_nulls_last()], "rn_aco")
 
 
 def latest_agreement(agreements: DataFrame, since=K.AGREEMENTS_SINCE, portfolios=None) -> DataFrame:

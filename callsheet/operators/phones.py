@@ -75,8 +75,9 @@ def rank_account_phones(accounts: DataFrame, phones: DataFrame, slots: int | Non
     """Phones of each account ranked per (portfolio, account id).
 
     ``accounts`` has the columns of :func:`account_rows` (plus ``extra_keys``,
-    carried along).  ``slots=None`` ranks every phone (no cut), which sorts
-    whole accounts; with a number only the best phones are ranked.
+    carried along).  ``slots=None`` ranks every phone (no cut) with the
+    chunked exact ranking; with a number only the best phones are ranked
+    (at most ``slots`` per account reach this window).
     """
     extra_keys = extra_keys or []
     if slots is None:
@@ -84,11 +85,14 @@ def rank_account_phones(accounts: DataFrame, phones: DataFrame, slots: int | Non
     else:
         ph = top_phones(phones, slots, case_insensitive).drop("num")
     joined = accounts.join(ph, "cod_cad", "inner")
-    w = Window.partitionBy("cod_cli", "cod_cad").orderBy(*phone_order(ACCOUNT_ATTRS + extra_keys))
-    ranked = joined.withColumn("num", F.row_number().over(w))
-    if slots is not None:
-        ranked = ranked.filter(F.col("num") <= slots)
-    return ranked
+    order = phone_order(ACCOUNT_ATTRS + extra_keys)
+    if slots is None:
+        # full ranking: a huge account is numbered in ordered chunks by many tasks
+        from callsheet.operators.ranking import split_row_number
+
+        return split_row_number(joined, ["cod_cli", "cod_cad"], order, "num")
+    w = Window.partitionBy("cod_cli", "cod_cad").orderBy(*order)
+    return joined.withColumn("num", F.row_number().over(w)).filter(F.col("num") <= slots)
 
 
 def pivot_phones(ranked: DataFrame, slots: int = K.PHONE_SLOTS, extra_keys: list[str] | None = None) -> DataFrame:

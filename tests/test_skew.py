@@ -127,3 +127,33 @@ def test_hot_account_and_contract_reach_the_list(skew):
     assert len(r) == 1
     assert all(r[0][f"Telefone{k}"] is not None for k in range(1, 8))
     assert r[0].Contratos.count(" || ") > 100 and r[0].QtdGarantiasUnicas == 13
+
+
+def test_full_phone_ranking_of_a_hot_account_matches_brute_force(skew, forced_skew_split):
+    from callsheet.operators.contracts import complement_summary
+    from callsheet.operators.phones import rank_account_phones
+    from callsheet.oracle.duckdb_sql import MAILING_CTES, telefones
+    from callsheet.plans.mailings import eligible_accounts
+
+    frames, con, _ = skew
+    acc = eligible_accounts(frames, P, complement_summary(frames["complements"]))
+    got = rank_account_phones(acc, frames["phones"], slots=None).select("cod_cli", "cod_cad", "telefones", "status", "num")
+    sql = (f"WITH {MAILING_CTES}, {telefones()}\n"
+           "SELECT cod_cli, cod_cad, telefones, status, CAST(num AS INTEGER) AS num FROM telefones")
+    r = compare(got, con, sql)
+    assert r["ok"], r
+
+
+def test_split_row_number_equals_window(spark):
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    from callsheet.operators.ranking import split_row_number
+
+    df = spark.range(0, 30000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(F.col("id") % 50).alias("g"),  # NULL group is hot
+        F.col("id"), (F.col("id") * 7919 % 10007).alias("v"))
+    order = [F.col("v").desc(), F.col("id").asc()]
+    a = split_row_number(df, ["g"], order, "rn")
+    b = df.withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy(*order)))
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
