@@ -3,8 +3,10 @@
 Replaces the one-list-per-button-click loop of the source system: the batch
 is built once (shared base), made durable with a reliable checkpoint in the
 shared ``spark.checkpoint.dir`` (so a lost executor does not recompute the
-whole lineage, and the two writes below read the same rows), then written
-as one folder per (portfolio, list) plus a size report with file labels.
+whole lineage, and the writes below read the same rows), then written as one
+folder per (portfolio, list) plus a size report with file labels.  Lists
+that came out empty still get their header-only file, as the hand-off
+expects one file per requested list.
 """
 
 from __future__ import annotations
@@ -13,11 +15,23 @@ import datetime as dt
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from callsheet import constants as K
+from callsheet.functions.predicates import in_portfolios
 from callsheet.plans.catalogue import file_labels
-from callsheet.plans.mailings import MailingParams, mailing_batch, mailing_counts
+from callsheet.plans.mailings import COHORTS, MailingParams, cohort_of, mailing_batch, mailing_counts
 from callsheet.session import checkpoint_dir
-from callsheet.sources.sink import write_batch_csv
+from callsheet.sources.sink import BOM, CSV_OPTIONS, write_batch_csv
+
+
+def expected_lists(spark: SparkSession, accounts: DataFrame, params: MailingParams,
+                   cohorts: Iterable[str]) -> DataFrame:
+    """(cod_cli, mailing) for every requested portfolio x list.  Portfolios
+    are the codes present in ``accounts`` (or the requested ones)."""
+    ids = [COHORTS[cohort_of(c)] for c in cohorts]
+    codes = accounts.filter(in_portfolios(params.portfolios)).select("cod_cli").distinct()
+    return codes.select("cod_cli", F.explode(F.array(*[F.lit(i) for i in ids])).alias("mailing"))
 
 
 def run_weekly(spark: SparkSession, tables: Mapping[str, DataFrame], out_dir: str,
@@ -26,10 +40,29 @@ def run_weekly(spark: SparkSession, tables: Mapping[str, DataFrame], out_dir: st
     """Build, checkpoint and write all lists; returns the size report
     (cod_cli, mailing, n_rows, n_phones, n_full, file_label), read back
     from what was written."""
+    params = params or MailingParams()
+    cohorts = list(cohorts or COHORTS)
     run_ts = run_ts or dt.datetime.now().strftime("%Y-%m-%d %H:%M:%S")
     checkpoint_dir(spark)
     batch = mailing_batch(tables, cohorts, params).checkpoint(eager=True)
     write_batch_csv(batch, f"{out_dir}/lists", single_file=single_file)
-    report = file_labels(spark, mailing_counts(batch), run_ts)
+
+    counts = mailing_counts(batch)
+    report = (
+        expected_lists(spark, tables["accounts"], params, cohorts)
+        .join(counts, ["cod_cli", "mailing"], "left")
+        .select("cod_cli", "mailing", *[F.coalesce(c, F.lit(0)).cast("long").alias(c)
+                                        for c in ("n_rows", "n_phones", "n_full")])
+    )
+    report = file_labels(spark, report, run_ts)
     report.write.mode("overwrite").parquet(f"{out_dir}/report")
-    return spark.read.parquet(f"{out_dir}/report")
+    report = spark.read.parquet(f"{out_dir}/report")
+
+    # header-only files for empty lists: at most (#portfolios x #lists) names
+    header = K.CSV_DELIMITER.join([BOM + K.OUTPUT_COLUMNS[0], *K.OUTPUT_COLUMNS[1:]])
+    empty = [(r.cod_cli, r.mailing) for r in report.filter("n_rows = 0").select("cod_cli", "mailing").collect()]
+    for code, mid in empty:
+        path = f"{out_dir}/lists/cod_cli={code}/mailing={mid}"
+        spark.createDataFrame([(header,)], "value string").coalesce(1).write.mode("overwrite").option(
+            "lineSep", CSV_OPTIONS["lineSep"]).text(path)
+    return report

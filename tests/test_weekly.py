@@ -22,3 +22,9 @@ def test_weekly_run_writes_lists_and_report(spark):
     assert len(files) == 1
     lines = open(files[0], encoding="utf-8-sig", newline="").read().split("\r\n")
     assert lines[0].startswith("cod_cad;nome;cpf;bindingid;") and len([x for x in lines[1:] if x]) == 5
+    # 517 has no right-party contact at sf0.001: the list is empty but its header-only file exists
+    assert rows[(517, "ter_cpc")].n_rows == 0
+    (empty,) = glob.glob(f"{out}/lists/cod_cli=517/mailing=ter_cpc/part-*")
+    data = open(empty, "rb").read()
+    assert data.startswith("﻿cod_cad;nome;".encode()) and data.endswith(b"StatusUltimoAcordo\r\n")
+    assert len(rows) == 15
