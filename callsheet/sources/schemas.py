@@ -95,7 +95,9 @@ SCHEMAS: dict[str, T.StructType] = {
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Select and cast to ``schema``; a missing column is an error.
 
-    Casts are ``try_cast``: a source that stores a status code as text
+    Amounts stored as DECIMAL stay DECIMAL (exact, and written as the
+    source writes them).  Other casts are ``try_cast``: a source that stores
+    a status code as text
     (``'x'``) yields NULL instead of failing the whole job under ANSI mode,
     which is how the source database coerces such values in ``IN`` lists.
     """
@@ -106,5 +108,6 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     for f in schema.fields:
         src = df.schema[f.name].dataType
         c = F.col(f.name)
-        cols.append((c if src == f.dataType else c.try_cast(f.dataType)).alias(f.name))
+        keep = src == f.dataType or (isinstance(f.dataType, T.DoubleType) and isinstance(src, T.DecimalType))
+        cols.append((c if keep else c.try_cast(f.dataType)).alias(f.name))
     return df.select(*cols)

@@ -55,12 +55,21 @@ def _as_text(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     return df.select(*out)
 
 
-def write_list_csv(df: DataFrame, path: str, columns: Iterable[str] | None = None, mode: str = "overwrite") -> None:
-    """Write one finished list as one CSV file (plus Spark's commit markers)
-    under ``path``.  Single-file output is done per list, never for a whole
-    batch; an empty list still gets its header-only file."""
+def write_list_csv(df: DataFrame, path: str, columns: Iterable[str] | None = None, mode: str = "overwrite",
+                   single_file: bool = True) -> None:
+    """Write one finished list under ``path`` (plus Spark's commit markers).
+
+    ``single_file=True`` (the hand-off layout) writes exactly one CSV file, so
+    one task writes the list; it is done per list, never for a whole batch,
+    and an empty list still gets its header-only file.  ``single_file=False``
+    lets every task write its own part (each a complete CSV with header) for
+    lists too large for one writer.
+    """
     cols = list(columns) if columns is not None else [c for c in K.OUTPUT_COLUMNS]
-    _as_text(df, cols).coalesce(1).write.mode(mode).options(**CSV_OPTIONS).csv(path)
+    out = _as_text(df, cols)
+    if single_file:
+        out = out.coalesce(1)
+    out.write.mode(mode).options(**CSV_OPTIONS).csv(path)
 
 
 def write_batch_csv(batch: DataFrame, path: str, columns: Iterable[str] | None = None, mode: str = "overwrite",

@@ -1,0 +1,6 @@
+"""Streaming operators: none.
+
+The source system is a batch snapshot job: it has no streams, event-time
+windows, watermarks, state or late-data handling.  The contact history is
+read as a table like every other input.  Nothing is invented here.
+"""

@@ -51,3 +51,12 @@ def test_n9_text_status_is_null_not_an_error(spark):
                                "cod_cad long, dddfone string, telefone string, status string, obs string")
     got = [r.status for r in conform(df, SCHEMAS["phones"]).orderBy("cod_cad").collect()]
     assert got == [None, 4]
+
+
+def test_decimal_amounts_stay_decimal(spark):
+    df = spark.createDataFrame([("C1", 517, 1, None, 1.0, 1, "Q")],
+                               "nmcont string, cod_cli int, cod_aco long, data_cad timestamp_ntz, vlr_aco double, "
+                               "qtd_p_aco int, staco string")
+    dec = df.withColumn("vlr_aco", df.vlr_aco.cast("decimal(15,2)"))
+    assert dict(conform(dec, SCHEMAS["agreements"]).dtypes)["vlr_aco"] == "decimal(15,2)"
+    assert dict(conform(df, SCHEMAS["agreements"]).dtypes)["vlr_aco"] == "double"
