@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from callsheet import constants as K
 from callsheet.functions.predicates import in_portfolios, recent_since
+from callsheet.operators.joins import broadcast_if_small
 
 CONTRACT = ["cod_cli", "nmcont"]
 
@@ -34,10 +35,10 @@ def contact_outcomes(outcomes: DataFrame, pattern: str | None = None, case_insen
 def account_contacts(history: DataFrame, outcomes: DataFrame, pattern: str | None = None,
                      case_insensitive: bool = False) -> DataFrame:
     """(cod_cad, dt_ultimo) -- last contact per account among history rows
-    whose outcome code is known (and matches ``pattern``).  The outcome
-    dimension is a small code table; the planner broadcasts it from its
-    statistics."""
-    codes = contact_outcomes(outcomes, pattern, case_insensitive)
+    whose outcome code is known (and matches ``pattern``).  The outcome code
+    table is broadcast after a bounded size check, so history is never
+    shuffled on the outcome code (one code may cover a third of all rows)."""
+    codes = broadcast_if_small(contact_outcomes(outcomes, pattern, case_insensitive))
     h = history.join(codes, history.ocorr == codes.st, "left_semi")
     return h.groupBy(F.col("cod_cli").alias("cod_cad")).agg(F.max("data_at").alias("dt_ultimo"))
 
