@@ -3,31 +3,32 @@
 from __future__ import annotations
 
 from callsheet.oracle.duckdb_sql import (
-    ACORDOS,
-    ALL_MAILING_CTES,
+    AGREEMENT_BLOCKS,
+    ANY_CONTACTS,
     AS_OF,
-    BENS,
-    CPC_ULTIMO,
-    LAST_CONTACT_ANY,
-    MAILING_CTES,
-    NEVER_FILTER,
-    PHONE_FILTER,
+    BLOCKS,
+    COLLATERAL,
+    CONTRACT_VALUES,
+    LIST_CTES,
+    NOT_RECENT,
+    PHONES,
+    RPC_CONTACTS,
     SINCE,
-    VALORES,
+    USABLE_PHONE,
     mailing_all_select,
     mailing_select,
-    telefones,
-    telefones_final,
+    phone_rows,
+    phone_slots,
     with_prelude,
 )
 
 W = with_prelude
-TEL = ",".join([MAILING_CTES, telefones(), telefones_final()])
-WIDE = "t.cod_cli, t.cod_cad, t.nmcont"
+TEL = ",".join([BLOCKS, PHONES])
+WIDE = "s.cod_cli, s.cod_cad, s.nmcont"
 CUTOFF = f"CAST(DATE '{AS_OF}' - INTERVAL 60 DAY AS DATE)"
 RUN_TS = "2024-03-30 10:15:00"
 
-CATALOGUE = """catalogo AS (
+CATALOGUE = """campaigns AS (
   SELECT * FROM (VALUES
     ('seg_quebras_rcs', 'Quebras & Rejeitadas', 0),
     ('ter_cpc', 'CPC (Contato Pessoa Certa)', 1),
@@ -39,30 +40,29 @@ PORTFOLIO_PREFIX = ("COALESCE(CASE cod_cli WHEN 517 THEN 'AutosPF' WHEN 518 THEN
 MAILING_SUFFIX = ("COALESCE(CASE mailing WHEN 'seg_quebras_rcs' THEN 'QuebrasRejeitadas' WHEN 'ter_cpc' THEN 'CPC' "
                   "WHEN 'qua_nunca_contatados' THEN 'NuncaContatados' END, mailing)")
 
-ALL = ALL_MAILING_CTES + f",\nlistas AS ({mailing_all_select()})"
+ALL = LIST_CTES + f",\nall_lists AS ({mailing_all_select()})"
 
 PHONES_SLOTS = " + ".join(f"CAST(Telefone{k} IS NOT NULL AS INTEGER)" for k in range(1, 8))
-COUNTS = f"""contagens AS (
+COUNTS = f"""list_sizes AS (
   SELECT cod_cli, mailing, COUNT(*) AS n_rows, CAST(SUM({PHONES_SLOTS}) AS BIGINT) AS n_phones,
          COUNT(*) FILTER (WHERE {PHONES_SLOTS} = 7) AS n_full
-  FROM listas GROUP BY cod_cli, mailing
+  FROM all_lists GROUP BY cod_cli, mailing
 )"""
 
-PHONES_RANKED = "t.cod_cli, t.cod_cad, t.telefones, t.status, CAST(t.num AS INTEGER) AS num"
+PHONES_RANKED = "r.cod_cli, r.cod_cad, r.telefones, r.status, CAST(r.num AS INTEGER) AS num"
 
 ORACLE: dict[str, str] = {
     # ---- S
     "scan_portfolio": W("", "SELECT * FROM accounts WHERE cod_cli IN (517, 518, 519)"),
     "portfolio_params": W("", "SELECT cod_cad, nmcont, cod_cli FROM accounts WHERE cod_cli IN (517, 519)"),
     "mailing_catalogue": W(ALL + "," + CATALOGUE, """
-        SELECT c.mailing, c.titulo, c.dia_recomendado, COALESCE(s.n_rows, 0) AS n_rows
-        FROM catalogo c LEFT JOIN (SELECT mailing, COUNT(*) AS n_rows FROM listas GROUP BY mailing) s
-             ON c.mailing = s.mailing"""),
+        SELECT c.mailing, c.titulo, c.dia_recomendado, COALESCE(z.n_rows, 0) AS n_rows
+        FROM campaigns c LEFT JOIN (SELECT mailing, COUNT(*) AS n_rows FROM all_lists GROUP BY mailing) z
+             ON c.mailing = z.mailing"""),
     "mailing_calendar": W("", """
         SELECT run_date, weekday,
-               CASE weekday WHEN 0 THEN 'Segunda-feira' WHEN 1 THEN 'Terça-feira' WHEN 2 THEN 'Quarta-feira'
-                            WHEN 3 THEN 'Quinta-feira' WHEN 4 THEN 'Sexta-feira' WHEN 5 THEN 'Sábado'
-                            WHEN 6 THEN 'Domingo' END AS weekday_name,
+               ['Segunda-feira', 'Terça-feira', 'Quarta-feira', 'Quinta-feira', 'Sexta-feira', 'Sábado',
+                'Domingo'][weekday + 1] AS weekday_name,
                CASE weekday WHEN 0 THEN 'seg_quebras_rcs' WHEN 1 THEN 'ter_cpc'
                             WHEN 2 THEN 'qua_nunca_contatados' END AS mailing
         FROM (SELECT DISTINCT CAST(data_at AS DATE) AS run_date,
@@ -74,9 +74,9 @@ ORACLE: dict[str, str] = {
         SELECT cod_cli, mailing, n_rows,
                {PORTFOLIO_PREFIX} || '_' || {MAILING_SUFFIX} || '_' ||
                strftime(TIMESTAMP '{RUN_TS}', '%Y%m%d_%H%M%S') AS file_label
-        FROM contagens"""),
-    "text_columns": W(ALL_MAILING_CTES, mailing_select("broken", text_bindingid=True)),
-    "csv_roundtrip": W(ALL_MAILING_CTES, """
+        FROM list_sizes"""),
+    "text_columns": W(LIST_CTES, mailing_select("broken", text_bindingid=True)),
+    "csv_roundtrip": W(LIST_CTES, """
         SELECT CAST(cod_cli AS VARCHAR) AS cod_cli, CAST(cod_cad AS VARCHAR) AS cod_cad, nome, cpf,
                CAST(bindingid AS VARCHAR) AS bindingid, datanascimento, portfolio,
                Telefone1, Telefone2, Telefone3, Telefone4, Telefone5, Telefone6, Telefone7,
@@ -90,77 +90,80 @@ ORACLE: dict[str, str] = {
                strftime(nascto, '%d-%m-%Y') AS datanascimento, infoad AS portfolio FROM accounts"""),
     "active_accounts": W("", "SELECT cod_cad, cod_cli, nmcont, stcli FROM accounts WHERE stcli <> 'INA'"),
     "binding_id": W("", """
-        SELECT cod_cli, nmcont, MAX(int_2) AS BindingID FROM complements WHERE int_1 <> 400
+        SELECT cod_cli, nmcont, max(int_2) AS BindingID FROM complements WHERE int_1 <> 400
         GROUP BY cod_cli, nmcont"""),
     "agreement_status_filter": W("", """
-        SELECT cod_aco, cod_cli, nmcont, staco FROM agreements WHERE staco IN ('Q', 'E', 'P', 'G', 'A')"""),
+        SELECT cod_aco, cod_cli, nmcont, staco FROM agreements WHERE staco IN ('A', 'E', 'G', 'P', 'Q')"""),
     "agreements_since": W("", f"""
         SELECT cod_aco, cod_cli, nmcont, data_cad FROM agreements WHERE data_cad >= TIMESTAMP '{SINCE} 00:00:00'"""),
     "cpc_outcomes": W("", """
         SELECT h.cod_cli, h.data_at, h.ocorr FROM history h
-        WHERE h.ocorr IN (SELECT st FROM outcomes WHERE bsc LIKE '%CPC%')"""),
-    "not_like_filter": W("", "SELECT * FROM receivables WHERE fat_parc NOT LIKE '%ENTRADA%'"),
-    "usable_phones": W("", f"SELECT * FROM phones tel WHERE {PHONE_FILTER}"),
+        WHERE EXISTS (SELECT 1 FROM outcomes o WHERE o.st = h.ocorr AND o.bsc LIKE '%CPC%')"""),
+    "not_like_filter": W("", "SELECT * FROM receivables WHERE position('ENTRADA' IN fat_parc) = 0"),
+    "usable_phones": W("", f"SELECT * FROM phones p WHERE {USABLE_PHONE}"),
     "recent_history": W("", f"SELECT * FROM history WHERE data_at >= {CUTOFF}"),
     # ---- J
     "account_phones": W("", """
-        SELECT cad.cod_cad, cad.cod_cli, cad.nmcont, tel.dddfone, tel.telefone, tel.status
-        FROM accounts cad JOIN phones tel ON tel.cod_cad = cad.cod_cad"""),
+        SELECT a.cod_cad, a.cod_cli, a.nmcont, p.dddfone, p.telefone, p.status
+        FROM phones p JOIN accounts a ON a.cod_cad = p.cod_cad"""),
     "account_history": W("", """
-        SELECT cad.cod_cad, cad.cod_cli, cad.nmcont, his.data_at, his.ocorr
-        FROM accounts cad JOIN history his ON his.cod_cli = cad.cod_cad"""),
+        SELECT a.cod_cad, a.cod_cli, a.nmcont, h.data_at, h.ocorr
+        FROM history h JOIN accounts a ON a.cod_cad = h.cod_cli"""),
     "history_outcomes": W("", """
-        SELECT his.cod_cli, his.data_at, his.ocorr, st.bsc FROM history his JOIN outcomes st ON st.st = his.ocorr"""),
-    "contract_values": W(",".join([ACORDOS, VALORES]), "SELECT cod_cli, nmcont, Contratos, TipoProduto FROM valores"),
+        SELECT h.cod_cli, h.data_at, h.ocorr, o.bsc FROM history h JOIN outcomes o ON o.st = h.ocorr"""),
+    "contract_values": W(",".join([AGREEMENT_BLOCKS, CONTRACT_VALUES]),
+                         "SELECT cod_cli, nmcont, Contratos, TipoProduto FROM contract_vals"),
     "account_binding": W("", """
-        SELECT cad.cod_cad, cad.cod_cli, cad.nmcont, MAX(recc.int_2) AS BindingID
-        FROM accounts cad LEFT JOIN complements recc ON recc.nmcont = cad.nmcont AND recc.cod_cli = cad.cod_cli
-        WHERE cad.stcli <> 'INA' AND recc.int_1 <> 400
-        GROUP BY cad.cod_cad, cad.cod_cli, cad.nmcont"""),
+        SELECT a.cod_cad, a.cod_cli, a.nmcont, max(c.int_2) AS BindingID
+        FROM accounts a JOIN complements c ON c.cod_cli = a.cod_cli AND c.nmcont = a.nmcont AND c.int_1 <> 400
+        WHERE a.stcli <> 'INA'
+        GROUP BY a.cod_cad, a.cod_cli, a.nmcont"""),
     "assemble_goods": W(TEL, f"""
-        SELECT {WIDE}, t.Telefone1, b.MarcaModelo, b.placa, b.cor, b.AnoFabModelo, b.QtdGarantiasUnicas
-        FROM telefones_final t LEFT JOIN bens b ON t.nmcont = b.nmcont AND t.cod_cli = b.cod_cli"""),
+        SELECT {WIDE}, s.Telefone1, g.MarcaModelo, g.placa, g.cor, g.AnoFabModelo, g.QtdGarantiasUnicas
+        FROM phone_slots s LEFT JOIN collateral g ON g.cod_cli = s.cod_cli AND g.nmcont = s.nmcont"""),
     "assemble_values": W(TEL, f"""
-        SELECT {WIDE}, t.Telefone1, v.Contratos, v.TipoProduto
-        FROM telefones_final t JOIN valores v ON t.nmcont = v.nmcont AND t.cod_cli = v.cod_cli"""),
+        SELECT {WIDE}, s.Telefone1, v.Contratos, v.TipoProduto
+        FROM phone_slots s JOIN contract_vals v ON v.cod_cli = s.cod_cli AND v.nmcont = s.nmcont"""),
     "assemble_agreement": W(TEL, f"""
-        SELECT {WIDE}, t.Telefone1, a.UltimoValorAcordado, a.TipoAcordo, a.DataCriacaoGecobi, a.StatusUltimoAcordo
-        FROM telefones_final t LEFT JOIN acordos_ultimos a ON t.nmcont = a.nmcont AND t.cod_cli = a.cod_cli"""),
+        SELECT {WIDE}, s.Telefone1, l.UltimoValorAcordado, l.TipoAcordo, l.DataCriacaoGecobi, l.StatusUltimoAcordo
+        FROM phone_slots s LEFT JOIN agr_labels l ON l.cod_cli = s.cod_cli AND l.nmcont = s.nmcont"""),
     "cohort_broken": W(TEL, f"""
-        SELECT {WIDE} FROM telefones_final t JOIN acordos_ex ex ON t.nmcont = ex.nmcont AND t.cod_cli = ex.cod_cli"""),
+        SELECT {WIDE} FROM phone_slots s
+        WHERE EXISTS (SELECT 1 FROM agr_broken b WHERE b.cod_cli = s.cod_cli AND b.nmcont = s.nmcont)"""),
     "cohort_cpc": W(TEL, f"""
-        SELECT {WIDE} FROM telefones_final t JOIN cpc_ultimo c ON t.nmcont = c.nmcont AND t.cod_cli = c.cod_cli"""),
-    "cohort_never": W(",".join([MAILING_CTES, telefones(NEVER_FILTER), telefones_final()]),
-                      f"SELECT {WIDE} FROM telefones_final t"),
-    "noop_left_join": W(TEL + "," + LAST_CONTACT_ANY, f"""
-        SELECT {WIDE}, t.Telefone1, t.Telefone2, t.Telefone3, t.Telefone4, t.Telefone5, t.Telefone6, t.Telefone7
-        FROM telefones_final t LEFT JOIN contato_ultimo c ON t.nmcont = c.nmcont AND t.cod_cli = c.cod_cli"""),
-    "exclude_paid": W(ACORDOS, """
-        SELECT DISTINCT recc.cod_cli, recc.nmcont FROM complements recc
-        WHERE recc.nmcont NOT IN (SELECT p.nmcont FROM acordos_pagos p WHERE p.cod_cli = recc.cod_cli)"""),
+        SELECT {WIDE} FROM phone_slots s
+        WHERE EXISTS (SELECT 1 FROM rpc_contact x WHERE x.cod_cli = s.cod_cli AND x.nmcont = s.nmcont)"""),
+    "cohort_never": W(",".join([BLOCKS, phone_rows(NOT_RECENT), phone_slots()]), f"SELECT {WIDE} FROM phone_slots s"),
+    "noop_left_join": W(TEL + "," + ANY_CONTACTS, f"""
+        SELECT {WIDE}, s.Telefone1, s.Telefone2, s.Telefone3, s.Telefone4, s.Telefone5, s.Telefone6, s.Telefone7
+        FROM phone_slots s LEFT JOIN any_contact x ON x.cod_cli = s.cod_cli AND x.nmcont = s.nmcont"""),
+    "exclude_paid": W(AGREEMENT_BLOCKS, """
+        SELECT DISTINCT c.cod_cli, c.nmcont FROM complements c
+        WHERE c.nmcont NOT IN (SELECT pd.nmcont FROM agr_paid pd WHERE pd.cod_cli = c.cod_cli)"""),
     # ---- A
-    "last_contact": W(LAST_CONTACT_ANY, "SELECT * FROM contato_ultimo"),
-    "last_cpc_contact": W(CPC_ULTIMO, "SELECT * FROM cpc_ultimo"),
-    "goods_summary": W(BENS, "SELECT * FROM bens"),
+    "last_contact": W(ANY_CONTACTS, "SELECT * FROM any_contact"),
+    "last_cpc_contact": W(RPC_CONTACTS, "SELECT * FROM rpc_contact"),
+    "goods_summary": W(COLLATERAL, "SELECT * FROM collateral"),
     "distinct_concat": W("", """
         SELECT cod_cli, nmcont, string_agg(DISTINCT fat_parc, ' || ' ORDER BY fat_parc) AS labels
         FROM receivables GROUP BY cod_cli, nmcont"""),
     "phone_pivot": W(TEL, """
         SELECT cod_cli, cod_cad, nmcont, nome, cpf, datanascimento, portfolio,
                Telefone1, Telefone2, Telefone3, Telefone4, Telefone5, Telefone6, Telefone7
-        FROM telefones_final"""),
+        FROM phone_slots"""),
     "distinct_phones": W("", f"""
-        SELECT DISTINCT tel.cod_cad, tel.dddfone, tel.telefone, tel.status, tel.dddfone || tel.telefone AS telefones
-        FROM phones tel WHERE {PHONE_FILTER}"""),
+        SELECT DISTINCT p.cod_cad, p.dddfone, p.telefone, p.status, p.dddfone || p.telefone AS telefones
+        FROM phones p WHERE {USABLE_PHONE}"""),
     # ---- W / T
-    "agreements_ranked": W(ACORDOS, "SELECT cod_cli, nmcont, cod_aco, CAST(rn_aco AS INTEGER) AS rn_aco FROM acordos_ranked"),
-    "phone_ranked": W(TEL, f"SELECT {PHONES_RANKED} FROM telefones t"),
-    "phone_top7": W(TEL, f"SELECT {PHONES_RANKED} FROM telefones t WHERE t.num <= 7"),
-    "latest_agreement": W(ACORDOS, """
+    "agreements_ranked": W(AGREEMENT_BLOCKS,
+                           "SELECT cod_cli, nmcont, cod_aco, CAST(rn_aco AS INTEGER) AS rn_aco FROM agr_numbered"),
+    "phone_ranked": W(TEL, f"SELECT {PHONES_RANKED} FROM phone_rows r"),
+    "phone_top7": W(TEL, f"SELECT {PHONES_RANKED} FROM phone_rows r WHERE r.num <= 7"),
+    "latest_agreement": W(AGREEMENT_BLOCKS, """
         SELECT cod_cli, nmcont, UltimoValorAcordado, TipoAcordo, DataCriacaoGecobi, StatusUltimoAcordo
-        FROM acordos_ultimos"""),
-    "contracts_paid": W(ACORDOS, "SELECT cod_cli, nmcont FROM acordos_pagos"),
-    "contracts_broken": W(ACORDOS, "SELECT cod_cli, nmcont FROM acordos_ex"),
+        FROM agr_labels"""),
+    "contracts_paid": W(AGREEMENT_BLOCKS, "SELECT cod_cli, nmcont FROM agr_paid"),
+    "contracts_broken": W(AGREEMENT_BLOCKS, "SELECT cod_cli, nmcont FROM agr_broken"),
     # ---- F
     "concat_labels": W("", """
         SELECT cod_cli, nmcont, chassi, marca || ' - ' || modelo AS MarcaModelo,
@@ -168,22 +171,22 @@ ORACLE: dict[str, str] = {
     "format_dates": W("", "SELECT cod_aco, strftime(data_cad, '%d-%m-%Y') AS DataCriacaoGecobi FROM agreements"),
     "agreement_type": W("", """
         SELECT cod_aco, qtd_p_aco,
-               CASE WHEN qtd_p_aco = 1 THEN 'AVISTA' WHEN qtd_p_aco > 1 THEN 'PARCELADO' ELSE NULL END AS TipoAcordo
+               CASE WHEN qtd_p_aco > 1 THEN 'PARCELADO' WHEN qtd_p_aco = 1 THEN 'AVISTA' END AS TipoAcordo
         FROM agreements"""),
     "agreement_status_label": W("", """
-        SELECT cod_aco, staco,
-               CASE staco WHEN 'A' THEN 'Em Acordo' WHEN 'E' THEN 'Exceção Rejeitada' WHEN 'G' THEN 'Pago'
-                          WHEN 'Q' THEN 'Quebrado' WHEN 'P' THEN 'Em Promessa' ELSE 'Sem Dados' END AS StatusUltimoAcordo
-        FROM agreements"""),
+        SELECT ag.cod_aco, ag.staco, coalesce(lbl.label, 'Sem Dados') AS StatusUltimoAcordo
+        FROM agreements ag
+        LEFT JOIN (VALUES ('A', 'Em Acordo'), ('E', 'Exceção Rejeitada'), ('G', 'Pago'), ('Q', 'Quebrado'),
+                          ('P', 'Em Promessa')) AS lbl(code, label) ON lbl.code = ag.staco"""),
     "field_order": W("", """
         SELECT cod_cad, dddfone, telefone, status,
                CAST(coalesce(list_position([2, 4, 5, 6, 1, 0], status), 0) AS INTEGER) AS pos FROM phones"""),
     # ---- M
-    "mailing_broken": W(ALL_MAILING_CTES, mailing_select("broken")),
-    "mailing_cpc": W(ALL_MAILING_CTES, mailing_select("cpc")),
-    "mailing_never": W(ALL_MAILING_CTES, mailing_select("never")),
-    "mailing_all": W(ALL, "SELECT * FROM listas"),
-    "mailing_counts": W(ALL + "," + COUNTS, "SELECT * FROM contagens"),
+    "mailing_broken": W(LIST_CTES, mailing_select("broken")),
+    "mailing_cpc": W(LIST_CTES, mailing_select("cpc")),
+    "mailing_never": W(LIST_CTES, mailing_select("never")),
+    "mailing_all": W(ALL, "SELECT * FROM all_lists"),
+    "mailing_counts": W(ALL + "," + COUNTS, "SELECT * FROM list_sizes"),
 }
 
 

@@ -11,7 +11,7 @@ import pandas as pd
 import pytest
 
 from callsheet.oracle.compare import compare
-from callsheet.oracle.duckdb_sql import ALL_MAILING_CTES, mailing_all_select, mailing_select
+from callsheet.oracle.duckdb_sql import LIST_CTES, mailing_all_select, mailing_select
 from callsheet.plans.mailings import MailingParams, mailing, mailing_batch
 from callsheet.sources.schemas import SCHEMAS
 
@@ -110,14 +110,14 @@ def forced_skew_split(spark):
 @pytest.mark.parametrize("cohort", ["broken", "cpc", "never"])
 def test_lists_under_skew_match_brute_force(skew, forced_skew_split, cohort):
     frames, con, _ = skew
-    r = compare(mailing(frames, cohort, P), con, f"WITH {ALL_MAILING_CTES}\n{mailing_select(cohort)}")
+    r = compare(mailing(frames, cohort, P), con, f"WITH {LIST_CTES}\n{mailing_select(cohort)}")
     assert r["ok"], r
     assert r["spark_rows"] > 0
 
 
 def test_batch_under_skew_matches_brute_force(skew, forced_skew_split):
     frames, con, _ = skew
-    r = compare(mailing_batch(frames, params=P), con, f"WITH {ALL_MAILING_CTES}\n{mailing_all_select()}")
+    r = compare(mailing_batch(frames, params=P), con, f"WITH {LIST_CTES}\n{mailing_all_select()}")
     assert r["ok"], r
 
 
@@ -132,14 +132,14 @@ def test_hot_account_and_contract_reach_the_list(skew):
 def test_full_phone_ranking_of_a_hot_account_matches_brute_force(skew, forced_skew_split):
     from callsheet.operators.contracts import complement_summary
     from callsheet.operators.phones import rank_account_phones
-    from callsheet.oracle.duckdb_sql import MAILING_CTES, telefones
+    from callsheet.oracle.duckdb_sql import BLOCKS, phone_rows
     from callsheet.plans.mailings import eligible_accounts
 
     frames, con, _ = skew
     acc = eligible_accounts(frames, P, complement_summary(frames["complements"]))
     got = rank_account_phones(acc, frames["phones"], slots=None).select("cod_cli", "cod_cad", "telefones", "status", "num")
-    sql = (f"WITH {MAILING_CTES}, {telefones()}\n"
-           "SELECT cod_cli, cod_cad, telefones, status, CAST(num AS INTEGER) AS num FROM telefones")
+    sql = (f"WITH {BLOCKS}, {phone_rows()}\n"
+           "SELECT cod_cli, cod_cad, telefones, status, CAST(num AS INTEGER) AS num FROM phone_rows")
     r = compare(got, con, sql)
     assert r["ok"], r
 
