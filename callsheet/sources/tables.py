@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from callsheet.sources.schemas import SCHEMAS, conform
 
-# Source table names in the operational database -> our names.
+# fixed values: source table names in the operational database -> our names
 SOURCE_NAMES = {
     "accounts": "cadastros_tb",
     "phones": "fones_tb",

@@ -60,3 +60,20 @@ def test_decimal_amounts_stay_decimal(spark):
     dec = df.withColumn("vlr_aco", df.vlr_aco.cast("decimal(15,2)"))
     assert dict(conform(dec, SCHEMAS["agreements"]).dtypes)["vlr_aco"] == "decimal(15,2)"
     assert dict(conform(df, SCHEMAS["agreements"]).dtypes)["vlr_aco"] == "double"
+
+
+def test_n13_right_party_contact_has_no_time_bound(spark):
+    rows = base_rows(2)
+    rows["history"] = [(1, dt.datetime(2019, 5, 1, 9, 0), "purchase"),   # years before the run: still counts
+                       (2, dt.datetime(2024, 3, 1, 9, 0), "click")]      # recent, but not a right-party outcome
+    got = [r.cod_cad for r in mailing(frames(spark, rows), "cpc", P).collect()]
+    assert got == [1]
+
+
+def test_n12_left_join_to_last_contact_keeps_rows(spark):
+    from callsheet.plans.registry import noop_left_join, phone_pivot
+
+    sf = "/root/testdata/sf0.001"
+    a, b = noop_left_join(spark, sf), phone_pivot(spark, sf)
+    cols = [c for c in a.columns]
+    assert a.count() == b.count() and a.exceptAll(b.select(*cols)).count() == 0
