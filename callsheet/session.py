@@ -36,8 +36,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
     On a cluster the setting must point at shared storage and is taken as
     given (and handed to the SparkContext if it has no checkpoint folder
-    yet).  Only when it is unset (local tests) a scratch folder is created
-    and registered.
+    yet).  Only when it is unset in local mode (tests) a scratch folder is
+    created and registered; on a cluster an unset folder is an error, never
+    a machine-local fallback.
     """
     sc = spark.sparkContext
     current = sc._jsc.sc().getCheckpointDir()
@@ -48,6 +49,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return conf
     if current.isDefined():
         return current.get()
+    if not sc.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder on shared storage (HDFS, S3, ...) for cluster runs")
     path = tempfile.mkdtemp(prefix="callsheet-ckpt-")
     sc.setCheckpointDir(path)
     spark.conf.set("spark.checkpoint.dir", path)
