@@ -48,7 +48,7 @@ def last_contact(accounts: DataFrame, history: DataFrame, outcomes: DataFrame, p
     """(cod_cli, nmcont, dt_ultimo_cpc): last contact of any active account of
     the contract; ``pattern=K.CPC_MARK`` keeps only right-party outcomes."""
     per_account = account_contacts(history, outcomes, pattern, case_insensitive)
-    acc = active_accounts(accounts, portfolios).select("cod_cad", *CONTRACT)
+    acc = active_accounts(accounts, portfolios).select("cod_cad", *CONTRACT).distinct()
     return (
         acc.join(per_account, "cod_cad", "inner")
         .groupBy(*CONTRACT)

@@ -105,7 +105,10 @@ def eligible_accounts(t: Mapping[str, DataFrame], p: MailingParams, summary: Dat
     ``recent='flag'`` adds boolean ``_recent`` instead (the batch uses it).
     """
     binding = summary.filter("has_binding").select(*CONTRACT, *CARRIED)
-    acc = account_rows(active_accounts(t["accounts"], p.portfolios)).join(binding, CONTRACT, "inner")
+    # identical account rows are one row of a list; distinct() merges copies
+    # map-side, before any shuffle on a key they would all share
+    rows = account_rows(active_accounts(t["accounts"], p.portfolios)).distinct()
+    acc = rows.join(binding, CONTRACT, "inner")
     if recent is None:
         return acc
     rec = recent_accounts(t["history"], p.as_of)

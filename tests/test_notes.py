@@ -77,3 +77,14 @@ def test_n12_left_join_to_last_contact_keeps_rows(spark):
     a, b = noop_left_join(spark, sf), phone_pivot(spark, sf)
     cols = [c for c in a.columns]
     assert a.count() == b.count() and a.exceptAll(b.select(*cols)).count() == 0
+
+
+def test_copied_account_rows_are_one_list_row(spark):
+    rows = base_rows()
+    rows["accounts"] = rows["accounts"] * 5  # five identical copies of account 1
+    rows["phones"] = [(1, "11", "911111111", 2, "ok"), (1, "11", "922222222", 4, "ok")]
+    out = mailing(frames(spark, rows), "broken", P).collect()
+    assert len(out) == 1
+    assert [out[0][f"Telefone{k}"] for k in range(1, 4)] == ["11911111111", "11922222222", None]
+    r = compare(mailing(frames(spark, rows), "broken", P), duck(rows), f"WITH {LIST_CTES}\n{mailing_select('broken')}")
+    assert r["ok"], r
