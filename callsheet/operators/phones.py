@@ -70,6 +70,21 @@ def account_rows(accounts: DataFrame) -> DataFrame:
     )
 
 
+def top_account_rows(accounts: DataFrame, slots: int = K.PHONE_SLOTS, extra_keys: list[str] | None = None) -> DataFrame:
+    """At most ``slots`` account rows per (portfolio, account id), in the
+    tie-break order of :func:`rank_account_phones`.
+
+    Every phone of an account id is paired with each of its account rows,
+    and rows of one phone are ordered by the account attributes, so the best
+    ``slots`` pairs only ever use the best ``slots`` account rows.  The cut
+    runs as a partial ``WindowGroupLimit`` before the shuffle: an account id
+    shared by a third of all account rows costs ``slots`` rows per task.
+    """
+    order = [F.col(c).asc_nulls_first() for c in ACCOUNT_ATTRS + (extra_keys or [])]
+    w = Window.partitionBy("cod_cli", "cod_cad").orderBy(*order)
+    return accounts.withColumn("_arow", F.row_number().over(w)).filter(F.col("_arow") <= slots).drop("_arow")
+
+
 def rank_account_phones(accounts: DataFrame, phones: DataFrame, slots: int | None = K.PHONE_SLOTS,
                         case_insensitive: bool = False, extra_keys: list[str] | None = None) -> DataFrame:
     """Phones of each account ranked per (portfolio, account id).

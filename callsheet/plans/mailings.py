@@ -33,7 +33,7 @@ from callsheet.operators.agreements import agreement_labels, contracts_with_late
 from callsheet.operators.contacts import active_accounts, last_contact, recent_accounts
 from callsheet.operators.contracts import complement_summary, goods_summary, instalment_labels
 from callsheet.operators.exclusion import exclude_keys
-from callsheet.operators.phones import account_rows, pivot_phones, rank_account_phones
+from callsheet.operators.phones import account_rows, pivot_phones, rank_account_phones, top_account_rows
 
 CONTRACT = ["cod_cli", "nmcont"]
 
@@ -97,18 +97,23 @@ CARRIED = ["BindingID", "TipoProduto"]
 
 
 def eligible_accounts(t: Mapping[str, DataFrame], p: MailingParams, summary: DataFrame,
-                      recent: str | None = None) -> DataFrame:
+                      recent: str | None = None, cut: int | None = None) -> DataFrame:
     """Active accounts of the portfolios whose contract has a binding row,
     with the contract's ``BindingID`` and ``TipoProduto`` attached.
 
+    ``cut`` keeps only the best ``cut`` account rows per (portfolio, account
+    id) -- all that a ``cut``-slot list can use (see ``top_account_rows``).
     ``recent='drop'`` removes accounts contacted in the last 60 days;
     ``recent='flag'`` adds boolean ``_recent`` instead (the batch uses it).
+    Both act on whole account ids, so they may follow the cut.
     """
     binding = summary.filter("has_binding").select(*CONTRACT, *CARRIED)
     # identical account rows are one row of a list; distinct() merges copies
     # map-side, before any shuffle on a key they would all share
     rows = account_rows(active_accounts(t["accounts"], p.portfolios)).distinct()
     acc = rows.join(binding, CONTRACT, "inner")
+    if cut is not None:
+        acc = top_account_rows(acc, cut, CARRIED)
     if recent is None:
         return acc
     rec = recent_accounts(t["history"], p.as_of)
@@ -129,7 +134,7 @@ def _base(t: Mapping[str, DataFrame], p: MailingParams, cohorts: list[str]) -> D
     if "never" in cohorts:
         recent = "drop" if cohorts == ["never"] else "flag"
     carried = CARRIED + (["_recent"] if recent == "flag" else [])
-    acc = eligible_accounts(t, p, summary, recent)
+    acc = eligible_accounts(t, p, summary, recent, cut=p.slots)
     ranked = rank_account_phones(acc, t["phones"], p.slots, p.case_insensitive, extra_keys=carried)
     wide = pivot_phones(ranked, p.slots, extra_keys=carried)
 

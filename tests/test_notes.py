@@ -88,3 +88,18 @@ def test_copied_account_rows_are_one_list_row(spark):
     assert [out[0][f"Telefone{k}"] for k in range(1, 4)] == ["11911111111", "11922222222", None]
     r = compare(mailing(frames(spark, rows), "broken", P), duck(rows), f"WITH {LIST_CTES}\n{mailing_select('broken')}")
     assert r["ok"], r
+
+
+def test_account_id_shared_by_many_rows_matches_brute_force(spark):
+    rows = base_rows()
+    for j in range(2, 22):  # account id 1 on 20 more contracts
+        rows["accounts"].append(account(1, nmcont=f"K{j:02d}", name=f"Name {j % 3}"))
+        rows["complements"].append((f"K{j:02d}", 517, 10, j, "AUTO"))
+        rows["receivables"].append((f"K{j:02d}", 517, f"{j}/1"))
+        rows["agreements"].append((f"K{j:02d}", 517, 100 + j, dt.datetime(2025, 8, 1), 5.0, 1, "Q"))
+    rows["phones"] = [(1, "11", f"9{k}0000000", [2, 4, None][k], "ok") for k in range(3)]
+    t = frames(spark, rows)
+    got = mailing(t, "broken", P)
+    assert got.count() == 7  # only the first seven (account row, phone) pairs get a slot
+    r = compare(got, duck(rows), f"WITH {LIST_CTES}\n{mailing_select('broken')}")
+    assert r["ok"], r
