@@ -49,7 +49,8 @@ class MailingParams:
     portfolios: codes to include (None = all).  since: agreements created
     before are ignored.  as_of: run date for the 60-day rule (None = today).
     null_aware: NOT IN semantics for the paid-contract exclusion.
-    case_insensitive: compare notes and labels ignoring case.
+    case_insensitive: compare notes, labels and status codes ignoring case
+    (status codes also ignoring trailing blanks).
     max_len: cut the concatenated lists to this many characters.
     """
 
@@ -124,9 +125,22 @@ def eligible_accounts(t: Mapping[str, DataFrame], p: MailingParams, summary: Dat
     )
 
 
+def fold_codes(t: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """Status codes compared the way a case- and trailing-blank-insensitive
+    collation compares them: ``upper(rtrim(code))``.  Used when
+    ``case_insensitive`` is on; text patterns are matched case-insensitively
+    by the predicates themselves."""
+    out = dict(t)
+    out["accounts"] = t["accounts"].withColumn("stcli", F.upper(F.rtrim("stcli")))
+    out["agreements"] = t["agreements"].withColumn("staco", F.upper(F.rtrim("staco")))
+    return out
+
+
 def _base(t: Mapping[str, DataFrame], p: MailingParams, cohorts: list[str]) -> DataFrame:
     """Eligible accounts x best phones (one row per account) joined to the
     contract information; carries the columns the cohort rules need."""
+    if p.case_insensitive:
+        t = fold_codes(t)
     summary = complement_summary(t["complements"], p.portfolios, p.max_len)
     latest = latest_agreement(t["agreements"], p.since, p.portfolios)
 

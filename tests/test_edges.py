@@ -189,3 +189,11 @@ def test_unknown_mailing_raises(spark):
 
     with pytest.raises(ValueError):
         mailing(frames(spark, base_rows()), "sexta_especial", P)
+
+
+def test_case_insensitive_status_codes(spark):
+    rows = base_rows(2)
+    rows["accounts"][1] = rows["accounts"][1][:5] + ("ina",) + rows["accounts"][1][6:]   # inactive, lower case
+    rows["agreements"][0] = rows["agreements"][0][:6] + ("q ",)                          # broken, padded
+    assert sorted(r.cod_cad for r in run(spark, rows).collect()) == [2]
+    assert sorted(r.cod_cad for r in run(spark, rows, case_insensitive=True).collect()) == [1]
