@@ -33,7 +33,7 @@ from callsheet.operators.agreements import (
     latest_agreement,
     rank_agreements,
 )
-from callsheet.operators.contacts import active_accounts, contact_outcomes, last_contact, recent_accounts
+from callsheet.operators.contacts import active_accounts, contact_outcomes, last_contact
 from callsheet.operators.contracts import binding_id, complement_summary, contract_values, goods_summary
 from callsheet.operators.exclusion import exclude_keys
 from callsheet.operators.phones import distinct_phones, pivot_phones, rank_account_phones, usable_phones

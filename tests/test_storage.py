@@ -3,7 +3,6 @@
 import tempfile
 
 import pytest
-from pyspark.sql import functions as F
 
 from callsheet.plans.mailings import MailingParams, mailing
 from callsheet.sources.fixtures import FIXTURE_AS_OF, FIXTURE_SINCE, fixture_tables
