@@ -70,3 +70,22 @@ def test_filters_and_columns_reach_the_scan(plans):
 def test_one_portfolio_filter_reaches_every_contract_scan(spark, staged):
     p = plan(mailing(staged, "broken", P, portfolios=(517,)))
     assert p.count("In(cod_cli, [517])") + p.count("EqualTo(cod_cli,517)") >= 5
+
+
+def test_no_registered_query_uses_python_or_pairwise_joins(spark):
+    from callsheet.plans.registry import queries
+
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        bad = {}
+        for key, fn in queries().items():
+            p = plan(fn(spark, "/root/testdata/sf0.001"))
+            hits = [x for x in ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin",
+                                "LeftAnti, BuildRight, true", "MapInPandas", "FlatMapGroupsInPandas") if x in p]
+            if hits:
+                bad[key] = hits
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert bad == {}
