@@ -115,8 +115,13 @@ def pivot_phones(ranked: DataFrame, slots: int = K.PHONE_SLOTS, extra_keys: list
 
     Written as ``max(when(num = k, ...))`` per slot: same plan as
     ``pivot`` with fixed values, without pivot's value discovery.
+    ``extra_keys`` are columns constant within an account row (contract or
+    account-id attributes); they are carried through as aggregates.
     """
-    keys = ["cod_cli", "cod_cad", *ACCOUNT_ATTRS, *(extra_keys or [])]
+    keys = ["cod_cli", "cod_cad", *ACCOUNT_ATTRS]
     slots_cols = [F.max(F.when(F.col("num") == k, F.col("telefones"))).alias(f"Telefone{k}")
                   for k in range(1, slots + 1)]
-    return ranked.groupBy(*keys).agg(*slots_cols)
+    # carried columns are constant within a group (per contract or per
+    # account id): aggregated, not sorted on
+    carried = [F.max(c).alias(c) for c in (extra_keys or [])]
+    return ranked.groupBy(*keys).agg(*slots_cols, *carried)
