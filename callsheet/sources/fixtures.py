@@ -9,6 +9,7 @@ are one lineitem scan joined to orders/accounts/part on their keys.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -186,6 +187,25 @@ BUILDERS = {
 }
 
 
-def fixture_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """All eight tables derived from the driver parquet at ``sf_dir`` (lazy)."""
-    return {name: build(spark, sf_dir) for name, build in BUILDERS.items()}
+class FixtureTables(Mapping):
+    """The eight tables derived from the driver parquet at ``sf_dir``; each
+    DataFrame is built on first access (and is itself lazy)."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self._spark, self._dir, self._built = spark, sf_dir, {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = BUILDERS[name](self._spark, self._dir)
+        return self._built[name]
+
+    def __iter__(self):
+        return iter(BUILDERS)
+
+    def __len__(self) -> int:
+        return len(BUILDERS)
+
+
+def fixture_tables(spark: SparkSession, sf_dir: str) -> Mapping[str, DataFrame]:
+    """All eight tables derived from the driver parquet at ``sf_dir``."""
+    return FixtureTables(spark, sf_dir)
