@@ -51,6 +51,20 @@ def latest_agreement(agreements: DataFrame, since=K.AGREEMENTS_SINCE, portfolios
     return s.groupBy(*CONTRACT).agg(top).select(*CONTRACT, "a.*")
 
 
+def portfolios_with_null_contract_latest(agreements: DataFrame, statuses: Iterable[str], since=K.AGREEMENTS_SINCE,
+                                         portfolios=None) -> DataFrame:
+    """(cod_cli) of portfolios whose agreements without a contract number
+    have their newest (since ``since``) status in ``statuses``.
+
+    Same answer as taking :func:`latest_agreement` rows with a NULL contract,
+    but one aggregate keyed by portfolio alone (all such rows share the NULL
+    contract), over the rows the NULL filter leaves in the scan.
+    """
+    s = agreements_since(agreements, since, portfolios).filter(F.col("nmcont").isNull())
+    top = s.groupBy("cod_cli").agg(F.max(F.struct("cod_aco", "staco")).alias("a"))
+    return top.filter(F.col("a.staco").isin(list(statuses))).select("cod_cli")
+
+
 def contracts_with_latest(latest: DataFrame, statuses: Iterable[str]) -> DataFrame:
     """Contracts whose latest agreement status is in ``statuses``."""
     return latest.filter(F.col("staco").isin(list(statuses))).select(*CONTRACT)

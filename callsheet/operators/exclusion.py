@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 
 
 def exclude_keys(df: DataFrame, excluded: DataFrame, key: str = "nmcont", scope: str = "cod_cli",
-                 null_aware: bool = True, df_keys_not_null: bool = False) -> DataFrame:
+                 null_aware: bool = True, df_keys_not_null: bool = False,
+                 poison: DataFrame | None = None) -> DataFrame:
     """Rows of ``df`` whose (``scope``, ``key``) is not in ``excluded``.
 
     ``null_aware=True`` reproduces ``key NOT IN (SELECT key ... WHERE scope = df.scope)``:
@@ -31,8 +32,10 @@ def exclude_keys(df: DataFrame, excluded: DataFrame, key: str = "nmcont", scope:
     if not null_aware:
         return kept
     if df_keys_not_null:
-        # only the poison rule applies; the NULL-key filter reaches the scan
-        poison = excluded.filter(F.col(key).isNull()).select(scope).distinct()
+        # only the poison rule applies; the NULL-key filter reaches the scan.
+        # ``poison`` may be given precomputed (scopes with a NULL excluded key).
+        if poison is None:
+            poison = excluded.filter(F.col(key).isNull()).select(scope).distinct()
         return kept.join(F.broadcast(poison), scope, "left_anti")
     flags = excluded.groupBy(scope).agg(
         F.max(F.col(key).isNull()).alias("_poisoned"),

@@ -29,7 +29,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from callsheet import constants as K
-from callsheet.operators.agreements import agreement_labels, contracts_with_latest, latest_agreement
+from callsheet.operators.agreements import (
+    agreement_labels,
+    contracts_with_latest,
+    latest_agreement,
+    portfolios_with_null_contract_latest,
+)
 from callsheet.operators.contacts import active_accounts, last_contact, recent_accounts
 from callsheet.operators.contracts import complement_summary, goods_summary, instalment_labels
 from callsheet.operators.exclusion import exclude_keys
@@ -87,8 +92,9 @@ def contract_info(t: Mapping[str, DataFrame], p: MailingParams, latest: DataFram
     semantics per portfolio.  All inputs are aggregates keyed by the
     contract, so the joins here add no exchange."""
     values = instalment_labels(t["receivables"], p.portfolios, p.case_insensitive, p.max_len)
+    poison = portfolios_with_null_contract_latest(t["agreements"], K.PAID_STATUSES, p.since, p.portfolios)
     values = exclude_keys(values, contracts_with_latest(latest, K.PAID_STATUSES), null_aware=p.null_aware,
-                          df_keys_not_null=True)
+                          df_keys_not_null=True, poison=poison)
     return values.join(goods_summary(t["goods"], p.portfolios), CONTRACT, "left").join(
         agreement_labels(latest), CONTRACT, "left"
     )
