@@ -20,9 +20,9 @@ def complement_summary(complements: DataFrame, portfolios=None, max_len: int | N
 
     ``TipoProduto``: distinct product types (over all rows); ``BindingID``:
     max ``int_2`` over rows with ``int_1 <> 400``; ``has_binding``: such a
-    row exists (an account needs one to get into a list).  The distinct
-    aggregate is planned as a partial aggregate on (contract, type) first,
-    so a huge contract is combined map-side before the shuffle.
+    row exists (an account needs one to get into a list).  All three are
+    partial aggregates (a set of distinct types, a max, a count) combined
+    map-side, so a huge contract sends one row per map task to the shuffle.
     """
     ok = F.col("int_1") != K.EXCLUDED_INT_1
     return complements.filter(in_portfolios(portfolios)).groupBy(*CONTRACT).agg(
