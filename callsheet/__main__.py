@@ -54,7 +54,7 @@ def main(argv=None) -> None:
     else:
         if not a.mailing:
             ap.error("--mailing is required for the list command")
-        write_list_csv(mailing(tables, a.mailing, p), a.out)
+        write_list_csv(mailing(tables, a.mailing, p), a.out, single_file=a.single_file)
 
 
 if __name__ == "__main__":

@@ -56,14 +56,14 @@ def _as_text(df: DataFrame, columns: Iterable[str]) -> DataFrame:
 
 
 def write_list_csv(df: DataFrame, path: str, columns: Iterable[str] | None = None, mode: str = "overwrite",
-                   single_file: bool = True) -> None:
+                   single_file: bool = False) -> None:
     """Write one finished list under ``path`` (plus Spark's commit markers).
 
-    ``single_file=True`` (the hand-off layout) writes exactly one CSV file, so
-    one task writes the list; it is done per list, never for a whole batch,
-    and an empty list still gets its header-only file.  ``single_file=False``
-    lets every task write its own part (each a complete CSV with header) for
-    lists too large for one writer.
+    By default every task writes its own part, each a complete CSV with its
+    header, so no list passes whole through one task.  ``single_file=True``
+    gives the hand-off layout of exactly one file per list (one task writes
+    it; an empty list still gets its header-only file) -- for lists that fit
+    one writer.
     """
     cols = list(columns) if columns is not None else [c for c in K.OUTPUT_COLUMNS]
     out = _as_text(df, cols)

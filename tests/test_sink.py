@@ -29,7 +29,7 @@ def expected_bytes(rows):
 def test_csv_bytes(spark):
     df = spark.createDataFrame(VALUES, ", ".join(f"{c} {'int' if c == 'id' else 'string'}" for c in COLS))
     out = tempfile.mkdtemp(prefix="callsheet-sink-")
-    write_list_csv(df.orderBy("id"), f"{out}/list", COLS)
+    write_list_csv(df.orderBy("id"), f"{out}/list", COLS, single_file=True)
     (part,) = glob.glob(f"{out}/list/part-*.csv")
     got = open(part, "rb").read()
     want = expected_bytes(VALUES).replace(b"line1\nline2", b"line1\r\nline2")
@@ -41,7 +41,7 @@ def test_csv_bytes(spark):
 def test_empty_list_writes_header_only(spark):
     df = spark.createDataFrame([], "id int, name string")
     out = tempfile.mkdtemp(prefix="callsheet-sink-")
-    write_list_csv(df, f"{out}/empty", ["id", "name"])
+    write_list_csv(df, f"{out}/empty", ["id", "name"], single_file=True)
     (part,) = glob.glob(f"{out}/empty/part-*.csv")
     assert open(part, "rb").read() == "﻿id;name\r\n".encode("utf-8")
 

@@ -35,7 +35,7 @@ def test_cli_list_command(spark):
 
     out = tempfile.mkdtemp(prefix="callsheet-cli-")
     main(["list", "--mailing", "seg_quebras_rcs", "--portfolios", "519", "--source", "/root/testdata/sf0.001",
-          "--out", f"{out}/l", "--since", "1998-01-01", "--as-of", "2024-03-30"])
+          "--out", f"{out}/l", "--since", "1998-01-01", "--as-of", "2024-03-30", "--single-file"])
     (f,) = glob.glob(f"{out}/l/part-*.csv")
     lines = [x for x in open(f, encoding="utf-8-sig", newline="").read().split("\r\n") if x]
     assert len(lines) == 1 + 11  # header + the 11 rows of portfolio 519
