@@ -10,7 +10,7 @@ from __future__ import annotations
 import argparse
 import os
 
-from callsheet.plans.mailings import MailingParams, mailing
+from callsheet.plans.mailings import MailingParams, mailing, mailing_batch
 from callsheet.plans.weekly import run_weekly
 from callsheet.sources.sink import write_list_csv
 from callsheet.sources.tables import load_tables
@@ -29,6 +29,7 @@ def main(argv=None) -> None:
     ap.add_argument("--null-aware", default="true")
     ap.add_argument("--case-insensitive", action="store_true")
     ap.add_argument("--single-file", action="store_true")
+    ap.add_argument("--explain", action="store_true", help="print the formatted physical plan instead of running")
     ap.add_argument("--jdbc-user", default=None)
     ap.add_argument("--jdbc-password-env", default=None)
     a = ap.parse_args(argv)
@@ -49,6 +50,10 @@ def main(argv=None) -> None:
     if a.as_of:
         params["as_of"] = a.as_of
     p = MailingParams(**params)
+    if a.explain:
+        df = mailing_batch(tables, params=p) if a.command == "weekly" else mailing(tables, a.mailing or "broken", p)
+        df.explain("formatted")
+        return
     if a.command == "weekly":
         run_weekly(spark, tables, a.out, p, run_ts=a.run_ts, single_file=a.single_file).show(truncate=False)
     else:
