@@ -76,3 +76,10 @@ def file_labels(spark: SparkSession, lists: DataFrame, run_ts: dt.datetime | str
                                               F.date_format(ts, K.RUN_STAMP_FORMAT)))
     )
     return labelled.drop("file_prefix", "file_suffix")
+
+
+def recommended_mailings(spark: SparkSession, run_date: dt.date | str | None = None) -> DataFrame:
+    """The campaign(s) recommended for ``run_date`` (default: today), Monday=0.
+    Thursday to Sunday give no row -- the choice is left to the operator."""
+    d = F.current_date() if run_date is None else F.lit(str(run_date)).cast("date")
+    return catalogue(spark).filter(F.col("dia_recomendado") == F.weekday(d))

@@ -197,3 +197,11 @@ def test_case_insensitive_status_codes(spark):
     rows["agreements"][0] = rows["agreements"][0][:6] + ("q ",)                          # broken, padded
     assert sorted(r.cod_cad for r in run(spark, rows).collect()) == [2]
     assert sorted(r.cod_cad for r in run(spark, rows, case_insensitive=True).collect()) == [1]
+
+
+def test_recommended_mailing_for_a_run_date(spark):
+    from callsheet.plans.catalogue import recommended_mailings
+
+    assert [r.mailing for r in recommended_mailings(spark, "2024-03-26").collect()] == ["ter_cpc"]   # Tuesday
+    assert recommended_mailings(spark, "2024-03-29").count() == 0                                   # Friday
+    assert recommended_mailings(spark).count() in (0, 1)
