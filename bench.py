@@ -65,6 +65,22 @@ def timed(name: str, fn, runs: int) -> float:
     return statistics.median(ts)
 
 
+def plan_shape(spark, fn) -> dict:
+    """Shuffles and broadcasts in the static plan with size-based broadcasting
+    off -- the plan a 100 TB run gets (planning only, nothing executed)."""
+    keys = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    try:
+        p = fn()._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    return {"shuffles": p.count("Exchange hashpartitioning") + p.count("Exchange rangepartitioning"),
+            "reused": p.count("ReusedExchange"), "broadcasts": p.count("BroadcastExchange")}
+
+
 def naive_contract_values(t):
     """Join complements to receivables first, then aggregate (the source's shape)."""
     c, r = t["complements"], t["receivables"]
@@ -108,6 +124,7 @@ def main() -> None:
         "mailing_broken_from_driver_data": lambda: mailing(fixture_tables(spark, SF_DIR), "broken", P),
     }
     res = {k: round(timed(k, fn, RUNS), 3) for k, fn in {**lists, **extra}.items()}
+    shape = {k: plan_shape(spark, fn) for k, fn in lists.items()}
     rows = {k: fn().count() for k, fn in lists.items()}
     out = {
         "metric": "campaign_lists_total",
@@ -117,6 +134,7 @@ def main() -> None:
         "rows": rows,
         "stage_tables_sec": round(stage, 3),
         "plan_build_sec": BUILD,
+        "plan_shape_no_broadcast": shape,
         "sf": os.path.basename(SF_DIR.rstrip("/")).replace("sf", ""),
         "cpus": cpus,
         "runs": RUNS,
