@@ -1,5 +1,5 @@
 """Every registered query against its DuckDB oracle (the correctness gate),
-on the smallest driver data so the suite stays quick; bench/CI run sf0.01."""
+at sf0.01, the scale of the driver's own check (CALLSHEET_TEST_SF overrides)."""
 
 import os
 
@@ -9,7 +9,7 @@ from callsheet.oracle.compare import compare, duckdb_connection
 from callsheet.oracle.queries import oracle_sql
 from callsheet.plans.registry import queries
 
-SF = os.environ.get("CALLSHEET_TEST_SF", "/root/testdata/sf0.001")
+SF = os.environ.get("CALLSHEET_TEST_SF", "/root/testdata/sf0.01")
 
 
 @pytest.fixture(scope="module")
