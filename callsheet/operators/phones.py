@@ -5,11 +5,14 @@ phones are de-duplicated on (account, area code, number, status) -- a shuffle
 on all four columns, so one account holding a third of all phones is spread
 over many tasks -- and cut to the best ``slots`` per account with a
 ``row_number() <= slots`` filter, which Spark executes as a partial
-``WindowGroupLimit`` before the shuffle.  Only then are they joined to the
-(eligible) accounts and re-ranked per account.  Because every copy of one
-phone is adjacent in the ranking order, the best ``slots`` phones of an
-account always contain the best ``slots`` rows after the join, even when an
-account id appears on several account rows.
+``WindowGroupLimit`` before the shuffle.  The account rows are cut the same
+way (``top_account_rows``: best ``slots`` rows per account id).  Only then
+are phones joined to the (eligible) account rows and re-ranked per
+(portfolio, account id).  Rows of one phone are adjacent in the ranking
+order and ordered by the account attributes within it, so the best
+``slots`` joined rows always come from the best ``slots`` phones and the
+best ``slots`` account rows -- even when an account id appears on several
+account rows.
 """
 
 from __future__ import annotations
