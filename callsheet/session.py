@@ -55,3 +55,24 @@ def checkpoint_dir(spark: SparkSession) -> str:
     sc.setCheckpointDir(path)
     spark.conf.set("spark.checkpoint.dir", path)
     return path
+
+
+def cluster_settings(largest_shuffle_bytes: int, partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Spark settings for a cluster run, sized from the largest shuffle.
+
+    ``spark.sql.shuffle.partitions`` is chosen so each partition of the
+    largest shuffle (for the lists: the de-duplicated usable phones) holds
+    about ``partition_bytes``; AQE then coalesces the smaller shuffles down
+    and splits skewed join partitions at run time.  Files are read in splits
+    of the same size.
+    """
+    parts = max(200, -(-largest_shuffle_bytes // partition_bytes))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.ui.enabled": "false",
+    }

@@ -103,3 +103,12 @@ def test_account_id_shared_by_many_rows_matches_brute_force(spark):
     assert got.count() == 7  # only the first seven (account row, phone) pairs get a slot
     r = compare(got, duck(rows), f"WITH {LIST_CTES}\n{mailing_select('broken')}")
     assert r["ok"], r
+
+
+def test_cluster_settings_size_partitions_from_the_largest_shuffle():
+    from callsheet.session import cluster_settings
+
+    s = cluster_settings(10 * 2**40)  # 10 TiB largest shuffle
+    assert s["spark.sql.shuffle.partitions"] == str(10 * 2**40 // (256 << 20))  # 40,960 partitions of 256 MiB
+    assert cluster_settings(1 << 20)["spark.sql.shuffle.partitions"] == "200"
+    assert s["spark.sql.adaptive.enabled"] == "true"
