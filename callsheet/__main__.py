@@ -30,6 +30,8 @@ def main(argv=None) -> None:
     ap.add_argument("--case-insensitive", action="store_true")
     ap.add_argument("--single-file", action="store_true")
     ap.add_argument("--explain", action="store_true", help="print the formatted physical plan instead of running")
+    ap.add_argument("--largest-shuffle-gb", type=float, default=None,
+                    help="size shuffle partitions for this largest shuffle (see session.cluster_settings)")
     ap.add_argument("--jdbc-user", default=None)
     ap.add_argument("--jdbc-password-env", default=None)
     a = ap.parse_args(argv)
@@ -37,6 +39,12 @@ def main(argv=None) -> None:
     from pyspark.sql import SparkSession
 
     spark = SparkSession.builder.appName("callsheet").getOrCreate()
+    if a.largest_shuffle_gb:
+        from callsheet.session import cluster_settings
+
+        for k, v in cluster_settings(int(a.largest_shuffle_gb * 2**30)).items():
+            if k.startswith("spark.sql."):  # runtime-settable
+                spark.conf.set(k, v)
     kw = {}
     if a.source.startswith("jdbc:"):
         props = {"user": a.jdbc_user or "", "password": os.environ.get(a.jdbc_password_env or "", "")}
