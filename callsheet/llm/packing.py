@@ -30,7 +30,7 @@ from callsheet.llm.store import shared_folder, stored
 #: Rows of one size are ranked in so many parts (a common length may hold a third of all rows).
 RANK_PARTS = 16
 #: Upper bounds of the bands as divisors of the sequence length.
-BANDS = (1, 2, 3, 4, 6, 10, 20, 64, 256)
+BANDS = (1, 2, 3, 4, 6, 10, 20, 64)
 
 
 def token_pieces(docs: DataFrame, capacity: int, id_column: str = "doc_id", text_column: str = "text",
@@ -68,16 +68,11 @@ def token_pieces(docs: DataFrame, capacity: int, id_column: str = "doc_id", text
     return docs.select(F.col(id_column).alias("_id"), F.col(text_column).alias("_text")).mapInArrow(run, schema)
 
 
-def _ranked(df: DataFrame, size: str, key: str) -> DataFrame:
-    """``df`` with ``_rank`` (from 0) among rows of one size: ranks within parts plus the parts' offsets."""
+def _in_parts(df: DataFrame, size: str, key: str) -> tuple[DataFrame, DataFrame]:
+    """``df`` with ``_in``, its place (from 0) among rows of one size and part, and the parts' sizes."""
     df = df.withColumn("_part", F.pmod(F.xxhash64(key), F.lit(RANK_PARTS)))
-    counts = df.groupBy(size, "_part").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(size).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    counts = counts.select(F.col(size).alias("_s"), F.col("_part").alias("_p"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    inner = F.row_number().over(Window.partitionBy(size, "_part").orderBy(key))
-    return (df.withColumn("_in", inner)
-            .join(F.broadcast(counts), (F.col(size) == F.col("_s")) & (F.col("_part") == F.col("_p")))  # capacity x RANK_PARTS rows at most
-            .withColumn("_rank", F.col("_in") + F.col("_off") - 1).drop("_s", "_p", "_off", "_in", "_part"))
+    parts = df.groupBy(F.col(size).alias("_s"), F.col("_part").alias("_p")).agg(F.count(F.lit(1)).alias("_n"))
+    return df.withColumn("_in", F.row_number().over(Window.partitionBy(size, "_part").orderBy(key)) - 1), parts
 
 
 def _sweep(rows: DataFrame, gaps: DataFrame, least: int, most: int) -> DataFrame:
@@ -92,19 +87,20 @@ def _sweep(rows: DataFrame, gaps: DataFrame, least: int, most: int) -> DataFrame
         F.xxhash64("seq", "k").alias("key"), "seq",
         F.when(F.col("k") == 1, F.col("free") - (slots - 1) * most).otherwise(F.lit(most)).alias("size"), F.lit(0).alias("kind"))
     events = slot.unionByName(rows.select(F.col("row").alias("key"), F.lit(None).cast("long").alias("seq"), F.col("length").alias("size"), F.lit(1).alias("kind")))
-    events = _ranked(events.withColumn("_class", F.col("size") * 2 + (1 - F.col("kind"))), "_class", "key")
-    classes = events.groupBy("_class").agg(F.count(F.lit(1)).alias("n"))  # two rows a size at most
-    down = Window.orderBy(F.desc("_class"))
-    upto = down.rowsBetween(Window.unboundedPreceding, 0)
-    gap = F.col("_class") % 2 == 1
-    classes = (classes.withColumn("sum", F.sum(F.when(gap, F.col("n")).otherwise(-F.col("n"))).over(upto))
-               .withColumn("height", F.col("sum") - F.least(F.lit(0), F.min("sum").over(upto)))
-               .withColumn("before", F.lag("height", 1, 0).over(down)).select(F.col("_class").alias("_c"), "before"))
-    events = (events.join(F.broadcast(classes), F.col("_class") == F.col("_c"))
-              .withColumn("level", F.when(gap, F.col("before") + F.col("_rank")).otherwise(F.col("before") - 1 - F.col("_rank"))))
-    lost = events.filter(F.col("level") < 0)
-    met = events.filter(F.col("level") >= 0).withColumn("seq", F.coalesce("seq", F.lag("seq").over(Window.partitionBy("level").orderBy(F.desc("_class")))))
-    return met.filter("kind = 1").unionByName(lost).select(F.col("key").alias("row"), F.col("size").alias("length"), "seq")
+    events, parts = _in_parts(events.withColumn("_class", F.col("size") * 2 + (1 - F.col("kind"))), "_class", "key")
+    # a class is a size of gaps or of rows: two a size, so these windows see a table bounded by the capacity
+    down = Window.orderBy(F.desc("_s"), "_p").rowsBetween(Window.unboundedPreceding, 0)
+    opens = F.col("_s") % 2 == 1
+    # sums at a class's end; a class only rises or only falls, so the least sum is at an end of one
+    parts = parts.withColumn("_sum", F.sum(F.when(opens, F.col("_n")).otherwise(-F.col("_n"))).over(down))
+    parts = parts.withColumn("_height", F.col("_sum") - F.least(F.lit(0), F.min("_sum").over(down)))
+    ahead = F.coalesce(F.lag("_height").over(Window.orderBy(F.desc("_s"), "_p")), F.lit(0))
+    parts = parts.select("_s", "_p", ahead.alias("_ahead"))  # the height at which the part begins
+    level = F.when(F.col("_class") % 2 == 1, F.col("_ahead") + F.col("_in")).otherwise(F.col("_ahead") - 1 - F.col("_in"))
+    events = events.join(F.broadcast(parts), (F.col("_class") == F.col("_s")) & (F.col("_part") == F.col("_p"))).withColumn("level", level)
+    on_level = Window.partitionBy(F.when(F.col("level") >= 0, F.col("level")).otherwise(-1 - F.pmod(F.xxhash64("key"), F.lit(1 << 20)))).orderBy(F.desc("_class"), "level")
+    met = events.withColumn("seq", F.when(F.col("kind") == 0, F.col("seq")).when(F.col("level") >= 0, F.lag("seq").over(on_level)))
+    return met.filter("kind = 1").select(F.col("key").alias("row"), F.col("size").alias("length"), "seq")
 
 
 def pack(pieces: DataFrame, capacity: int, length_column: str = "length") -> DataFrame:
@@ -141,16 +137,16 @@ def pack(pieces: DataFrame, capacity: int, length_column: str = "length") -> Dat
             n_left, shortest = left.agg(F.count(F.lit(1)), F.min("length")).first()
         if n_left:
             fit = capacity // most
-            by_size = left.groupBy("length").agg(F.count(F.lit(1)).alias("n"))
-            above = Window.orderBy(F.desc("length")).rowsBetween(Window.unboundedPreceding, -1)
-            by_size = by_size.select(F.col("length").alias("_l"), F.coalesce(F.sum("n").over(above), F.lit(0)).alias("_before"))
-            new = _ranked(left, "length", "row").join(F.broadcast(by_size), F.col("length") == F.col("_l"))
-            new = new.select("row", (F.floor((F.col("_before") + F.col("_rank")) / fit) + opened).alias("seq"), "length", F.lit(len(placed)).alias("step"))
+            new, parts = _in_parts(left, "length", "row")
+            above = Window.orderBy(F.desc("_s"), "_p").rowsBetween(Window.unboundedPreceding, -1)
+            parts = parts.select("_s", "_p", F.coalesce(F.sum("_n").over(above), F.lit(0)).alias("_before"))
+            new = new.join(F.broadcast(parts), (F.col("length") == F.col("_s")) & (F.col("_part") == F.col("_p")))  # capacity x RANK_PARTS rows at most
+            new = new.select("row", (F.floor((F.col("_before") + F.col("_in")) / fit) + opened).alias("seq"), "length", F.lit(len(placed)).alias("step"))
             new = stored(new, f"new_{most}", folder)
             placed.append(new)
             opened += -(-n_left // fit)
             fresh = new.groupBy("seq").agg((F.lit(capacity) - F.sum("length")).alias("free")).filter("free > 0")
-            gaps = stored(fresh if gaps is None else gaps.unionByName(fresh), f"open_{most}", folder)
+            gaps = fresh if gaps is None else gaps.unionByName(fresh)
     if not placed:
         return table.select(*kept, F.lit(None).cast("long").alias("sequence_id"), F.lit(None).cast("long").alias("offset"))
     places = placed[0]
