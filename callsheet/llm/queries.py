@@ -7,7 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from callsheet.llm.encoding import encode_texts
+from callsheet.llm.licenses import scan_licenses
+from callsheet.llm.nearest import nearest
+from callsheet.llm.ngram_join import link_components
 from callsheet.llm.packing import pack_documents
+from callsheet.llm.quality import quality_verdicts, train_quality
+from callsheet.llm.substrings import remove_repeats
+from callsheet.llm.token_counts import count_tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,5 +30,33 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_texts(_table(spark, sf_dir, "documents"), keep_ids=False, digests=True)
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_best_fit_packing, op3_byte_bpe)}
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return quality_verdicts(docs, train_quality(docs, _table(spark, sf_dir, "labels")))
+
+
+def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return link_components(_table(spark, sf_dir, "documents")).drop("key")
+
+
+def op7_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    return nearest(vectors.filter("vec_id % 20 = 0"), vectors, k=20)
+
+
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_tokens(_table(spark, sf_dir, "documents"))
+
+
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(_table(spark, sf_dir, "documents"), spans=False)
+
+
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(_table(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (
+    op1_best_fit_packing, op3_byte_bpe, op4_quality_rules, op6_ngram_jaccard, op7_nearest_neighbours,
+    op8_token_counts, op9_license_scan, op10_substring_dedup)}
 ORACLE_SQL: dict[str, str] = {}
