@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from callsheet.llm.arrays import chunks, hash_slices, joined, mix, utf8, windows, word_spans
 
 #: The classifier is fitted on at most so many labelled rows, those with the smallest hash of their id.
-MAX_LABELLED = 3000
+MAX_LABELLED = 1500
 #: Buckets for each kind of n-gram: words, word pairs, three characters, five characters.
 BITS = 16
 KINDS = 4
@@ -153,13 +153,13 @@ def train_quality(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id",
     index = np.frombuffer(b"".join(r[2] for r in data), "<i4")
     value = np.frombuffer(b"".join(r[3] for r in data), "<f4")
     del data
-    row = np.repeat(np.arange(len(y)), lens)
+    row = np.repeat(np.arange(len(y), dtype=np.int32), lens)
     held = np.arange(len(y)) % 3 == 2
     if y[held].min() == y[held].max() or y[~held].min() == y[~held].max():
         held = np.zeros(len(y), bool)
     # frequent buckets are damped, so that rare marks of bad texts count
     scale = 1 / np.sqrt(np.bincount(index, weights=value.astype(np.float64), minlength=KINDS * d) / len(y) + 1e-4)
-    x = value * scale[index]
+    x = value * scale[index].astype(np.float32)
     fit = np.flatnonzero(~held)
     weight = np.where(y == 1, 0.5 / max(1, (y[fit] == 1).sum()), 0.5 / max(1, (y[fit] == 0).sum())) * ~held
     w, b, m, v, mb, vb = np.zeros(KINDS * d), 0.0, np.zeros(KINDS * d), np.zeros(KINDS * d), 0.0, 0.0
