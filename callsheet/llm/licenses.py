@@ -49,20 +49,24 @@ FAMILIES = (
     ("cc0", "cc0", r"\b(?:creative\s+commons\s+)?cc0", ("1\\.0",)),
     ("cc", "creative commons", r"creative\s+commons", ("1\\.0", "2\\.0", "2\\.5", "3\\.0", "4\\.0")),
 )
-#: How a licence is named: (priority, confidence, pattern around the name).
+#: How a licence is named: (keyword, priority, confidence, pattern around the name).
 FRAMES = (
-    (5, 1.0, r"spdx-license-identifier\s*:\s*{n}{v}"),
-    (4, 0.95, r"(?:licen[sc]ed|released|distributed|available|published|redistributed)\s+under\s+(?:the\s+)?(?:terms\s+of\s+)?(?:the\s+)?{n}(?:\s+licen[sc]e)?{v}"),
-    (3, 0.9, r"(?:under|terms\s+of|conditions\s+of|subject\s+to)\s+(?:the\s+)?{n}\s+licen[sc]e{v}"),
-    (2, 0.8, r"{n}\s+licen[sc]e{v}"),
-    (2, 0.8, r"licen[sc]e\s*[:=]\s*{n}{v}"),
+    ("spdx", 5, 1.0, r"spdx-license-identifier\s*:\s*{n}{v}"),
+    ("under", 4, 0.95, r"(?:licen[sc]ed|released|distributed|available|published|redistributed)\s+under\s+(?:the\s+)?(?:terms\s+of\s+)?(?:the\s+)?{n}(?:\s+licen[sc]e)?{v}"),
+    ("licen", 3, 0.9, r"(?:under|terms\s+of|conditions\s+of|subject\s+to)\s+(?:the\s+)?{n}\s+licen[sc]e{v}"),
+    ("licen", 2, 0.8, r"{n}\s+licen[sc]e{v}"),
+    ("licen", 2, 0.8, r"licen[sc]e\s*[:=]\s*{n}{v}"),
 )
 #: Rules that no family makes: label, keyword, priority, confidence, pattern.
 SINGLE_RULES = (
-    ("cc-by", "by", 4, 0.95, r"\b(?:cc|creative\s+commons)[\s-]+(?:by|attribution)(?:[\s-]+\d\.\d)?\b(?![\s-]+(?:nc|nd|sa|noncommercial|sharealike))"),
-    ("cc-by-sa", "by", 5, 0.95, r"\b(?:cc|creative\s+commons)[\s-]+(?:by|attribution)[\s-]+(?:sa|sharealike)\b(?:[\s-]+\d\.\d)?"),
-    ("cc-by-nc", "by", 5, 0.95, r"\b(?:cc|creative\s+commons)[\s-]+(?:by|attribution)[\s-]+(?:nc|noncommercial)\b(?:[\s-]+\d\.\d)?"),
-    ("cc-by-nd", "by", 5, 0.95, r"\b(?:cc|creative\s+commons)[\s-]+(?:by|attribution)[\s-]+(?:nd|noderivatives)\b(?:[\s-]+\d\.\d)?"),
+    ("cc-by", "cc", 4, 0.95, r"\bcc[\s-]+(?:by|attribution)(?:[\s-]+\d\.\d)?\b(?![\s-]+(?:nc|nd|sa|noncommercial|sharealike))"),
+    ("cc-by", "creative commons", 4, 0.95, r"\bcreative\s+commons[\s-]+(?:by|attribution)(?:[\s-]+\d\.\d)?\b(?![\s-]+(?:nc|nd|sa|noncommercial|sharealike))"),
+    ("cc-by-sa", "cc", 5, 0.95, r"\bcc[\s-]+(?:by|attribution)[\s-]+(?:sa|sharealike)\b(?:[\s-]+\d\.\d)?"),
+    ("cc-by-sa", "creative commons", 5, 0.95, r"\bcreative\s+commons[\s-]+(?:by|attribution)[\s-]+(?:sa|sharealike)\b(?:[\s-]+\d\.\d)?"),
+    ("cc-by-nc", "cc", 5, 0.95, r"\bcc[\s-]+(?:by|attribution)[\s-]+(?:nc|noncommercial)\b(?:[\s-]+\d\.\d)?"),
+    ("cc-by-nc", "creative commons", 5, 0.95, r"\bcreative\s+commons[\s-]+(?:by|attribution)[\s-]+(?:nc|noncommercial)\b(?:[\s-]+\d\.\d)?"),
+    ("cc-by-nd", "cc", 5, 0.95, r"\bcc[\s-]+(?:by|attribution)[\s-]+(?:nd|noderivatives)\b(?:[\s-]+\d\.\d)?"),
+    ("cc-by-nd", "creative commons", 5, 0.95, r"\bcreative\s+commons[\s-]+(?:by|attribution)[\s-]+(?:nd|noderivatives)\b(?:[\s-]+\d\.\d)?"),
     ("reserved", "reserved", 3, 0.9, r"\ball\s+rights\s+reserved\b"),
     ("copyright", "copyright", 1, 0.5, r"\bcopyright\s+(?:\(c\)|©|&copy;)?\s*\d{4}(?:\s*[-–,]\s*\d{4})*"),
     ("copyright", "©", 1, 0.5, r"©\s*\d{4}(?:\s*[-–,]\s*\d{4})*"),
@@ -76,32 +80,37 @@ SINGLE_RULES = (
 
 
 @lru_cache(1)
-def rules() -> list[tuple[str, bytes, int, float, re.Pattern]]:
-    """(label, keyword, priority, confidence, pattern), the strongest first.
-    A version gives a rule of its own, one step above the plain name."""
-    out = [(label, key, p, c, pat) for label, key, p, c, pat in SINGLE_RULES]
+def rules() -> list[tuple[str, tuple[bytes, ...], float, re.Pattern]]:
+    """(label, keywords, confidence, pattern), the strongest first.  A version
+    gives a rule of its own, one step above the plain name."""
+    out = [(label, (key,), 2 * p, c, pat) for label, key, p, c, pat in SINGLE_RULES]
     for label, key, name, versions in FAMILIES:
-        for priority, confidence, frame in FRAMES:
-            out.append((label, key, priority * 2, confidence, frame.replace("{n}", f"(?:{name})").replace("{v}", "")))
+        for frame_key, priority, confidence, frame in FRAMES:
+            out.append((label, (key, frame_key), priority * 2, confidence, frame.replace("{n}", f"(?:{name})").replace("{v}", "")))
             for v in versions:
                 exact = frame.replace("{n}", f"(?:{name})").replace("{v}", f"(?:\\s+licen[sc]e)?{_V.replace('{v}', v)}(?![\\w.]*\\d)")
                 plain = v.replace("\\.", ".").split("(?:")[0]
-                out.append((f"{label}-{plain}", key, priority * 2 + 1, confidence, exact))
+                out.append((f"{label}-{plain}", (key, frame_key), priority * 2 + 1, confidence, exact))
     ordered = sorted(enumerate(out), key=lambda x: (-x[1][2], x[0]))
-    return [(label, key.encode(), p, c, re.compile(pat)) for _, (label, key, p, c, pat) in ordered]
+    return [(label, tuple(k.encode() for k in keys), c, re.compile(pat)) for _, (label, keys, _, c, pat) in ordered]
+
+
+@lru_cache(1)
+def keywords() -> list[bytes]:
+    return sorted({k for _, keys, _, _ in rules() for k in keys})
 
 
 def detect(text: bytes) -> list[tuple[int, int, str, float]]:
     """(start, end, label, confidence) in a lower-cased text: rules whose
-    keyword occurs are tried, and a detection inside the span of one of an
+    keywords all occur are tried, and a detection inside the span of one of an
     earlier (stronger) rule is dropped, so is a second one on the same span."""
-    present: dict[bytes, bool] = {}
+    present = {k for k in keywords() if k in text}
     found: list[tuple[int, int, str, float]] = []
+    if not present:
+        return found
     decoded = None
-    for label, key, _, confidence, pattern in rules():
-        if key not in present:
-            present[key] = key in text
-        if not present[key]:
+    for label, keys, confidence, pattern in rules():
+        if not present.issuperset(keys):
             continue
         decoded = text.decode() if decoded is None else decoded
         for m in pattern.finditer(decoded):

@@ -5,12 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from callsheet.llm.encoding import encode_texts
 from callsheet.llm.licenses import scan_licenses
+from callsheet.llm.line_dedup import remove_shared_lines
 from callsheet.llm.nearest import nearest
 from callsheet.llm.ngram_join import link_components
 from callsheet.llm.packing import pack_documents
+from callsheet.llm.pii import pii_table
 from callsheet.llm.quality import quality_verdicts, train_quality
 from callsheet.llm.substrings import remove_repeats
 from callsheet.llm.token_counts import count_tokens
@@ -26,6 +29,12 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_table(spark, sf_dir, "documents"), capacity=2048)
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = remove_shared_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select("doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_removed").alias("n_removed"),
+                      F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_texts(_table(spark, sf_dir, "documents"), keep_ids=False, digests=True)
 
@@ -35,6 +44,10 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_verdicts(docs, train_quality(docs, _table(spark, sf_dir, "labels")))
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_table(_table(spark, sf_dir, "documents"))
+
+
 def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return link_components(_table(spark, sf_dir, "documents")).drop("key")
 
@@ -57,6 +70,6 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_best_fit_packing, op3_byte_bpe, op4_quality_rules, op6_ngram_jaccard, op7_nearest_neighbours,
+    op1_best_fit_packing, op2_line_dedup, op3_byte_bpe, op4_quality_rules, op5_pii, op6_ngram_jaccard, op7_nearest_neighbours,
     op8_token_counts, op9_license_scan, op10_substring_dedup)}
 ORACLE_SQL: dict[str, str] = {}

@@ -1,10 +1,62 @@
-"""A corpus pipeline: stages that each call one operator, written and read between."""
+"""A corpus pipeline: quality rules, line de-duplication, near duplicates,
+personal data, packing.  Each stage is written as Parquet and read again by
+the next; all but the last return the columns of ``documents``."""
 
 from __future__ import annotations
 
-STAGES: list = []
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from callsheet.llm.line_dedup import remove_shared_lines
+from callsheet.llm.ngram_join import link_components
+from callsheet.llm.packing import pack_documents
+from callsheet.llm.pii import redact
+from callsheet.llm.quality import quality_verdicts, train_quality
+from callsheet.llm.store import row_key, shared_folder, stored
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules keep."""
+    model = train_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality_verdicts(docs, model, keep_columns=True).filter("kept").select(*docs.columns)
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the lines they share with an earlier one; a document
+    that loses all its words goes."""
+    cut = remove_shared_lines(docs)
+    left = cut.filter((F.col("_n_removed") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    return left.withColumn("n_chars", F.when(F.col("_n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates, the one with the smallest id."""
+    groups = link_components(docs)
+    kept = groups.filter(F.col("component_id").isNull() | (F.col("component_id") == F.col("doc_id"))).select(F.col("key").alias("_kept")).distinct()
+    rows = docs.withColumn("_key", row_key()).join(kept, F.col("_key") == F.col("_kept"), "left_semi")
+    return rows.dropDuplicates(["_key"]).select(*docs.columns)
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with personal data replaced by its kind."""
+    return redact(docs).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token pieces with their places in sequences of at most 2048 tokens."""
+    return pack_documents(docs, capacity=2048)
+
+
+STAGES = [("quality rules", quality), ("line dedup", line_dedup), ("n-gram Jaccard join", near_duplicates), ("PII", personal_data), ("best-fit packing", packing)]
+
+#: The trained classifiers and the tokeniser have no form in SQL; the stages are tested against plain versions.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``, each written to the shared folder and read by the next."""
+    folder = shared_folder(spark)
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for i, (_, stage) in enumerate(STAGES[:-1]):
+        docs = stored(stage(spark, docs, sf_dir), f"stage_{i}", folder)
+    return STAGES[-1][1](spark, docs, sf_dir)
