@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+#: Blocks of queries whose winners a task holds at a time; beyond, it lets the oldest go on to the merge.
+HELD_BLOCKS = 64
 #: Rows of a block; a tile holds QUERY_BLOCK x CANDIDATE_BLOCK products.
 QUERY_BLOCK = 256
 CANDIDATE_BLOCK = 2048
@@ -67,8 +69,10 @@ def _blocks(rows: DataFrame, size: int, prefix: str) -> DataFrame:
     return rows.mapInArrow(run, ", ".join(f"{n} {'int' if n.endswith('dim') else 'binary'}" for n in names))
 
 
-def tile(q: dict[str, bytes], c: dict[str, bytes], dim: int, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Query ids, candidate ids and inner products of the pairs that may be among the k nearest of the tile."""
+def tile(q: dict[str, bytes], c: dict[str, bytes], dim: int, k: int, known: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Query ids, candidate ids and inner products of the pairs that may be
+    among the k nearest of the tile; ``known`` are scores that k candidates of
+    other tiles reach, by query."""
     qi, ci = np.frombuffer(q["ids"], np.int64), np.frombuffer(c["ids"], np.int64)
     qv, cv = np.frombuffer(q["v"]).reshape(-1, dim), np.frombuffer(c["v"]).reshape(-1, dim)
     qc, cc = np.frombuffer(q["codes"], np.int8).reshape(-1, dim), np.frombuffer(c["codes"], np.int8).reshape(-1, dim)
@@ -86,6 +90,8 @@ def tile(q: dict[str, bytes], c: dict[str, bytes], dim: int, k: int) -> tuple[np
     lower = product - error
     lower[same] = -np.inf
     floor = np.partition(lower, len(ci) - k, axis=1)[:, len(ci) - k] if len(ci) > k else np.full(len(qi), -np.inf)
+    if known is not None:
+        floor = np.fmax(floor, known)
     a, b = np.nonzero(~(product + error < floor[:, None]) & ~same)  # also where a bound overflows
     return qi[a], ci[b], np.einsum("ij,ij->i", qv[a], cv[b])
 
@@ -132,13 +138,32 @@ def nearest(queries: DataFrame, candidates: DataFrame, k: int = 20, id_column: s
     tiles = q.join(c, ["row", "col"]).filter("q_dim = c_dim").select("q_dim", *[f"{p}_{n}" for p in "qc" for n in _BLOCK])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[bytes, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}  # winners so far by block of queries
+
+        def emit(winners: tuple[np.ndarray, np.ndarray, np.ndarray]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(x) for x in winners], names=["query_id", "vec_id", "score"])
+
         for batch in batches:
             for i in range(batch.num_rows):
                 at = {n: batch.column(n)[i].as_py() for n in batch.schema.names}
-                qi, ci, score = tile({n: at[f"q_{n}"] for n in _BLOCK}, {n: at[f"c_{n}"] for n in _BLOCK}, at["q_dim"], k)
-                order = np.lexsort((ci, -score, qi))
-                qi, ci, score = qi[order], ci[order], score[order]
-                keep = np.arange(len(qi)) - np.searchsorted(qi, qi) < k
-                yield pa.RecordBatch.from_arrays([pa.array(qi[keep]), pa.array(ci[keep]), pa.array(score[keep])], names=["query_id", "vec_id", "score"])
+                before = held.pop(at["q_ids"], None)
+                known = None
+                if before is not None:
+                    # the k-th score of queries that have k
+                    ids = np.frombuffer(at["q_ids"], np.int64)
+                    last = np.searchsorted(before[0], ids, "right") - 1
+                    full = np.searchsorted(before[0], ids, "right") - np.searchsorted(before[0], ids) >= k
+                    known = np.where(full, before[2][np.maximum(last, 0)] if len(before[2]) else -np.inf, -np.inf)
+                found = tile({n: at[f"q_{n}"] for n in _BLOCK}, {n: at[f"c_{n}"] for n in _BLOCK}, at["q_dim"], k, known)
+                if before is not None:
+                    found = tuple(np.concatenate(x) for x in zip(before, found, strict=True))
+                order = np.lexsort((found[1], -found[2], found[0]))
+                qi = found[0][order]
+                keep = order[np.arange(len(qi)) - np.searchsorted(qi, qi) < k]
+                held[at["q_ids"]] = tuple(x[keep] for x in found)
+                if len(held) > HELD_BLOCKS:
+                    yield emit(held.pop(next(iter(held))))
+        for winners in held.values():
+            yield emit(winners)
 
     return merged(tiles.mapInArrow(run, "query_id long, vec_id long, score double"), k)
