@@ -53,7 +53,7 @@ def usable_phone(obs="obs", status="status", ddd="dddfone", tel="telefone", case
         pred
         & (status.isin(K.PHONE_GOOD_STATUSES) | soft)
         & (F.octet_length(number) >= K.NUMBER_MIN_BYTES)
-        & ~number.contains(K.NUMBER_BAD_CHAR)
+        & not_like(number, K.NUMBER_BAD_CHAR, case_insensitive)
     )
 
 

@@ -54,12 +54,10 @@ def field_order(status, order=K.PHONE_STATUS_ORDER) -> Column:
     return F.coalesce(pos, F.lit(0)).cast("int")
 
 
-def distinct_concat(col: str, sep: str = K.LIST_SEPARATOR, max_len: int | None = None) -> Column:
+def distinct_concat(col: str, sep: str = K.LIST_SEPARATOR) -> Column:
     """Aggregate: distinct non-NULL values, ascending, joined by ``sep``.
 
-    All-NULL (or empty) group -> NULL.  No truncation by default; ``max_len``
-    cuts the result to that many characters, like a bounded group-concat
-    setting on the source database.
+    All-NULL (or empty) group -> NULL.  The text is never cut.
 
     Built on ``collect_set``: its buffer de-duplicates map-side, so the
     aggregate needs one exchange (``listagg(DISTINCT ...) WITHIN GROUP``
@@ -68,7 +66,4 @@ def distinct_concat(col: str, sep: str = K.LIST_SEPARATOR, max_len: int | None =
     size of that group's result string.
     """
     values = F.array_sort(F.collect_set(F.col(col)))
-    agg = F.when(F.size(values) > 0, F.array_join(values, sep))
-    if max_len is not None:
-        agg = F.substring(agg, 1, max_len)
-    return agg
+    return F.when(F.size(values) > 0, F.array_join(values, sep))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from callsheet import constants as K
 from callsheet.functions.predicates import in_portfolios, recent_since
-from callsheet.operators.joins import broadcast_if_small
+from callsheet.operators.joins import spread_join
 
 CONTRACT = ["cod_cli", "nmcont"]
 
@@ -35,10 +35,9 @@ def contact_outcomes(outcomes: DataFrame, pattern: str | None = None, case_insen
 def account_contacts(history: DataFrame, outcomes: DataFrame, pattern: str | None = None,
                      case_insensitive: bool = False) -> DataFrame:
     """(cod_cad, dt_ultimo) -- last contact per account among history rows
-    whose outcome code is known (and matches ``pattern``).  The outcome code
-    table is broadcast after a bounded size check, so history is never
-    shuffled on the outcome code (one code may cover a third of all rows)."""
-    codes = broadcast_if_small(contact_outcomes(outcomes, pattern, case_insensitive))
+    whose outcome code is known (and matches ``pattern``).  Spark broadcasts
+    the outcome code table by its measured size."""
+    codes = contact_outcomes(outcomes, pattern, case_insensitive)
     h = history.join(codes, history.ocorr == codes.st, "left_semi")
     return h.groupBy(F.col("cod_cli").alias("cod_cad")).agg(F.max("data_at").alias("dt_ultimo"))
 
@@ -48,9 +47,9 @@ def last_contact(accounts: DataFrame, history: DataFrame, outcomes: DataFrame, p
     """(cod_cli, nmcont, dt_ultimo_cpc): last contact of any active account of
     the contract; ``pattern=K.CPC_MARK`` keeps only right-party outcomes."""
     per_account = account_contacts(history, outcomes, pattern, case_insensitive)
-    acc = active_accounts(accounts, portfolios).select("cod_cad", *CONTRACT).distinct()
+    acc = active_accounts(accounts, portfolios).select("cod_cad", *CONTRACT)
     return (
-        acc.join(per_account, "cod_cad", "inner")
+        spread_join(acc, per_account, ["cod_cad"], "nmcont")
         .groupBy(*CONTRACT)
         .agg(F.max("dt_ultimo").alias("dt_ultimo_cpc"))
     )

@@ -15,7 +15,7 @@ from callsheet.functions.scalars import concat_labels, distinct_concat
 CONTRACT = ["cod_cli", "nmcont"]
 
 
-def complement_summary(complements: DataFrame, portfolios=None, max_len: int | None = None) -> DataFrame:
+def complement_summary(complements: DataFrame, portfolios=None) -> DataFrame:
     """One pass over complements per contract.
 
     ``TipoProduto``: distinct product types (over all rows); ``BindingID``:
@@ -26,7 +26,7 @@ def complement_summary(complements: DataFrame, portfolios=None, max_len: int | N
     """
     ok = F.col("int_1") != K.EXCLUDED_INT_1
     return complements.filter(in_portfolios(portfolios)).groupBy(*CONTRACT).agg(
-        distinct_concat("char_5", max_len=max_len).alias("TipoProduto"),
+        distinct_concat("char_5").alias("TipoProduto"),
         F.max(F.when(ok, F.col("int_2"))).alias("BindingID"),
         (F.count_if(ok) > 0).alias("has_binding"),
     )
@@ -41,19 +41,17 @@ def binding_id(complements: DataFrame, portfolios=None) -> DataFrame:
     )
 
 
-def instalment_labels(receivables: DataFrame, portfolios=None, case_insensitive: bool = False,
-                      max_len: int | None = None) -> DataFrame:
+def instalment_labels(receivables: DataFrame, portfolios=None, case_insensitive: bool = False) -> DataFrame:
     """(cod_cli, nmcont, Contratos): distinct instalment labels without down
     payments, sorted, ``' || '``-joined.  NULL labels are dropped."""
     keep = in_portfolios(portfolios) & not_like("fat_parc", K.DOWN_PAYMENT_MARK, case_insensitive)
     return receivables.filter(keep).groupBy(*CONTRACT).agg(
-        distinct_concat("fat_parc", max_len=max_len).alias("Contratos")
+        distinct_concat("fat_parc").alias("Contratos")
     )
 
 
 def contract_values(complements: DataFrame, receivables: DataFrame, portfolios=None,
-                    case_insensitive: bool = False, max_len: int | None = None,
-                    summary: DataFrame | None = None) -> DataFrame:
+                    case_insensitive: bool = False, summary: DataFrame | None = None) -> DataFrame:
     """Contracts having both a complement row and a non-down-payment
     receivable: (cod_cli, nmcont, Contratos, TipoProduto).
 
@@ -62,8 +60,8 @@ def contract_values(complements: DataFrame, receivables: DataFrame, portfolios=N
     Both inputs come out hash-partitioned on the contract, so the join adds
     no exchange.
     """
-    comp = summary if summary is not None else complement_summary(complements, portfolios, max_len)
-    rec = instalment_labels(receivables, portfolios, case_insensitive, max_len)
+    comp = summary if summary is not None else complement_summary(complements, portfolios)
+    rec = instalment_labels(receivables, portfolios, case_insensitive)
     return rec.join(comp.select(*CONTRACT, "TipoProduto"), CONTRACT, "inner").select(
         *CONTRACT, "Contratos", "TipoProduto"
     )

@@ -24,8 +24,8 @@ def exclude_keys(df: DataFrame, excluded: DataFrame, key: str = "nmcont", scope:
     a NULL ``key`` in ``excluded`` removes every row of that scope, and a
     NULL ``key`` in ``df`` survives only when its scope excludes nothing
     (``df_keys_not_null=True`` skips that branch when ``df`` cannot have one).
-    The flag table has one row per scope value (portfolio code), a bounded
-    dimension, so it is broadcast; the key anti-join is left to the planner.
+    The flag table has one row per scope value; both joins are left to the
+    planner, which broadcasts by measured size.
     """
     keys = [scope, key]
     kept = df.join(excluded.filter(F.col(key).isNotNull()).select(*keys).distinct(), keys, "left_anti")
@@ -36,12 +36,12 @@ def exclude_keys(df: DataFrame, excluded: DataFrame, key: str = "nmcont", scope:
         # ``poison`` may be given precomputed (scopes with a NULL excluded key).
         if poison is None:
             poison = excluded.filter(F.col(key).isNull()).select(scope).distinct()
-        return kept.join(F.broadcast(poison), scope, "left_anti")
+        return kept.join(poison, scope, "left_anti")
     flags = excluded.groupBy(scope).agg(
         F.max(F.col(key).isNull()).alias("_poisoned"),
         F.lit(True).alias("_nonempty"),
     )
-    joined = kept.join(F.broadcast(flags), scope, "left")
+    joined = kept.join(flags, scope, "left")
     keep = ~F.coalesce(F.col("_poisoned"), F.lit(False)) & (
         F.col(key).isNotNull() | ~F.coalesce(F.col("_nonempty"), F.lit(False))
     )

@@ -1,20 +1,24 @@
-"""Join helpers."""
+"""Joins of rows to a table with one row per key, when a key may be hot."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A dimension at or below this many rows is broadcast (a few MB at most for code tables).
-BROADCAST_MAX_ROWS = 100_000
+# Parts into which the rows of one key are dealt.
+PARTS = 64
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """``F.broadcast(df)`` when ``df`` has at most ``max_rows`` rows, else ``df``.
+def spread_join(rows: DataFrame, per_key: DataFrame, keys: list[str], by: str, how: str = "inner") -> DataFrame:
+    """``rows`` joined to ``per_key`` (at most one row per key) on ``keys``.
 
-    The check reads at most ``max_rows + 1`` rows (a bounded probe, run once
-    while the plan is built).  Beyond the bound the join is left to the
-    planner: a shuffle join whose skewed keys AQE splits at run time.
+    AQE cannot split a hot key when one side is an aggregate.  So rows of one
+    key are dealt into parts by a hash of ``by``, and the key's row is
+    repeated once for each part that its rows have: as often as the key has
+    rows, ``PARTS`` times at most.  The parts are counted map-side.  One
+    formula for all keys; the result is that of the plain join.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    part = F.pmod(F.xxhash64(by), F.lit(PARTS)).alias("_part")
+    dealt = rows.select("*", part)
+    repeated = dealt.select(*keys, "_part").distinct().join(per_key, keys, "inner")
+    return dealt.join(repeated, [*keys, "_part"], how).drop("_part")

@@ -2,104 +2,98 @@
 
 from __future__ import annotations
 
+from callsheet import constants as K
 from callsheet.oracle.duckdb_sql import (
-    AGREEMENT_BLOCKS,
-    ANY_CONTACTS,
-    AS_OF,
-    BLOCKS,
-    COLLATERAL,
-    CONTRACT_VALUES,
-    LIST_CTES,
-    NOT_RECENT,
-    PHONES,
-    RPC_CONTACTS,
+    AGREEMENTS,
+    ANY_CONTACT,
+    CONTRACTS,
+    CPC_CONTACT,
+    CUTOFF,
+    DATE,
+    ENTITIES,
+    GOODS,
+    HOLDERS,
+    RECENTLY,
     SINCE,
     USABLE_PHONE,
+    instalment_type,
     mailing_all_select,
     mailing_select,
-    phone_rows,
-    phone_slots,
+    status_label,
+    status_position,
+    values,
     with_prelude,
 )
 
 W = with_prelude
-TEL = ",".join([BLOCKS, PHONES])
+CALLEES = ",".join([CONTRACTS.split(",\ninstalment AS")[0], HOLDERS])
+CONTRACT_VALUES = ",".join([AGREEMENTS, CONTRACTS])
 WIDE = "s.cod_cli, s.cod_cad, s.nmcont"
-CUTOFF = f"CAST(DATE '{AS_OF}' - INTERVAL 60 DAY AS DATE)"
+TELEPHONES = ", ".join(f"s.Telefone{k}" for k in range(1, K.PHONE_SLOTS + 1))
+SAME = "x.cod_cli = s.cod_cli AND x.nmcont = s.nmcont"
 RUN_TS = "2024-03-30 10:15:00"
 
-CATALOGUE = """campaigns AS (
-  SELECT * FROM (VALUES
-    ('seg_quebras_rcs', 'Quebras & Rejeitadas', 0),
-    ('ter_cpc', 'CPC (Contato Pessoa Certa)', 1),
-    ('qua_nunca_contatados', 'Nunca Contatados', 2)) AS v(mailing, titulo, dia_recomendado)
-)"""
 
-PORTFOLIO_PREFIX = ("COALESCE(CASE cod_cli WHEN 517 THEN 'AutosPF' WHEN 518 THEN 'DivZeroPF' "
-                    "WHEN 519 THEN 'CedidasPF' END, 'AutosPF')")
-MAILING_SUFFIX = ("COALESCE(CASE mailing WHEN 'seg_quebras_rcs' THEN 'QuebrasRejeitadas' WHEN 'ter_cpc' THEN 'CPC' "
-                  "WHEN 'qua_nunca_contatados' THEN 'NuncaContatados' END, mailing)")
+def table(columns: str, rows) -> str:
+    """An inline table."""
+    return f"(VALUES {', '.join('(' + values(r) + ')' for r in rows)}) AS v({columns})"
+
+
+def case(column: str, pairs, otherwise: str) -> str:
+    return f"CASE {column} " + " ".join(f"WHEN {values([k])} THEN '{v}'" for k, v in pairs) + f" ELSE {otherwise} END"
 
-ALL = LIST_CTES + f",\nall_lists AS ({mailing_all_select()})"
 
-PHONES_SLOTS = " + ".join(f"CAST(Telefone{k} IS NOT NULL AS INTEGER)" for k in range(1, 8))
+PREFIX = case("cod_cli", K.PORTFOLIOS, f"'{K.DEFAULT_FILE_PREFIX}'")
+SUFFIX = case("mailing", K.MAILING_FILE_SUFFIX, "mailing")
+ALL = ENTITIES + f",\nall_lists AS ({mailing_all_select()})"
+
+PHONES_SLOTS = " + ".join(f"CAST(Telefone{k} IS NOT NULL AS INTEGER)" for k in range(1, K.PHONE_SLOTS + 1))
 COUNTS = f"""list_sizes AS (
   SELECT cod_cli, mailing, COUNT(*) AS n_rows, CAST(SUM({PHONES_SLOTS}) AS BIGINT) AS n_phones,
-         COUNT(*) FILTER (WHERE {PHONES_SLOTS} = 7) AS n_full
+         COUNT(*) FILTER (WHERE {PHONES_SLOTS} = {K.PHONE_SLOTS}) AS n_full
   FROM all_lists GROUP BY cod_cli, mailing
 )"""
 
-PHONES_RANKED = "r.cod_cli, r.cod_cad, r.telefones, r.status, CAST(r.num AS INTEGER) AS num"
-
 ORACLE: dict[str, str] = {
     # ---- S
-    "scan_portfolio": W("", "SELECT * FROM accounts WHERE cod_cli IN (517, 518, 519)"),
+    "scan_portfolio": W("", f"SELECT * FROM accounts WHERE cod_cli IN ({values(c for c, _ in K.PORTFOLIOS)})"),
     "portfolio_params": W("", "SELECT cod_cad, nmcont, cod_cli FROM accounts WHERE cod_cli IN (517, 519)"),
-    "mailing_catalogue": W(ALL + "," + CATALOGUE, """
-        SELECT c.mailing, c.titulo, c.dia_recomendado, COALESCE(z.n_rows, 0) AS n_rows
-        FROM campaigns c LEFT JOIN (SELECT mailing, COUNT(*) AS n_rows FROM all_lists GROUP BY mailing) z
-             ON c.mailing = z.mailing"""),
-    "mailing_calendar": W("", """
-        SELECT run_date, weekday,
-               ['Segunda-feira', 'Terça-feira', 'Quarta-feira', 'Quinta-feira', 'Sexta-feira', 'Sábado',
-                'Domingo'][weekday + 1] AS weekday_name,
-               CASE weekday WHEN 0 THEN 'seg_quebras_rcs' WHEN 1 THEN 'ter_cpc'
-                            WHEN 2 THEN 'qua_nunca_contatados' END AS mailing
+    "mailing_catalogue": W(ALL, f"""
+        SELECT c.mailing, c.titulo, CAST(c.dia AS INTEGER) AS dia_recomendado, COALESCE(z.n_rows, 0) AS n_rows
+        FROM (SELECT * FROM {table("mailing, titulo, dia", [(m[0], m[1], m[3]) for m in K.MAILINGS])}) c
+        LEFT JOIN (SELECT mailing, COUNT(*) AS n_rows FROM all_lists GROUP BY mailing) z ON c.mailing = z.mailing"""),
+    "mailing_calendar": W("", f"""
+        SELECT run_date, weekday, {case("weekday", enumerate(K.WEEKDAY_NAMES), "NULL")} AS weekday_name,
+               {case("weekday", [(m[3], m[0]) for m in K.MAILINGS], "NULL")} AS mailing
         FROM (SELECT DISTINCT CAST(data_at AS DATE) AS run_date,
                      CAST(isodow(CAST(data_at AS DATE)) - 1 AS INTEGER) AS weekday FROM history) d"""),
     "portfolio_labels": W("", f"""
-        SELECT cod_cli, cod_cli IN (517, 518, 519) AS known, {PORTFOLIO_PREFIX} AS file_prefix
+        SELECT cod_cli, cod_cli IN ({values(c for c, _ in K.PORTFOLIOS)}) AS known, {PREFIX} AS file_prefix
         FROM (SELECT DISTINCT cod_cli FROM accounts) a"""),
     "mailing_file_label": W(ALL + "," + COUNTS, f"""
         SELECT cod_cli, mailing, n_rows,
-               {PORTFOLIO_PREFIX} || '_' || {MAILING_SUFFIX} || '_' ||
-               strftime(TIMESTAMP '{RUN_TS}', '%Y%m%d_%H%M%S') AS file_label
+               {PREFIX} || '_' || {SUFFIX} || '_' || strftime(TIMESTAMP '{RUN_TS}', '%Y%m%d_%H%M%S') AS file_label
         FROM list_sizes"""),
-    "text_columns": W(LIST_CTES, mailing_select("broken", text_bindingid=True)),
-    "csv_roundtrip": W(LIST_CTES, """
-        SELECT CAST(cod_cli AS VARCHAR) AS cod_cli, CAST(cod_cad AS VARCHAR) AS cod_cad, nome, cpf,
-               CAST(bindingid AS VARCHAR) AS bindingid, datanascimento, portfolio,
-               Telefone1, Telefone2, Telefone3, Telefone4, Telefone5, Telefone6, Telefone7,
-               MarcaModelo, placa, cor, AnoFabModelo, CAST(QtdGarantiasUnicas AS VARCHAR) AS QtdGarantiasUnicas,
-               Contratos, TipoProduto, CAST(UltimoValorAcordado AS VARCHAR) AS UltimoValorAcordado,
-               TipoAcordo, DataCriacaoGecobi, StatusUltimoAcordo
-        FROM (""" + mailing_select("broken") + ")"),
+    "text_columns": W(ENTITIES, mailing_select("broken", text_bindingid=True)),
+    "csv_roundtrip": W(ENTITIES, f"""
+        SELECT {", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in ["cod_cli", *K.OUTPUT_COLUMNS])}
+        FROM ({mailing_select("broken")}) b"""),
     # ---- P
-    "project_accounts": W("", """
+    "project_accounts": W("", f"""
         SELECT cod_cad, cod_cli, nmcont, nomecli AS nome, cpfcnpj AS cpf,
-               strftime(nascto, '%d-%m-%Y') AS datanascimento, infoad AS portfolio FROM accounts"""),
-    "active_accounts": W("", "SELECT cod_cad, cod_cli, nmcont, stcli FROM accounts WHERE stcli <> 'INA'"),
-    "binding_id": W("", """
-        SELECT cod_cli, nmcont, max(int_2) AS BindingID FROM complements WHERE int_1 <> 400
+               strftime(nascto, '{DATE}') AS datanascimento, infoad AS portfolio FROM accounts"""),
+    "active_accounts": W("", f"SELECT cod_cad, cod_cli, nmcont, stcli FROM accounts WHERE stcli <> '{K.INACTIVE_ACCOUNT}'"),
+    "binding_id": W("", f"""
+        SELECT cod_cli, nmcont, max(int_2) AS BindingID FROM complements WHERE int_1 <> {K.EXCLUDED_INT_1}
         GROUP BY cod_cli, nmcont"""),
-    "agreement_status_filter": W("", """
-        SELECT cod_aco, cod_cli, nmcont, staco FROM agreements WHERE staco IN ('A', 'E', 'G', 'P', 'Q')"""),
+    "agreement_status_filter": W("", f"""
+        SELECT cod_aco, cod_cli, nmcont, staco FROM agreements WHERE staco IN ({values(K.LABELLED_STATUSES)})"""),
     "agreements_since": W("", f"""
         SELECT cod_aco, cod_cli, nmcont, data_cad FROM agreements WHERE data_cad >= TIMESTAMP '{SINCE} 00:00:00'"""),
-    "cpc_outcomes": W("", """
-        SELECT h.cod_cli, h.data_at, h.ocorr FROM history h
-        WHERE EXISTS (SELECT 1 FROM outcomes o WHERE o.st = h.ocorr AND o.bsc LIKE '%CPC%')"""),
-    "not_like_filter": W("", "SELECT * FROM receivables WHERE position('ENTRADA' IN fat_parc) = 0"),
+    "cpc_outcomes": W("", f"""
+        SELECT cod_cli, data_at, ocorr FROM history
+        WHERE ocorr IN (SELECT st FROM outcomes WHERE bsc LIKE '%{K.CPC_MARK}%')"""),
+    "not_like_filter": W("", f"SELECT * FROM receivables WHERE fat_parc NOT LIKE '%{K.DOWN_PAYMENT_MARK}%'"),
     "usable_phones": W("", f"SELECT * FROM phones p WHERE {USABLE_PHONE}"),
     "recent_history": W("", f"SELECT * FROM history WHERE data_at >= {CUTOFF}"),
     # ---- J
@@ -111,80 +105,61 @@ ORACLE: dict[str, str] = {
         FROM history h JOIN accounts a ON a.cod_cad = h.cod_cli"""),
     "history_outcomes": W("", """
         SELECT h.cod_cli, h.data_at, h.ocorr, o.bsc FROM history h JOIN outcomes o ON o.st = h.ocorr"""),
-    "contract_values": W(",".join([AGREEMENT_BLOCKS, CONTRACT_VALUES]),
-                         "SELECT cod_cli, nmcont, Contratos, TipoProduto FROM contract_vals"),
-    "account_binding": W("", """
-        SELECT a.cod_cad, a.cod_cli, a.nmcont, max(c.int_2) AS BindingID
-        FROM accounts a JOIN complements c ON c.cod_cli = a.cod_cli AND c.nmcont = a.nmcont AND c.int_1 <> 400
-        WHERE a.stcli <> 'INA'
-        GROUP BY a.cod_cad, a.cod_cli, a.nmcont"""),
-    "assemble_goods": W(TEL, f"""
-        SELECT {WIDE}, s.Telefone1, g.MarcaModelo, g.placa, g.cor, g.AnoFabModelo, g.QtdGarantiasUnicas
-        FROM phone_slots s LEFT JOIN collateral g ON g.cod_cli = s.cod_cli AND g.nmcont = s.nmcont"""),
-    "assemble_values": W(TEL, f"""
-        SELECT {WIDE}, s.Telefone1, v.Contratos, v.TipoProduto
-        FROM phone_slots s JOIN contract_vals v ON v.cod_cli = s.cod_cli AND v.nmcont = s.nmcont"""),
-    "assemble_agreement": W(TEL, f"""
-        SELECT {WIDE}, s.Telefone1, l.UltimoValorAcordado, l.TipoAcordo, l.DataCriacaoGecobi, l.StatusUltimoAcordo
-        FROM phone_slots s LEFT JOIN agr_labels l ON l.cod_cli = s.cod_cli AND l.nmcont = s.nmcont"""),
-    "cohort_broken": W(TEL, f"""
-        SELECT {WIDE} FROM phone_slots s
-        WHERE EXISTS (SELECT 1 FROM agr_broken b WHERE b.cod_cli = s.cod_cli AND b.nmcont = s.nmcont)"""),
-    "cohort_cpc": W(TEL, f"""
-        SELECT {WIDE} FROM phone_slots s
-        WHERE EXISTS (SELECT 1 FROM rpc_contact x WHERE x.cod_cli = s.cod_cli AND x.nmcont = s.nmcont)"""),
-    "cohort_never": W(",".join([BLOCKS, phone_rows(NOT_RECENT), phone_slots()]), f"SELECT {WIDE} FROM phone_slots s"),
-    "noop_left_join": W(TEL + "," + ANY_CONTACTS, f"""
-        SELECT {WIDE}, s.Telefone1, s.Telefone2, s.Telefone3, s.Telefone4, s.Telefone5, s.Telefone6, s.Telefone7
-        FROM phone_slots s LEFT JOIN any_contact x ON x.cod_cli = s.cod_cli AND x.nmcont = s.nmcont"""),
-    "exclude_paid": W(AGREEMENT_BLOCKS, """
-        SELECT DISTINCT c.cod_cli, c.nmcont FROM complements c
-        WHERE c.nmcont NOT IN (SELECT pd.nmcont FROM agr_paid pd WHERE pd.cod_cli = c.cod_cli)"""),
+    "contract_values": W(CONTRACT_VALUES, "SELECT cod_cli, nmcont, Contratos, TipoProduto FROM open_contract"),
+    "account_binding": W(CALLEES, f"""
+        SELECT a.cod_cad, a.cod_cli, a.nmcont, d.BindingID
+        FROM accounts a JOIN product d ON d.cod_cli = a.cod_cli AND d.nmcont = a.nmcont AND d.n_binding > 0
+        WHERE a.stcli <> '{K.INACTIVE_ACCOUNT}'"""),
+    "assemble_goods": W(CALLEES + "," + GOODS, f"""
+        SELECT {WIDE}, s.Telefone1, x.MarcaModelo, x.placa, x.cor, x.AnoFabModelo, x.QtdGarantiasUnicas
+        FROM callee s LEFT JOIN goods_line x ON {SAME}"""),
+    "assemble_values": W(",".join([CONTRACT_VALUES, HOLDERS]), f"""
+        SELECT {WIDE}, s.Telefone1, x.Contratos, x.TipoProduto FROM callee s JOIN open_contract x ON {SAME}"""),
+    "assemble_agreement": W(CALLEES + "," + AGREEMENTS, f"""
+        SELECT {WIDE}, s.Telefone1, x.UltimoValorAcordado, x.TipoAcordo, x.DataCriacaoGecobi, x.StatusUltimoAcordo
+        FROM callee s LEFT JOIN newest x ON {SAME} AND x.staco IN ({values(K.LABELLED_STATUSES)})"""),
+    "cohort_broken": W(CALLEES + "," + AGREEMENTS, f"""
+        SELECT {WIDE} FROM callee s JOIN newest x ON {SAME} AND x.staco IN ({values(K.BROKEN_STATUSES)})"""),
+    "cohort_cpc": W(CALLEES + "," + CPC_CONTACT, f"SELECT {WIDE} FROM callee s JOIN cpc_contact x ON {SAME}"),
+    "cohort_never": W(CALLEES, f"SELECT {WIDE} FROM callee s WHERE NOT {RECENTLY}"),
+    "noop_left_join": W(CALLEES + "," + ANY_CONTACT, f"SELECT {WIDE}, {TELEPHONES} FROM callee s LEFT JOIN any_contact x ON {SAME}"),
+    "exclude_paid": W(AGREEMENTS, f"""
+        SELECT DISTINCT d.cod_cli, d.nmcont FROM complements d
+        WHERE d.nmcont NOT IN (
+          SELECT w.nmcont FROM newest w WHERE w.cod_cli = d.cod_cli AND w.staco IN ({values(K.PAID_STATUSES)}))"""),
     # ---- A
-    "last_contact": W(ANY_CONTACTS, "SELECT * FROM any_contact"),
-    "last_cpc_contact": W(RPC_CONTACTS, "SELECT * FROM rpc_contact"),
-    "goods_summary": W(COLLATERAL, "SELECT * FROM collateral"),
-    "distinct_concat": W("", """
-        SELECT cod_cli, nmcont, string_agg(DISTINCT fat_parc, ' || ' ORDER BY fat_parc) AS labels
+    "last_contact": W(ANY_CONTACT, "SELECT * FROM any_contact"),
+    "last_cpc_contact": W(CPC_CONTACT, "SELECT * FROM cpc_contact"),
+    "goods_summary": W(GOODS, "SELECT * FROM goods_line"),
+    "distinct_concat": W("", f"""
+        SELECT cod_cli, nmcont, string_agg(DISTINCT fat_parc, '{K.LIST_SEPARATOR}' ORDER BY fat_parc) AS labels
         FROM receivables GROUP BY cod_cli, nmcont"""),
-    "phone_pivot": W(TEL, """
-        SELECT cod_cli, cod_cad, nmcont, nome, cpf, datanascimento, portfolio,
-               Telefone1, Telefone2, Telefone3, Telefone4, Telefone5, Telefone6, Telefone7
-        FROM phone_slots"""),
-    "distinct_phones": W("", f"""
-        SELECT DISTINCT p.cod_cad, p.dddfone, p.telefone, p.status, p.dddfone || p.telefone AS telefones
-        FROM phones p WHERE {USABLE_PHONE}"""),
+    "phone_pivot": W(CALLEES, f"""
+        SELECT {WIDE}, s.nome, s.cpf, s.datanascimento, s.portfolio, {TELEPHONES} FROM callee s"""),
+    "distinct_phones": W(CALLEES, "SELECT * FROM number"),
     # ---- W / T
-    "agreements_ranked": W(AGREEMENT_BLOCKS,
-                           "SELECT cod_cli, nmcont, cod_aco, CAST(rn_aco AS INTEGER) AS rn_aco FROM agr_numbered"),
-    "phone_ranked": W(TEL, f"SELECT {PHONES_RANKED} FROM phone_rows r"),
-    "phone_top7": W(TEL, f"SELECT {PHONES_RANKED} FROM phone_rows r WHERE r.num <= 7"),
-    "latest_agreement": W(AGREEMENT_BLOCKS, """
+    "agreements_ranked": W(AGREEMENTS, "SELECT * FROM ranked_agreement"),
+    "phone_ranked": W(CALLEES, "SELECT * FROM holder_number"),
+    "phone_top7": W(CALLEES, f"""
+        SELECT cod_cli, cod_cad, telefones, status, num FROM holder_number WHERE num <= {K.PHONE_SLOTS}"""),
+    "latest_agreement": W(AGREEMENTS, f"""
         SELECT cod_cli, nmcont, UltimoValorAcordado, TipoAcordo, DataCriacaoGecobi, StatusUltimoAcordo
-        FROM agr_labels"""),
-    "contracts_paid": W(AGREEMENT_BLOCKS, "SELECT cod_cli, nmcont FROM agr_paid"),
-    "contracts_broken": W(AGREEMENT_BLOCKS, "SELECT cod_cli, nmcont FROM agr_broken"),
+        FROM newest WHERE staco IN ({values(K.LABELLED_STATUSES)})"""),
+    "contracts_paid": W(AGREEMENTS, f"SELECT cod_cli, nmcont FROM newest WHERE staco IN ({values(K.PAID_STATUSES)})"),
+    "contracts_broken": W(AGREEMENTS, f"SELECT cod_cli, nmcont FROM newest WHERE staco IN ({values(K.BROKEN_STATUSES)})"),
     # ---- F
-    "concat_labels": W("", """
-        SELECT cod_cli, nmcont, chassi, marca || ' - ' || modelo AS MarcaModelo,
-               CAST(anofab AS VARCHAR) || '/' || CAST(anomodelo AS VARCHAR) AS AnoFabModelo FROM goods"""),
-    "format_dates": W("", "SELECT cod_aco, strftime(data_cad, '%d-%m-%Y') AS DataCriacaoGecobi FROM agreements"),
-    "agreement_type": W("", """
-        SELECT cod_aco, qtd_p_aco,
-               CASE WHEN qtd_p_aco > 1 THEN 'PARCELADO' WHEN qtd_p_aco = 1 THEN 'AVISTA' END AS TipoAcordo
-        FROM agreements"""),
-    "agreement_status_label": W("", """
-        SELECT ag.cod_aco, ag.staco, coalesce(lbl.label, 'Sem Dados') AS StatusUltimoAcordo
-        FROM agreements ag
-        LEFT JOIN (VALUES ('A', 'Em Acordo'), ('E', 'Exceção Rejeitada'), ('G', 'Pago'), ('Q', 'Quebrado'),
-                          ('P', 'Em Promessa')) AS lbl(code, label) ON lbl.code = ag.staco"""),
-    "field_order": W("", """
-        SELECT cod_cad, dddfone, telefone, status,
-               CAST(coalesce(list_position([2, 4, 5, 6, 1, 0], status), 0) AS INTEGER) AS pos FROM phones"""),
+    "concat_labels": W("", f"""
+        SELECT cod_cli, nmcont, chassi, marca || '{K.BRAND_MODEL_SEPARATOR}' || modelo AS MarcaModelo,
+               CAST(anofab AS VARCHAR) || '{K.YEARS_SEPARATOR}' || CAST(anomodelo AS VARCHAR) AS AnoFabModelo FROM goods"""),
+    "format_dates": W("", f"SELECT cod_aco, strftime(data_cad, '{DATE}') AS DataCriacaoGecobi FROM agreements"),
+    "agreement_type": W("", f"SELECT cod_aco, qtd_p_aco, {instalment_type('qtd_p_aco')} AS TipoAcordo FROM agreements"),
+    "agreement_status_label": W("", f"SELECT cod_aco, staco, {status_label('staco')} AS StatusUltimoAcordo FROM agreements"),
+    "field_order": W("", f"""
+        SELECT cod_cad, dddfone, telefone, status, CAST({status_position('status')} AS INTEGER) AS pos FROM phones"""),
     # ---- M
-    "mailing_broken": W(LIST_CTES, mailing_select("broken")),
-    "mailing_cpc": W(LIST_CTES, mailing_select("cpc")),
-    "mailing_never": W(LIST_CTES, mailing_select("never")),
+    "mailing_broken": W(ENTITIES, mailing_select("broken")),
+    "mailing_cpc": W(ENTITIES, mailing_select("cpc")),
+    "mailing_never": W(ENTITIES, mailing_select("never")),
     "mailing_all": W(ALL, "SELECT * FROM all_lists"),
     "mailing_counts": W(ALL + "," + COUNTS, "SELECT * FROM list_sizes"),
 }

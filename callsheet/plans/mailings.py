@@ -38,6 +38,7 @@ from callsheet.operators.agreements import (
 from callsheet.operators.contacts import active_accounts, last_contact, recent_accounts
 from callsheet.operators.contracts import complement_summary, goods_summary, instalment_labels
 from callsheet.operators.exclusion import exclude_keys
+from callsheet.operators.joins import spread_join
 from callsheet.operators.phones import account_rows, pivot_phones, rank_account_phones, top_account_rows
 
 CONTRACT = ["cod_cli", "nmcont"]
@@ -56,7 +57,6 @@ class MailingParams:
     null_aware: NOT IN semantics for the paid-contract exclusion.
     case_insensitive: compare notes, labels and status codes ignoring case
     (status codes also ignoring trailing blanks).
-    max_len: cut the concatenated lists to this many characters.
     """
 
     portfolios: tuple[int, ...] | None = None
@@ -64,8 +64,6 @@ class MailingParams:
     as_of: dt.date | str | None = None
     null_aware: bool = True
     case_insensitive: bool = False
-    slots: int = K.PHONE_SLOTS
-    max_len: int | None = None
 
 
 def cohort_of(name: str) -> str:
@@ -91,7 +89,7 @@ def contract_info(t: Mapping[str, DataFrame], p: MailingParams, latest: DataFram
     contracts whose latest agreement is paid (P G A) are removed with NOT IN
     semantics per portfolio.  All inputs are aggregates keyed by the
     contract, so the joins here add no exchange."""
-    values = instalment_labels(t["receivables"], p.portfolios, p.case_insensitive, p.max_len)
+    values = instalment_labels(t["receivables"], p.portfolios, p.case_insensitive)
     poison = portfolios_with_null_contract_latest(t["agreements"], K.PAID_STATUSES, p.since, p.portfolios)
     values = exclude_keys(values, contracts_with_latest(latest, K.PAID_STATUSES), null_aware=p.null_aware,
                           df_keys_not_null=True, poison=poison)
@@ -118,7 +116,7 @@ def eligible_accounts(t: Mapping[str, DataFrame], p: MailingParams, summary: Dat
     # identical account rows are one row of a list; distinct() merges copies
     # map-side, before any shuffle on a key they would all share
     rows = account_rows(active_accounts(t["accounts"], p.portfolios)).distinct()
-    acc = rows.join(binding, CONTRACT, "inner")
+    acc = spread_join(rows, binding, CONTRACT, "cod_cad")
     if cut is not None:
         acc = top_account_rows(acc, cut, CARRIED)
     if recent is None:
@@ -139,6 +137,8 @@ def fold_codes(t: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     out = dict(t)
     out["accounts"] = t["accounts"].withColumn("stcli", F.upper(F.rtrim("stcli")))
     out["agreements"] = t["agreements"].withColumn("staco", F.upper(F.rtrim("staco")))
+    out["history"] = t["history"].withColumn("ocorr", F.upper(F.rtrim("ocorr")))
+    out["outcomes"] = t["outcomes"].withColumn("st", F.upper(F.rtrim("st")))
     return out
 
 
@@ -147,23 +147,23 @@ def _base(t: Mapping[str, DataFrame], p: MailingParams, cohorts: list[str]) -> D
     contract information; carries the columns the cohort rules need."""
     if p.case_insensitive:
         t = fold_codes(t)
-    summary = complement_summary(t["complements"], p.portfolios, p.max_len)
+    summary = complement_summary(t["complements"], p.portfolios)
     latest = latest_agreement(t["agreements"], p.since, p.portfolios)
 
     recent = None
     if "never" in cohorts:
         recent = "drop" if cohorts == ["never"] else "flag"
     carried = CARRIED + (["_recent"] if recent == "flag" else [])
-    acc = eligible_accounts(t, p, summary, recent, cut=p.slots)
-    ranked = rank_account_phones(acc, t["phones"], p.slots, p.case_insensitive, extra_keys=carried)
-    wide = pivot_phones(ranked, p.slots, extra_keys=carried)
+    acc = eligible_accounts(t, p, summary, recent, cut=K.PHONE_SLOTS)
+    ranked = rank_account_phones(acc, t["phones"], K.PHONE_SLOTS, p.case_insensitive, extra_keys=carried)
+    wide = pivot_phones(ranked, K.PHONE_SLOTS, extra_keys=carried)
 
     info = contract_info(t, p, latest)
     if "cpc" in cohorts:
         cpc = last_contact(t["accounts"], t["history"], t["outcomes"], p.portfolios, K.CPC_MARK,
                            p.case_insensitive).select(*CONTRACT, F.lit(True).alias("_cpc"))
         info = info.join(cpc, CONTRACT, "left" if len(cohorts) > 1 else "left_semi")
-    return wide.join(info, CONTRACT, "inner")
+    return spread_join(wide, info, CONTRACT, "cod_cad")
 
 
 def _cohort_predicate(cohort: str, batch: bool):

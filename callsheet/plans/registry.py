@@ -36,6 +36,7 @@ from callsheet.operators.agreements import (
 from callsheet.operators.contacts import active_accounts, contact_outcomes, last_contact
 from callsheet.operators.contracts import binding_id, complement_summary, contract_values, goods_summary
 from callsheet.operators.exclusion import exclude_keys
+from callsheet.operators.joins import spread_join
 from callsheet.operators.phones import distinct_phones, pivot_phones, rank_account_phones, usable_phones
 from callsheet.plans import catalogue as cat
 from callsheet.plans.mailings import MailingParams, eligible_accounts, mailing, mailing_batch, mailing_counts
@@ -76,7 +77,7 @@ def _values(t):
 
 def _wide(t, recent=None):
     acc = eligible_accounts(t, P, _summary(t), recent)
-    return pivot_phones(rank_account_phones(acc, t["phones"], P.slots))
+    return pivot_phones(rank_account_phones(acc, t["phones"]))
 
 
 WIDE_KEYS = ["cod_cli", "cod_cad", "nmcont"]
@@ -227,13 +228,13 @@ def contract_values_q(spark, d):
 def account_binding(spark, d):
     t = _t(spark, d)
     b = binding_id(t["complements"])
-    return active_accounts(t["accounts"]).join(b, CONTRACT, "inner").select("cod_cad", "cod_cli", "nmcont", "BindingID")
+    return spread_join(active_accounts(t["accounts"]), b, CONTRACT, "cod_cad").select("cod_cad", "cod_cli", "nmcont", "BindingID")
 
 
 @query
 def assemble_goods(spark, d):
     t = _t(spark, d)
-    return _wide(t).join(goods_summary(t["goods"]), CONTRACT, "left").select(
+    return spread_join(_wide(t), goods_summary(t["goods"]), CONTRACT, "cod_cad", "left").select(
         *WIDE_KEYS, "Telefone1", "MarcaModelo", "placa", "cor", "AnoFabModelo", "QtdGarantiasUnicas"
     )
 
@@ -241,13 +242,13 @@ def assemble_goods(spark, d):
 @query
 def assemble_values(spark, d):
     t = _t(spark, d)
-    return _wide(t).join(_values(t), CONTRACT, "inner").select(*WIDE_KEYS, "Telefone1", "Contratos", "TipoProduto")
+    return spread_join(_wide(t), _values(t), CONTRACT, "cod_cad").select(*WIDE_KEYS, "Telefone1", "Contratos", "TipoProduto")
 
 
 @query
 def assemble_agreement(spark, d):
     t = _t(spark, d)
-    return _wide(t).join(agreement_labels(_latest(t)), CONTRACT, "left").select(
+    return spread_join(_wide(t), agreement_labels(_latest(t)), CONTRACT, "cod_cad", "left").select(
         *WIDE_KEYS, "Telefone1", "UltimoValorAcordado", "TipoAcordo", "DataCriacaoGecobi", "StatusUltimoAcordo"
     )
 
@@ -256,14 +257,14 @@ def assemble_agreement(spark, d):
 def cohort_broken(spark, d):
     t = _t(spark, d)
     broken = contracts_with_latest(_latest(t), K.BROKEN_STATUSES)
-    return _wide(t).join(broken, CONTRACT, "left_semi").select(*WIDE_KEYS)
+    return spread_join(_wide(t), broken, CONTRACT, "cod_cad", "left_semi").select(*WIDE_KEYS)
 
 
 @query
 def cohort_cpc(spark, d):
     t = _t(spark, d)
     cpc = last_contact(t["accounts"], t["history"], t["outcomes"], pattern=K.CPC_MARK)
-    return _wide(t).join(cpc, CONTRACT, "left_semi").select(*WIDE_KEYS)
+    return spread_join(_wide(t), cpc, CONTRACT, "cod_cad", "left_semi").select(*WIDE_KEYS)
 
 
 @query
@@ -276,7 +277,7 @@ def noop_left_join(spark, d):
     t = _t(spark, d)
     w = _wide(t)
     seen = last_contact(t["accounts"], t["history"], t["outcomes"])
-    return w.join(seen, CONTRACT, "left").select(*WIDE_KEYS, *[f"Telefone{k}" for k in range(1, 8)])
+    return spread_join(w, seen, CONTRACT, "cod_cad", "left").select(*WIDE_KEYS, *[f"Telefone{k}" for k in range(1, 8)])
 
 
 @query
@@ -325,21 +326,21 @@ def distinct_phones_q(spark, d):
 
 @query
 def agreements_ranked(spark, d):
-    return rank_agreements(_t(spark, d)["agreements"], P.since).select("cod_cli", "nmcont", "cod_aco", "rn_aco")
+    return rank_agreements(_t(spark, d)["agreements"], P.since)
 
 
 @query
 def phone_ranked(spark, d):
     t = _t(spark, d)
     acc = eligible_accounts(t, P, _summary(t))
-    return rank_account_phones(acc, t["phones"], slots=None).select("cod_cli", "cod_cad", "telefones", "status", "num")
+    return rank_account_phones(acc, t["phones"], slots=None)
 
 
 @query
 def phone_top7(spark, d):
     t = _t(spark, d)
     acc = eligible_accounts(t, P, _summary(t))
-    return rank_account_phones(acc, t["phones"], slots=P.slots).select(
+    return rank_account_phones(acc, t["phones"], slots=K.PHONE_SLOTS).select(
         "cod_cli", "cod_cad", "telefones", "status", "num"
     )
 

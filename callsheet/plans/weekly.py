@@ -27,25 +27,30 @@ from callsheet.sources.sink import BOM, CSV_OPTIONS, write_batch_csv
 
 def expected_lists(spark: SparkSession, accounts: DataFrame, params: MailingParams,
                    cohorts: Iterable[str]) -> DataFrame:
-    """(cod_cli, mailing) for every requested portfolio x list.  Portfolios
-    are the codes present in ``accounts`` (or the requested ones)."""
+    """(cod_cli, mailing) for every requested portfolio x list: the requested
+    codes, whether or not they have accounts, or else all codes in ``accounts``."""
     ids = [COHORTS[cohort_of(c)] for c in cohorts]
-    codes = accounts.filter(in_portfolios(params.portfolios)).select("cod_cli").distinct()
+    if params.portfolios is not None:
+        codes = spark.createDataFrame([(int(c),) for c in dict.fromkeys(params.portfolios)], "cod_cli int")
+    else:
+        codes = accounts.filter(in_portfolios(None)).select("cod_cli").distinct()
     return codes.select("cod_cli", F.explode(F.array(*[F.lit(i) for i in ids])).alias("mailing"))
 
 
 def run_weekly(spark: SparkSession, tables: Mapping[str, DataFrame], out_dir: str,
                params: MailingParams | None = None, cohorts: Iterable[str] | None = None,
                run_ts: dt.datetime | str | None = None, single_file: bool = False) -> DataFrame:
-    """Build, checkpoint and write all lists; returns the size report
-    (cod_cli, mailing, n_rows, n_phones, n_full, file_label), read back
-    from what was written."""
+    """Build, checkpoint and write all lists below ``out_dir/run=<stamp>``;
+    returns the size report (cod_cli, mailing, n_rows, n_phones, n_full,
+    file_label), read back from what was written.  A run never touches
+    another's folder: a stamp that exists is an error."""
     params = params or MailingParams()
     cohorts = list(cohorts or COHORTS)
-    run_ts = run_ts or dt.datetime.now().strftime("%Y-%m-%d %H:%M:%S")
+    run_ts = str(run_ts or dt.datetime.now().strftime("%Y-%m-%d %H:%M:%S"))
+    run = f"{out_dir}/run={dt.datetime.fromisoformat(run_ts):%Y%m%d_%H%M%S}"
     checkpoint_dir(spark)
     batch = mailing_batch(tables, cohorts, params).checkpoint(eager=True)
-    write_batch_csv(batch, f"{out_dir}/lists", single_file=single_file)
+    write_batch_csv(batch, f"{run}/lists", mode="errorifexists", single_file=single_file)
 
     counts = mailing_counts(batch)
     report = (
@@ -54,15 +59,11 @@ def run_weekly(spark: SparkSession, tables: Mapping[str, DataFrame], out_dir: st
         .select("cod_cli", "mailing", *[F.coalesce(c, F.lit(0)).cast("long").alias(c)
                                         for c in ("n_rows", "n_phones", "n_full")])
     )
-    report = file_labels(spark, report, run_ts)
-    report.write.mode("overwrite").parquet(f"{out_dir}/report")
-    report = spark.read.parquet(f"{out_dir}/report")
+    file_labels(spark, report, run_ts).write.mode("errorifexists").parquet(f"{run}/report")
+    report = spark.read.parquet(f"{run}/report")
 
-    # header-only files for empty lists: at most (#portfolios x #lists) names
+    # header-only files of the empty lists, all in one job
     header = K.CSV_DELIMITER.join([BOM + K.OUTPUT_COLUMNS[0], *K.OUTPUT_COLUMNS[1:]])
-    empty = [(r.cod_cli, r.mailing) for r in report.filter("n_rows = 0").select("cod_cli", "mailing").collect()]
-    for code, mid in empty:
-        path = f"{out_dir}/lists/cod_cli={code}/mailing={mid}"
-        spark.createDataFrame([(header,)], "value string").coalesce(1).write.mode("overwrite").option(
-            "lineSep", CSV_OPTIONS["lineSep"]).text(path)
+    empty = report.filter("n_rows = 0").select("cod_cli", "mailing", F.lit(header).alias("value"))
+    empty.write.mode("append").partitionBy("cod_cli", "mailing").option("lineSep", CSV_OPTIONS["lineSep"]).text(f"{run}/lists")
     return report

@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "callsheet") -> SparkSession:
+def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "callsheet",
+                  checkpoint: str | None = None) -> SparkSession:
     """A local session configured the way the engine expects a cluster to be.
 
     AQE is on (runtime coalescing, skew-join splitting, runtime broadcast
@@ -26,35 +26,24 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.driver.memory", os.environ.get("CALLSHEET_DRIVER_MEMORY", "8g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
+    if checkpoint:
+        builder = builder.config("spark.checkpoint.dir", checkpoint)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.
-
-    On a cluster the setting must point at shared storage and is taken as
-    given (and handed to the SparkContext if it has no checkpoint folder
-    yet).  Only when it is unset in local mode (tests) a scratch folder is
-    created and registered; on a cluster an unset folder is an error, never
-    a machine-local fallback.
-    """
+    """The shared folder named by ``spark.checkpoint.dir``, registered with
+    the SparkContext.  An unset folder is an error everywhere; local sessions
+    and tests set it when they build the session."""
     sc = spark.sparkContext
-    current = sc._jsc.sc().getCheckpointDir()
     conf = spark.conf.get("spark.checkpoint.dir", None)
-    if conf:
-        if not current.isDefined():
-            sc.setCheckpointDir(conf)
-        return conf
-    if current.isDefined():
-        return current.get()
-    if not sc.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder on shared storage (HDFS, S3, ...) for cluster runs")
-    path = tempfile.mkdtemp(prefix="callsheet-ckpt-")
-    sc.setCheckpointDir(path)
-    spark.conf.set("spark.checkpoint.dir", path)
-    return path
+    if not conf:
+        raise ValueError("set spark.checkpoint.dir to a folder on shared storage (HDFS, S3, ...)")
+    if not sc._jsc.sc().getCheckpointDir().isDefined():
+        sc.setCheckpointDir(conf)
+    return conf
 
 
 def cluster_settings(largest_shuffle_bytes: int, partition_bytes: int = 256 << 20) -> dict[str, str]:

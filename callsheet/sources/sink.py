@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from callsheet import constants as K
@@ -47,9 +47,18 @@ def text_columns(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(c).cast("string").alias(c) if is_text_column(c) else F.col(c) for c in df.columns])
 
 
+def as_text(df: DataFrame, name: str) -> Column:
+    """The column as text; numbers with a fraction never get an exponent."""
+    text = F.col(name).cast("string")
+    if df.schema[name].dataType.simpleString() in ("double", "float"):
+        plain = F.regexp_replace(F.col(name).cast("decimal(38,6)").cast("string"), r"(\.[0-9]+?)0+$", "$1")
+        text = F.when(text.contains("E") & plain.isNotNull(), plain).otherwise(text)
+    return text.alias(name)
+
+
 def _as_text(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     cols = list(columns)
-    out = [F.col(c).cast("string").alias(c) for c in cols]
+    out = [as_text(df, c) for c in cols]
     # BOM in front of the first header name
     out[0] = out[0].alias(BOM + cols[0])
     return df.select(*out)
@@ -68,7 +77,7 @@ def write_list_csv(df: DataFrame, path: str, columns: Iterable[str] | None = Non
     cols = list(columns) if columns is not None else [c for c in K.OUTPUT_COLUMNS]
     out = _as_text(df, cols)
     if single_file:
-        out = out.coalesce(1)
+        out = out.repartition(1)  # the list is still built by many tasks
     out.write.mode(mode).options(**CSV_OPTIONS).csv(path)
 
 
@@ -85,7 +94,7 @@ def write_batch_csv(batch: DataFrame, path: str, columns: Iterable[str] | None =
     list fits comfortably in one task.
     """
     cols = list(columns) if columns is not None else [c for c in K.OUTPUT_COLUMNS]
-    keyed = batch.select("cod_cli", "mailing", *[F.col(c).cast("string").alias(c) for c in cols])
+    keyed = batch.select("cod_cli", "mailing", *[as_text(batch, c) for c in cols])
     keyed = keyed.withColumnRenamed(cols[0], BOM + cols[0])
     if single_file:
         keyed = keyed.repartition("cod_cli", "mailing")

@@ -63,9 +63,8 @@ def load_tables(spark: SparkSession, source: str, **kw) -> dict[str, DataFrame]:
     (``.../sf0.01``), which is mapped by :mod:`callsheet.sources.fixtures`."""
     if source.startswith("jdbc:"):
         return load_jdbc(spark, source, **kw)
-    import os
-
-    if os.path.exists(f"{source}/customer.parquet"):
+    probe = spark._jvm.org.apache.hadoop.fs.Path(f"{source}/customer.parquet")
+    if probe.getFileSystem(spark._jsc.hadoopConfiguration()).exists(probe):  # any storage Spark reads
         from callsheet.sources.fixtures import fixture_tables
 
         return fixture_tables(spark, source)

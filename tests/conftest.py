@@ -18,12 +18,9 @@ def spark():
         .config("spark.ui.enabled", "false")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="callsheet-test-ckpt-"))
         .getOrCreate()
     )
     s.sparkContext.setLogLevel("ERROR")
-    if not s.conf.get("spark.checkpoint.dir", None):
-        d = tempfile.mkdtemp(prefix="callsheet-test-ckpt-")
-        s.sparkContext.setCheckpointDir(d)
-        s.conf.set("spark.checkpoint.dir", d)
     yield s
     s.stop()

@@ -168,13 +168,18 @@ def test_e16_case_sensitivity_switch(spark):
     assert run(spark, rows, case_insensitive=True).count() == 0
 
 
-def test_e18_long_lists_not_truncated_by_default(spark):
+def test_e18_long_lists_are_not_cut(spark):
     rows = base_rows()
     rows["receivables"] = [("C1", 517, f"{i:06d}/{i:06d}") for i in range(100)]
     full = run(spark, rows).collect()[0].Contratos
     assert len(full) > 1024 and full.count(" || ") == 99
-    cut = run(spark, rows, max_len=1024).collect()[0].Contratos
-    assert cut == full[:1024]
+
+
+def test_bad_mark_in_a_number_ignores_case_when_asked(spark):
+    rows = base_rows()
+    rows["phones"] = [(1, "11", "9x1111111", 2, "ok")]
+    assert run(spark, rows).count() == 1
+    assert run(spark, rows, case_insensitive=True).count() == 0
 
 
 def test_e19_weekday_calendar(spark):

@@ -6,7 +6,7 @@ import duckdb
 import pandas as pd
 
 from callsheet.oracle.compare import compare
-from callsheet.oracle.duckdb_sql import LIST_CTES, mailing_select
+from callsheet.oracle.duckdb_sql import ENTITIES, mailing_select
 from callsheet.plans.mailings import MailingParams, mailing
 from callsheet.sources.schemas import SCHEMAS, conform
 from tests.fixtures import account, base_rows, frames
@@ -42,7 +42,7 @@ def test_n6_account_id_on_two_contracts_numbers_across_both(spark):
     a, b, c, d = ("11900000000", "11910000000", "11920000000", "11930000000")
     # ranking runs over both contract rows of account 1: C1 takes 1,3,5,7; C9 takes 2,4,6
     assert got[0] == [a, None, b, None, c, None, d] and got[1] == [None, a, None, b, None, c, None]
-    r = compare(mailing(t, "broken", P), duck(rows), f"WITH {LIST_CTES}\n{mailing_select('broken')}")
+    r = compare(mailing(t, "broken", P), duck(rows), f"WITH {ENTITIES}\n{mailing_select('broken')}")
     assert r["ok"], r
 
 
@@ -86,7 +86,7 @@ def test_copied_account_rows_are_one_list_row(spark):
     out = mailing(frames(spark, rows), "broken", P).collect()
     assert len(out) == 1
     assert [out[0][f"Telefone{k}"] for k in range(1, 4)] == ["11911111111", "11922222222", None]
-    r = compare(mailing(frames(spark, rows), "broken", P), duck(rows), f"WITH {LIST_CTES}\n{mailing_select('broken')}")
+    r = compare(mailing(frames(spark, rows), "broken", P), duck(rows), f"WITH {ENTITIES}\n{mailing_select('broken')}")
     assert r["ok"], r
 
 
@@ -101,7 +101,7 @@ def test_account_id_shared_by_many_rows_matches_brute_force(spark):
     t = frames(spark, rows)
     got = mailing(t, "broken", P)
     assert got.count() == 7  # only the first seven (account row, phone) pairs get a slot
-    r = compare(got, duck(rows), f"WITH {LIST_CTES}\n{mailing_select('broken')}")
+    r = compare(got, duck(rows), f"WITH {ENTITIES}\n{mailing_select('broken')}")
     assert r["ok"], r
 
 

@@ -61,3 +61,10 @@ def test_text_columns_classification(spark):
     df = spark.createDataFrame([(1, 2, 3, 4)], "bindingid long, QtdGarantiasUnicas long, dt_x int, cod_cad long")
     types = dict(text_columns(df).dtypes)
     assert types == {"bindingid": "string", "QtdGarantiasUnicas": "bigint", "dt_x": "string", "cod_cad": "bigint"}
+
+
+def test_amounts_have_no_exponent(spark):
+    from callsheet.sources.sink import as_text
+
+    df = spark.createDataFrame([(12345670.5,), (250.5,), (20000000.0,), (None,)], "v double")
+    assert [r.v for r in df.select(as_text(df, "v")).collect()] == ["12345670.5", "250.5", "20000000.0", None]

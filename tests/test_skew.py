@@ -4,12 +4,10 @@ receivables, goods and agreements, one account over a third of the
 history.  The lists must equal the naive-shape SQL run by DuckDB over the
 same rows (brute force).
 
-AQE's skew-join thresholds are lowered so a skewed join partition would be
-split.  Phones, history and the contract tables are reduced (partial
-aggregate or top-k cut) before any join, so they never reach one skewed.
-The hot contract's account rows do; AQE splits such a partition by groups of
-map tasks, which this small fixture (hot rows in one input slice) does not
-have, so here the check is the result, not the split."""
+Phones, history and the contract tables are reduced (partial aggregate or
+top-k cut) before any join, so they never reach one skewed.  The hot
+contract's account rows do, and AQE cannot split that join, as its other side
+is an aggregate: ``spread_join`` deals the rows of a key into parts."""
 
 import datetime as dt
 import random
@@ -18,7 +16,7 @@ import pandas as pd
 import pytest
 
 from callsheet.oracle.compare import compare
-from callsheet.oracle.duckdb_sql import LIST_CTES, mailing_all_select, mailing_select
+from callsheet.oracle.duckdb_sql import CONTRACTS, ENTITIES, HOLDERS, mailing_all_select, mailing_select
 from callsheet.plans.mailings import MailingParams, mailing, mailing_batch
 from callsheet.sources.schemas import SCHEMAS
 
@@ -124,14 +122,14 @@ def forced_skew_split(spark):
 @pytest.mark.parametrize("cohort", ["broken", "cpc", "never"])
 def test_lists_under_skew_match_brute_force(skew, forced_skew_split, cohort):
     frames, con, _ = skew
-    r = compare(mailing(frames, cohort, P), con, f"WITH {LIST_CTES}\n{mailing_select(cohort)}")
+    r = compare(mailing(frames, cohort, P), con, f"WITH {ENTITIES}\n{mailing_select(cohort)}")
     assert r["ok"], r
     assert r["spark_rows"] > 0
 
 
 def test_batch_under_skew_matches_brute_force(skew, forced_skew_split):
     frames, con, _ = skew
-    r = compare(mailing_batch(frames, params=P), con, f"WITH {LIST_CTES}\n{mailing_all_select()}")
+    r = compare(mailing_batch(frames, params=P), con, f"WITH {ENTITIES}\n{mailing_all_select()}")
     assert r["ok"], r
 
 
@@ -146,14 +144,13 @@ def test_hot_account_and_contract_reach_the_list(skew):
 def test_full_phone_ranking_of_a_hot_account_matches_brute_force(skew, forced_skew_split):
     from callsheet.operators.contracts import complement_summary
     from callsheet.operators.phones import rank_account_phones
-    from callsheet.oracle.duckdb_sql import BLOCKS, phone_rows
     from callsheet.plans.mailings import eligible_accounts
 
     frames, con, _ = skew
     acc = eligible_accounts(frames, P, complement_summary(frames["complements"]))
-    got = rank_account_phones(acc, frames["phones"], slots=None).select("cod_cli", "cod_cad", "telefones", "status", "num")
-    sql = (f"WITH {BLOCKS}, {phone_rows()}\n"
-           "SELECT cod_cli, cod_cad, telefones, status, CAST(num AS INTEGER) AS num FROM phone_rows")
+    got = rank_account_phones(acc, frames["phones"], slots=None)
+    products = CONTRACTS.split(",\ninstalment AS")[0]
+    sql = f"WITH {products}, {HOLDERS}\nSELECT * FROM holder_number"
     r = compare(got, con, sql)
     assert r["ok"], r
 
@@ -171,3 +168,45 @@ def test_split_row_number_equals_window(spark):
     a = split_row_number(df, ["g"], order, "rn")
     b = df.withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy(*order)))
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+@pytest.mark.parametrize("aqe", ["true", "false"])
+def test_ranking_keeps_every_row_and_column(spark, aqe):
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    from callsheet.operators.ranking import split_row_number
+
+    df = spark.range(0, 60000, 1, 12).select(
+        F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id") % 900).alias("g"), "id",
+        F.concat(F.lit("payload "), F.col("id")).alias("payload"), (F.col("id") * 31 % 977).alias("v"))
+    spark.conf.set("spark.sql.adaptive.enabled", aqe)
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        order = [F.col("v").desc(), F.col("id").asc()]
+        a = split_row_number(df, ["g"], order, "rn")
+        b = df.withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy(*order)))
+        assert a.count() == 60000 and a.exceptAll(b).count() == 0
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.exchange.reuse")
+
+
+def test_spread_join_deals_a_hot_key(spark):
+    from pyspark.sql import functions as F
+
+    from callsheet.operators.joins import spread_join
+
+    rows = spark.range(0, 30000, 1, 16).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k"), F.col("id").alias("cad"))
+    per_key = rows.groupBy("k").agg(F.max("cad").alias("top")).filter("k % 2 = 1")
+    for how in ("inner", "left", "left_semi"):
+        got, plain = spread_join(rows, per_key, ["k"], "cad", how), rows.join(per_key, ["k"], how)
+        assert got.columns == plain.columns and got.exceptAll(plain).count() == 0 and got.count() == plain.count()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        sizes = [r[1] for r in spread_join(rows, per_key, ["k"], "cad").groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert max(sizes) <= 2 * sorted(sizes)[len(sizes) // 2]
