@@ -9,16 +9,19 @@ from pyspark.sql import functions as F
 PARTS = 64
 
 
-def spread_join(rows: DataFrame, per_key: DataFrame, keys: list[str], by: str, how: str = "inner") -> DataFrame:
+def spread_join(rows: DataFrame, per_key: DataFrame, keys: list[str], by: str, how: str = "inner",
+                parts_of: DataFrame | None = None) -> DataFrame:
     """``rows`` joined to ``per_key`` (at most one row per key) on ``keys``.
 
     AQE cannot split a hot key when one side is an aggregate.  So rows of one
     key are dealt into parts by a hash of ``by``, and the key's row is
     repeated once for each part that its rows have: as often as the key has
     rows, ``PARTS`` times at most.  The parts are counted map-side.  One
-    formula for all keys; the result is that of the plain join.
+    formula for all keys; the result is that of the plain join.  Where
+    ``rows`` is costly, ``parts_of`` names a cheap table that holds its
+    (``keys``, ``by``) pairs and possibly more, and the parts are counted there.
     """
     part = F.pmod(F.xxhash64(by), F.lit(PARTS)).alias("_part")
     dealt = rows.select("*", part)
-    repeated = dealt.select(*keys, "_part").distinct().join(per_key, keys, "inner")
+    repeated = (rows if parts_of is None else parts_of).select(*keys, part).distinct().join(per_key, keys, "inner")
     return dealt.join(repeated, [*keys, "_part"], how).drop("_part")

@@ -116,7 +116,7 @@ def eligible_accounts(t: Mapping[str, DataFrame], p: MailingParams, summary: Dat
     # identical account rows are one row of a list; distinct() merges copies
     # map-side, before any shuffle on a key they would all share
     rows = account_rows(active_accounts(t["accounts"], p.portfolios)).distinct()
-    acc = spread_join(rows, binding, CONTRACT, "cod_cad")
+    acc = spread_join(rows, binding, CONTRACT, "cod_cad", parts_of=active_accounts(t["accounts"], p.portfolios))
     if cut is not None:
         acc = top_account_rows(acc, cut, CARRIED)
     if recent is None:
@@ -163,7 +163,7 @@ def _base(t: Mapping[str, DataFrame], p: MailingParams, cohorts: list[str]) -> D
         cpc = last_contact(t["accounts"], t["history"], t["outcomes"], p.portfolios, K.CPC_MARK,
                            p.case_insensitive).select(*CONTRACT, F.lit(True).alias("_cpc"))
         info = info.join(cpc, CONTRACT, "left" if len(cohorts) > 1 else "left_semi")
-    return spread_join(wide, info, CONTRACT, "cod_cad")
+    return spread_join(wide, info, CONTRACT, "cod_cad", parts_of=active_accounts(t["accounts"], p.portfolios))
 
 
 def _cohort_predicate(cohort: str, batch: bool):

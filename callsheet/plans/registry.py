@@ -80,6 +80,10 @@ def _wide(t, recent=None):
     return pivot_phones(rank_account_phones(acc, t["phones"]))
 
 
+def _on_contract(t, rows, per_contract, how="inner"):
+    return spread_join(rows, per_contract, CONTRACT, "cod_cad", how, parts_of=active_accounts(t["accounts"]))
+
+
 WIDE_KEYS = ["cod_cli", "cod_cad", "nmcont"]
 
 
@@ -234,7 +238,7 @@ def account_binding(spark, d):
 @query
 def assemble_goods(spark, d):
     t = _t(spark, d)
-    return spread_join(_wide(t), goods_summary(t["goods"]), CONTRACT, "cod_cad", "left").select(
+    return _on_contract(t, _wide(t), goods_summary(t["goods"]), "left").select(
         *WIDE_KEYS, "Telefone1", "MarcaModelo", "placa", "cor", "AnoFabModelo", "QtdGarantiasUnicas"
     )
 
@@ -242,13 +246,13 @@ def assemble_goods(spark, d):
 @query
 def assemble_values(spark, d):
     t = _t(spark, d)
-    return spread_join(_wide(t), _values(t), CONTRACT, "cod_cad").select(*WIDE_KEYS, "Telefone1", "Contratos", "TipoProduto")
+    return _on_contract(t, _wide(t), _values(t)).select(*WIDE_KEYS, "Telefone1", "Contratos", "TipoProduto")
 
 
 @query
 def assemble_agreement(spark, d):
     t = _t(spark, d)
-    return spread_join(_wide(t), agreement_labels(_latest(t)), CONTRACT, "cod_cad", "left").select(
+    return _on_contract(t, _wide(t), agreement_labels(_latest(t)), "left").select(
         *WIDE_KEYS, "Telefone1", "UltimoValorAcordado", "TipoAcordo", "DataCriacaoGecobi", "StatusUltimoAcordo"
     )
 
@@ -257,14 +261,14 @@ def assemble_agreement(spark, d):
 def cohort_broken(spark, d):
     t = _t(spark, d)
     broken = contracts_with_latest(_latest(t), K.BROKEN_STATUSES)
-    return spread_join(_wide(t), broken, CONTRACT, "cod_cad", "left_semi").select(*WIDE_KEYS)
+    return _on_contract(t, _wide(t), broken, "left_semi").select(*WIDE_KEYS)
 
 
 @query
 def cohort_cpc(spark, d):
     t = _t(spark, d)
     cpc = last_contact(t["accounts"], t["history"], t["outcomes"], pattern=K.CPC_MARK)
-    return spread_join(_wide(t), cpc, CONTRACT, "cod_cad", "left_semi").select(*WIDE_KEYS)
+    return _on_contract(t, _wide(t), cpc, "left_semi").select(*WIDE_KEYS)
 
 
 @query
@@ -277,7 +281,7 @@ def noop_left_join(spark, d):
     t = _t(spark, d)
     w = _wide(t)
     seen = last_contact(t["accounts"], t["history"], t["outcomes"])
-    return spread_join(w, seen, CONTRACT, "cod_cad", "left").select(*WIDE_KEYS, *[f"Telefone{k}" for k in range(1, 8)])
+    return _on_contract(t, w, seen, "left").select(*WIDE_KEYS, *[f"Telefone{k}" for k in range(1, 8)])
 
 
 @query
