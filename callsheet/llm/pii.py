@@ -184,7 +184,7 @@ def train(found: DataFrame) -> dict[str, dict[str, float]]:
         mine = sorted((r for r in rows if r["kind"] == kind), key=lambda r: tuple(r))
         if not mine:
             continue
-        p, _ = reliabilities([(tuple(r[v] for v in votes), float(r["count"])) for r in mine], [1.0 if r["base"] else None for r in mine])
+        p, _ = reliabilities([(tuple(r[v] for v in votes), float(r["count"])) for r in mine], [1.0 if r["base"] else 0.0 if kind in BASE_KINDS else None for r in mine])
         names = sorted({f"{f}={r[f]}" for r in mine for f in table})
         w = dict.fromkeys(["bias", *names], 0.0)
         total = sum(r["count"] for r in mine)
@@ -216,8 +216,8 @@ def classified(found: DataFrame, weights: dict[str, dict[str, float]]) -> DataFr
 def find_pii(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", threshold: float = 0.5, folder: str | None = None) -> DataFrame:
     """(key, kind, start, stop, hit, base, probability): accepted spans.
 
-    Base spans that pass their check are in; other candidates if the
-    classifier gives them ``threshold`` or more, unless they overlap a base span
+    Base spans that pass their check are in, matches that fail it are not
+    personal data; candidates of the other kinds are in if the classifier gives them ``threshold`` or more, unless they overlap a base span
     (a base number inside a longer candidate stays what it is).  Texts are
     searched whole; null counts as empty; rows equal in id and text have
     their spans once under their common key.
@@ -225,7 +225,7 @@ def find_pii(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
     folder = folder or shared_folder(docs.sparkSession)
     found = stored(candidates(docs, id_column, text_column), "candidates", folder)
     scored = classified(found, train(found))
-    taken = scored.filter(F.col("base") | (F.col("probability") >= threshold))
+    taken = scored.filter(F.col("base") | (~F.col("kind").isin(*BASE_KINDS) & (F.col("probability") >= threshold)))
     upto = Window.partitionBy("key").orderBy("start", F.desc("base"), "stop").rowsBetween(Window.unboundedPreceding, -1)
     from_ = Window.partitionBy("key").orderBy("start", F.desc("base"), "stop").rowsBetween(1, Window.unboundedFollowing)
     taken = taken.withColumn("_covered", F.max(F.when(F.col("base"), F.col("stop"))).over(upto)).withColumn("_next", F.min(F.when(F.col("base"), F.col("start"))).over(from_))
