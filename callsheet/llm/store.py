@@ -3,10 +3,16 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: A batch is held several times over, by the JVM, by Arrow and by Python, for each core of an executor.
+BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES = 8 << 20
+
 
 def shared_folder(spark: SparkSession) -> str:
     """A fresh folder below ``spark.checkpoint.dir``, the storage that driver and executors share."""
@@ -16,12 +22,25 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/callsheet-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Arrow batches of at most ``BATCH_BYTES`` for the jobs run inside; the
+    session's own setting holds again afterwards."""
+    own = spark.conf.get(BATCH_CONF)
+    spark.conf.set(BATCH_CONF, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.set(BATCH_CONF, own)
+
+
 def stored(df: DataFrame, name: str = "table", folder: str | None = None) -> DataFrame:
     """``df`` as a Parquet table in the shared folder: later reads do not
     recompute it, and see the same rows even after executors were lost."""
     spark = df.sparkSession
     path = f"{folder or shared_folder(spark)}/{name}"
-    df.write.parquet(path)
+    with small_batches(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
