@@ -114,41 +114,22 @@ def base_counts(texts: list[bytes]) -> dict[str, np.ndarray]:
     }
 
 
-def train_quality(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text",
-                  label_column: str = "quality", max_labelled: int = MAX_LABELLED) -> QualityModel:
-    """Logistic regression on at most ``max_labelled`` labelled rows (those
-    with the smallest hash of their id), two thirds of them for the weights
-    and the rest for the calibration.  Null ids, labels and labels other than
-    0 and 1 are left out.  With labels of one class or none, the model says
-    "good" for every text."""
-    d = 1 << BITS
-    chosen = (labels.filter(F.col(label_column).isin(0, 1) & F.col(id_column).isNotNull())
-              .select(F.col(id_column).alias("_id"), F.col(label_column).cast("int").alias("_y"))
-              .orderBy(F.xxhash64("_id"), "_id", "_y").limit(max_labelled))
-    rows = docs.select(F.col(id_column).alias("_doc"), F.col(text_column).alias("_text")).join(F.broadcast(chosen), F.col("_doc") == F.col("_id"))
+def _flat() -> QualityModel:
+    """The model that says "good" for every text."""
+    return QualityModel(np.zeros((KINDS, 1 << BITS), np.float32), 1.0, 10.0)
 
-    def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = utf8(batch.column(1))
-            for a, z in chunks(texts):
-                kinds = _grams(texts[a:z])
-                index, value = [], []
-                for i in range(z - a):
-                    ix, va = [], []
-                    for kind, (bucket, begin, end) in enumerate(kinds):
-                        u, n = np.unique(bucket[begin[i]:end[i]], return_counts=True)
-                        ix.append(u + kind * d)
-                        va.append(n / max(1, n.sum()))
-                    index.append(np.concatenate(ix).astype("<i4").tobytes())
-                    value.append(np.concatenate(va).astype("<f4").tobytes())
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, z - a).cast(pa.string()), batch.column(2).slice(a, z - a).cast(pa.int32()), pa.array(index, pa.binary()), pa.array(value, pa.binary())], names=["id", "y", "index", "value"])
 
-    data = rows.select("_doc", "_text", "_y").mapInArrow(features, "id string, y int, index binary, value binary").collect()
-    data = sorted({(r["id"], r["y"], bytes(r["index"]), bytes(r["value"])) for r in data})[:max_labelled]
+def _fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The model of (id, y, index, value) rows, as one row."""
+    model = _fit(sorted(row for b in batches for row in zip(*(b.column(i).to_pylist() for i in range(4)), strict=True)))
+    yield pa.RecordBatch.from_arrays([pa.array([model.weights.astype("<f4").tobytes()], pa.binary()), pa.array([model.slope]), pa.array([model.shift])], names=["weights", "slope", "shift"])
+
+
+def _fit(data: list[tuple[str, int, bytes, bytes]]) -> QualityModel:
+    d = 1 << BITS
     y = np.array([r[1] for r in data], np.float64)
-    flat = QualityModel(np.zeros((KINDS, d), np.float32), 1.0, 10.0)
     if not len(y) or y.min() == y.max():
-        return flat
+        return _flat()
     lens = np.array([len(r[2]) // 4 for r in data])
     index = np.frombuffer(b"".join(r[2] for r in data), "<i4")
     value = np.frombuffer(b"".join(r[3] for r in data), "<f4")
@@ -178,6 +159,44 @@ def train_quality(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id",
     return QualityModel((w * scale).reshape(KINDS, d).astype(np.float32), slope, shift)
 
 
+def train_quality(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text",
+                  label_column: str = "quality", max_labelled: int = MAX_LABELLED) -> QualityModel:
+    """Logistic regression on at most ``max_labelled`` labelled rows (those
+    with the smallest hash of their id), two thirds of them for the weights
+    and the rest for the calibration.  Null ids, labels and labels other than
+    0 and 1 are left out.  With labels of one class or none, the model says
+    "good" for every text."""
+    d = 1 << BITS
+    chosen = (labels.filter(F.col(label_column).isin(0, 1) & F.col(id_column).isNotNull())
+              .select(F.col(id_column).alias("_id"), F.col(label_column).cast("int").alias("_y"))
+              .orderBy(F.xxhash64("_id"), "_id", "_y").limit(max_labelled))
+    rows = docs.select(F.col(id_column).alias("_doc"), F.col(text_column).alias("_text")).join(F.broadcast(chosen), F.col("_doc") == F.col("_id"))
+
+    def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = utf8(batch.column(1))
+            for a, z in chunks(texts):
+                kinds = _grams(texts[a:z])
+                index, value = [], []
+                for i in range(z - a):
+                    ix, va = [], []
+                    for kind, (bucket, begin, end) in enumerate(kinds):
+                        u, n = np.unique(bucket[begin[i]:end[i]], return_counts=True)
+                        ix.append(u + kind * d)
+                        va.append(n / max(1, n.sum()))
+                    index.append(np.concatenate(ix).astype("<i4").tobytes())
+                    value.append(np.concatenate(va).astype("<f4").tobytes())
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, z - a).cast(pa.string()), batch.column(2).slice(a, z - a).cast(pa.int32()), pa.array(index, pa.binary()), pa.array(value, pa.binary())], names=["id", "y", "index", "value"])
+
+    vectors = rows.select("_doc", "_text", "_y").mapInArrow(features, "id string, y int, index binary, value binary")
+    # a repeated id may bring more rows than labels; max_labelled at most meet in the task that fits, and the driver only gets the model
+    bounded = vectors.distinct().orderBy("id", "y", "index", "value").limit(max_labelled)
+    fitted = bounded.mapInArrow(_fitted, "weights binary, slope double, shift double").collect()
+    if not fitted:
+        return _flat()
+    return QualityModel(np.frombuffer(bytes(fitted[0]["weights"]), "<f4").reshape(KINDS, d), fitted[0]["slope"], fitted[0]["shift"])
+
+
 def _calibrate(z: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     """Slope and shift of a sigmoid by Newton's method, with the smoothed targets of Platt's scaling."""
     good, bad = (y == 1).sum(), (y == 0).sum()
