@@ -1,6 +1,7 @@
 """The array kernels and small algorithms, without Spark."""
 
 import numpy as np
+import pyarrow as pa
 
 from callsheet.llm import bpe, licenses, line_dedup, ngram_join, substrings, token_counts
 from callsheet.llm.arrays import hash_slices, joined, word_hashes
@@ -87,3 +88,26 @@ def test_reliable_labelers_decide():
     p, rates = reliabilities([((1, 1, 0), 50.0), ((1, 1, 1), 30.0), ((-1, -1, 1), 60.0), ((-1, -1, 0), 40.0)], [None] * 4)
     assert min(p[:2]) > 0.9 > 0.1 > max(p[2:]) and rates[0][1][1] > rates[2][1][1]
     assert reliabilities([], []) == ([], [])
+
+
+def test_shared_rows_have_a_partner():
+    """Rows that stay are those with a lead row not larger below the same shingle, or lead rows with
+    one not smaller, sizes within the threshold; batches of any length give the same."""
+    rng = np.random.default_rng(3)
+    names = ["shingle", "n", "node", "lead"]
+    for size in (0, 1, 2, 7, 400):
+        found = {(int(rng.integers(0, 60)), v): None for v in rng.integers(0, 150, size).tolist()}
+        rows = sorted((s, 20 + v % 37, v, (s * 31 + v) % 3 > 0) for s, v in found)
+        want = set()
+        for s, n, v, lead in rows:
+            for s2, n2, v2, lead2 in rows:
+                low, high = min(n, n2), max(n, n2)
+                first = lead if (n, v) < (n2, v2) else lead2
+                if s == s2 and v != v2 and first and 100 * low >= ngram_join.PERCENT * high:
+                    want.add((s, v, n))
+        rows = [r for r in rows for _ in range(1 + r[2] % 3 // 2)]  # copies share a node
+        for step in (1, 3, 1000):
+            batches = [pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows[a:a + step]], t) for i, t in enumerate((pa.int64(), pa.int32(), pa.int64(), pa.bool_()))], names=names)
+                       for a in range(0, len(rows), step)]
+            got = [tuple(x.values()) for b in ngram_join._shared(iter(batches)) for x in b.to_pylist()]
+            assert len(got) == len(set(got)) and set(got) == want
