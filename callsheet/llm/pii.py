@@ -90,7 +90,7 @@ def base_passes() -> Column:
     """Whether a candidate of a base kind passes the kind's check."""
     hit, kind = F.col("hit"), F.col("kind")
     digits = _digits(hit)
-    byte = r"0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
+    byte = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"  # the zeros give one back to a part that is 0
     in_range = hit.rlike(r"^" + r"\.".join([byte] * 4) + "$")
     card = F.length(digits).between(14, 19) & F.call_function("luhn_check", digits)
     return F.coalesce(F.when(kind == "email", True).when(kind == "ip", in_range).when(kind == "card", card).when(kind == "phone", F.length(digits).between(10, 15)), F.lit(False))

@@ -69,6 +69,16 @@ def test_pii(docs):
     assert text.startswith("mail <EMAIL> or <PHONE>, card <CARD>, host 10.0.0.256 and <IP>.4")
 
 
+def test_ip_parts_of_zeros(spark):
+    ips = ["10.0.0.1", "0.0.0.0", "000.1.2.3", "192.168.0.1", "127.0.0.1", "8.8.8.8", "1.02.3.4", "255.0255.0.00", "256.0.0.1", "0.0.0.0256", "00300.1.1.1", "1.2.3.099", "00.00.00.00"]
+    table = [(i, f"host {ip} up") for i, ip in enumerate(ips)]
+    df = spark.createDataFrame(table, "doc_id long, text string")
+    want = [(d, sum(k == "ip" for k, _, _ in s), brute.sha(",".join(f"{k}:{a}:{z}" for k, a, z in s))) for d, t in table for s in [brute.base_spans(t)]]
+    assert rows(pii_table(df), "doc_id", "n_ip", "base_sha256") == sorted(want, key=repr)
+    left = {r.doc_id: r.text for r in redact(df).collect()}
+    assert [left[i] == "host <IP> up" for i in range(len(ips))] == [all(int(x) < 256 for x in ip.split(".")) for ip in ips]
+
+
 def test_substrings(docs):
     want = [(d, n, k, brute.sha(t)) for d, n, k, t in brute.without_repeats(ROWS)]
     assert rows(remove_repeats(docs), "doc_id", "n_words", "n_removed", "kept_sha256") == sorted(want, key=repr)
