@@ -36,7 +36,7 @@ PATTERNS = {
     "ip": (r"[0-9]\.[0-9]", r"(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"),
     "card": (r"[0-9]", r"[0-9](?:[\x20-]?[0-9])++"),
     "phone": (r"\+[0-9]", r"\+[0-9][\x20().0-9-]+[0-9]"),
-    "secret": (r"[0-9]", r"(?:\G|(?<![A-Za-z0-9_/+-]))[A-Za-z0-9_/+-]{20,200}+(?![A-Za-z0-9_/+-])"),
+    "secret": (r"[0-9]", r"(?:\G|(?<![A-Za-z0-9_/+-]))[A-Za-z0-9_/+-]{20,}+"),
     "iban": (r"[A-Z][A-Z][0-9]", r"(?:\G|(?<![A-Za-z0-9]))[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){3,7}+(?:\x20?[A-Z0-9]{1,3})?+(?![A-Za-z0-9])"),
     "ssn": (r"[0-9]-[0-9]", r"(?:\G|(?<![0-9-]))[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"),
 }
@@ -132,7 +132,7 @@ def labelers() -> dict[str, Column]:
 def features() -> dict[str, Column]:
     """Features of a span for the classifier, all of few values."""
     out = {f"v_{k}": v for k, v in labelers().items()}
-    out["f_len"] = F.when(F.length("hit") < 12, 0).when(F.length("hit") < 20, 1).when(F.length("hit") < 40, 2).otherwise(3)
+    out["f_len"] = F.when(F.length("hit") < 12, 0).when(F.length("hit") < 20, 1).when(F.length("hit") < 40, 2).when(F.length("hit") <= 200, 3).otherwise(4)
     out["f_digits"] = F.round(F.length(_digits(F.col("hit"))) * 3 / F.length("hit")).cast("int")
     return out
 

@@ -79,6 +79,13 @@ def test_ip_parts_of_zeros(spark):
     assert [left[i] == "host <IP> up" for i in range(len(ips))] == [all(int(x) < 256 for x in ip.split(".")) for ip in ips]
 
 
+def test_long_secrets(spark):
+    token = "aZ3kQ9x_" * 40
+    table = [(i, f'auth token = "{token[:n]}" end') for i, n in enumerate((40, 64, 100, 200, 201, 320))]
+    df = spark.createDataFrame(table, "doc_id long, text string")
+    assert {r.text for r in redact(df).collect()} == {'auth token = "<SECRET>" end'}
+
+
 def test_substrings(docs):
     want = [(d, n, k, brute.sha(t)) for d, n, k, t in brute.without_repeats(ROWS)]
     assert rows(remove_repeats(docs), "doc_id", "n_words", "n_removed", "kept_sha256") == sorted(want, key=repr)
