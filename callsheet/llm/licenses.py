@@ -16,7 +16,7 @@ from callsheet.llm.arrays import chunks, hash_slices, joined, utf8
 #: Fixed phrases whose places are counted, with their labels.
 BASE_PHRASES = (("cc by", "cc-by"), ("general public license", "gpl"), ("all rights reserved", "reserved"))
 
-#: Families: label, keyword that must occur, pattern of the name, version patterns that may follow.
+#: Families: label, keywords that must all occur, pattern of the name, version patterns that may follow.
 _V = r"(?:,?\s*(?:v(?:ersion|\.)?\s*)?{v})"
 FAMILIES = (
     ("apache", "apache", r"apache(?:\s+software)?(?:\s+foundation)?", ("1\\.0", "1\\.1", "2(?:\\.0)?")),
@@ -39,7 +39,8 @@ FAMILIES = (
     ("isc", "isc", r"\bisc", ()),
     ("zlib", "zlib", r"\bzlib(?:/libpng)?", ()),
     ("unlicense", "unlicense", r"\bthe\s+unlicense", ()),
-    ("wtfpl", "wtf", r"(?:\bwtfpl|do\s+what\s+the\s+f\w+\s+you\s+want\s+to\s+public)", ("2(?:\\.0)?",)),
+    ("wtfpl", "wtfpl", r"\bwtfpl", ("2(?:\\.0)?",)),
+    ("wtfpl", "do what want to public", r"do\s+what\s+the\s+f\w+\s+you\s+want\s+to\s+public", ("2(?:\\.0)?",)),
     ("odbl", "open database", r"open\s+database", ("1\\.0",)),
     ("ofl", "open font", r"(?:sil\s+)?open\s+font", ("1\\.0", "1\\.1")),
     ("python", "python software", r"python\s+software\s+foundation", ("2(?:\\.0)?",)),
@@ -49,7 +50,7 @@ FAMILIES = (
     ("cc0", "cc0", r"\b(?:creative\s+commons\s+)?cc0", ("1\\.0",)),
     ("cc", "creative commons", r"creative\s+commons", ("1\\.0", "2\\.0", "2\\.5", "3\\.0", "4\\.0")),
 )
-#: How a licence is named: (keyword, priority, confidence, pattern around the name).
+#: How a licence is named: (keywords, priority, confidence, pattern around the name).
 FRAMES = (
     ("spdx", 5, 1.0, r"spdx-license-identifier\s*:\s*{n}{v}"),
     ("under", 4, 0.95, r"(?:licen[sc]ed|released|distributed|available|published|redistributed)\s+under\s+(?:the\s+)?(?:terms\s+of\s+)?(?:the\s+)?{n}(?:\s+licen[sc]e)?{v}"),
@@ -57,7 +58,7 @@ FRAMES = (
     ("licen", 2, 0.8, r"{n}\s+licen[sc]e{v}"),
     ("licen", 2, 0.8, r"licen[sc]e\s*[:=]\s*{n}{v}"),
 )
-#: Rules that no family makes: label, keyword, priority, confidence, pattern.
+#: Rules that no family makes: label, keywords, priority, confidence, pattern.
 SINGLE_RULES = (
     ("cc-by", "cc", 4, 0.95, r"\bcc[\s-]+(?:by|attribution)(?:[\s-]+\d\.\d)?\b(?![\s-]+(?:nc|nd|sa|noncommercial|sharealike))"),
     ("cc-by", "creative commons", 4, 0.95, r"\bcreative\s+commons[\s-]+(?:by|attribution)(?:[\s-]+\d\.\d)?\b(?![\s-]+(?:nc|nd|sa|noncommercial|sharealike))"),
@@ -75,14 +76,15 @@ SINGLE_RULES = (
     ("bsd", "redistribution", 4, 0.9, r"redistributions?\s+and\s+use\s+in\s+source\s+and\s+binary\s+forms"),
     ("public-domain", "public domain", 3, 0.85, r"(?:released|placed|dedicated|is)\s+(?:in|into|to)\s+the\s+public\s+domain"),
     ("proprietary", "proprietary", 3, 0.8, r"\bproprietary\s+and\s+confidential\b"),
-    ("proprietary", "reproduc", 2, 0.7, r"\b(?:may|must)\s+not\s+be\s+(?:copied|reproduced)(?:\s+or\s+\w+)?\s+without\b"),
+    ("proprietary", "not without", 2, 0.7, r"\b(?:may|must)\s+not\s+be\s+(?:copied|reproduced)(?:\s+or\s+\w+)?\s+without\b"),
 )
 
 
 @lru_cache(1)
 def rules() -> list[tuple[str, tuple[bytes, ...], float, re.Pattern]]:
     """(label, keywords, confidence, pattern), the strongest first.  A version
-    gives a rule of its own, one step above the plain name."""
+    gives a rule of its own, one step above the plain name.  Keywords are
+    single words, as a text may wrap anywhere between two."""
     out = [(label, (key,), 2 * p, c, pat) for label, key, p, c, pat in SINGLE_RULES]
     for label, key, name, versions in FAMILIES:
         for frame_key, priority, confidence, frame in FRAMES:
@@ -92,7 +94,7 @@ def rules() -> list[tuple[str, tuple[bytes, ...], float, re.Pattern]]:
                 plain = v.replace("\\.", ".").split("(?:")[0]
                 out.append((f"{label}-{plain}", (key, frame_key), priority * 2 + 1, confidence, exact))
     ordered = sorted(enumerate(out), key=lambda x: (-x[1][2], x[0]))
-    return [(label, tuple(k.encode() for k in keys), c, re.compile(pat)) for _, (label, keys, _, c, pat) in ordered]
+    return [(label, tuple(w.encode() for k in keys for w in k.split()), c, re.compile(pat)) for _, (label, keys, _, c, pat) in ordered]
 
 
 @lru_cache(1)

@@ -84,6 +84,22 @@ def test_stronger_rules_cover_weaker_ones():
     assert licenses.detect(b"mit freundlichen gr\xc3\xbc\xc3\x9fen") == []
 
 
+def test_keywords_never_hide_a_match():
+    """The rules behind the gate find what all rules find without it, also in texts that wrap."""
+    plain = ["released under the gnu free documentation license 1.3", "permission is hereby granted, free of charge", "under the do what the fudge you want to public license 2",
+             "the wtfpl license", "may not be copied without consent", "must not be reproduced or sold without", "distributed under the gnu library general public license, version 2",
+             "sil open font license: 1.1", "license: common public 1.0", "permission to use, copy, modify, and distribute", "placed in the public domain", "this is creative commons attribution 4.0",
+             "subject to the european union public licence v1.2", "under the terms of the gnu general public license, version 3", "open database license 1.0", "the python software foundation license 2",
+             "common development and distribution license 1.0", "spdx-license-identifier: mit", "© 2001, 2002 all rights reserved"]
+    for text in plain + [t.replace(" ", w) for t in plain for w in ("\n", "  ", " \t\n ")]:
+        found = []
+        for label, _, confidence, pattern in licenses.rules():
+            for m in pattern.finditer(text):
+                if not any(s <= m.start() and m.end() <= e for s, e, _, _ in found):
+                    found.append((m.start(), m.end(), label, confidence))
+        assert found and licenses.detect(text.encode()) == sorted(found), text
+
+
 def test_reliable_labelers_decide():
     p, rates = reliabilities([((1, 1, 0), 50.0), ((1, 1, 1), 30.0), ((-1, -1, 1), 60.0), ((-1, -1, 0), 40.0)], [None] * 4)
     assert min(p[:2]) > 0.9 > 0.1 > max(p[2:]) and rates[0][1][1] > rates[2][1][1]
