@@ -1,22 +1,22 @@
-"""Bulk-synchronous best-fit packing of documents into token sequences.
-
-Tokenised documents become rows (row, length).  Rounds go from long rows to
-short ones.  In a round the rows of one length band and the open gaps are
-put in one descending order of size (a gap before the rows that just fill
-it).  Going down that order a gap opens a level and a row takes the lowest
-level still open, so each row meets the smallest gap that holds it and that
-no longer row has taken.  This sweep needs no walk over the rows: ranks
-within each size, and running sums over the sizes (a table bounded by the
-sequence length), give every row and gap its level, and a row's gap is its
-neighbour on the level.  Ranks settle which of equal rows gets which of equal
-gaps.  Gaps shrink, and the sweep repeats while rows of the band still fit
-somewhere; the others open new sequences, as many to each as always fit.
+"""Best-fit packing of documents into token sequences.
+
+Tokenised documents become rows of a length.  Rows of one length are alike, so
+the number of rows of each length (a table bounded by the sequence length)
+decides how they are packed: from long to short, each row goes to the smallest
+gap that holds it, and opens a sequence only if none does.  All gaps of one
+size take rows of one length at once, and sequences that hold the same lengths
+form one run of sequences, so the plan has runs, not rows.  A rank among the
+rows of its length then gives every row its run, sequence and place, without a
+second pass.  Ranks settle which of equal rows goes where.
 """
 
 from __future__ import annotations
 
 import zlib
+from bisect import bisect_left, insort
+from collections import defaultdict
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -29,8 +29,6 @@ from callsheet.llm.store import shared_folder, stored
 
 #: Rows of one size are ranked in so many parts (a common length may hold a third of all rows).
 RANK_PARTS = 16
-#: Upper bounds of the bands as divisors of the sequence length.
-BANDS = (1, 2, 3, 4, 6, 10, 20, 64)
 
 
 def token_pieces(docs: DataFrame, capacity: int, id_column: str = "doc_id", text_column: str = "text",
@@ -68,44 +66,62 @@ def token_pieces(docs: DataFrame, capacity: int, id_column: str = "doc_id", text
     return docs.select(F.col(id_column).alias("_id"), F.col(text_column).alias("_text")).mapInArrow(run, schema)
 
 
-def _in_parts(df: DataFrame, size: str, key: str) -> tuple[DataFrame, DataFrame]:
-    """``df`` with ``_in``, its place (from 0) among rows of one size and part, and the parts' sizes."""
-    df = df.withColumn("_part", F.pmod(F.xxhash64(key), F.lit(RANK_PARTS)))
-    parts = df.groupBy(F.col(size).alias("_s"), F.col("_part").alias("_p")).agg(F.count(F.lit(1)).alias("_n"))
-    return df.withColumn("_in", F.row_number().over(Window.partitionBy(size, "_part").orderBy(key)) - 1), parts
-
-
-def _sweep(rows: DataFrame, gaps: DataFrame, least: int, most: int) -> DataFrame:
-    """(row, length, seq) for ``rows`` of ``least`` to ``most`` tokens: ``seq`` is null where no gap was left.
-
-    A gap that holds several rows of the band stands for several slots: all
-    but one hold ``most`` tokens, the last holds the rest.
-    """
-    slots = F.greatest(F.lit(1), F.floor(F.col("free") / most))
-    slot = gaps.filter(F.col("free") >= least).select(
-        "seq", "free", F.explode(F.sequence(F.lit(1), slots)).alias("k")).select(
-        F.xxhash64("seq", "k").alias("key"), "seq",
-        F.when(F.col("k") == 1, F.col("free") - (slots - 1) * most).otherwise(F.lit(most)).alias("size"), F.lit(0).alias("kind"))
-    events = slot.unionByName(rows.select(F.col("row").alias("key"), F.lit(None).cast("long").alias("seq"), F.col("length").alias("size"), F.lit(1).alias("kind")))
-    events, parts = _in_parts(events.withColumn("_class", F.col("size") * 2 + (1 - F.col("kind"))), "_class", "key")
-    # a class is a size of gaps or of rows: two a size, so these windows see a table bounded by the capacity
-    down = Window.orderBy(F.desc("_s"), "_p").rowsBetween(Window.unboundedPreceding, 0)
-    opens = F.col("_s") % 2 == 1
-    # sums at a class's end; a class only rises or only falls, so the least sum is at an end of one
-    parts = parts.withColumn("_sum", F.sum(F.when(opens, F.col("_n")).otherwise(-F.col("_n"))).over(down))
-    parts = parts.withColumn("_height", F.col("_sum") - F.least(F.lit(0), F.min("_sum").over(down)))
-    ahead = F.coalesce(F.lag("_height").over(Window.orderBy(F.desc("_s"), "_p")), F.lit(0))
-    parts = parts.select("_s", "_p", ahead.alias("_ahead"))  # the height at which the part begins
-    level = F.when(F.col("_class") % 2 == 1, F.col("_ahead") + F.col("_in")).otherwise(F.col("_ahead") - 1 - F.col("_in"))
-    events = events.join(F.broadcast(parts), (F.col("_class") == F.col("_s")) & (F.col("_part") == F.col("_p"))).withColumn("level", level)
-    on_level = Window.partitionBy(F.when(F.col("level") >= 0, F.col("level")).otherwise(-1 - F.pmod(F.xxhash64("key"), F.lit(1 << 20)))).orderBy(F.desc("_class"), "level")
-    met = events.withColumn("seq", F.when(F.col("kind") == 0, F.col("seq")).when(F.col("level") >= 0, F.lag("seq").over(on_level)))
-    return met.filter("kind = 1").select(F.col("key").alias("row"), F.col("size").alias("length"), "seq")
+def best_fit(sizes: dict[int, int], capacity: int) -> list[tuple[int, int, int, int, int]]:
+    """Runs (length, rows, first sequence, rows to a sequence, offset) of best-fit
+    decreasing packing, in the order of length and rank.  ``sizes`` counts rows by length."""
+    free: list[int] = []  # sizes of gaps, ascending
+    gaps: dict[int, list[tuple[int, int]]] = defaultdict(list)  # runs (first, count) of sequences by gap
+    out: list[tuple[int, int, int, int, int]] = []
+    opened = 0
+
+    def add(size: int, first: int, count: int) -> None:
+        if size and count:
+            if not gaps[size]:
+                insort(free, size)
+            gaps[size].append((first, count))
+
+    for length in sorted(sizes, reverse=True):
+        left = sizes[length]
+        while left:
+            at = bisect_left(free, length)
+            if at < len(free):
+                size = free[at]
+                first, count = gaps[size].pop()
+                if not gaps[size]:
+                    free.pop(at)
+            else:
+                size = capacity
+                first, count = opened, -(-left // (capacity // length))
+                opened += count
+            each = size // length  # what is left of the gap stays the smallest that holds such a row
+            whole = min(count, left // each)
+            rest = left - whole * each if whole < count else 0
+            if whole:
+                out.append((length, whole * each, first, each, capacity - size))
+                add(size - each * length, first, whole)
+            if rest:
+                out.append((length, rest, first + whole, rest, capacity - size))
+                add(size - rest * length, first + whole, 1)
+            add(size, first + whole + (rest > 0), count - whole - (rest > 0))
+            left -= whole * each + rest
+    return out
+
+
+def _placed(batches: Iterator[pa.RecordBatch], plan) -> Iterator[pa.RecordBatch]:
+    """(row, sequence_id, offset) of (row, length, part, place in the part) rows."""
+    codes, before, starts, runs = plan.value
+    for batch in batches:
+        length, part, place = (batch.column(i).to_numpy().astype(np.int64) for i in (1, 2, 3))
+        rank = before[np.searchsorted(codes, length * RANK_PARTS + part)] + place
+        run = np.searchsorted(starts, rank, "right") - 1
+        _, _, first, each, offset = runs[run].T
+        inside = rank - starts[run]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(first + inside // each), pa.array(offset + inside % each * length)], names=["row", "sequence_id", "offset"])
 
 
 def pack(pieces: DataFrame, capacity: int, length_column: str = "length") -> DataFrame:
-    """``pieces`` with ``sequence_id`` and ``offset``: best-fit packing into as
-    few sequences of ``capacity`` tokens as it finds, gapless from 0.
+    """``pieces`` with ``sequence_id`` and ``offset``: best-fit decreasing
+    packing into sequences of ``capacity`` tokens, gapless from 0.
 
     Every row gets a place; repeated rows are packed each.  Rows must be 1 to
     ``capacity`` long (null or other lengths fail).  An empty table stays
@@ -115,46 +131,21 @@ def pack(pieces: DataFrame, capacity: int, length_column: str = "length") -> Dat
     folder = shared_folder(spark)
     kept = [c for c in pieces.columns if c.lower() not in ("sequence_id", "offset")]
     checked = F.when(F.col(length_column).between(1, capacity), F.col(length_column)).otherwise(F.raise_error(F.lit("a length is not between 1 and the capacity")))
-    table = stored(pieces.select(*kept, F.monotonically_increasing_id().alias("_row"), checked.cast("long").alias("_length")), "pieces", folder)
-    rows = table.select(F.col("_row").alias("row"), F.col("_length").alias("length"))
-    sizes = {r["length"]: r["n"] for r in rows.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}  # capacity rows at most
-    placed: list[DataFrame] = []
-    gaps, opened = None, 0
-    bounds = sorted({max(1, capacity // k) for k in BANDS}, reverse=True)
-    for most, least in zip(bounds, [b + 1 for b in bounds[1:]] + [1], strict=True):
-        if not any(least <= s <= most for s in sizes):
-            continue
-        left = rows.filter(F.col("length").between(least, most))
-        n_left, shortest, turn = sum(n for s, n in sizes.items() if least <= s <= most), min(s for s in sizes if least <= s <= most), 0
-        while gaps is not None and n_left and (gaps.agg(F.max("free")).first()[0] or 0) >= shortest:
-            turn += 1
-            met = stored(_sweep(left, gaps, least, most), f"met_{most}_{turn}", folder)
-            hit = met.filter("seq is not null")
-            placed.append(hit.select("row", "seq", "length", F.lit(len(placed)).alias("step")))
-            used = hit.groupBy("seq").agg(F.sum("length").alias("used"))
-            gaps = stored(gaps.join(used, "seq", "left").select("seq", (F.col("free") - F.coalesce("used", F.lit(0))).alias("free")).filter("free > 0"), f"gaps_{most}_{turn}", folder)
-            left = met.filter("seq is null").select("row", "length")
-            n_left, shortest = left.agg(F.count(F.lit(1)), F.min("length")).first()
-        if n_left:
-            fit = capacity // most
-            new, parts = _in_parts(left, "length", "row")
-            above = Window.orderBy(F.desc("_s"), "_p").rowsBetween(Window.unboundedPreceding, -1)
-            parts = parts.select("_s", "_p", F.coalesce(F.sum("_n").over(above), F.lit(0)).alias("_before"))
-            new = new.join(F.broadcast(parts), (F.col("length") == F.col("_s")) & (F.col("_part") == F.col("_p")))  # capacity x RANK_PARTS rows at most
-            new = new.select("row", (F.floor((F.col("_before") + F.col("_in")) / fit) + opened).alias("seq"), "length", F.lit(len(placed)).alias("step"))
-            new = stored(new, f"new_{most}", folder)
-            placed.append(new)
-            opened += -(-n_left // fit)
-            fresh = new.groupBy("seq").agg((F.lit(capacity) - F.sum("length")).alias("free")).filter("free > 0")
-            gaps = fresh if gaps is None else gaps.unionByName(fresh)
-    if not placed:
-        return table.select(*kept, F.lit(None).cast("long").alias("sequence_id"), F.lit(None).cast("long").alias("offset"))
-    places = placed[0]
-    for p in placed[1:]:
-        places = places.unionByName(p)
-    before = Window.partitionBy("seq").orderBy("step", "row").rowsBetween(Window.unboundedPreceding, -1)
-    places = places.select("row", F.col("seq").alias("sequence_id"), F.coalesce(F.sum("length").over(before), F.lit(0)).alias("offset"))
-    return table.join(places, F.col("_row") == F.col("row")).select(*kept, "sequence_id", "offset")
+    table = stored(pieces.select(F.struct(*kept).alias("kept"), F.monotonically_increasing_id().alias("row"), checked.cast("long").alias("size")), "pieces", folder)
+    part = F.pmod(F.xxhash64("row"), F.lit(RANK_PARTS)).cast("long")
+    rows = table.withColumn("part", part)
+    # capacity x RANK_PARTS rows at most, in the order of the plan
+    parts = sorted(((r["size"], r["part"], r["n"]) for r in rows.groupBy("size", "part").agg(F.count(F.lit(1)).alias("n")).collect()), key=lambda x: (-x[0], x[1]))
+    sizes: dict[int, int] = defaultdict(int)
+    for size, _, n in parts:
+        sizes[size] += n
+    runs = np.array(best_fit(sizes, capacity), np.int64).reshape(-1, 5)
+    codes, n = np.array([s * RANK_PARTS + p for s, p, _ in parts], np.int64), np.array([n for _, _, n in parts], np.int64)
+    order = np.argsort(codes)
+    plan = spark.sparkContext.broadcast((codes[order], (np.cumsum(n) - n)[order], np.cumsum(runs[:, 1]) - runs[:, 1], runs))
+    ranked = rows.select("row", "size", "part", (F.row_number().over(Window.partitionBy("size", "part").orderBy("row")) - 1).alias("place"))
+    places = ranked.mapInArrow(partial(_placed, plan=plan), "row long, sequence_id long, offset long")
+    return table.join(places, "row").select("kept.*", "sequence_id", "offset")
 
 
 def pack_documents(docs: DataFrame, capacity: int = 2048, id_column: str = "doc_id", text_column: str = "text",

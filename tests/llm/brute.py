@@ -6,6 +6,7 @@ import base64
 import hashlib
 import re
 import zlib
+from bisect import bisect_left, insort
 from collections import Counter, defaultdict
 
 import public_tokenizers
@@ -51,6 +52,15 @@ def pieces(docs, capacity):
             yield doc, k, a, z - a, zlib.crc32(u32(ids[a:z]))
 
 
+def best_fit_decreasing(lengths, capacity):
+    """Tokens in each sequence, sorted: rows from long to short, each in the smallest gap that holds it."""
+    free = []
+    for n in sorted(lengths, reverse=True):
+        i = bisect_left(free, n)
+        insort(free, (free.pop(i) if i < len(free) else capacity) - n)
+    return sorted(capacity - f for f in free)
+
+
 def quality_base(text):
     text = text or ""
     words = WORD.findall(text)

@@ -1,6 +1,8 @@
 """Operators on a small table: null and empty texts, repeated rows, ties,
 copies, a clashing extra column, and the empty table."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -9,7 +11,7 @@ from callsheet.llm.licenses import scan_licenses
 from callsheet.llm.line_dedup import remove_shared_lines
 from callsheet.llm.nearest import nearest
 from callsheet.llm.ngram_join import link_components
-from callsheet.llm.packing import pack_documents
+from callsheet.llm.packing import pack, pack_documents
 from callsheet.llm.pii import pii_table, redact
 from callsheet.llm.quality import quality_verdicts, train_quality
 from callsheet.llm.substrings import remove_repeats
@@ -115,6 +117,24 @@ def test_packing(docs):
     assert len(places) <= -(-sum(r.length for r in got) // 256) + 1
 
 
+def test_packing_opens_no_more_than_best_fit_decreasing(spark):
+    """Many rows of one short length, mostly short rows, mixed rows: each sequence holds as much as in the plain version."""
+    rng = random.Random(4)
+    tables = [[40] * 9000, [1] * 9000, [205] * 3000 + [342] * 3000, [32] * 5 + [1] * 6000, [2048] * 3, [rng.randint(1, 2048) for _ in range(4000)], [min(2048, int(rng.paretovariate(0.8) * 9)) for _ in range(6000)]]
+    for lengths in tables:
+        df = spark.createDataFrame([(i, n) for i, n in enumerate(lengths)], "name long, length int").repartition(3)
+        places = {}
+        got = pack(df, 2048).collect()
+        assert sorted((r.name, r.length) for r in got) == list(enumerate(lengths))
+        for r in got:
+            places.setdefault(r.sequence_id, []).append((r.offset, r.length))
+        for p in places.values():
+            p.sort()
+            assert [o for o, _ in p] == [sum(n for _, n in p[:i]) for i in range(len(p))]
+        assert sorted(places) == list(range(len(places)))
+        assert sorted(sum(n for _, n in p) for p in places.values()) == brute.best_fit_decreasing(lengths, 2048)
+
+
 def test_nearest_with_invalid_rows_and_ties(spark):
     nan = float("nan")
     data = [(0, [1.0, 0.0]), (1, [0.5, 0.5]), (2, [0.5, -3.0]), (3, None), (4, [0.0, 0.0]), (5, [nan, 1.0]), (6, [1.0, None]), (None, [1.0, 1.0]), (7, []), (8, [1.0, 2.0, 3.0])]
