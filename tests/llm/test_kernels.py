@@ -100,6 +100,14 @@ def test_keywords_never_hide_a_match():
         assert found and licenses.detect(text.encode()) == sorted(found), text
 
 
+def test_shingles_are_counted_on_whole_hashes():
+    n = 3_000_000
+    h, at = ngram_join.shingle_sets([" ".join(map(str, range(n))).encode(), b"a b c d e f a b c d e"])
+    assert np.diff(at).tolist() == [n - 4, 6]
+    some = h[:1000]
+    assert (ngram_join._unpacked(ngram_join._packed(some)) == some).all()
+
+
 def test_reliable_labelers_decide():
     p, rates = reliabilities([((1, 1, 0), 50.0), ((1, 1, 1), 30.0), ((-1, -1, 1), 60.0), ((-1, -1, 0), 40.0)], [None] * 4)
     assert min(p[:2]) > 0.9 > 0.1 > max(p[2:]) and rates[0][1][1] > rates[2][1][1]
