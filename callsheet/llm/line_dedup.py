@@ -1,13 +1,16 @@
 """Line de-duplication by pairwise alignment.
 
-Documents overlap when they share a line that is rare in the sense that it
-tells documents apart: each line that two documents hold leads every later
-holder to the earliest one, so a line held by n documents makes n - 1 pairs
-and none is left out for being common.  A pair is aligned by patience diff
-over the lines it shares that way: lines that stand once on both sides make
-anchors, the longest increasing run of anchors is kept, and between anchors
-the same is done again; equal neighbours extend a block.  Aligned blocks are
-deleted from the later document.
+Lines with a word are compared, blank ones between them do not count.  A
+document whose lines are those of an earlier one goes whole; of such copies
+the first stands for all.  A block that may go is a run of lines with
+``MIN_BLOCK`` bytes or more that an earlier document holds too, so every line
+of it lies in a shortest run of that size, beginning or ending at the line.
+These runs, and runs of ``RUNS`` lines, lead each later holder to the earliest
+one: n holders make n - 1 pairs, and none is left out for being common.  A
+pair is aligned by patience diff over all lines both hold: lines that stand
+once on both sides make anchors, the longest increasing run of anchors is
+kept, and between anchors the same is done again; equal neighbours extend a
+block.  Aligned blocks are deleted from the later document.
 """
 
 from __future__ import annotations
@@ -28,15 +31,18 @@ from callsheet.llm.store import row_key, shared_folder, stored
 
 #: A block is deleted if its lines have at least so many characters (bytes of UTF-8) together.
 MIN_BLOCK = 20
-#: Parts into which the holders of one line are dealt.
+#: Lengths of the runs of lines that lead to documents with more in common, in the same order.
+RUNS = (2, 4, 8)
+#: Parts into which the holders of one run are dealt.
 SALTS = 16
 
 _WS = np.zeros(256, bool)
 _WS[[9, 10, 11, 12, 13, 32]] = True
 
 
-def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(line, id, key, at, size): every line with a word, by its place in the text; (id, key, text) come in."""
+def _documents(batches: Iterator[pa.RecordBatch], min_block: int) -> Iterator[pa.RecordBatch]:
+    """(id, key, whole, lines, at, size) of (id, key, text) rows that have a block's size: the lines with
+    a word, their places in the text and their sizes; ``whole`` names the list of lines."""
     for batch in batches:
         texts = utf8(batch.column(2))
         for a, z in chunks(texts):
@@ -49,9 +55,45 @@ def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             keep = filled[stop] > filled[start]
             at = (np.arange(len(start)) - first[text])[keep]
             h = hash_slices(buf, start[keep], stop[keep])
-            where = pa.array(text[keep] + a)
-            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), batch.column(0).take(where), batch.column(1).take(where), pa.array(at.astype(np.int32)), pa.array((stop - start)[keep].astype(np.int32))],
-                                             names=["line", "id", "key", "at", "size"])
+            size = (stop - start)[keep]
+            edge = np.searchsorted(text[keep], np.arange(z - a + 1))
+            sums = np.concatenate([[0], np.cumsum(size)])
+            big = np.flatnonzero((sums[edge[1:]] - sums[edge[:-1]] >= min_block) & (edge[1:] > edge[:-1]))
+            if not len(big):
+                continue
+            where = pa.array(big + a)
+            whole = hash_slices(h, edge[big], edge[big + 1])
+            lists = [pa.ListArray.from_arrays(pa.array(edge, pa.int32()), pa.array(x)).take(pa.array(big)) for x in (h.view(np.int64), at.astype(np.int32), size.astype(np.int32))]
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(where), batch.column(1).take(where), pa.array(whole.view(np.int64)), *lists], names=["id", "key", "whole", "lines", "at", "size"])
+
+
+def run_names(lines: np.ndarray, size: np.ndarray, min_block: int) -> np.ndarray:
+    """Names of the runs of one document that lead to others: from each line
+    and up to each line the shortest of ``min_block`` bytes, and ``RUNS``."""
+    n = len(lines)
+    sums = np.concatenate([[0], np.cumsum(size)])
+    here = np.arange(n)
+    end = np.searchsorted(sums, sums[:-1] + min_block)
+    begin = np.searchsorted(sums, sums[1:] - min_block, "right") - 1
+    spans = [(here[end <= n], end[end <= n]), (begin[begin >= 0], here[begin >= 0] + 1)]
+    spans += [(here[:n - k + 1], here[:n - k + 1] + k) for k in RUNS if k <= n]
+    start, stop = (np.concatenate([x[i] for x in spans]) for i in (0, 1))
+    large = sums[stop] - sums[start] >= min_block
+    return np.unique(hash_slices(lines, start[large], stop[large])).view(np.int64)
+
+
+def _runs(batches: Iterator[pa.RecordBatch], min_block: int, shared=None) -> Iterator[pa.RecordBatch]:
+    """(run, id, key) of (id, key, lines, size) rows, of the shared runs only if they are given."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            lines, size = (batch.column(c)[i].values.to_numpy() for c in (2, 3))
+            runs = run_names(lines.view(np.uint64), size, min_block)
+            if shared is not None:
+                runs = runs[may_hold(shared.value, runs)] if len(runs) else runs
+            for s in range(0, len(runs), 100_000):
+                part = runs[s:s + 100_000]
+                where = pa.array(np.full(len(part), i))
+                yield pa.RecordBatch.from_arrays([pa.array(part), batch.column(0).take(where), batch.column(1).take(where)], names=["run", "id", "key"])
 
 
 def patience(a: list[int], b: list[int], ids_a: list[int], ids_b: list[int]) -> list[tuple[int, int]]:
@@ -131,18 +173,20 @@ def deleted_lines(a: list[tuple[int, int]], b: list[tuple[int, int, int]], min_b
 
 
 def _aligned(batches: Iterator[pa.RecordBatch], min_block: int) -> Iterator[pa.RecordBatch]:
-    """(key, gone) of (later, lines) rows, one for each pair."""
+    """(key, gone) of (later, lines there, lines here, places here, sizes here) rows, one for each pair."""
     for batch in batches:
         gone = []
-        for lines in batch.column(1).to_pylist():
-            a = [(p, x["line"]) for x in lines for p in x["there"]]
-            b = [(p, x["line"], x["size"]) for x in lines for p in x["here"]]
-            gone.append(deleted_lines(a, b, min_block))
+        for i in range(batch.num_rows):
+            there, here, at, size = (batch.column(c)[i].values.to_numpy() for c in range(1, 5))
+            a, b = np.flatnonzero(np.isin(there, here)), np.flatnonzero(np.isin(here, there))
+            places = deleted_lines(list(zip(a.tolist(), there[a].tolist(), strict=True)), list(zip(b.tolist(), here[b].tolist(), size[b].tolist(), strict=True)), min_block)
+            gone.append(at[places].tolist())
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(gone, pa.list_(pa.int32()))], names=["key", "gone"])
 
 
 def _cut(batches: Iterator[pa.RecordBatch], text_at: int, key_at: int, gone_at: int | None, flagged=None) -> Iterator[pa.RecordBatch]:
-    """Rows with their text less the lines that go, and two counts; the helper columns go too."""
+    """Rows with their text less the lines that go (the place -1 stands for
+    every line with a word), and two counts; the helper columns go too."""
     for batch in batches:
         if flagged is not None:
             batch = batch.filter(pa.array(~may_hold(flagged.value, batch.column(key_at).to_numpy())))
@@ -152,8 +196,9 @@ def _cut(batches: Iterator[pa.RecordBatch], text_at: int, key_at: int, gone_at:
         for t, g in zip(texts, lists, strict=True):
             lines.append(0 if not t else t.count("\n") + 1)
             if g:
-                drop = set(g)
-                t = "\n".join([x for i, x in enumerate(t.split("\n")) if i not in drop])
+                split = t.split("\n")
+                drop = {i for i, x in enumerate(split) if x.strip(" \t\n\v\f\r")} if -1 in g else set(g)
+                t = "\n".join([x for i, x in enumerate(split) if i not in drop])
                 removed.append(len(drop))
             else:
                 removed.append(0)
@@ -185,16 +230,33 @@ def remove_shared_lines(docs: DataFrame, id_column: str = "doc_id", text_column:
         raise ValueError("columns of docs clash with those of the result")
     keyed = docs.withColumn("_line_key", row_key(id_column, text_column))
     rows = keyed.select(F.col(id_column).cast("long").alias("id"), F.col("_line_key").alias("key"), F.col(text_column).alias("text"))
-    lines = rows.mapInArrow(_lines, "line long, id long, key long, at int, size int")
-    held = lines.groupBy("line", "key").agg(F.min("id").alias("id"), F.array_sort(F.collect_set("at")).alias("places"), F.min("size").alias("size"))
-    held = stored(held, "held", folder)
+    all_ = rows.mapInArrow(partial(_documents, min_block=min_block), "id long, key long, whole long, lines array<long>, at array<int>, size array<int>")
+    all_ = stored(all_, "lines", folder)
+    # of documents with the same lines the first stands for all; the others go whole
+    ranked = F.struct(F.col("id").isNull().alias("none"), "id", "key", "lines", "at", "size")
+    once = all_.groupBy("whole").agg(F.min(ranked).alias("d"), F.max("key").alias("_high"), F.min("key").alias("_low"))
+    once = stored(once.select("whole", "d.*", (F.col("_high") != F.col("_low")).alias("copied")), "once", folder)
+    salt = F.pmod(F.xxhash64("key"), F.lit(SALTS)).cast("int")
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_t")
+    lead = once.filter("copied").select(F.col("whole").alias("_w"), F.col("key").alias("first"), salts)
+    copies = all_.select("whole", "key").distinct().withColumn("_salt", salt).join(lead, (F.col("whole") == F.col("_w")) & (F.col("_salt") == F.col("_t")) & (F.col("key") != F.col("first")))
+    copies = copies.select("key", F.array(F.lit(-1)).alias("gone"))
+    # each run leads its later holders to the first one
+    docs_ = once.select("id", "key", "lines", "size")
+    runs = docs_.mapInArrow(partial(_runs, min_block=min_block), "run long, id long, key long")
     rank = F.struct(F.col("id").isNull().alias("none"), F.col("id").alias("id"), F.col("key").alias("key"))
-    first = held.groupBy("line").agg(F.min(rank).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("line", F.col("first.key").alias("key"))
-    there = held.join(first, ["line", "key"]).select(F.col("line").alias("_l"), F.col("key").alias("earlier"), F.col("places").alias("there"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_t"))
-    here = held.withColumn("_salt", F.pmod(F.xxhash64("key"), F.lit(SALTS)).cast("int"))
-    match = here.join(there, (F.col("line") == F.col("_l")) & (F.col("_salt") == F.col("_t")) & (F.col("key") != F.col("earlier")))
-    pairs = match.groupBy("earlier", "key").agg(F.collect_list(F.struct("line", "there", F.col("places").alias("here"), "size")).alias("lines"))
-    gone = pairs.select("key", "lines").mapInArrow(partial(_aligned, min_block=min_block), "key long, gone array<int>").filter(F.size("gone") > 0)
+    first = runs.groupBy("run").agg(F.min(rank).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    first = stored(first.select(F.col("run").alias("_r"), F.col("first.key").alias("earlier")), "first", folder)
+    shared = key_filter(first.select("_r"))
+    held = docs_.mapInArrow(partial(_runs, min_block=min_block, shared=shared), "run long, id long, key long").select("run", "key").withColumn("_salt", salt)
+    match = held.join(first.select("_r", "earlier", salts), (F.col("run") == F.col("_r")) & (F.col("_salt") == F.col("_t")) & (F.col("key") != F.col("earlier")))
+    pairs = stored(match.select("earlier", "key", "_salt").distinct(), "pairs", folder)
+    # a document may be the first holder for a third of the others
+    there = once.join(pairs.select("earlier").distinct(), F.col("key") == F.col("earlier"), "left_semi").select(F.col("key").alias("_e"), F.col("lines").alias("there"), salts)
+    here = once.select(F.col("key").alias("_k"), F.col("lines").alias("here"), "at", "size")
+    both = pairs.join(there, (F.col("earlier") == F.col("_e")) & (F.col("_salt") == F.col("_t"))).join(here, F.col("key") == F.col("_k"))
+    gone = both.select("key", "there", "here", "at", "size").mapInArrow(partial(_aligned, min_block=min_block), "key long, gone array<int>").filter(F.size("gone") > 0)
+    gone = gone.unionByName(copies)
     gone = stored(gone.groupBy(F.col("key").alias("_gone_key")).agg(F.array_distinct(F.flatten(F.collect_list("gone"))).alias("_gone")), "gone", folder)
     flagged = key_filter(gone.select("_gone_key"))
     names = docs.columns

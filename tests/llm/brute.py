@@ -98,6 +98,21 @@ def base_spans(text):
     return [(kind, s, e) for s, _, kind, e in sorted(out)]
 
 
+def kept_lines(docs, deleted):
+    """docs: (id, text) rows in order; text of each less the blocks aligned (by ``deleted``) with any earlier one."""
+    lists = [[(i, x) for i, x in enumerate(t.split("\n")) if WORD.search(x)] for _, t in docs]
+    out = []
+    for k, (_, text) in enumerate(docs):
+        gone = set()
+        for other in lists[:k]:
+            both = {x for _, x in other} & {x for _, x in lists[k]}
+            a = [(p, x) for p, (_, x) in enumerate(other) if x in both]
+            b = [(p, x, len(x.encode())) for p, (_, x) in enumerate(lists[k]) if x in both]
+            gone.update(lists[k][p][0] for p in deleted(a, b))
+        out.append("\n".join(x for i, x in enumerate(text.split("\n")) if i not in gone))
+    return out
+
+
 def shingles(text):
     words = WORD.findall(lower(text))
     if not words:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from callsheet.llm.encoding import encode_texts
 from callsheet.llm.licenses import scan_licenses
-from callsheet.llm.line_dedup import remove_shared_lines
+from callsheet.llm.line_dedup import deleted_lines, remove_shared_lines
 from callsheet.llm.nearest import nearest
 from callsheet.llm.ngram_join import link_components
 from callsheet.llm.packing import pack, pack_documents
@@ -101,6 +101,28 @@ def test_line_dedup(docs):
     assert by_id[12].text == "é中🙂" * 50 and by_id[4].text is None and by_id[5].text == ""
 
 
+def test_line_dedup_against_all_earlier_documents(spark):
+    """Lines that cross in their first holder, copies and passages of short lines from several documents, blank lines between."""
+    rng = random.Random(6)
+    x, y = "the line called X, twenty bytes", "the line called Y, twenty bytes"
+    verse = [f"short {i}" for i in range(40)]
+    texts = [f"{y}\n{x}", f"{x}\n{y}", f"{x}\n{y}", *["\n".join(verse[i::3]) for i in range(3)], "\n".join(verse), "\n\n".join(verse), "\n".join(verse), "own\n" + "\n".join(verse[5:9]) + "\nend", "a b\nc d", "a b\nc d"]
+    for k in range(60):
+        if k % 3 == 0 or len(texts) < 15:
+            texts.append("\n".join(f"{rng.choice('abcd') * rng.randint(1, 9)} {k} {i}" for i in range(rng.randint(3, 15))))
+        else:
+            parts = [f"new {k}"]
+            for t in rng.sample(texts[12:], 2):
+                old = t.split("\n")
+                at = rng.randrange(len(old))
+                parts += [*old[at:at + rng.randint(2, 8)], *([""] * rng.randint(0, 1)), f"own {k} {len(parts)}"]
+            texts.append("\n".join(parts))
+    table = list(enumerate(texts))
+    got = {r.doc_id: r.text for r in remove_shared_lines(spark.createDataFrame(table, "doc_id long, text string").repartition(3)).collect()}
+    want = brute.kept_lines(table, deleted_lines)
+    assert [got[i] for i in range(len(want))] == want
+
+
 def test_ngram_join(docs):
     assert rows(link_components(docs), "doc_id", "n_shingles", "component_id") == sorted(brute.jaccard_components(ROWS), key=repr)
 
