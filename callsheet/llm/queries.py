@@ -49,7 +49,7 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return link_components(_table(spark, sf_dir, "documents")).drop("key")
+    return link_components(_table(spark, sf_dir, "documents")).drop("key", "root")
 
 
 def op7_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:

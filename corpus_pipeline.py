@@ -30,9 +30,13 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, the one with the smallest id."""
+    """One document of each group of near duplicates, the one with the smallest
+    id (null ids last), of several with that id the one with the least key;
+    documents without words are kept, repeated rows once."""
     groups = link_components(docs)
-    kept = groups.filter(F.col("component_id").isNull() | (F.col("component_id") == F.col("doc_id"))).select(F.col("key").alias("_kept")).distinct()
+    best = F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("key"))).alias("best")
+    kept = groups.filter("root is not null").groupBy("root").agg(best).select(F.col("best.key").alias("_kept"))
+    kept = kept.unionByName(groups.filter("root is null").select(F.col("key").alias("_kept"))).distinct()
     rows = docs.withColumn("_key", row_key()).join(kept, F.col("_key") == F.col("_kept"), "left_semi")
     return rows.dropDuplicates(["_key"]).select(*docs.columns)
 

@@ -34,3 +34,13 @@ def test_stages(spark):
     pieces = corpus_pipeline.STAGES[-1][1](spark, docs, SF).collect()
     plain = brute.pieces([(r.doc_id, r.text) for r in before.values()], 2048)
     assert sorted((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in pieces) == sorted(plain)
+
+
+def test_one_document_of_each_group_without_or_with_repeated_ids(spark):
+    base = " ".join(f"word{i}" for i in range(60))
+    other = " ".join(f"else{i}" for i in range(60))
+    table = [(None, base), (None, base + " a"), (None, base + " b"), (5, other + " a"), (5, other + " b"), (6, other), (7, "alone"), (None, ""), (8, None)]
+    got = corpus_pipeline.near_duplicates(spark, spark.createDataFrame(table, "doc_id long, text string"), "").collect()
+    assert sum((r.text or "").startswith("word") for r in got) == 1
+    assert [r.doc_id for r in got if (r.text or "").startswith("else")] == [5]
+    assert len(got) == 5 and {(7, "alone"), (None, ""), (8, None)} <= {tuple(r) for r in got}
