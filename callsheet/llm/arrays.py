@@ -14,11 +14,11 @@ import pyarrow as pa
 #: Texts are worked on in chunks of at most so many UTF-8 bytes (one longer
 #: text makes a chunk of its own), so that a task's memory does not follow
 #: the number of rows in an Arrow batch.
-CHUNK_BYTES = 3_000_000
+CHUNK_BYTES = 1_000_000
 
 _WS = np.zeros(256, bool)
 _WS[[9, 10, 11, 12, 13, 32]] = True
-_BASE = 0x9E3779B97F4A7C15  # odd, so that it has an inverse modulo 2**64
+_BASE = 0x1E3779B97F4A7C15  # below the prime that hash_slices counts with
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
@@ -63,36 +63,100 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def _lanes(buf: np.ndarray, starts: np.ndarray, lens: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The slices' bytes as little-endian 64-bit values (the last one of a slice filled up with
+    zeros), how many each slice has, and where each slice's begin."""
+    count = (lens + 7) >> 3
+    first = np.cumsum(count) - count
+    at = np.repeat(starts - 8 * first, count) + 8 * np.arange(int(count.sum()))
+    padded = np.concatenate([buf, np.zeros(8, np.uint8)])
+    lanes = np.ndarray((len(buf) + 1,), "<u8", padded.data, strides=(1,))[at]
+    full = np.flatnonzero((lens & 7) > 0)
+    last = first[full] + count[full] - 1
+    lanes[last] &= (np.uint64(1) << (8 * (lens[full] & 7)).astype(np.uint64)) - np.uint64(1)
+    return lanes, count, first
+
+
+def _hash_lanes(lanes: np.ndarray, count: np.ndarray, first: np.ndarray, lens: np.ndarray) -> np.ndarray:
+    """Each value is scrambled together with its place in the slice before the sum is taken."""
+    place = mix((np.arange(len(lanes)) - np.repeat(first, count)).astype(np.uint64) + np.uint64(1))
+    total = np.zeros(len(lanes) + 1, np.uint64)
+    np.cumsum(mix(lanes + place) * (place | np.uint64(1)), out=total[1:])
+    return mix(total[first + count] - total[first] ^ lens.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+
+
+def hash_bytes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the byte slices ``buf[start:end]``; slices of one
+    length up to 8 have equal hashes only if they are equal."""
+    lens = ends - starts
+    return _hash_lanes(*_lanes(buf, starts, lens), lens)
+
+
+def distinct(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of the byte slices, the indices of one of each kind, and the kind of
+    each slice.  Kinds are told by hash, then compared byte by byte."""
+    lens = ends - starts
+    lanes, count, first = _lanes(buf, starts, lens)
+    _, at, kind = np.unique(_hash_lanes(lanes, count, first, lens), return_index=True, return_inverse=True)
+    stands = at[kind]
+    if (lens == lens[stands]).all() and (lanes == lanes[ragged(first[stands], count)]).all():
+        return at, kind
+    raw, seen = buf.tobytes(), {}
+    kind = np.array([seen.setdefault(raw[s:e], len(seen)) for s, e in zip(starts.tolist(), ends.tolist(), strict=True)], np.int64)
+    return np.unique(kind, return_index=True)[1], kind
+
+
+# ---- slices of 64-bit values: sums of value x power modulo a prime ---------
+_PRIME = np.uint64((1 << 61) - 1)
+
+
+def _reduced(x: np.ndarray) -> np.ndarray:
+    x = (x & _PRIME) + (x >> np.uint64(61))
+    return np.where(x >= _PRIME, x - _PRIME, x)
+
+
+def _times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Products modulo the prime 2**61 - 1 of values below it."""
+    half, low = np.uint64(31), np.uint64((1 << 31) - 1)
+    a1, a0, b1, b0 = a >> half, a & low, b >> half, b & low
+    mid = a1 * b0 + a0 * b1
+    return _reduced(np.uint64(2) * a1 * b1 + (mid >> np.uint64(30)) + ((mid & np.uint64((1 << 30) - 1)) << half) + a0 * b0)
+
+
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse, ``n`` of each at least."""
     size = 1 << max(16, int(n).bit_length())
     if size not in _POWERS:
         _POWERS.clear()
         out = []
-        for b in (_BASE, pow(_BASE, -1, 1 << 64)):
-            p = np.full(size, b, np.uint64)
-            p[0] = 1
-            out.append(np.multiply.accumulate(p))
+        for base in (_BASE, pow(_BASE, -1, int(_PRIME))):
+            p = np.ones(size, np.uint64)
+            k = 1
+            while k < size:
+                p[k:2 * k] = _times(p[:k], np.full(k, pow(base, k, int(_PRIME)), np.uint64))
+                k *= 2
+            out.append(p)
         _POWERS[size] = (out[0], out[1])
     return _POWERS[size]
 
 
 def hash_slices(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of ``values[start:end]``; equal slices have equal hashes wherever they stand."""
+    """64-bit hashes of ``values[start:end]`` of scrambled 64-bit values; equal
+    slices have equal hashes wherever they stand, and slices may overlap."""
     power, inverse = _powers(len(values) + 1)
-    total = np.zeros(len(values) + 1, np.uint64)
-    v = values.astype(np.uint64)
-    v += np.uint64(1)
-    v *= power[: len(values)]
-    np.cumsum(v, out=total[1:])
-    h = total[ends] - total[starts]
-    h *= inverse[starts]
-    return mix(h ^ (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+    v = _times(_reduced(values.astype(np.uint64)), power[:len(values)])
+    high, low = np.zeros(len(v) + 1, np.uint64), np.zeros(len(v) + 1, np.uint64)
+    np.cumsum(v >> np.uint64(32), out=high[1:])
+    np.cumsum(v & np.uint64(0xFFFFFFFF), out=low[1:])
+    up, down = high[ends] - high[starts], low[ends] - low[starts]
+    total = _reduced((up >> np.uint64(29)) + ((up & np.uint64((1 << 29) - 1)) << np.uint64(32)) + down)
+    return mix(_times(total, inverse[starts]) ^ (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
 def word_hashes(buf: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """A hash of each word, and the index of each text's first word (and the end)."""
     starts, ends, first = word_spans(buf, begins)
-    return hash_slices(buf, starts, ends), first
+    return hash_bytes(buf, starts, ends), first
 
 
 def windows(hashes: np.ndarray, first: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:

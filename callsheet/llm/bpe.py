@@ -20,10 +20,10 @@ from functools import lru_cache
 import numpy as np
 import public_tokenizers
 
-from callsheet.llm.arrays import hash_slices, joined, ragged
+from callsheet.llm.arrays import distinct, joined, ragged
 
 #: Encoded pre-tokens a worker keeps; at this size the cache starts anew (results do not change).
-CACHE_ENTRIES = 500_000
+CACHE_ENTRIES = 200_000
 #: Pre-tokens of more bytes are merged one by one with a heap instead of side by side.
 LONG_PRETOKEN = 48
 
@@ -315,8 +315,7 @@ class Encoder:
         buf, starts, ends, first = pretokens(texts)
         if not len(starts):
             return np.zeros(0, np.uint32), np.zeros(len(texts) + 1, np.int64)
-        h = hash_slices(buf, starts, ends)
-        _, at, inverse = np.unique(h, return_index=True, return_inverse=True)
+        at, inverse = distinct(buf, starts, ends)
         raw = buf.tobytes()
         words = [raw[s:e] for s, e in zip(starts[at].tolist(), ends[at].tolist(), strict=True)]
         cache = self.cache

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from callsheet.llm.arrays import chunks, hash_slices, joined, utf8
+from callsheet.llm.arrays import chunks, hash_bytes, joined, utf8
 
 #: Fixed phrases whose places are counted, with their labels.
 BASE_PHRASES = (("cc by", "cc-by"), ("general public license", "gpl"), ("all rights reserved", "reserved"))
@@ -144,7 +144,7 @@ def scan_licenses(docs: DataFrame, id_column: str = "doc_id", text_column: str =
         for phrase, label in BASE_PHRASES:
             one, begins = joined([phrase.replace(" ", "\n").encode()])
             edge = np.flatnonzero(np.diff(np.concatenate([[0], _IN_WORD[one].astype(np.int8), [0]])))
-            phrases.append((hash_slices(one, edge[::2], edge[1::2]), label))
+            phrases.append((hash_bytes(one, edge[::2], edge[1::2]), edge[1::2] - edge[::2], label))
         for batch in batches:
             texts = utf8(batch.column(1))
             for a, z in chunks(texts):
@@ -153,14 +153,14 @@ def scan_licenses(docs: DataFrame, id_column: str = "doc_id", text_column: str =
                 edge = np.flatnonzero(np.diff(np.concatenate([[0], _IN_WORD[buf].astype(np.int8), [0]])))
                 starts, ends = edge[::2], edge[1::2]
                 first = np.searchsorted(starts, begins)
-                words = hash_slices(buf, starts, ends)
+                words, lens = hash_bytes(buf, starts, ends), ends - starts
                 places: dict[int, list[int]] = {}
                 labels: dict[int, set[str]] = {}
-                for hashes, label in phrases:
+                for hashes, sizes, label in phrases:
                     n = len(hashes)
                     hit = np.ones(max(0, len(words) - n + 1), bool)
-                    for k, h in enumerate(hashes):
-                        hit &= words[k:len(words) - n + 1 + k] == h
+                    for k, (h, size) in enumerate(zip(hashes, sizes, strict=True)):  # words of up to 8 bytes: equal if hash and length are
+                        hit &= (words[k:len(words) - n + 1 + k] == h) & (lens[k:len(words) - n + 1 + k] == size)
                     at = np.flatnonzero(hit)
                     text = np.searchsorted(first, at, "right") - 1
                     inside = at + n <= first[text + 1]

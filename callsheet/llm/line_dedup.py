@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from callsheet.llm.arrays import chunks, hash_slices, joined, utf8
+from callsheet.llm.arrays import chunks, hash_bytes, hash_slices, joined, utf8
 from callsheet.llm.keyfilter import key_filter, may_hold
 from callsheet.llm.store import row_key, shared_folder, stored
 
@@ -54,7 +54,7 @@ def _documents(batches: Iterator[pa.RecordBatch], min_block: int) -> Iterator[pa
             filled = np.concatenate([[0], np.cumsum(~_WS[buf])])
             keep = filled[stop] > filled[start]
             at = (np.arange(len(start)) - first[text])[keep]
-            h = hash_slices(buf, start[keep], stop[keep])
+            h = hash_bytes(buf, start[keep], stop[keep])
             size = (stop - start)[keep]
             edge = np.searchsorted(text[keep], np.arange(z - a + 1))
             sums = np.concatenate([[0], np.cumsum(size)])

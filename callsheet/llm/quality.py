@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from callsheet.llm.arrays import chunks, hash_slices, joined, mix, utf8, windows, word_spans
+from callsheet.llm.arrays import chunks, distinct, hash_bytes, joined, mix, utf8, word_spans
 
 #: The classifier is fitted on at most so many labelled rows, those with the smallest hash of their id.
 MAX_LABELLED = 1500
@@ -50,7 +50,7 @@ def _grams(texts: list[bytes]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]
     shift = np.uint64(64 - BITS)
     buf, begins = joined(texts)
     starts, ends, first = word_spans(buf, begins)
-    words = hash_slices(buf, starts, ends)
+    words = hash_bytes(buf, starts, ends)
     out = [((words >> shift).astype(np.int32), first[:-1], first[1:])]
     pair = mix(words[:-1] * np.uint64(3) + words[1:]) if len(words) > 1 else words[:0]
     out.append(((pair >> shift).astype(np.int32), first[:-1], np.maximum(first[:-1], first[1:] - 1)))
@@ -83,7 +83,6 @@ def base_counts(texts: list[bytes]) -> dict[str, np.ndarray]:
     buf, begins = joined(texts)
     begin, end = begins[:-1], begins[1:]
     starts, ends, first = word_spans(buf, begins)
-    text_of = np.arange(len(texts))
     symbol = np.zeros(256, bool)
     symbol[list(SYMBOLS)] = True
     chars = ~_WS[buf] & ((buf & 0xC0) != 0x80)
@@ -94,20 +93,20 @@ def base_counts(texts: list[bytes]) -> dict[str, np.ndarray]:
     with_word = filled[stop] > filled[start]
     start, stop = start[with_word], stop[with_word]
     line_text = np.searchsorted(begins, start, "right") - 1
-    key = mix(hash_slices(buf, start, stop) + mix(line_text))
-    _, once = np.unique(key, return_index=True)
-    repeat = np.ones(len(key), bool)
+    _, once = np.unique(line_text * max(1, len(start)) + distinct(buf, start, stop)[1], return_index=True)
+    repeat = np.ones(len(start), bool)
     repeat[once] = False
     dup = np.bincount(line_text[repeat], minlength=len(texts))
     # words in three-word windows found twice or more
-    at, three = windows(hash_slices(buf, starts, ends), first, 3)
-    at_text = np.searchsorted(first, at, "right") - 1
-    _, back, n = np.unique(mix(three + mix(at_text)), return_inverse=True, return_counts=True)
+    text = np.repeat(np.arange(len(texts)), np.diff(first))
+    word = np.unique(text * max(1, len(starts)) + distinct(buf, starts, ends)[1], return_inverse=True)[1]
+    at = np.flatnonzero(text[:-2] == text[2:]) if len(text) > 2 else np.zeros(0, np.int64)
+    two = np.unique(word[at] * max(1, len(starts)) + word[at + 1], return_inverse=True)[1]
+    _, back, n = np.unique(two * max(1, len(starts)) + word[at + 2], return_inverse=True, return_counts=True)
     covered = np.zeros(len(starts) + 3, bool)
     again = at[n[back] > 1] if len(at) else at
     for k in range(3):
         covered[again + k] = True
-    del text_of
     return {
         "n_words": np.diff(first), "word_chars": _per_text(chars, begin, end), "n_symbols": _per_text(symbol[buf], begin, end),
         "n_dup_lines": dup, "n_repeat_words": _per_text(covered[:len(starts)], first[:-1], first[1:]),

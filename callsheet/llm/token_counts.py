@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from callsheet.llm.arrays import chunks, hash_slices, joined, utf8, word_spans
+from callsheet.llm.arrays import chunks, distinct, joined, utf8, word_spans
 
 #: Terminal counts a worker keeps; at this size it starts anew (results do not change).
 CACHE_ENTRIES = 400_000
@@ -91,7 +91,7 @@ def count_tokens(docs: DataFrame, id_column: str = "doc_id", text_column: str =
             for a, z in chunks(texts):
                 buf, begins = joined(texts[a:z])
                 starts, ends, first = word_spans(buf, begins)
-                _, at, back = np.unique(hash_slices(buf, starts, ends), return_index=True, return_inverse=True)
+                at, back = distinct(buf, starts, ends)
                 raw = buf.tobytes()
                 words = [raw[s:e] for s, e in zip(starts[at].tolist(), ends[at].tolist(), strict=True)]
                 new = [w for w in words if w not in known]
