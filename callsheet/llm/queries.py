@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from callsheet.llm.conversations import repair_edits, repair_report
 from callsheet.llm.encoding import encode_texts
 from callsheet.llm.licenses import scan_licenses
 from callsheet.llm.line_dedup import remove_shared_lines
@@ -17,6 +18,7 @@ from callsheet.llm.pii import pii_table
 from callsheet.llm.quality import quality_verdicts, train_quality
 from callsheet.llm.substrings import remove_repeats
 from callsheet.llm.token_counts import count_tokens
+from callsheet.llm.url_filter import judge_urls, rule_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -69,7 +71,44 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(_table(spark, sf_dir, "documents"))
 
 
+def damaged(conversations: DataFrame) -> DataFrame:
+    """``conversations`` with a twentieth of its rows each dropped (``absent`` is
+    then true), emptied, stripped of ``.!?``, repeated, or given to the user."""
+    name = F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")])
+    text = F.coalesce("text", F.lit(" "))
+    hit = F.col("hit")
+    return conversations.withColumn("hit", F.crc32(name) % 20).select(
+        "conv_id", "turn", F.when(hit == 4, "user").otherwise(F.coalesce("role", F.lit(" "))).alias("role"),
+        F.when(hit == 1, "").when(hit == 2, F.regexp_replace(text, "[.!?]", "")).otherwise(text).alias("text"),
+        (hit == 0).alias("absent"), F.explode(F.when(hit == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))).alias("again"))
+
+
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_report(repair_edits(damaged(_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")), absent_column="absent"))
+
+
+#: The rules that the query judges by: host, beginning of the path, verdict.
+URL_RULES = (("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block"))
+
+
+def op12_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(_table(spark, sf_dir, "pages"), rule_table(spark, URL_RULES))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_best_fit_packing, op2_line_dedup, op3_byte_bpe, op4_quality_rules, op5_pii, op6_ngram_jaccard, op7_nearest_neighbours,
-    op8_token_counts, op9_license_scan, op10_substring_dedup)}
-ORACLE_SQL: dict[str, str] = {}
+    op8_token_counts, op9_license_scan, op10_substring_dedup, op11_conversation_repair, op12_url_filter)}
+ORACLE_SQL: dict[str, str] = {
+    "op12_url_filter": """
+WITH rests AS (
+    SELECT row_number() OVER () AS k, page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) END AS rest FROM pages),
+parts AS (
+    SELECT k, page_id, coalesce(translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+           coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path FROM rests),
+rules(rule_host, rule_path, verdict) AS (
+    VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'), ('net', '/es/', 'block'), ('net', '/fr/', 'block')),
+fits AS (
+    SELECT k, rule_host || rule_path AS rule, verdict, row_number() OVER (PARTITION BY k ORDER BY length(rule_host || rule_path) DESC, length(rule_host) DESC) AS place
+    FROM parts JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path))
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM parts LEFT JOIN (SELECT * FROM fits WHERE place = 1) USING (k)""",
+}
