@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from callsheet.llm.alignment import alignment_counts
 from callsheet.llm.conversations import repair_edits, repair_report
 from callsheet.llm.encoding import encode_texts
 from callsheet.llm.licenses import scan_licenses
@@ -95,9 +96,13 @@ def op12_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(_table(spark, sf_dir, "pages"), rule_table(spark, URL_RULES))
 
 
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment_counts(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_best_fit_packing, op2_line_dedup, op3_byte_bpe, op4_quality_rules, op5_pii, op6_ngram_jaccard, op7_nearest_neighbours,
-    op8_token_counts, op9_license_scan, op10_substring_dedup, op11_conversation_repair, op12_url_filter)}
+    op8_token_counts, op9_license_scan, op10_substring_dedup, op11_conversation_repair, op12_url_filter, op13_tokenizer_alignment)}
 ORACLE_SQL: dict[str, str] = {
     "op12_url_filter": """
 WITH rests AS (
