@@ -22,8 +22,9 @@ import public_tokenizers
 
 from callsheet.llm.arrays import distinct, joined, ragged
 
-#: Encoded pre-tokens a worker keeps; at this size the cache starts anew (results do not change).
-CACHE_ENTRIES = 200_000
+#: Encoded pre-tokens a worker keeps in each of two generations; a full one
+#: becomes the old one, from which what is met again moves on (results do not change).
+CACHE_ENTRIES = 150_000
 #: Pre-tokens of more bytes are merged one by one with a heap instead of side by side.
 LONG_PRETOKEN = 48
 
@@ -308,7 +309,7 @@ class Encoder:
     """Encodes batches of texts; keeps the ids of pre-tokens it has met."""
 
     def __init__(self, merges: Merges, cache_entries: int = CACHE_ENTRIES):
-        self.merges, self.cache, self.cache_entries = merges, {}, cache_entries
+        self.merges, self.cache, self.old, self.cache_entries = merges, {}, {}, cache_entries
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and where each text's ids begin (and the end)."""
@@ -318,15 +319,14 @@ class Encoder:
         at, inverse = distinct(buf, starts, ends)
         raw = buf.tobytes()
         words = [raw[s:e] for s, e in zip(starts[at].tolist(), ends[at].tolist(), strict=True)]
-        cache = self.cache
-        new = [w for w in words if w not in cache]
-        if len(cache) + len(new) > self.cache_entries:
-            cache.clear()
-            new = words
-        fresh = dict(zip(new, self.merges.encode(new), strict=True))
-        found = [fresh[w] if w in fresh else cache[w] for w in words]
-        if len(fresh) <= self.cache_entries:
-            cache.update(fresh)
+        cache, old = self.cache, self.old
+        found = [cache.get(w) or old.get(w) for w in words]
+        new = [i for i, ids in enumerate(found) if ids is None]
+        for i, ids in zip(new, self.merges.encode([words[i] for i in new]), strict=True):
+            found[i] = ids
+        cache.update(zip(words, found, strict=True))
+        if len(cache) > self.cache_entries:
+            self.cache, self.old = {}, cache if len(cache) <= 2 * self.cache_entries else {}
         lens = np.fromiter(map(len, found), np.int64, len(found)) // 4
         flat = np.frombuffer(b"".join(found), "<u4")
         each = lens[inverse]
