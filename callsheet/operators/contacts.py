@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from callsheet import constants as K
 from callsheet.functions.predicates import in_portfolios, recent_since
-from callsheet.operators.joins import spread_join
+from callsheet.operators.joins import broadcast_if_small, split_join
 
 CONTRACT = ["cod_cli", "nmcont"]
 
@@ -35,9 +35,9 @@ def contact_outcomes(outcomes: DataFrame, pattern: str | None = None, case_insen
 def account_contacts(history: DataFrame, outcomes: DataFrame, pattern: str | None = None,
                      case_insensitive: bool = False) -> DataFrame:
     """(cod_cad, dt_ultimo) -- last contact per account among history rows
-    whose outcome code is known (and matches ``pattern``).  Spark broadcasts
-    the outcome code table by its measured size."""
-    codes = contact_outcomes(outcomes, pattern, case_insensitive)
+    whose outcome code is known (and matches ``pattern``).  The outcome codes
+    are broadcast if the table is known to be small."""
+    codes = broadcast_if_small(contact_outcomes(outcomes, pattern, case_insensitive))
     h = history.join(codes, history.ocorr == codes.st, "left_semi")
     return h.groupBy(F.col("cod_cli").alias("cod_cad")).agg(F.max("data_at").alias("dt_ultimo"))
 
@@ -49,7 +49,7 @@ def last_contact(accounts: DataFrame, history: DataFrame, outcomes: DataFrame, p
     per_account = account_contacts(history, outcomes, pattern, case_insensitive)
     acc = active_accounts(accounts, portfolios).select("cod_cad", *CONTRACT)
     return (
-        spread_join(acc, per_account, ["cod_cad"], "nmcont")
+        split_join(acc, per_account, ["cod_cad"])
         .groupBy(*CONTRACT)
         .agg(F.max("dt_ultimo").alias("dt_ultimo_cpc"))
     )

@@ -5,23 +5,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Parts into which the rows of one key are dealt.
-PARTS = 64
+#: Tables that Catalyst knows to be no larger may be broadcast.
+SMALL_BYTES = 8 << 20
 
 
-def spread_join(rows: DataFrame, per_key: DataFrame, keys: list[str], by: str, how: str = "inner",
-                parts_of: DataFrame | None = None) -> DataFrame:
-    """``rows`` joined to ``per_key`` (at most one row per key) on ``keys``.
+def split_join(rows: DataFrame, per_key: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """``rows`` joined to ``per_key`` (an aggregate, one row per key) on
+    ``keys``, so that AQE can split a hot key.
 
-    AQE cannot split a hot key when one side is an aggregate.  So rows of one
-    key are dealt into parts by a hash of ``by``, and the key's row is
-    repeated once for each part that its rows have: as often as the key has
-    rows, ``PARTS`` times at most.  The parts are counted map-side.  One
-    formula for all keys; the result is that of the plain join.  Where
-    ``rows`` is costly, ``parts_of`` names a cheap table that holds its
-    (``keys``, ``by``) pairs and possibly more, and the parts are counted there.
+    AQE splits a join partition only where both sides come straight from an
+    exchange, and an aggregate's final step would stand between.  A hash of
+    the keys as one more join key asks for an exchange of the finished
+    aggregate, which is small: one row per key.  At run time a partition that
+    one key fills is then read by several tasks, each with the key's one row.
+    Keys that are not hot cost nothing more, and the result is the plain join's.
     """
-    part = F.pmod(F.xxhash64(by), F.lit(PARTS)).alias("_part")
-    dealt = rows.select("*", part)
-    repeated = (rows if parts_of is None else parts_of).select(*keys, part).distinct().join(per_key, keys, "inner")
-    return dealt.join(repeated, [*keys, "_part"], how).drop("_part")
+    name = F.xxhash64(*keys).alias("_key_hash")
+    return rows.select("*", name).join(per_key.select("*", name), [*keys, "_key_hash"], how).drop("_key_hash")
+
+
+def known_bytes(df: DataFrame) -> int:
+    """Catalyst's size of ``df``: exact file sizes for a stored table, and an upper bound after filters."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def broadcast_if_small(df: DataFrame, limit: int = SMALL_BYTES) -> DataFrame:
+    """``df``, marked for broadcasting if its size is known to be at most ``limit``; else a plain join side."""
+    return F.broadcast(df) if known_bytes(df) <= limit else df

@@ -14,7 +14,8 @@ portfolios equals the union of one-portfolio runs.
 
 Shuffle plan: the per-contract aggregates (complements, receivables, goods,
 agreements) all come out hash-partitioned on (cod_cli, nmcont) and are joined
-without further exchanges; phones are shuffled by their four key columns
+without further exchanges, then exchanged once more to meet the account rows,
+so that a hot contract can be split; phones are shuffled by their four key columns
 (de-dup) and by account id (top-k); the one-row-per-account phone table is
 shuffled once more on the contract for the final join.
 """
@@ -31,14 +32,12 @@ from pyspark.sql import functions as F
 from callsheet import constants as K
 from callsheet.operators.agreements import (
     agreement_labels,
-    contracts_with_latest,
     latest_agreement,
     portfolios_with_null_contract_latest,
 )
 from callsheet.operators.contacts import active_accounts, last_contact, recent_accounts
 from callsheet.operators.contracts import complement_summary, goods_summary, instalment_labels
-from callsheet.operators.exclusion import exclude_keys
-from callsheet.operators.joins import spread_join
+from callsheet.operators.joins import split_join
 from callsheet.operators.phones import account_rows, pivot_phones, rank_account_phones, top_account_rows
 
 CONTRACT = ["cod_cli", "nmcont"]
@@ -88,14 +87,16 @@ def contract_info(t: Mapping[str, DataFrame], p: MailingParams, latest: DataFram
     """Per contract: Contratos, goods, latest-agreement labels and ``staco``;
     contracts whose latest agreement is paid (P G A) are removed with NOT IN
     semantics per portfolio.  All inputs are aggregates keyed by the
-    contract, so the joins here add no exchange."""
+    contract, so the joins here add no exchange: the paid contracts are told
+    by the label that is joined anyway (paid statuses are labelled ones)."""
     values = instalment_labels(t["receivables"], p.portfolios, p.case_insensitive)
-    poison = portfolios_with_null_contract_latest(t["agreements"], K.PAID_STATUSES, p.since, p.portfolios)
-    values = exclude_keys(values, contracts_with_latest(latest, K.PAID_STATUSES), null_aware=p.null_aware,
-                          df_keys_not_null=True, poison=poison)
-    return values.join(goods_summary(t["goods"], p.portfolios), CONTRACT, "left").join(
-        agreement_labels(latest), CONTRACT, "left"
-    )
+    if p.null_aware:
+        # one row for each portfolio code at most
+        poison = portfolios_with_null_contract_latest(t["agreements"], K.PAID_STATUSES, p.since, p.portfolios)
+        values = values.join(F.broadcast(poison), "cod_cli", "left_anti")
+    labelled = values.join(agreement_labels(latest), CONTRACT, "left")
+    unpaid = labelled.filter(F.col("staco").isNull() | ~F.col("staco").isin(K.PAID_STATUSES))
+    return unpaid.join(goods_summary(t["goods"], p.portfolios), CONTRACT, "left")
 
 
 CARRIED = ["BindingID", "TipoProduto"]
@@ -116,7 +117,7 @@ def eligible_accounts(t: Mapping[str, DataFrame], p: MailingParams, summary: Dat
     # identical account rows are one row of a list; distinct() merges copies
     # map-side, before any shuffle on a key they would all share
     rows = account_rows(active_accounts(t["accounts"], p.portfolios)).distinct()
-    acc = spread_join(rows, binding, CONTRACT, "cod_cad", parts_of=active_accounts(t["accounts"], p.portfolios))
+    acc = split_join(rows, binding, CONTRACT)
     if cut is not None:
         acc = top_account_rows(acc, cut, CARRIED)
     if recent is None:
@@ -163,7 +164,7 @@ def _base(t: Mapping[str, DataFrame], p: MailingParams, cohorts: list[str]) -> D
         cpc = last_contact(t["accounts"], t["history"], t["outcomes"], p.portfolios, K.CPC_MARK,
                            p.case_insensitive).select(*CONTRACT, F.lit(True).alias("_cpc"))
         info = info.join(cpc, CONTRACT, "left" if len(cohorts) > 1 else "left_semi")
-    return spread_join(wide, info, CONTRACT, "cod_cad", parts_of=active_accounts(t["accounts"], p.portfolios))
+    return split_join(wide, info, CONTRACT)
 
 
 def _cohort_predicate(cohort: str, batch: bool):

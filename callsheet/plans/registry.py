@@ -36,7 +36,7 @@ from callsheet.operators.agreements import (
 from callsheet.operators.contacts import active_accounts, contact_outcomes, last_contact
 from callsheet.operators.contracts import binding_id, complement_summary, contract_values, goods_summary
 from callsheet.operators.exclusion import exclude_keys
-from callsheet.operators.joins import spread_join
+from callsheet.operators.joins import split_join
 from callsheet.operators.phones import distinct_phones, pivot_phones, rank_account_phones, usable_phones
 from callsheet.plans import catalogue as cat
 from callsheet.plans.mailings import MailingParams, eligible_accounts, mailing, mailing_batch, mailing_counts
@@ -81,7 +81,7 @@ def _wide(t, recent=None):
 
 
 def _on_contract(t, rows, per_contract, how="inner"):
-    return spread_join(rows, per_contract, CONTRACT, "cod_cad", how, parts_of=active_accounts(t["accounts"]))
+    return split_join(rows, per_contract, CONTRACT, how)
 
 
 WIDE_KEYS = ["cod_cli", "cod_cad", "nmcont"]
@@ -232,7 +232,7 @@ def contract_values_q(spark, d):
 def account_binding(spark, d):
     t = _t(spark, d)
     b = binding_id(t["complements"])
-    return spread_join(active_accounts(t["accounts"]), b, CONTRACT, "cod_cad").select("cod_cad", "cod_cli", "nmcont", "BindingID")
+    return split_join(active_accounts(t["accounts"]), b, CONTRACT).select("cod_cad", "cod_cli", "nmcont", "BindingID")
 
 
 @query

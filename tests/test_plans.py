@@ -51,6 +51,11 @@ def test_phone_topk_is_partial_before_shuffle(plans, name):
     assert "WindowGroupLimit" in plans[name] and "Partial" in plans[name]
 
 
+@pytest.mark.parametrize("name, most", [("broken", 15), ("cpc", 19), ("never", 16), ("batch", 20)])
+def test_number_of_shuffles(plans, name, most):
+    assert plans[name].count("Exchange hashpartitioning") + plans[name].count("Exchange rangepartitioning") <= most
+
+
 def test_only_bounded_sides_are_broadcast(plans):
     # with size-based broadcasting off, the only broadcasts left are the
     # explicit per-portfolio flag table and inline code tables

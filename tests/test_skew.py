@@ -6,8 +6,8 @@ same rows (brute force).
 
 Phones, history and the contract tables are reduced (partial aggregate or
 top-k cut) before any join, so they never reach one skewed.  The hot
-contract's account rows do, and AQE cannot split that join, as its other side
-is an aggregate: ``spread_join`` deals the rows of a key into parts."""
+contract's account rows do: ``split_join`` brings both sides of that join
+straight from an exchange, so that AQE can split it."""
 
 import datetime as dt
 import random
@@ -192,21 +192,35 @@ def test_ranking_keeps_every_row_and_column(spark, aqe):
         spark.conf.unset("spark.sql.exchange.reuse")
 
 
-def test_spread_join_deals_a_hot_key(spark):
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi"])
+def test_split_join_lets_aqe_split_a_hot_key(spark, forced_skew_split, how):
     from pyspark.sql import functions as F
 
-    from callsheet.operators.joins import spread_join
+    from callsheet.operators.joins import split_join
 
-    rows = spark.range(0, 30000, 1, 16).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k"), F.col("id").alias("cad"))
+    rows = spark.range(0, 60000, 1, 16).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k"), F.col("id").alias("cad"))
     per_key = rows.groupBy("k").agg(F.max("cad").alias("top")).filter("k % 2 = 1")
-    for how in ("inner", "left", "left_semi"):
-        got, plain = spread_join(rows, per_key, ["k"], "cad", how), rows.join(per_key, ["k"], how)
-        assert got.columns == plain.columns and got.exceptAll(plain).count() == 0 and got.count() == plain.count()
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    got, plain = split_join(rows, per_key, ["k"], how), rows.join(per_key, ["k"], how)
+    assert got.columns == plain.columns and got.exceptAll(plain).count() == 0 and plain.exceptAll(got).count() == 0
+    sizes = got.groupBy(F.spark_partition_id()).count()
+    counts = [r[1] for r in sizes.collect()]
+    assert max(counts) < 20000  # the hot key's rows were read by several tasks
+    frame = split_join(rows, per_key, ["k"], how)
+    frame.write.format("noop").mode("overwrite").save()
+    assert "SortMergeJoin(skew=true)" in final_plan(frame)
+
+
+def final_plan(df) -> str:
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_the_hot_contract_is_split_in_the_lists(spark, skew, forced_skew_split):
+    """At this size AQE would merge the few rows into one map task, which leaves nothing to split by."""
+    frames, _, _ = skew
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        sizes = [r[1] for r in spread_join(rows, per_key, ["k"], "cad").groupBy(F.spark_partition_id()).count().collect()]
+        plan = final_plan(mailing(frames, "broken", P))
     finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.unset("spark.sql.adaptive.enabled")
-    assert max(sizes) <= 2 * sorted(sizes)[len(sizes) // 2]
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert plan.split("== Initial Plan ==")[0].count("SortMergeJoin(skew=true)") == 2
