@@ -66,3 +66,9 @@ def recent_since(c, as_of: dt.date | str | None = None, days: int = K.NEVER_CONT
     """``c >= as_of - days`` (no upper bound); ``as_of`` defaults to today."""
     base = F.current_date() if as_of is None else F.lit(str(as_of)).cast("date")
     return _c(c) >= F.date_sub(base, days).cast("timestamp_ntz")
+
+
+def day_since(c, as_of: dt.date | str | None = None, days: int = K.NEVER_CONTACTED_DAYS) -> Column:
+    """The same rule for a column of days."""
+    base = F.current_date() if as_of is None else F.lit(str(as_of)).cast("date")
+    return _c(c) >= F.date_sub(base, days)

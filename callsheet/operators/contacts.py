@@ -12,8 +12,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from callsheet import constants as K
-from callsheet.functions.predicates import in_portfolios, recent_since
+from callsheet.functions.predicates import day_since, in_portfolios, recent_since
 from callsheet.operators.joins import broadcast_if_small, split_join
+from callsheet.sources.schemas import HISTORY_DAY
 
 CONTRACT = ["cod_cli", "nmcont"]
 
@@ -57,9 +58,13 @@ def last_contact(accounts: DataFrame, history: DataFrame, outcomes: DataFrame, p
 
 def recent_accounts(history: DataFrame, as_of=None, days: int = K.NEVER_CONTACTED_DAYS) -> DataFrame:
     """(cod_cad) of accounts with any history row on/after ``as_of - days``,
-    whatever the outcome (no upper bound: future rows count)."""
+    whatever the outcome (no upper bound: future rows count).  Where history
+    is stored by day (``HISTORY_DAY``), older folders are not read."""
+    keep = recent_since("data_at", as_of, days)
+    if HISTORY_DAY in history.columns:
+        keep = keep & (F.col(HISTORY_DAY).isNull() | day_since(HISTORY_DAY, as_of, days))
     return (
-        history.filter(recent_since("data_at", as_of, days))
+        history.filter(keep)
         .select(F.col("cod_cli").alias("cod_cad"))
         .distinct()
     )

@@ -39,6 +39,7 @@ from callsheet.operators.contacts import active_accounts, last_contact, recent_a
 from callsheet.operators.contracts import complement_summary, goods_summary, instalment_labels
 from callsheet.operators.joins import split_join
 from callsheet.operators.phones import account_rows, pivot_phones, rank_account_phones, top_account_rows
+from callsheet.operators.reduction import held, key_bitmap
 
 CONTRACT = ["cod_cli", "nmcont"]
 
@@ -143,11 +144,20 @@ def fold_codes(t: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     return out
 
 
+def of_accounts(t: Mapping[str, DataFrame], accounts: DataFrame) -> dict[str, DataFrame]:
+    """The tables with the phones and the history of ``accounts`` (and of few
+    others, which no list meets): what a run for some portfolios needs."""
+    wanted = key_bitmap(accounts, "cod_cad")
+    return {**t, "phones": held(t["phones"], wanted, "cod_cad"), "history": held(t["history"], wanted, "cod_cli")}
+
+
 def _base(t: Mapping[str, DataFrame], p: MailingParams, cohorts: list[str]) -> DataFrame:
     """Eligible accounts x best phones (one row per account) joined to the
     contract information; carries the columns the cohort rules need."""
     if p.case_insensitive:
         t = fold_codes(t)
+    if p.portfolios is not None:
+        t = of_accounts(t, active_accounts(t["accounts"], p.portfolios))
     summary = complement_summary(t["complements"], p.portfolios)
     latest = latest_agreement(t["agreements"], p.since, p.portfolios)
 

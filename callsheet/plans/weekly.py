@@ -12,6 +12,7 @@ expects one file per requested list.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,7 +23,7 @@ from callsheet.functions.predicates import in_portfolios
 from callsheet.plans.catalogue import file_labels
 from callsheet.plans.mailings import COHORTS, MailingParams, cohort_of, mailing_batch, mailing_counts
 from callsheet.session import checkpoint_dir
-from callsheet.sources.sink import BOM, CSV_OPTIONS, write_batch_csv
+from callsheet.sources.sink import LINE_END, hadoop_path, header_line, name_csv_files, write_batch_csv
 
 
 def expected_lists(spark: SparkSession, accounts: DataFrame, params: MailingParams,
@@ -42,12 +43,34 @@ def run_weekly(spark: SparkSession, tables: Mapping[str, DataFrame], out_dir: st
                run_ts: dt.datetime | str | None = None, single_file: bool = False) -> DataFrame:
     """Build, checkpoint and write all lists below ``out_dir/run=<stamp>``;
     returns the size report (cod_cli, mailing, n_rows, n_phones, n_full,
-    file_label), read back from what was written.  A run never touches
-    another's folder: a stamp that exists is an error."""
+    file_label), read back from what was written.
+
+    Everything is written to a folder of its own below ``out_dir/_staging``
+    and takes its name in one rename when all of it is there: a run folder is
+    always whole, and a run that broke may simply be run again.  A run never
+    touches another's folder: a stamp that exists is an error."""
     params = params or MailingParams()
     cohorts = list(cohorts or COHORTS)
     run_ts = str(run_ts or dt.datetime.now().strftime("%Y-%m-%d %H:%M:%S"))
-    run = f"{out_dir}/run={dt.datetime.fromisoformat(run_ts):%Y%m%d_%H%M%S}"
+    name = f"run={dt.datetime.fromisoformat(run_ts):%Y%m%d_%H%M%S}"
+    run, staging = f"{out_dir}/{name}", f"{out_dir}/_staging/{name}-{uuid.uuid4().hex}"
+    fs, run_path = hadoop_path(spark, run)
+    if fs.exists(run_path):
+        raise FileExistsError(f"{run} already exists")
+    try:
+        _write(spark, tables, staging, params, cohorts, run_ts, single_file)
+        if fs.exists(run_path):
+            raise FileExistsError(f"{run} already exists")
+        if not fs.rename(hadoop_path(spark, staging)[1], run_path):
+            raise OSError(f"{staging} could not be renamed to {run}")
+    finally:
+        fs.delete(hadoop_path(spark, staging)[1], True)  # what a failed run leaves; nothing after the rename
+    return spark.read.parquet(f"{run}/report")
+
+
+def _write(spark: SparkSession, tables: Mapping[str, DataFrame], run: str, params: MailingParams, cohorts: list[str],
+           run_ts: str, single_file: bool) -> None:
+    """Lists, header-only files of the empty ones, and the report."""
     checkpoint_dir(spark)
     batch = mailing_batch(tables, cohorts, params).checkpoint(eager=True)
     write_batch_csv(batch, f"{run}/lists", mode="errorifexists", single_file=single_file)
@@ -63,7 +86,6 @@ def run_weekly(spark: SparkSession, tables: Mapping[str, DataFrame], out_dir: st
     report = spark.read.parquet(f"{run}/report")
 
     # header-only files of the empty lists, all in one job
-    header = K.CSV_DELIMITER.join([BOM + K.OUTPUT_COLUMNS[0], *K.OUTPUT_COLUMNS[1:]])
-    empty = report.filter("n_rows = 0").select("cod_cli", "mailing", F.lit(header).alias("value"))
-    empty.write.mode("append").partitionBy("cod_cli", "mailing").option("lineSep", CSV_OPTIONS["lineSep"]).text(f"{run}/lists")
-    return report
+    empty = report.filter("n_rows = 0").select("cod_cli", "mailing", F.lit(header_line(K.OUTPUT_COLUMNS)).alias("value"))
+    empty.write.mode("append").partitionBy("cod_cli", "mailing").option("lineSep", LINE_END).text(f"{run}/lists")
+    name_csv_files(spark, f"{run}/lists")

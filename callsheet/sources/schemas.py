@@ -39,6 +39,9 @@ HISTORY = T.StructType([
     T.StructField("ocorr", S),        # outcome code
 ])
 
+#: The day of a history row, by which stored history lies in folders (null where it does not).
+HISTORY_DAY = "data_dia"
+
 OUTCOMES = T.StructType([
     T.StructField("st", S),
     T.StructField("bsc", S),

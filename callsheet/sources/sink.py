@@ -3,22 +3,25 @@
 Byte layout of the hand-off file (what the dialer import expects): header
 row, ``;`` delimiter, minimal quoting with doubled quotes, ``\\r\\n`` line
 ends, NULL written as an empty field, values written as text (ids keep
-their leading zeros).  Spark has no BOM option, so the BOM is written as
-the first character of the first column name.  A line feed *inside* a quoted
-value also becomes ``\\r\\n`` (Spark's line separator applies there too).
+their leading zeros).  Each line is one expression (``csv_line``) and is
+written as text, so every byte of a value, a line feed too, reaches the file
+as it is; the first line of every file is led by the header.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from callsheet import constants as K
 
 BOM = "﻿"
 
+LINE_END = "\r\n"
+
+#: How a written list is read back.
 CSV_OPTIONS = {
     "sep": K.CSV_DELIMITER,
     "header": "true",
@@ -28,7 +31,7 @@ CSV_OPTIONS = {
     "emptyValue": "",
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
-    "lineSep": "\r\n",
+    "lineSep": LINE_END,
     "encoding": "UTF-8",
 }
 
@@ -56,12 +59,41 @@ def as_text(df: DataFrame, name: str) -> Column:
     return text.alias(name)
 
 
-def _as_text(df: DataFrame, columns: Iterable[str]) -> DataFrame:
-    cols = list(columns)
-    out = [as_text(df, c) for c in cols]
-    # BOM in front of the first header name
-    out[0] = out[0].alias(BOM + cols[0])
-    return df.select(*out)
+def csv_field(value: Column) -> Column:
+    """A text field: quoted if it holds the delimiter, a quote or a line end, empty for NULL."""
+    quoted = F.concat(F.lit('"'), F.replace(value, F.lit('"'), F.lit('""')), F.lit('"'))
+    return F.coalesce(F.when(value.rlike(f'[{K.CSV_DELIMITER}"\\r\\n]'), quoted).otherwise(value), F.lit(""))
+
+
+def csv_line(df: DataFrame, columns: list[str]) -> Column:
+    """A row as one line, without its end."""
+    return F.concat_ws(K.CSV_DELIMITER, *[csv_field(as_text(df, c)) for c in columns])
+
+
+def header_line(columns: list[str]) -> str:
+    """The header with its BOM, without its end."""
+    return BOM + K.CSV_DELIMITER.join('"' + c.replace('"', '""') + '"' if set(c) & set(K.CSV_DELIMITER + '"\r\n') else c for c in columns)
+
+
+def _led(first: Column, columns: list[str]) -> Column:
+    """The line, after the header where it is the first of its file."""
+    return F.when(first, F.concat(F.lit(header_line(columns) + LINE_END), F.col("line"))).otherwise(F.col("line")).alias("value")
+
+
+def hadoop_path(spark: SparkSession, path: str):
+    """The file system of ``path`` and the path as it knows it."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def name_csv_files(spark: SparkSession, path: str) -> None:
+    """Give the text files below ``path`` the ending ``.csv`` (names only; the driver moves no data)."""
+    fs, root = hadoop_path(spark, path)
+    found = fs.listFiles(root, True)
+    while found.hasNext():
+        file = found.next().getPath()
+        if file.getName().startswith("part-") and file.getName().endswith(".txt"):
+            fs.rename(file, spark._jvm.org.apache.hadoop.fs.Path(file.getParent(), file.getName()[:-4] + ".csv"))
 
 
 def write_list_csv(df: DataFrame, path: str, columns: Iterable[str] | None = None, mode: str = "overwrite",
@@ -69,16 +101,26 @@ def write_list_csv(df: DataFrame, path: str, columns: Iterable[str] | None = Non
     """Write one finished list under ``path`` (plus Spark's commit markers).
 
     By default every task writes its own part, each a complete CSV with its
-    header, so no list passes whole through one task.  ``single_file=True``
+    header, so no list passes whole through one task; one part more holds the
+    header alone, so that an empty list has a file too.  ``single_file=True``
     gives the hand-off layout of exactly one file per list (one task writes
     it; an empty list still gets its header-only file) -- for lists that fit
     one writer.
     """
     cols = list(columns) if columns is not None else [c for c in K.OUTPUT_COLUMNS]
-    out = _as_text(df, cols)
+    lines = df.select(csv_line(df, cols).alias("line"))
+    header = df.sparkSession.range(0, 1, 1, 1).select(F.lit(header_line(cols)).alias("value"))
     if single_file:
-        out = out.repartition(1)  # the list is still built by many tasks
-    out.write.mode(mode).options(**CSV_OPTIONS).csv(path)
+        rows = header.select("value", F.lit(0).alias("place")).unionByName(lines.select(F.col("line").alias("value"), F.lit(1).alias("place")))
+        # the list is still built by many tasks
+        out = rows.repartition(1).sortWithinPartitions("place").select("value")
+    else:
+        # the lower 33 bits count the rows of a task
+        first = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0
+        # the header's part comes first: the first task writes a file even without rows
+        out = header.unionByName(lines.select(_led(first, cols)))
+    out.write.mode(mode).option("lineSep", LINE_END).text(path)
+    name_csv_files(df.sparkSession, path)
 
 
 def write_batch_csv(batch: DataFrame, path: str, columns: Iterable[str] | None = None, mode: str = "overwrite",
@@ -86,19 +128,24 @@ def write_batch_csv(batch: DataFrame, path: str, columns: Iterable[str] | None =
     """Write a batch (``cod_cli``, ``mailing`` + columns) under
     ``path/cod_cli=../mailing=../``.
 
-    By default every task writes its own part of every list, so a portfolio
-    holding a third of all accounts is written by all executors in parallel
-    (each part file has the header).  ``single_file=True`` gives the hand-off
-    layout of exactly one file per list: rows are hash-partitioned on
-    (cod_cli, mailing), so one task writes a whole list -- use it when each
-    list fits comfortably in one task.
+    By default every list is dealt into as many parts as a shuffle has, by a
+    hash of its lines, so a portfolio holding a third of all accounts is
+    written by all executors in parallel (each part file has the header).
+    ``single_file=True`` gives the hand-off layout of exactly one file per
+    list: one task writes a whole list -- use it when each list fits
+    comfortably in one task.
     """
     cols = list(columns) if columns is not None else [c for c in K.OUTPUT_COLUMNS]
-    keyed = batch.select("cod_cli", "mailing", *[as_text(batch, c) for c in cols])
-    keyed = keyed.withColumnRenamed(cols[0], BOM + cols[0])
-    if single_file:
-        keyed = keyed.repartition("cod_cli", "mailing")
-    keyed.write.mode(mode).partitionBy("cod_cli", "mailing").options(**CSV_OPTIONS).csv(path)
+    # a column that is never null is written as it is, so the order below is the writer's own
+    lines = batch.select("cod_cli", F.coalesce("mailing", F.lit("")).alias("mailing"), csv_line(batch, cols).alias("line"))
+    parts = 1 if single_file else int(batch.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    part = F.pmod(F.xxhash64("line"), F.lit(parts)).cast("int")
+    place = F.row_number().over(Window.partitionBy("_part", "cod_cli", "mailing").orderBy("line"))
+    led = lines.withColumn("_part", part).withColumn("place", place).withColumn("value", _led(F.col("place") == 1, cols))
+    if not single_file:
+        led = led.repartitionById(parts, "_part")  # one task, and so one file of a list, for each part
+    led.sortWithinPartitions("cod_cli", "mailing", "place").select("cod_cli", "mailing", "value").write.mode(mode).partitionBy("cod_cli", "mailing").option("lineSep", LINE_END).text(path)
+    name_csv_files(batch.sparkSession, path)
 
 
 def read_list_csv(spark, path: str, columns: Iterable[str] | None = None) -> DataFrame:

@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from callsheet.sources.schemas import SCHEMAS, conform
+from callsheet.sources.schemas import HISTORY_DAY, SCHEMAS, conform
 
 # fixed values: source table names in the operational database -> our names
 SOURCE_NAMES = {
@@ -25,9 +27,15 @@ def load_parquet(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     """Read ``{root}/{name}`` for the eight tables with their declared schema.
 
     Tables partitioned on disk by ``cod_cli`` get partition pruning for free
-    when a portfolio filter is applied.
+    when a portfolio filter is applied.  History also has its day
+    (``HISTORY_DAY``), null unless it lies in folders by day.
     """
-    return {n: conform(spark.read.schema(s).parquet(f"{root}/{n}"), s) for n, s in SCHEMAS.items()}
+    out = {}
+    for n, s in SCHEMAS.items():
+        if n == "history":
+            s = T.StructType([*s.fields, T.StructField(HISTORY_DAY, T.DateType())])
+        out[n] = conform(spark.read.schema(s).parquet(f"{root}/{n}"), s)
+    return out
 
 
 def load_jdbc(
@@ -81,15 +89,22 @@ def write_tables(tables: dict[str, DataFrame], root: str, mode: str = "overwrite
     """Store the eight tables as parquet under ``root/{name}``.
 
     Portfolio-keyed tables are partitioned by ``cod_cli`` on disk, so a run
-    for some portfolios reads only their folders (partition pruning).  Rows
-    are sorted within each file by the join key, which tightens the parquet
+    for some portfolios reads only their folders (partition pruning).  History
+    is partitioned by day, so the 60-day rule reads the last folders only; its
+    rows are dealt by ranges of (day, account), which cuts a busy day and a hot
+    account into several files and a quiet day into few.  Rows are sorted within each file by the join key, which tightens the parquet
     min/max statistics that filters are checked against.
     """
     for name, df in tables.items():
         key = SORT_KEYS.get(name)
-        if key:
+        if name == "history":
+            df = df.withColumn(HISTORY_DAY, F.to_date("data_at"))
+            df = df.repartitionByRange(HISTORY_DAY, key).sortWithinPartitions(HISTORY_DAY, key)
+        elif key:
             df = df.sortWithinPartitions(key)
         w = df.write.mode(mode)
+        if name == "history":
+            w = w.partitionBy(HISTORY_DAY)
         if name in PORTFOLIO_PARTITIONED:
             w = w.partitionBy("cod_cli")
         w.parquet(f"{root}/{name}")

@@ -54,3 +54,28 @@ def test_runs_are_kept_apart_and_requested_portfolios_get_files(spark):
     assert glob.glob(f"{out}/run=20240401_080000/lists/cod_cli=517/mailing=*/part-*.csv")
     with pytest.raises(Exception, match="ALREADY_EXISTS|already exists"):
         run_weekly(spark, t, out, p, cohorts=["broken"], run_ts="2024-04-02 08:00:00")
+
+
+def test_a_broken_run_leaves_nothing_and_can_be_run_again(spark, monkeypatch):
+    import os
+
+    import pytest
+
+    from callsheet.plans import weekly
+
+    out = tempfile.mkdtemp(prefix="callsheet-weekly-")
+    t = fixture_tables(spark, "/root/testdata/sf0.001")
+    p = MailingParams(since=FIXTURE_SINCE, as_of=FIXTURE_AS_OF, portfolios=(517,))
+    with monkeypatch.context() as m:
+        m.setattr(weekly, "mailing_counts", lambda batch: 1 / 0)  # after the lists, before the report
+        with pytest.raises(ZeroDivisionError):
+            run_weekly(spark, t, out, p, cohorts=["broken"], run_ts="2024-04-01 08:00:00")
+    assert not os.path.exists(f"{out}/run=20240401_080000")
+    # a crash leaves its staging folder, which no later run reads
+    os.makedirs(f"{out}/_staging/run=20240401_080000-dead/lists/cod_cli=517")
+    rep = run_weekly(spark, t, out, p, cohorts=["broken"], run_ts="2024-04-01 08:00:00")
+    assert [(r.cod_cli, r.n_rows) for r in rep.collect()] == [(517, 5)]
+    assert os.listdir(f"{out}/_staging") == ["run=20240401_080000-dead"]
+    assert glob.glob(f"{out}/run=20240401_080000/lists/cod_cli=517/mailing=*/part-*.csv")
+    with pytest.raises(FileExistsError):
+        run_weekly(spark, t, out, p, cohorts=["broken"], run_ts="2024-04-01 08:00:00")
