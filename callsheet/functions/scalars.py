@@ -54,16 +54,39 @@ def field_order(status, order=K.PHONE_STATUS_ORDER) -> Column:
     return F.coalesce(pos, F.lit(0)).cast("int")
 
 
-def distinct_concat(col: str, sep: str = K.LIST_SEPARATOR) -> Column:
+def fold(c) -> Column:
+    """Text as a collation compares it that ignores case and trailing blanks."""
+    return F.lower(F.rtrim(_c(c)))
+
+
+def cut_bytes(c, most: int) -> Column:
+    """The longest beginning of a text that has at most ``most`` bytes of UTF-8; no character is cut."""
+    c = _c(c)
+    raw = F.encode(c, "UTF-8")
+    # a character has four bytes at most, so one of these ends is between two
+    ends = [F.try_validate_utf8(F.substring(raw, 1, max(0, most - k)).cast("string")) for k in range(4)]
+    return F.when(F.octet_length(c) <= most, c).otherwise(F.coalesce(*ends))
+
+
+def distinct_concat(col: str, sep: str = K.LIST_SEPARATOR, folded: bool = False, max_bytes: int | None = None) -> Column:
     """Aggregate: distinct non-NULL values, ascending, joined by ``sep``.
 
-    All-NULL (or empty) group -> NULL.  The text is never cut.
+    All-NULL (or empty) group -> NULL.  The text is cut only if ``max_bytes``
+    is given, then between two characters.  With ``folded``, values that
+    differ in case or trailing blanks are one (the least of them is shown) and
+    stand in their folded order.
 
     Built on ``collect_set``: its buffer de-duplicates map-side, so the
     aggregate needs one exchange (``listagg(DISTINCT ...) WITHIN GROUP``
     plans two, and Spark 4.1 cannot run two of those in one aggregate).
     Only the distinct values of one group meet in one task -- exactly the
-    size of that group's result string.
+    size of that group's result string (with ``folded``, of all spellings).
     """
-    values = F.array_sort(F.collect_set(F.col(col)))
-    return F.when(F.size(values) > 0, F.array_join(values, sep))
+    if folded:
+        spelled = F.array_sort(F.collect_set(F.when(F.col(col).isNotNull(), F.struct(fold(col).alias("key"), F.col(col).alias("shown")))))
+        first = F.filter(spelled, lambda v, i: (i == 0) | (v["key"] != F.get(spelled, i - 1)["key"]))
+        values = F.transform(first, lambda v: v["shown"])
+    else:
+        values = F.array_sort(F.collect_set(F.col(col)))
+    text = F.when(F.size(values) > 0, F.array_join(values, sep))
+    return text if max_bytes is None else cut_bytes(text, max_bytes)

@@ -10,12 +10,13 @@ from pyspark.sql import functions as F
 
 from callsheet import constants as K
 from callsheet.functions.predicates import in_portfolios, not_like
-from callsheet.functions.scalars import concat_labels, distinct_concat
+from callsheet.functions.scalars import concat_labels, distinct_concat, fold
 
 CONTRACT = ["cod_cli", "nmcont"]
 
 
-def complement_summary(complements: DataFrame, portfolios=None) -> DataFrame:
+def complement_summary(complements: DataFrame, portfolios=None, case_insensitive: bool = False,
+                       max_bytes: int | None = None) -> DataFrame:
     """One pass over complements per contract.
 
     ``TipoProduto``: distinct product types (over all rows); ``BindingID``:
@@ -26,7 +27,7 @@ def complement_summary(complements: DataFrame, portfolios=None) -> DataFrame:
     """
     ok = F.col("int_1") != K.EXCLUDED_INT_1
     return complements.filter(in_portfolios(portfolios)).groupBy(*CONTRACT).agg(
-        distinct_concat("char_5").alias("TipoProduto"),
+        distinct_concat("char_5", folded=case_insensitive, max_bytes=max_bytes).alias("TipoProduto"),
         F.max(F.when(ok, F.col("int_2"))).alias("BindingID"),
         (F.count_if(ok) > 0).alias("has_binding"),
     )
@@ -41,12 +42,14 @@ def binding_id(complements: DataFrame, portfolios=None) -> DataFrame:
     )
 
 
-def instalment_labels(receivables: DataFrame, portfolios=None, case_insensitive: bool = False) -> DataFrame:
+def instalment_labels(receivables: DataFrame, portfolios=None, case_insensitive: bool = False,
+                      max_bytes: int | None = None) -> DataFrame:
     """(cod_cli, nmcont, Contratos): distinct instalment labels without down
-    payments, sorted, ``' || '``-joined.  NULL labels are dropped."""
+    payments, sorted, ``' || '``-joined.  NULL labels are dropped.  Labels are
+    told apart, and cut, as ``distinct_concat`` says."""
     keep = in_portfolios(portfolios) & not_like("fat_parc", K.DOWN_PAYMENT_MARK, case_insensitive)
     return receivables.filter(keep).groupBy(*CONTRACT).agg(
-        distinct_concat("fat_parc").alias("Contratos")
+        distinct_concat("fat_parc", folded=case_insensitive, max_bytes=max_bytes).alias("Contratos")
     )
 
 
@@ -60,14 +63,14 @@ def contract_values(complements: DataFrame, receivables: DataFrame, portfolios=N
     Both inputs come out hash-partitioned on the contract, so the join adds
     no exchange.
     """
-    comp = summary if summary is not None else complement_summary(complements, portfolios)
+    comp = summary if summary is not None else complement_summary(complements, portfolios, case_insensitive)
     rec = instalment_labels(receivables, portfolios, case_insensitive)
     return rec.join(comp.select(*CONTRACT, "TipoProduto"), CONTRACT, "inner").select(
         *CONTRACT, "Contratos", "TipoProduto"
     )
 
 
-def goods_summary(goods: DataFrame, portfolios=None) -> DataFrame:
+def goods_summary(goods: DataFrame, portfolios=None, case_insensitive: bool = False) -> DataFrame:
     """One row per contract: the collateral with the smallest chassis (all
     fields from that one row), and the number of distinct chassis.
 
@@ -76,7 +79,7 @@ def goods_summary(goods: DataFrame, portfolios=None) -> DataFrame:
     """
     pick = F.min(F.struct("chassi", "marca", "modelo", "placa", "cor", "anofab", "anomodelo")).alias("g")
     agg = goods.filter(in_portfolios(portfolios)).groupBy(*CONTRACT).agg(
-        pick, F.count_distinct("chassi").alias("QtdGarantiasUnicas")
+        pick, F.count_distinct(fold("chassi") if case_insensitive else F.col("chassi")).alias("QtdGarantiasUnicas")
     )
     return agg.select(
         *CONTRACT,

@@ -134,6 +134,23 @@ ORACLE: dict[str, str] = {
     "distinct_concat": W("", f"""
         SELECT cod_cli, nmcont, string_agg(DISTINCT fat_parc, '{K.LIST_SEPARATOR}' ORDER BY fat_parc) AS labels
         FROM receivables GROUP BY cod_cli, nmcont"""),
+    "bounded_concat": W("", """
+        SELECT cod_cli, nmcont, left(labels, list_max(list_filter(range(0, length(labels) + 1), lambda k: strlen(left(labels, k)) <= 24))) AS labels
+        FROM (SELECT cod_cli, nmcont, string_agg(DISTINCT fat_parc, ' || ' ORDER BY fat_parc) AS labels FROM receivables GROUP BY cod_cli, nmcont)"""),
+    "contract_values_folded": W("""
+        spelled_types AS (
+          SELECT cod_cli, nmcont, char_5 FROM complements
+          UNION ALL SELECT cod_cli, lower(nmcont) || ' ', lower(char_5) || '  ' FROM complements WHERE int_2 % 2 = 0),
+        types AS (SELECT cod_cli, lower(rtrim(nmcont)) AS nmcont, lower(rtrim(char_5)) AS k, min(char_5) AS shown FROM spelled_types GROUP BY 1, 2, 3),
+        spelled_labels AS (
+          SELECT cod_cli, CASE WHEN cod_cli % 2 = 1 THEN lower(nmcont) ELSE nmcont END AS nmcont, fat_parc FROM receivables
+          UNION ALL SELECT cod_cli, nmcont, fat_parc || ' ' FROM receivables),
+        labels AS (SELECT cod_cli, lower(rtrim(nmcont)) AS nmcont, lower(rtrim(fat_parc)) AS k, min(fat_parc) AS shown
+                   FROM spelled_labels WHERE NOT lower(fat_parc) LIKE '%entrada%' GROUP BY 1, 2, 3)""", """
+        SELECT cod_cli, nmcont, Contratos, TipoProduto
+        FROM (SELECT cod_cli, nmcont, string_agg(shown, ' || ' ORDER BY k) AS Contratos FROM labels GROUP BY 1, 2)
+        JOIN (SELECT cod_cli, nmcont, string_agg(shown, ' || ' ORDER BY k) AS TipoProduto FROM types GROUP BY 1, 2) USING (cod_cli, nmcont)"""),
+    "mailing_broken_folded": W(ENTITIES, mailing_select("broken")),
     "phone_pivot": W(CALLEES, f"""
         SELECT {WIDE}, s.nome, s.cpf, s.datanascimento, s.portfolio, {TELEPHONES} FROM callee s"""),
     "distinct_phones": W(CALLEES, "SELECT * FROM number"),

@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from callsheet import constants as K
+from callsheet.functions.scalars import fold
 from callsheet.operators.agreements import (
     agreement_labels,
     latest_agreement,
@@ -55,8 +56,11 @@ class MailingParams:
     portfolios: codes to include (None = all).  since: agreements created
     before are ignored.  as_of: run date for the 60-day rule (None = today).
     null_aware: NOT IN semantics for the paid-contract exclusion.
-    case_insensitive: compare notes, labels and status codes ignoring case
-    (status codes also ignoring trailing blanks).
+    case_insensitive: compare notes, labels, status codes, contract numbers
+    and the texts that DISTINCT and GROUP BY tell apart ignoring case and
+    (but for patterns) trailing blanks.  concat_bytes: cut joined texts
+    (Contratos, TipoProduto) to so many bytes, as a database with a bounded
+    text aggregate does (None = never).
     """
 
     portfolios: tuple[int, ...] | None = None
@@ -64,6 +68,7 @@ class MailingParams:
     as_of: dt.date | str | None = None
     null_aware: bool = True
     case_insensitive: bool = False
+    concat_bytes: int | None = None
 
 
 def cohort_of(name: str) -> str:
@@ -90,14 +95,14 @@ def contract_info(t: Mapping[str, DataFrame], p: MailingParams, latest: DataFram
     semantics per portfolio.  All inputs are aggregates keyed by the
     contract, so the joins here add no exchange: the paid contracts are told
     by the label that is joined anyway (paid statuses are labelled ones)."""
-    values = instalment_labels(t["receivables"], p.portfolios, p.case_insensitive)
+    values = instalment_labels(t["receivables"], p.portfolios, p.case_insensitive, p.concat_bytes)
     if p.null_aware:
         # one row for each portfolio code at most
         poison = portfolios_with_null_contract_latest(t["agreements"], K.PAID_STATUSES, p.since, p.portfolios)
         values = values.join(F.broadcast(poison), "cod_cli", "left_anti")
     labelled = values.join(agreement_labels(latest), CONTRACT, "left")
     unpaid = labelled.filter(F.col("staco").isNull() | ~F.col("staco").isin(K.PAID_STATUSES))
-    return unpaid.join(goods_summary(t["goods"], p.portfolios), CONTRACT, "left")
+    return unpaid.join(goods_summary(t["goods"], p.portfolios, p.case_insensitive), CONTRACT, "left")
 
 
 CARRIED = ["BindingID", "TipoProduto"]
@@ -132,18 +137,32 @@ def eligible_accounts(t: Mapping[str, DataFrame], p: MailingParams, summary: Dat
 
 
 def fold_codes(t: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    """Status codes compared the way a case- and trailing-blank-insensitive
-    collation compares them: ``upper(rtrim(code))``.  Used when
-    ``case_insensitive`` is on; text patterns are matched case-insensitively
-    by the predicates themselves."""
+    """The tables with codes and keys spelled one way, as a collation compares
+    them that ignores case and trailing blanks: status codes as
+    ``upper(rtrim(code))``, contract numbers folded (no list shows them), and
+    of phones and account rows that differ in spelling only the least
+    spelling.  Joins, groups and DISTINCT then compare plain strings.  Texts
+    joined per contract are folded where they are joined, patterns by the
+    predicates themselves."""
     out = dict(t)
-    out["accounts"] = t["accounts"].withColumn("stcli", F.upper(F.rtrim("stcli")))
-    out["agreements"] = t["agreements"].withColumn("staco", F.upper(F.rtrim("staco")))
+    for name in ("accounts", "agreements", "complements", "receivables", "goods"):
+        out[name] = t[name].withColumn("nmcont", fold("nmcont"))
+    out["accounts"] = out["accounts"].withColumn("stcli", F.upper(F.rtrim("stcli")))
+    out["agreements"] = out["agreements"].withColumn("staco", F.upper(F.rtrim("staco")))
     out["history"] = t["history"].withColumn("ocorr", F.upper(F.rtrim("ocorr")))
     out["outcomes"] = t["outcomes"].withColumn("st", F.upper(F.rtrim("st")))
+    out["accounts"] = one_spelling(out["accounts"], ["nomecli", "cpfcnpj", "infoad"])
+    out["phones"] = one_spelling(t["phones"], ["dddfone", "telefone", "obs"])
     return out
 
 
+def one_spelling(df: DataFrame, texts: list[str]) -> DataFrame:
+    """Rows that are equal but for case and trailing blanks in ``texts``, once, with the least spelling (merged map-side)."""
+    keys = [fold(c).alias(f"_{c}") if c in texts else F.col(c) for c in df.columns]
+    least = df.groupBy(*keys).agg(F.min(F.struct(*texts)).alias("_least"))
+    return least.select(*[F.col(f"_least.{c}").alias(c) if c in texts else F.col(c) for c in df.columns])
+
+
 def of_accounts(t: Mapping[str, DataFrame], accounts: DataFrame) -> dict[str, DataFrame]:
     """The tables with the phones and the history of ``accounts`` (and of few
     others, which no list meets): what a run for some portfolios needs."""
@@ -158,7 +177,7 @@ def _base(t: Mapping[str, DataFrame], p: MailingParams, cohorts: list[str]) -> D
         t = fold_codes(t)
     if p.portfolios is not None:
         t = of_accounts(t, active_accounts(t["accounts"], p.portfolios))
-    summary = complement_summary(t["complements"], p.portfolios)
+    summary = complement_summary(t["complements"], p.portfolios, p.case_insensitive, p.concat_bytes)
     latest = latest_agreement(t["agreements"], p.since, p.portfolios)
 
     recent = None

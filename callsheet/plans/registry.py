@@ -39,7 +39,7 @@ from callsheet.operators.exclusion import exclude_keys
 from callsheet.operators.joins import split_join
 from callsheet.operators.phones import distinct_phones, pivot_phones, rank_account_phones, usable_phones
 from callsheet.plans import catalogue as cat
-from callsheet.plans.mailings import MailingParams, eligible_accounts, mailing, mailing_batch, mailing_counts
+from callsheet.plans.mailings import MailingParams, eligible_accounts, fold_codes, mailing, mailing_batch, mailing_counts
 from callsheet.sources.fixtures import FIXTURE_AS_OF, FIXTURE_SINCE, fixture_tables
 from callsheet.sources.sink import read_list_csv, text_columns, write_list_csv
 
@@ -316,6 +316,41 @@ def distinct_concat_q(spark, d):
     return r.groupBy(*CONTRACT).agg(distinct_concat("fat_parc").alias("labels"))
 
 
+@query
+def bounded_concat(spark, d):
+    """The same text cut at 24 bytes."""
+    r = _t(spark, d)["receivables"]
+    return r.groupBy(*CONTRACT).agg(distinct_concat("fat_parc", max_bytes=24).alias("labels"))
+
+
+def respelled(t):
+    """The tables with keys, codes and texts spelled in several ways that a
+    collation takes for one; some rows twice, in two spellings."""
+    out = dict(t)
+    odd = F.col("cod_cli") % 2 == 1
+    out["accounts"] = t["accounts"].withColumn("nmcont", F.lower("nmcont")).withColumn("stcli", F.concat(F.lower("stcli"), F.lit(" ")))
+    out["agreements"] = t["agreements"].withColumn("nmcont", F.concat("nmcont", F.lit("  "))).withColumn("staco", F.lower("staco"))
+    again = t["complements"].filter("int_2 % 2 = 0").withColumn("nmcont", F.concat(F.lower("nmcont"), F.lit(" "))).withColumn("char_5", F.concat(F.lower("char_5"), F.lit("  ")))
+    out["complements"] = t["complements"].unionByName(again)
+    out["receivables"] = t["receivables"].withColumn("nmcont", F.when(odd, F.lower("nmcont")).otherwise(F.col("nmcont"))).unionByName(
+        t["receivables"].withColumn("fat_parc", F.concat("fat_parc", F.lit(" "))))
+    out["goods"] = t["goods"].withColumn("nmcont", F.concat("nmcont", F.lit(" ")))
+    out["history"] = t["history"].withColumn("ocorr", F.concat(F.upper("ocorr"), F.lit(" ")))
+    return out
+
+
+@query
+def contract_values_folded(spark, d):
+    t = fold_codes(respelled(_t(spark, d)))
+    return contract_values(t["complements"], t["receivables"], case_insensitive=True)
+
+
+@query
+def mailing_broken_folded(spark, d):
+    """The list from respelled tables; its rows must be those of the plain ones."""
+    return mailing(respelled(_t(spark, d)), "broken", P, case_insensitive=True)
+
+
 @query
 def phone_pivot(spark, d):
     return _wide(_t(spark, d))

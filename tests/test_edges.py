@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from callsheet.functions.scalars import agreement_type
@@ -210,3 +212,25 @@ def test_recommended_mailing_for_a_run_date(spark):
     assert [r.mailing for r in recommended_mailings(spark, "2024-03-26").collect()] == ["ter_cpc"]   # Tuesday
     assert recommended_mailings(spark, "2024-03-29").count() == 0                                   # Friday
     assert recommended_mailings(spark).count() in (0, 1)
+
+
+@pytest.mark.parametrize("most", [0, 1, 2, 3, 4, 5, 7, 24, 1000])
+def test_bounded_text_is_cut_between_characters(spark, most):
+    from callsheet.functions.scalars import cut_bytes
+
+    texts = ["", "plain", "ação ção", "中文字", "🙂🙂", "a🙂b", "éé", None, "x" * 999 + "é"]
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select("t", cut_bytes("t", most).alias("c")).collect()
+    for r in got:
+        assert r.c == (None if r.t is None else r.t.encode()[:most].decode(errors="ignore"))
+
+
+def test_bounded_lists(spark):
+    from callsheet.plans.mailings import MailingParams, mailing
+    from callsheet.sources.fixtures import FIXTURE_AS_OF, FIXTURE_SINCE, fixture_tables
+
+    t = fixture_tables(spark, "/root/testdata/sf0.001")
+    p = MailingParams(since=FIXTURE_SINCE, as_of=FIXTURE_AS_OF)
+    whole = {(r.cod_cli, r.cod_cad): r for r in mailing(t, "broken", p).collect()}
+    cut = {(r.cod_cli, r.cod_cad): r for r in mailing(t, "broken", p, concat_bytes=30).collect()}
+    assert set(whole) == set(cut) and any(len(r.Contratos) > 30 for r in whole.values())
+    assert all(r.Contratos == whole[k].Contratos[:30] and r.TipoProduto == whole[k].TipoProduto[:30] for k, r in cut.items())
