@@ -8,7 +8,7 @@ import public_tokenizers
 import pytest
 import sentencepiece
 
-from callsheet.llm.alignment import align_texts, alignment_counts, common_ends
+from callsheet.llm.alignment import Pieces, align_texts, alignment_counts, common_ends
 from callsheet.llm.queries import op13_tokenizer_alignment
 from tests.llm import brute
 
@@ -46,6 +46,19 @@ def plain(texts):
     return [(n_a, n_b, len(g), len(ls), sum(counts[x] == best[x[1]] for x in ls), sum(counts[x] for x in ls), hashlib.sha256(";".join(g).encode()).hexdigest() if n_a else "") for n_a, n_b, g, ls in rows]
 
 
+def test_words_encoded_alone_give_the_ids_of_whole_texts():
+    rng = np.random.default_rng(9)
+    model = Pieces()
+    assert model.by_word
+    marks = ["a", "the", "ing", "é", "中", "🙂", " ", "  ", "   ", "\t", "\n", "\u00a0", "▁", "▁▁", "0", ".", "<0x41>", "\u200b", "ﬁ"]
+    texts = [t or "" for t in TEXTS] + ["".join(rng.choice(marks, rng.integers(0, 40))) for _ in range(3000)]
+    ids, at = model.encode([t.encode() for t in texts])
+    assert [ids[a:z].tolist() for a, z in zip(at, at[1:], strict=False)] == [model.model.encode(t) if t else [] for t in texts]
+    model.by_word = False
+    again = model.encode([t.encode() for t in texts if t])
+    assert again[0].tolist() == ids.tolist()
+
+
 def test_tokens_that_end_together_in_slices_of_any_size():
     rng = np.random.default_rng(4)
     for _ in range(30):
