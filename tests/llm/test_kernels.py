@@ -135,3 +135,19 @@ def test_shared_rows_have_a_partner():
                        for a in range(0, len(rows), step)]
             got = [tuple(x.values()) for b in ngram_join._shared(iter(batches)) for x in b.to_pylist()]
             assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_points_bound_the_overlap_of_sets_of_all_sizes():
+    rng = np.random.default_rng(11)
+    sets = []
+    for n in (1, 2, 5, 100, 300, 1000, 5000, 70_000):
+        base = rng.integers(0, 1 << 40, n).astype(np.uint64)
+        sets += [np.unique(base), np.unique(np.concatenate([base[: n * 3 // 4], rng.integers(0, 1 << 40, n // 3).astype(np.uint64)]))]
+    sets.append(np.arange(0, 40_000, 128).astype(np.uint64) * np.uint64(1024))  # all in one group of few
+    points = [ngram_join.counted(s) for s in sets]
+    x, y = (k.ravel() for k in np.meshgrid(np.arange(len(sets)), np.arange(len(sets))))
+    bound = ngram_join.overlap_bounds(points, x, y)
+    both = np.array([len(np.intersect1d(sets[i], sets[j])) for i, j in zip(x, y, strict=True)])
+    assert (bound >= both).all() and (bound[x == y] == [len(s) for s in sets]).all()
+    near = (x // 2 == y // 2) & (x != y) & (np.maximum(x, y) < 16)
+    assert (bound[near] <= both[near] + np.array([len(s) for s in sets])[x[near]] * 0.2 + 2).all()
