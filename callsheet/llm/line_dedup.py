@@ -11,6 +11,10 @@ pair is aligned by patience diff over all lines both hold: lines that stand
 once on both sides make anchors, the longest increasing run of anchors is
 kept, and between anchors the same is done again; equal neighbours extend a
 block.  Aligned blocks are deleted from the later document.
+
+A shared run that stays (it crosses others in the first holder) leads to the
+next holders, one, two, four and so on of them at a time, until it is gone or
+every earlier holder was aligned.
 """
 
 from __future__ import annotations
@@ -22,8 +26,9 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from callsheet.llm.arrays import chunks, hash_bytes, hash_slices, joined, utf8
 from callsheet.llm.keyfilter import key_filter, may_hold
@@ -33,16 +38,16 @@ from callsheet.llm.store import row_key, shared_folder, stored
 MIN_BLOCK = 20
 #: Lengths of the runs of lines that lead to documents with more in common, in the same order.
 RUNS = (2, 4, 8)
-#: Parts into which the holders of one run are dealt.
-SALTS = 16
+#: Runs are named for so many lines at a time.
+RUN_LINES = 100_000
 
 _WS = np.zeros(256, bool)
 _WS[[9, 10, 11, 12, 13, 32]] = True
 
 
 def _documents(batches: Iterator[pa.RecordBatch], min_block: int) -> Iterator[pa.RecordBatch]:
-    """(id, key, whole, lines, at, size) of (id, key, text) rows that have a block's size: the lines with
-    a word, their places in the text and their sizes; ``whole`` names the list of lines."""
+    """(id, key, whole, lines, size) of (id, key, text) rows that have a block's size: the lines with
+    a word and their sizes; ``whole`` names the list of lines."""
     for batch in batches:
         texts = utf8(batch.column(2))
         for a, z in chunks(texts):
@@ -50,10 +55,8 @@ def _documents(batches: Iterator[pa.RecordBatch], min_block: int) -> Iterator[pa
             stop = np.flatnonzero(buf == 10)
             start = np.concatenate([[0], stop[:-1] + 1])
             text = np.searchsorted(begins, start, "right") - 1
-            first = np.searchsorted(start, begins[:-1])
             filled = np.concatenate([[0], np.cumsum(~_WS[buf])])
             keep = filled[stop] > filled[start]
-            at = (np.arange(len(start)) - first[text])[keep]
             h = hash_bytes(buf, start[keep], stop[keep])
             size = (stop - start)[keep]
             edge = np.searchsorted(text[keep], np.arange(z - a + 1))
@@ -63,37 +66,55 @@ def _documents(batches: Iterator[pa.RecordBatch], min_block: int) -> Iterator[pa
                 continue
             where = pa.array(big + a)
             whole = hash_slices(h, edge[big], edge[big + 1])
-            lists = [pa.ListArray.from_arrays(pa.array(edge, pa.int32()), pa.array(x)).take(pa.array(big)) for x in (h.view(np.int64), at.astype(np.int32), size.astype(np.int32))]
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(where), batch.column(1).take(where), pa.array(whole.view(np.int64)), *lists], names=["id", "key", "whole", "lines", "at", "size"])
+            lists = [pa.ListArray.from_arrays(pa.array(edge, pa.int32()), pa.array(x)).take(pa.array(big)) for x in (h.view(np.int64), size.astype(np.int32))]
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(where), batch.column(1).take(where), pa.array(whole.view(np.int64)), *lists], names=["id", "key", "whole", "lines", "size"])
 
 
-def run_names(lines: np.ndarray, size: np.ndarray, min_block: int) -> np.ndarray:
-    """Names of the runs of one document that lead to others: from each line
-    and up to each line the shortest of ``min_block`` bytes, and ``RUNS``."""
+def run_spans(lines: np.ndarray, size: np.ndarray, edge: np.ndarray, min_block: int) -> tuple[np.ndarray, ...]:
+    """Name, document, first line and line after the last of the runs that lead
+    to others: from each line and up to each line the shortest of
+    ``min_block`` bytes, and ``RUNS``.  ``edge`` is where documents begin (and the end)."""
     n = len(lines)
+    doc = np.repeat(np.arange(len(edge) - 1), np.diff(edge))
+    low, high = edge[doc], edge[doc + 1]
     sums = np.concatenate([[0], np.cumsum(size)])
     here = np.arange(n)
     end = np.searchsorted(sums, sums[:-1] + min_block)
     begin = np.searchsorted(sums, sums[1:] - min_block, "right") - 1
-    spans = [(here[end <= n], end[end <= n]), (begin[begin >= 0], here[begin >= 0] + 1)]
-    spans += [(here[:n - k + 1], here[:n - k + 1] + k) for k in RUNS if k <= n]
+    spans = [(here[end <= high], end[end <= high]), (begin[begin >= low], here[begin >= low] + 1)]
+    for k in RUNS:
+        inside = np.flatnonzero(here + k <= high)
+        spans.append((inside, inside + k))
     start, stop = (np.concatenate([x[i] for x in spans]) for i in (0, 1))
     large = sums[stop] - sums[start] >= min_block
-    return np.unique(hash_slices(lines, start[large], stop[large])).view(np.int64)
+    start, stop = start[large], stop[large]
+    code = np.unique(start * np.int64(n + 1) + stop)  # kinds of runs may coincide
+    start, stop = code // (n + 1), code % (n + 1)
+    return hash_slices(lines, start, stop).view(np.int64), doc[start], start - edge[doc[start]], stop - edge[doc[start]]
 
 
 def _runs(batches: Iterator[pa.RecordBatch], min_block: int, shared=None) -> Iterator[pa.RecordBatch]:
-    """(run, id, key) of (id, key, lines, size) rows, of the shared runs only if they are given."""
+    """(run, id, key, start, stop) of (id, key, lines, size) rows, of the shared runs only if they
+    are given; else each run of a document once."""
     for batch in batches:
-        for i in range(batch.num_rows):
-            lines, size = (batch.column(c)[i].values.to_numpy() for c in (2, 3))
-            runs = run_names(lines.view(np.uint64), size, min_block)
+        many = np.diff(batch.column(2).offsets.to_numpy()) if batch.num_rows else np.zeros(0, np.int64)
+        cut = np.unique(np.append(np.searchsorted(np.cumsum(many), np.arange(0, int(many.sum()), RUN_LINES), "left"), batch.num_rows))
+        for a, z in zip(cut[:-1].tolist() if len(cut) > 1 else [], cut[1:].tolist(), strict=True):
+            part = batch.slice(a, z - a)
+            edge = np.concatenate([[0], np.cumsum(many[a:z])]).astype(np.int64)
+            run, doc, start, stop = run_spans(part.column(2).flatten().to_numpy().view(np.uint64), part.column(3).flatten().to_numpy().astype(np.int64), edge, min_block)
             if shared is not None:
-                runs = runs[may_hold(shared.value, runs)] if len(runs) else runs
-            for s in range(0, len(runs), 100_000):
-                part = runs[s:s + 100_000]
-                where = pa.array(np.full(len(part), i))
-                yield pa.RecordBatch.from_arrays([pa.array(part), batch.column(0).take(where), batch.column(1).take(where)], names=["run", "id", "key"])
+                keep = np.flatnonzero(may_hold(shared.value, run)) if len(run) else np.zeros(0, np.int64)
+            else:
+                order = np.lexsort((run, doc))
+                new = np.ones(len(run), bool)
+                new[1:] = (run[order][1:] != run[order][:-1]) | (doc[order][1:] != doc[order][:-1])
+                keep = order[new]
+            for s in range(0, len(keep), 100_000):
+                k = keep[s:s + 100_000]
+                where = pa.array(doc[k])
+                yield pa.RecordBatch.from_arrays([pa.array(run[k]), part.column(0).take(where), part.column(1).take(where), pa.array(start[k].astype(np.int32)), pa.array(stop[k].astype(np.int32))],
+                                                 names=["run", "id", "key", "start", "stop"])
 
 
 def patience(a: list[int], b: list[int], ids_a: list[int], ids_b: list[int]) -> list[tuple[int, int]]:
@@ -173,96 +194,140 @@ def deleted_lines(a: list[tuple[int, int]], b: list[tuple[int, int, int]], min_b
 
 
 def _aligned(batches: Iterator[pa.RecordBatch], min_block: int) -> Iterator[pa.RecordBatch]:
-    """(key, gone) of (later, lines there, lines here, places here, sizes here) rows, one for each pair."""
+    """(key, gone) of (later, lines there, lines here, sizes here) rows, one for each pair: the places,
+    among the lines with a word, of those that go."""
     for batch in batches:
         gone = []
         for i in range(batch.num_rows):
-            there, here, at, size = (batch.column(c)[i].values.to_numpy() for c in range(1, 5))
+            there, here, size = (batch.column(c)[i].values.to_numpy() for c in range(1, 4))
             a, b = np.flatnonzero(np.isin(there, here)), np.flatnonzero(np.isin(here, there))
-            places = deleted_lines(list(zip(a.tolist(), there[a].tolist(), strict=True)), list(zip(b.tolist(), here[b].tolist(), size[b].tolist(), strict=True)), min_block)
-            gone.append(at[places].tolist())
+            gone.append(deleted_lines(list(zip(a.tolist(), there[a].tolist(), strict=True)), list(zip(b.tolist(), here[b].tolist(), size[b].tolist(), strict=True)), min_block))
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(gone, pa.list_(pa.int32()))], names=["key", "gone"])
 
 
-def _cut(batches: Iterator[pa.RecordBatch], text_at: int, key_at: int, gone_at: int | None, flagged=None) -> Iterator[pa.RecordBatch]:
-    """Rows with their text less the lines that go (the place -1 stands for
-    every line with a word), and two counts; the helper columns go too."""
+def _cut(batches: Iterator[pa.RecordBatch], flagged=None) -> Iterator[pa.RecordBatch]:
+    """(row, text, n_lines, n_removed) of (row, key, text[, gone]) rows: the
+    text less the lines that go (the place -1 stands for every line with a
+    word).  With a bitmap, of the rows it does not hold."""
     for batch in batches:
         if flagged is not None:
-            batch = batch.filter(pa.array(~may_hold(flagged.value, batch.column(key_at).to_numpy())))
-        texts = batch.column(text_at).to_pylist()
-        lists = batch.column(gone_at).to_pylist() if gone_at is not None else [None] * len(texts)
-        new, lines, removed = [], [], []
-        for t, g in zip(texts, lists, strict=True):
-            lines.append(0 if not t else t.count("\n") + 1)
-            if g:
-                split = t.split("\n")
-                drop = {i for i, x in enumerate(split) if x.strip(" \t\n\v\f\r")} if -1 in g else set(g)
-                t = "\n".join([x for i, x in enumerate(split) if i not in drop])
+            batch = batch.filter(pa.array(~may_hold(flagged.value, batch.column(1).to_numpy())))
+        for a, z in chunks(utf8(batch.column(2))):
+            part = batch.slice(a, z - a)
+            texts = part.column(2).to_pylist()
+            lists = [None] * len(texts) if flagged is not None else part.column(3).to_pylist()
+            new, lines, removed = [], [], []
+            for t, g in zip(texts, lists, strict=True):
+                lines.append(0 if not t else t.count("\n") + 1)
+                drop: set[int] = set()
+                if g:
+                    split = t.split("\n")
+                    filled = [i for i, x in enumerate(split) if x.strip(" \t\n\v\f\r")]
+                    drop = set(filled) if -1 in g else {filled[k] for k in g}
+                    t = "\n".join([x for i, x in enumerate(split) if i not in drop])
+                new.append(t)
                 removed.append(len(drop))
-            else:
-                removed.append(0)
-            new.append(t)
-        keep = [i for i in range(batch.num_columns) if i not in (key_at, gone_at)]
-        columns = [pa.array(new, pa.string()) if i == text_at else batch.column(i) for i in keep]
-        names = [batch.schema.names[i] for i in keep]
-        yield pa.RecordBatch.from_arrays([*columns, pa.array(lines, pa.int64()), pa.array(removed, pa.int64())], names=[*names, "_n_lines", "_n_removed"])
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(new, pa.string()), pa.array(lines, pa.int64()), pa.array(removed, pa.int64())], names=["row", "text", "n_lines", "n_removed"])
 
 
-def _held(batches: Iterator[pa.RecordBatch], key_at: int, flagged) -> Iterator[pa.RecordBatch]:
+def _held(batches: Iterator[pa.RecordBatch], flagged) -> Iterator[pa.RecordBatch]:
+    """The rows whose key the bitmap may hold."""
     for batch in batches:
-        yield batch.filter(pa.array(may_hold(flagged.value, batch.column(key_at).to_numpy())))
+        yield batch.filter(pa.array(may_hold(flagged.value, batch.column(1).to_numpy())))
+
+
+def _lines_gone(pairs: DataFrame, once: DataFrame, min_block: int, name: str, folder: str) -> DataFrame:
+    """(key, gone): the lines of later documents that go, by the pairs (earlier, key).  A document may
+    be in a third of the pairs; both joins have an exchange on either side, so AQE may split it."""
+    here = once.select(F.col("key").alias("_k"), F.col("lines").alias("here"), "size")
+    there = once.select(F.col("key").alias("_e"), F.col("lines").alias("there"))
+    both = pairs.join(here, F.col("key") == F.col("_k")).join(there, F.col("earlier") == F.col("_e"))
+    gone = both.select("key", "there", "here", "size").mapInArrow(partial(_aligned, min_block=min_block), "key long, gone array<int>").filter(F.size("gone") > 0)
+    return stored(gone, name, folder)
+
+
+def _merged(gone: DataFrame) -> DataFrame:
+    return gone.groupBy(F.col("key").alias("_gone_key")).agg(F.array_distinct(F.flatten(F.collect_set("gone"))).alias("_gone"))
+
+
+def _rounds(held: DataFrame, pairs: DataFrame, gone: DataFrame, once: DataFrame, min_block: int, folder: str) -> DataFrame:
+    """``gone`` of the first pairs, and of those with further holders of the
+    runs (run, rank, key, start, stop) that stay."""
+    def staying(runs: DataFrame, gone: DataFrame) -> DataFrame:
+        known = runs.join(_merged(gone), F.col("key") == F.col("_gone_key"), "left")
+        left = F.array_except(F.sequence("start", F.col("stop") - 1), F.coalesce("_gone", F.array().cast("array<int>")))
+        return known.filter(F.size(left) > 0).drop("_gone_key", "_gone")
+
+    later = held.join(pairs.select(F.col("key").alias("_p")).distinct(), F.col("key") == F.col("_p"), "left_semi")
+    still = stored(staying(later, gone).select("run").distinct(), "staying", folder)
+    if still.isEmpty():
+        return gone
+    # the holders of such a run, in their order
+    once_each = held.groupBy("run", "rank", "key").agg(F.min("start").alias("start")).drop("start")
+    order = Window.partitionBy("run").orderBy("rank")
+    placed = stored(once_each.join(still, "run", "left_semi").withColumn("place", F.row_number().over(order)), "holders", folder)
+    last = placed.agg(F.max("place").alias("n")).first()["n"]
+    own = stored(held.join(still, "run", "left_semi").join(placed.select(F.col("run").alias("_run"), F.col("key").alias("_key"), "place"), (F.col("run") == F.col("_run")) & (F.col("key") == F.col("_key"))).select("run", "key", "start", "stop", "place"), "own", folder)
+    low = 1
+    while low < last:
+        open_ = staying(own.filter(F.col("place") > low + 1), gone).select("run", "key", "place").distinct()
+        among = placed.filter(F.col("place").between(low + 1, 2 * low)).select(F.col("run").alias("_run"), F.col("key").alias("earlier"), F.col("place").alias("_place"))
+        more = open_.join(among, (F.col("run") == F.col("_run")) & (F.col("_place") < F.col("place"))).select("earlier", "key").distinct()
+        more = stored(more.join(pairs, ["earlier", "key"], "left_anti"), f"pairs_{low}", folder)
+        if not more.isEmpty():
+            gone = stored(gone.unionByName(_lines_gone(more, once, min_block, f"aligned_{low}", folder)), f"gone_{low}", folder)
+            pairs = stored(pairs.unionByName(more), f"known_{low}", folder)
+        low *= 2
+    return gone
 
 
-def remove_shared_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", min_block: int = MIN_BLOCK) -> DataFrame:
-    """``docs`` with aligned blocks of lines deleted, plus ``_n_lines`` and ``_n_removed``.
+def remove_shared_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", min_block: int = MIN_BLOCK,
+                        counts: tuple[str, str] = ("_n_lines", "_n_removed")) -> DataFrame:
+    """``docs`` with aligned blocks of lines deleted, plus two columns named by
+    ``counts``: lines, and lines deleted.
 
     Of two rows the one with the smaller id is the earlier; rows of one id are
     told apart by their text, null ids come last.  Lines without a word are
     never compared and stay.  A null text stays null, an empty one empty;
     repeated rows (equal in id and text) are one document and change alike.
-    Other columns pass through, whatever their names, unless they are named
-    like the two counts.
+    Other columns pass through, whatever their names; only namesakes of the
+    two counts are replaced by them.  An empty table stays empty.
     """
     spark = docs.sparkSession
     folder = shared_folder(spark)
-    if {c.lower() for c in docs.columns} & {"_n_lines", "_n_removed", "_line_key", "_gone"}:
-        raise ValueError("columns of docs clash with those of the result")
-    keyed = docs.withColumn("_line_key", row_key(id_column, text_column))
-    rows = keyed.select(F.col(id_column).cast("long").alias("id"), F.col("_line_key").alias("key"), F.col(text_column).alias("text"))
-    all_ = rows.mapInArrow(partial(_documents, min_block=min_block), "id long, key long, whole long, lines array<long>, at array<int>, size array<int>")
+    keyed = docs.select(F.struct(*docs.columns).alias("row"), row_key(id_column, text_column).alias("key"), F.col(text_column).alias("text"))
+    rows = docs.select(F.col(id_column).cast("long").alias("id"), row_key(id_column, text_column).alias("key"), F.col(text_column).alias("text"))
+    all_ = rows.mapInArrow(partial(_documents, min_block=min_block), "id long, key long, whole long, lines array<long>, size array<int>")
     all_ = stored(all_, "lines", folder)
     # of documents with the same lines the first stands for all; the others go whole
-    ranked = F.struct(F.col("id").isNull().alias("none"), "id", "key", "lines", "at", "size")
+    ranked = F.struct(F.col("id").isNull().alias("none"), "id", "key", "lines", "size")
     once = all_.groupBy("whole").agg(F.min(ranked).alias("d"), F.max("key").alias("_high"), F.min("key").alias("_low"))
     once = stored(once.select("whole", "d.*", (F.col("_high") != F.col("_low")).alias("copied")), "once", folder)
-    salt = F.pmod(F.xxhash64("key"), F.lit(SALTS)).cast("int")
-    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_t")
-    lead = once.filter("copied").select(F.col("whole").alias("_w"), F.col("key").alias("first"), salts)
-    copies = all_.select("whole", "key").distinct().withColumn("_salt", salt).join(lead, (F.col("whole") == F.col("_w")) & (F.col("_salt") == F.col("_t")) & (F.col("key") != F.col("first")))
+    lead = once.filter("copied").select(F.col("whole").alias("_w"), F.col("key").alias("first"))
+    copies = all_.select("whole", "key").distinct().join(lead, (F.col("whole") == F.col("_w")) & (F.col("key") != F.col("first")))
     copies = copies.select("key", F.array(F.lit(-1)).alias("gone"))
     # each run leads its later holders to the first one
     docs_ = once.select("id", "key", "lines", "size")
-    runs = docs_.mapInArrow(partial(_runs, min_block=min_block), "run long, id long, key long")
+    schema = "run long, id long, key long, start int, stop int"
     rank = F.struct(F.col("id").isNull().alias("none"), F.col("id").alias("id"), F.col("key").alias("key"))
+    runs = docs_.mapInArrow(partial(_runs, min_block=min_block), schema)
     first = runs.groupBy("run").agg(F.min(rank).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     first = stored(first.select(F.col("run").alias("_r"), F.col("first.key").alias("earlier")), "first", folder)
     shared = key_filter(first.select("_r"))
-    held = docs_.mapInArrow(partial(_runs, min_block=min_block, shared=shared), "run long, id long, key long").select("run", "key").withColumn("_salt", salt)
-    match = held.join(first.select("_r", "earlier", salts), (F.col("run") == F.col("_r")) & (F.col("_salt") == F.col("_t")) & (F.col("key") != F.col("earlier")))
-    pairs = stored(match.select("earlier", "key", "_salt").distinct(), "pairs", folder)
-    # a document may be the first holder for a third of the others
-    there = once.join(pairs.select("earlier").distinct(), F.col("key") == F.col("earlier"), "left_semi").select(F.col("key").alias("_e"), F.col("lines").alias("there"), salts)
-    here = once.select(F.col("key").alias("_k"), F.col("lines").alias("here"), "at", "size")
-    both = pairs.join(there, (F.col("earlier") == F.col("_e")) & (F.col("_salt") == F.col("_t"))).join(here, F.col("key") == F.col("_k"))
-    gone = both.select("key", "there", "here", "at", "size").mapInArrow(partial(_aligned, min_block=min_block), "key long, gone array<int>").filter(F.size("gone") > 0)
-    gone = gone.unionByName(copies)
-    gone = stored(gone.groupBy(F.col("key").alias("_gone_key")).agg(F.array_distinct(F.flatten(F.collect_list("gone"))).alias("_gone")), "gone", folder)
+    held = docs_.mapInArrow(partial(_runs, min_block=min_block, shared=shared), schema).select("run", rank.alias("rank"), "key", "start", "stop")
+    held = stored(held, "held", folder)
+    shared.destroy()
+    match = held.select("run", "key").join(first, (F.col("run") == F.col("_r")) & (F.col("key") != F.col("earlier")))
+    pairs = stored(match.select("earlier", "key").distinct(), "pairs", folder)
+    gone = _lines_gone(pairs, once, min_block, "aligned", folder)
+    gone = _rounds(held, pairs, gone, once, min_block, folder).unionByName(copies)
+    gone = stored(_merged(gone), "gone", folder)
     flagged = key_filter(gone.select("_gone_key"))
-    names = docs.columns
-    text_at, key_at = names.index(text_column), len(names)
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema] + ["_n_lines bigint", "_n_removed bigint"])
-    whole = keyed.mapInArrow(partial(_cut, text_at=text_at, key_at=key_at, gone_at=None, flagged=flagged), schema)
-    some = keyed.mapInArrow(partial(_held, key_at=key_at, flagged=flagged), schema.replace("_n_lines bigint, _n_removed bigint", "_line_key bigint"))
-    some = some.join(gone, F.col("_line_key") == F.col("_gone_key"), "left").drop("_gone_key")
-    return whole.unionByName(some.mapInArrow(partial(_cut, text_at=text_at, key_at=key_at, gone_at=key_at + 1), schema))
+    # rows that stay as they are do not travel
+    out = T.StructType([keyed.schema["row"], T.StructField("text", T.StringType()), T.StructField("n_lines", T.LongType()), T.StructField("n_removed", T.LongType())])
+    whole = keyed.mapInArrow(partial(_cut, flagged=flagged), out)
+    some = keyed.mapInArrow(partial(_held, flagged=flagged), keyed.schema).join(gone, F.col("key") == F.col("_gone_key"), "left").drop("_gone_key")
+    result = whole.unionByName(some.mapInArrow(_cut, out))
+    taken = {c.lower() for c in counts}
+    kept = [F.col("text").alias(c) if c == text_column else F.col("row")[c].alias(c) for c in docs.columns if c.lower() not in taken]
+    return result.select(*kept, F.col("n_lines").alias(counts[0]), F.col("n_removed").alias(counts[1]))

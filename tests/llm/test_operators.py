@@ -170,3 +170,13 @@ def test_empty_tables(spark, docs):
     for f in (lambda: encode_texts(none), lambda: scan_licenses(none), lambda: count_tokens(none), lambda: pii_table(none), lambda: remove_repeats(none),
               lambda: remove_shared_lines(none), lambda: pack_documents(none), lambda: link_components(none)):
         assert f().collect() == []
+
+
+def test_lines_that_cross_in_their_first_holder_are_found_in_later_ones(spark):
+    x, y, z = (f"the line called {c}, twenty bytes or more" for c in "XYZ")
+    table = [(1, f"{y}\n{x}"), (2, x), (3, y), (4, f"{x}\n{y}"), (5, f"{z}\n{x}\nown five\n{y}"), (6, f"{y}\nown six\n{x}\n{z}"), (7, f"own seven\n{z}\nmore\n{x}\n{x}")]
+    df = spark.createDataFrame([(i, t, 1, "n", "r") for i, t in table], "doc_id long, text string, _n_lines int, key string, row string").repartition(3)
+    got = {r.doc_id: r for r in remove_shared_lines(df, counts=("lines", "removed")).collect()}
+    assert [got[i].text for i in range(1, 8)] == [f"{y}\n{x}", "", "", "", f"{z}\nown five", f"own six\n{z}", f"own seven\nmore\n{x}"]
+    assert [got[i].removed for i in range(1, 8)] == [0, 1, 1, 2, 2, 2, 2] and got[5].lines == 4
+    assert remove_shared_lines(df).columns == ["doc_id", "text", "key", "row", "_n_lines", "_n_removed"]
