@@ -25,6 +25,8 @@ from pyspark.sql import functions as F
 from callsheet.llm.store import row_key, shared_folder, stored
 
 #: Kinds in the order in which spans that start together are listed.
+#: Texts are cut into blocks of so many characters before spans are cut out.
+BLOCK = 4096
 BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = (*BASE_KINDS, "secret", "iban", "ssn")
 #: Characters of text kept on both sides of a candidate.
@@ -234,24 +236,26 @@ def find_pii(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
 
 
 def pii_table(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """(id, n_email, n_ip, n_card, n_phone, base_sha256, spans), one row per
-    row of ``docs``.  Counts and digest are of base spans; ``spans`` lists all
-    as ``kind:start:stop``.  Other columns are ignored."""
+    """(id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_spans), one
+    row per row of ``docs``.  Counts and digest are of base spans; ``spans``
+    lists all as ``kind:start:stop``, ``n_spans`` counts them.  Null ids and
+    repeated rows have a row each; other columns are ignored."""
     spans = find_pii(docs, id_column, text_column)
     order = F.array_position(F.array(*[F.lit(k) for k in KINDS]), F.col("kind"))
     item = F.struct("start", order.alias("order"), F.concat_ws(":", "kind", F.col("start").cast("string"), F.col("stop").cast("string")).alias("name"), "base")
     per_row = spans.groupBy("key").agg(*[F.sum((F.col("base") & (F.col("kind") == k)).cast("long")).alias(f"n_{k}") for k in BASE_KINDS], F.sort_array(F.collect_list(item)).alias("all"))
     names = lambda a: F.array_join(F.transform(a, lambda x: x["name"]), ",")
-    per_row = per_row.select("key", *[f"n_{k}" for k in BASE_KINDS], names(F.filter("all", lambda x: x["base"])).alias("base_spans"), names(F.col("all")).alias("spans"))
+    per_row = per_row.select("key", *[f"n_{k}" for k in BASE_KINDS], names(F.filter("all", lambda x: x["base"])).alias("base_spans"), names(F.col("all")).alias("spans"), F.size("all").cast("long").alias("n_spans"))
     rows = docs.select(F.col(id_column), row_key(id_column, text_column).alias("_key"))
     return rows.join(per_row, F.col("_key") == F.col("key"), "left").select(
         id_column, *[F.coalesce(f"n_{k}", F.lit(0).cast("long")).alias(f"n_{k}") for k in BASE_KINDS],
-        F.sha2(F.coalesce("base_spans", F.lit("")), 256).alias("base_sha256"), F.coalesce("spans", F.lit("")).alias("spans"))
+        F.sha2(F.coalesce("base_spans", F.lit("")), 256).alias("base_sha256"), F.coalesce("spans", F.lit("")).alias("spans"), F.coalesce("n_spans", F.lit(0).cast("long")).alias("n_spans"))
 
 
 def redact(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``docs`` with each accepted span (overlapping ones as one) replaced by
-    its kind in angle brackets.  Columns and rows stay; a null text stays null."""
+    its kind in angle brackets.  Columns (whatever their names) and rows stay,
+    null ids and repeated rows too; a null text stays null, an empty table empty."""
     spans = find_pii(docs, id_column, text_column)
     order = Window.partitionBy("key").orderBy("start", F.desc("stop"))
     spans = spans.withColumn("_reach", F.max("stop").over(order.rowsBetween(Window.unboundedPreceding, -1)))
@@ -259,9 +263,17 @@ def redact(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text"
     merged = first.groupBy("key", "_group").agg(F.min("start").alias("start"), F.max("stop").alias("stop"), F.min_by("kind", F.struct("start", -F.col("stop"))).alias("kind"))
     merged = merged.withColumn("since", F.coalesce(F.lag("stop").over(Window.partitionBy("key").orderBy("start")), F.lit(0)))
     cuts = merged.groupBy(F.col("key").alias("_pii_key")).agg(F.sort_array(F.collect_list(F.struct("start", "since", "stop", "kind"))).alias("_cuts"))
-    text = F.col(text_column)
-    pieces = F.transform("_cuts", lambda c: F.concat(F.substring(text, c["since"] + 1, c["start"] - c["since"]), F.lit("<"), F.upper(c["kind"]), F.lit(">")))
-    tail = F.substring(text, F.element_at("_cuts", -1)["stop"] + 1, F.length(text))
-    changed = F.when(F.col("_cuts").isNull(), text).otherwise(F.concat(F.array_join(pieces, ""), tail))
-    rows = docs.withColumn("_row_key", row_key(id_column, text_column)).join(cuts, F.col("_row_key") == F.col("_pii_key"), "left")
-    return rows.withColumn(text_column, changed).select(*docs.columns)
+    rows = docs.select(F.struct(*docs.columns).alias("_row"), F.col(text_column).alias("_text"), row_key(id_column, text_column).alias("_row_key"))
+    # a substring is counted out from the beginning of its text, so a text is first cut into blocks
+    blocks = F.when(F.col("_cuts").isNotNull(), F.regexp_extract_all("_text", F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0)))
+    found = rows.join(cuts, F.col("_row_key") == F.col("_pii_key"), "left").withColumn("_blocks", blocks)
+
+    def between(since: Column, start: Column) -> Column:
+        low = F.floor(since / BLOCK).cast("int")
+        many = F.greatest(F.floor((start - 1) / BLOCK).cast("int") - low + 1, F.lit(1))
+        return F.substring(F.array_join(F.slice("_blocks", low + 1, many), ""), (since - low * BLOCK + 1).cast("int"), (start - since).cast("int"))
+
+    pieces = F.transform("_cuts", lambda c: F.concat(between(c["since"], c["start"]), F.lit("<"), F.upper(c["kind"]), F.lit(">")))
+    tail = between(F.element_at("_cuts", -1)["stop"], F.length("_text"))
+    changed = F.when(F.col("_cuts").isNull(), F.col("_text")).otherwise(F.concat(F.array_join(pieces, ""), tail))
+    return found.select(*[changed.alias(c) if c == text_column else F.col("_row")[c].alias(c) for c in docs.columns])
