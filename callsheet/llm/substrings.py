@@ -9,8 +9,10 @@ depends only on the words near them, the symbols inside equal passages are
 equal, but for some at their ends (``REACH`` words).  A last round names
 sequences of symbols of at least ``SPAN`` words; every window of 50 words is
 stood for by the least name in its interior.  Names that occur in two
-documents reveal where windows can repeat; only those windows are hashed
-whole, grouped and compared, which makes the result exact.
+documents reveal where windows can repeat; only those windows are looked at
+whole.  Two windows are equal if two independent 64-bit hashes of their words
+are, so equal windows are always found, and others are taken for equal with a
+chance of 2**-125 a pair.
 """
 
 from __future__ import annotations
@@ -116,7 +118,7 @@ def _names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _windows(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
-    """(window, doc, key, at): hashes of the windows whose anchor is shared."""
+    """(window, check, doc, key, at): two hashes of the windows whose anchor is shared."""
     bitmap = shared.value
     for batch, texts in _read(batches):
         words, first = word_hashes(*joined(texts))
@@ -131,27 +133,9 @@ def _windows(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBat
             continue
         doc = np.searchsorted(first, at, "right") - 1
         where = pa.array(doc)
-        yield pa.RecordBatch.from_arrays([pa.array(hash_slices(words, at, at + WINDOW).view(np.int64)), batch.column(0).take(where), batch.column(1).take(where), pa.array((at - first[doc]).astype(np.int32))],
-                                         names=["window", "doc", "key", "at"])
-
-
-def _later(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(key, at) of windows that also start in a smaller document; rows come sorted by window and document."""
-    last, least = None, None
-    for batch in batches:
-        window, doc = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-        if not len(window):
-            continue
-        new = np.ones(len(window), bool)
-        new[1:] = window[1:] != window[:-1]
-        begin = np.maximum.accumulate(np.where(new, np.arange(len(window)), 0))
-        smallest = doc[begin]
-        if last == window[0]:
-            smallest[window == window[0]] = least
-        later = doc > smallest
-        last, least = window[-1], smallest[-1]
-        if later.any():
-            yield pa.RecordBatch.from_arrays([batch.column(2).filter(pa.array(later)), batch.column(3).filter(pa.array(later))], names=["key", "at"])
+        both = [hash_slices(w, at, at + WINDOW).view(np.int64) for w in (words, mix(words + np.uint64(1)))]
+        yield pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1]), batch.column(0).take(where), batch.column(1).take(where), pa.array((at - first[doc]).astype(np.int32))],
+                                         names=["window", "check", "doc", "key", "at"])
 
 
 def _keep(texts: list[bytes], removed: list[np.ndarray], as_text: bool) -> Iterator[tuple[int, int, bytes]]:
@@ -213,8 +197,12 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
     known = rows.filter("id is not null").select(F.col("id").cast("long").alias("id"), "key", "text")
     names = known.mapInArrow(_names, "name long, doc long").groupBy("name").agg(F.min("doc").alias("low"), F.max("doc").alias("high"))
     shared = key_filter(stored(names.filter("low < high").select("name"), "names", folder))
-    found = known.mapInArrow(partial(_windows, shared=shared), "window long, doc long, key long, at int")
-    later = found.repartition("window").sortWithinPartitions("window", "doc").mapInArrow(_later, "key long, at int")
+    found = stored(known.mapInArrow(partial(_windows, shared=shared), "window long, check long, doc long, key long, at int"), "windows", folder)
+    shared.destroy()
+    # the least document of each window, counted map-side; a common window's rows may be split in the join
+    least = found.groupBy("window", "check").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).filter("low < high")
+    least = stored(least.select(F.col("window").alias("_w"), F.col("check").alias("_c"), "low"), "least", folder)
+    later = found.join(least, (F.col("window") == F.col("_w")) & (F.col("check") == F.col("_c"))).filter("doc > low").select("key", "at")
     later = stored(later.groupBy("key").agg(F.collect_list("at").alias("removed")), "later", folder)
     flagged = key_filter(later.select("key"))
     out = f"`{id_column}` {kind}, n_words bigint, n_removed bigint, " + ("kept_text string" if as_text else "kept_sha256 string")
