@@ -115,9 +115,14 @@ def detect(text: bytes) -> list[tuple[int, int, str, float]]:
         if not present.issuperset(keys):
             continue
         decoded = text.decode() if decoded is None else decoded
-        for m in pattern.finditer(decoded):
-            if not any(s <= m.start() and m.end() <= e for s, e, _, _ in found):
-                found.append((m.start(), m.end(), label, confidence))
+        spans = [m.span() for m in pattern.finditer(decoded)]
+        if spans and found:
+            # spans of stronger rules by their start, and the furthest end up to each; matches of one rule do not overlap
+            stronger = np.array(sorted(f[:2] for f in found))
+            reach = np.maximum.accumulate(stronger[:, 1])
+            before = np.searchsorted(stronger[:, 0], [s for s, _ in spans], "right") - 1
+            spans = [span for span, k in zip(spans, before.tolist(), strict=True) if k < 0 or reach[k] < span[1]]
+        found += [(s, e, label, confidence) for s, e in spans]
     return sorted(found)
 
 
