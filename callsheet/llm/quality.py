@@ -5,11 +5,13 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from callsheet.llm.arrays import chunks, distinct, hash_bytes, joined, mix, utf8, word_spans
 
@@ -212,35 +214,45 @@ def _calibrate(z: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(max(a[0], 0) / unit), float(a[1])
 
 
+FIELDS = (("n_words", "bigint"), ("word_chars", "bigint"), ("n_symbols", "bigint"), ("n_dup_lines", "bigint"), ("n_repeat_words", "bigint"),
+          ("base_failed", "boolean"), ("quality_probability", "double"), ("kept", "boolean"))
+
+
+def _judged(batches: Iterator[pa.RecordBatch], model: QualityModel, threshold: float) -> Iterator[pa.RecordBatch]:
+    """(row, verdict fields) of (row, text) rows."""
+    for batch in batches:
+        texts = utf8(batch.column(1))
+        for a, z in chunks(texts):
+            part = texts[a:z]
+            c = base_counts(part)
+            failed = (c["n_words"] < MIN_WORDS) | (100 * c["n_repeat_words"] > MAX_REPEAT_PERCENT * c["n_words"])
+            p = model.probability(_scores(part, model.weights))
+            out = [batch.column(0).slice(a, z - a)] + [pa.array(c[n].astype(np.int64)) for n, _ in FIELDS[:5]]
+            yield pa.RecordBatch.from_arrays([*out, pa.array(failed), pa.array(p), pa.array(~failed & (p >= threshold))], names=["row", *[n for n, _ in FIELDS]])
+
+
+def _verdict_rows(docs: DataFrame, row: Column, model: QualityModel, text_column: str, threshold: float) -> DataFrame:
+    source = docs.select(row.alias("row"), F.col(text_column).alias("text"))
+    schema = T.StructType([source.schema["row"], *T.StructType.fromDDL(", ".join(f"{n} {t}" for n, t in FIELDS)).fields])
+    return source.mapInArrow(partial(_judged, model=model, threshold=threshold), schema)
+
+
 def quality_verdicts(docs: DataFrame, model: QualityModel, id_column: str = "doc_id", text_column: str = "text",
                      threshold: float = THRESHOLD, keep_columns: bool = False) -> DataFrame:
-    """Base counts, base_failed, quality_probability and kept for each row.
+    """Base counts, base_failed, quality_probability and kept for each row,
+    after its id or, with ``keep_columns``, after the columns of ``docs`` (of
+    which the verdict's namesakes are replaced by the verdict).
 
-    A null or empty text has no words and fails the base rules.  Repeated
-    rows get equal verdicts.  With ``keep_columns`` the columns of ``docs``
-    come first; a clash with the verdict's own names is an error, as two
-    columns of one name would be.
+    A null or empty text has no words and fails the base rules.  Null ids and
+    repeated rows are judged each, equal ones alike; an empty table stays empty.
     """
-    fields = [("n_words", "bigint"), ("word_chars", "bigint"), ("n_symbols", "bigint"), ("n_dup_lines", "bigint"), ("n_repeat_words", "bigint"),
-              ("base_failed", "boolean"), ("quality_probability", "double"), ("kept", "boolean")]
-    source = docs if keep_columns else docs.select(F.col(id_column), F.col(text_column).alias("_text"))
-    lead = list(source.schema) if keep_columns else list(source.schema)[:1]
-    names = [f.name for f in lead] + [n for n, _ in fields]
-    if len({n.lower() for n in names}) < len(names):
-        raise ValueError("columns of docs clash with those of the verdict")
-    text_at = source.columns.index(text_column) if keep_columns else 1
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in lead] + [f"{n} {t}" for n, t in fields])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = utf8(batch.column(text_at))
-            for a, z in chunks(texts):
-                part = texts[a:z]
-                c = base_counts(part)
-                failed = (c["n_words"] < MIN_WORDS) | (100 * c["n_repeat_words"] > MAX_REPEAT_PERCENT * c["n_words"])
-                p = model.probability(_scores(part, model.weights))
-                out = [batch.column(i).slice(a, z - a) for i in range(len(lead))]
-                out += [pa.array(c[n].astype(np.int64)) for n, _ in fields[:5]] + [pa.array(failed), pa.array(p), pa.array(~failed & (p >= threshold))]
-                yield pa.RecordBatch.from_arrays(out, names=names)
-
-    return source.mapInArrow(run, schema)
+    rows = _verdict_rows(docs, F.struct(*docs.columns) if keep_columns else F.col(id_column), model, text_column, threshold)
+    own = [n for n, _ in FIELDS]
+    lead = [F.col("row")[c].alias(c) for c in docs.columns if c.lower() not in own] if keep_columns else [F.col("row").alias(id_column)]
+    return rows.select(*lead, *own)
+
+
+def good_documents(docs: DataFrame, model: QualityModel, text_column: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` that are kept, with all their columns, whatever their names."""
+    rows = _verdict_rows(docs, F.struct(*docs.columns), model, text_column, threshold).filter("kept")
+    return rows.select(*[F.col("row")[c].alias(c) for c in docs.columns])

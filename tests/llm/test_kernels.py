@@ -151,3 +151,26 @@ def test_points_bound_the_overlap_of_sets_of_all_sizes():
     assert (bound >= both).all() and (bound[x == y] == [len(s) for s in sets]).all()
     near = (x // 2 == y // 2) & (x != y) & (np.maximum(x, y) < 16)
     assert (bound[near] <= both[near] + np.array([len(s) for s in sets])[x[near]] * 0.2 + 2).all()
+
+
+def test_detections_inside_stronger_ones_are_dropped_in_linear_time():
+    import time
+
+    notice = "licensed under the gnu general public license, version 3, or cc by 4.0. all rights reserved. "
+
+    def plain(text):
+        found = []
+        for label, keys, confidence, pattern in licenses.rules():
+            if all(k.decode() in text for k in keys):
+                for m in pattern.finditer(text):
+                    if not any(s <= m.start() and m.end() <= e for s, e, _, _ in found):
+                        found.append((m.start(), m.end(), label, confidence))
+        return sorted(found)
+
+    assert licenses.detect((notice * 40).encode()) == plain(notice * 40)
+    seconds = []
+    for n in (400, 3200):
+        began = time.process_time()
+        licenses.detect((notice * n).encode())
+        seconds.append(time.process_time() - began)
+    assert seconds[1] < 24 * seconds[0] + 0.5

@@ -180,3 +180,13 @@ def test_lines_that_cross_in_their_first_holder_are_found_in_later_ones(spark):
     assert [got[i].text for i in range(1, 8)] == [f"{y}\n{x}", "", "", "", f"{z}\nown five", f"own six\n{z}", f"own seven\nmore\n{x}"]
     assert [got[i].removed for i in range(1, 8)] == [0, 1, 1, 2, 2, 2, 2] and got[5].lines == 4
     assert remove_shared_lines(df).columns == ["doc_id", "text", "key", "row", "_n_lines", "_n_removed"]
+
+
+def test_redact_long_texts_and_clashing_columns(spark):
+    text = "é🙂 " * 3000 + "mail a.b@example.com and c@d.org\n" * 40 + "x" * 5000 + " host 8.8.8.8"
+    table = [(1, text, "mine", "cuts"), (2, "no data", "mine", "cuts"), (3, None, None, None), (None, "8.8.8.8", "k", "")]
+    df = spark.createDataFrame(table, "doc_id long, text string, _row_key string, _cuts string")
+    got = {r.doc_id: tuple(r) for r in redact(df).collect()}
+    assert got[1] == (1, "é🙂 " * 3000 + "mail <EMAIL> and <EMAIL>\n" * 40 + "x" * 5000 + " host <IP>", "mine", "cuts")
+    assert got[2] == table[1] and got[3] == table[2] and got[None] == (None, "<IP>", "k", "")
+    assert {r.doc_id: r.n_spans for r in pii_table(df).collect()} == {1: 81, 2: 0, 3: 0, None: 1}
