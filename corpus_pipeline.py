@@ -4,29 +4,44 @@ the next; all but the last return the columns of ``documents``."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from callsheet.llm.line_dedup import remove_shared_lines
 from callsheet.llm.ngram_join import link_components
 from callsheet.llm.packing import pack_documents
 from callsheet.llm.pii import redact
-from callsheet.llm.quality import quality_verdicts, train_quality
+from callsheet.llm.quality import good_documents, train_quality
 from callsheet.llm.store import row_key, shared_folder, stored
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
     model = train_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return quality_verdicts(docs, model, keep_columns=True).filter("kept").select(*docs.columns)
+    return good_documents(docs, model)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines they share with an earlier one; a document
     that loses all its words goes."""
-    cut = remove_shared_lines(docs)
-    left = cut.filter((F.col("_n_removed") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
-    return left.withColumn("n_chars", F.when(F.col("_n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
+    lost = free_name(docs, "_n_removed")
+    cut = remove_shared_lines(docs, counts=(free_name(docs, "_n_lines"), lost))
+    left = cut.filter((F.col(lost) == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    return with_length(left, F.col(lost) > 0).select(*docs.columns)
+
+
+def free_name(docs: DataFrame, name: str) -> str:
+    """``name``, or a longer one that no column of ``docs`` has."""
+    while name.lower() in (c.lower() for c in docs.columns):
+        name += "_"
+    return name
+
+
+def with_length(docs: DataFrame, changed: Column) -> DataFrame:
+    """``docs`` with the column ``n_chars`` (if there is one) true again where the text changed."""
+    if "n_chars" not in docs.columns:
+        return docs
+    return docs.withColumn("n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars")))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,13 +52,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     best = F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("key"))).alias("best")
     kept = groups.filter("root is not null").groupBy("root").agg(best).select(F.col("best.key").alias("_kept"))
     kept = kept.unionByName(groups.filter("root is null").select(F.col("key").alias("_kept"))).distinct()
-    rows = docs.withColumn("_key", row_key()).join(kept, F.col("_key") == F.col("_kept"), "left_semi")
-    return rows.dropDuplicates(["_key"]).select(*docs.columns)
+    rows = docs.select(F.struct(*docs.columns).alias("row"), row_key().alias("key")).join(kept, F.col("key") == F.col("_kept"), "left_semi")
+    return rows.dropDuplicates(["key"]).select(*[F.col("row")[c].alias(c) for c in docs.columns])
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with personal data replaced by its kind."""
-    return redact(docs).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    return with_length(redact(docs), F.lit(True))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
