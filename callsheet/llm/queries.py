@@ -104,6 +104,30 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_best_fit_packing, op2_line_dedup, op3_byte_bpe, op4_quality_rules, op5_pii, op6_ngram_jaccard, op7_nearest_neighbours,
     op8_token_counts, op9_license_scan, op10_substring_dedup, op11_conversation_repair, op12_url_filter, op13_tokenizer_alignment)}
 ORACLE_SQL: dict[str, str] = {
+    "op6_ngram_jaccard": r"""
+WITH RECURSIVE texts AS (
+    SELECT row_number() OVER () AS k, doc_id,
+           regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS (
+    SELECT k, doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                      ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s FROM texts),
+members AS (SELECT k, len(s) AS n, unnest(s) AS shingle FROM sets),
+links AS (
+    SELECT x.k AS a, y.k AS b FROM members x JOIN members y ON x.shingle = y.shingle AND x.k <> y.k
+    GROUP BY x.k, y.k, x.n, y.n HAVING 100 * count(*) >= 75 * (x.n + y.n - count(*))),
+reached(a, b) AS (SELECT k, k FROM sets UNION SELECT reached.a, links.b FROM reached JOIN links ON reached.b = links.a),
+lowest AS (SELECT a AS k, min(other.doc_id) AS component_id FROM reached JOIN sets other ON other.k = reached.b GROUP BY a)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id FROM sets JOIN lowest USING (k)""",
+    "op10_substring_dedup": r"""
+WITH texts AS (SELECT row_number() OVER () AS k, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+windows AS (SELECT k, doc_id, place, array_to_string(w[place + 1:place + 50], ' ') AS words FROM (SELECT *, unnest(range(0, len(w) - 49)) AS place FROM texts)),
+least AS (SELECT words, min(doc_id) AS low FROM windows GROUP BY words),
+gone AS (SELECT DISTINCT k, place FROM (SELECT k, unnest(range(place, place + 50)) AS place FROM windows JOIN least USING (words) WHERE low < doc_id)),
+every AS (SELECT k, unnest(range(0, len(w))) AS place, unnest(w) AS word FROM texts),
+kept AS (SELECT k, string_agg(word, ' ' ORDER BY place) AS kept FROM every ANTI JOIN gone USING (k, place) GROUP BY k),
+lost AS (SELECT k, count(*) AS n FROM gone GROUP BY k)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM texts LEFT JOIN kept USING (k) LEFT JOIN lost USING (k)""",
     "op12_url_filter": """
 WITH rests AS (
     SELECT row_number() OVER () AS k, page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) END AS rest FROM pages),
