@@ -29,46 +29,56 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token pieces of all documents with their places in sequences of 2048 tokens."""
     return pack_documents(_table(spark, sf_dir, "documents"), capacity=2048)
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines, lines deleted and the digest of the text left, of every document."""
     cut = remove_shared_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return cut.select("doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_removed").alias("n_removed"),
                       F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number and digest of the byte-level BPE ids of every text, and the digest of the bytes decoded from them."""
     return encode_texts(_table(spark, sf_dir, "documents"), keep_ids=False, digests=True)
 
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts and verdict for every document; the model is fitted on the table of labels."""
     docs = _table(spark, sf_dir, "documents")
     return quality_verdicts(docs, train_quality(docs, _table(spark, sf_dir, "labels")))
 
 
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts, digest and list of the spans of personal data in every document."""
     return pii_table(_table(spark, sf_dir, "documents"))
 
 
 def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Size of the shingle set and near-duplicate component of every document."""
     return link_components(_table(spark, sf_dir, "documents")).drop("key", "root")
 
 
 def op7_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors of every vector whose id is divisible by 20."""
     vectors = _table(spark, sf_dir, "embeddings")
     return nearest(vectors.filter("vec_id % 20 = 0"), vectors, k=20)
 
 
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words and unigram tokens of every document."""
     return count_tokens(_table(spark, sf_dir, "documents"))
 
 
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base phrases, licence labels and score of every document."""
     return scan_licenses(_table(spark, sf_dir, "documents"), spans=False)
 
 
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words, words removed and the digest of the words kept, of every document."""
     return remove_repeats(_table(spark, sf_dir, "documents"))
 
 
@@ -85,6 +95,7 @@ def damaged(conversations: DataFrame) -> DataFrame:
 
 
 def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, cost and edits of the cheapest repair of every (damaged) conversation."""
     return repair_report(repair_edits(damaged(_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")), absent_column="absent"))
 
 
@@ -93,10 +104,12 @@ URL_RULES = (("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.exam
 
 
 def op12_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, rule and verdict of the url of every page."""
     return judge_urls(_table(spark, sf_dir, "pages"), rule_table(spark, URL_RULES))
 
 
 def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links of the two tokenisers in every document, and how common the links are in all."""
     return alignment_counts(_table(spark, sf_dir, "documents"))
 
 
