@@ -10,9 +10,9 @@ equal, but for some at their ends (``REACH`` words).  A last round names
 sequences of symbols of at least ``SPAN`` words; every window of 50 words is
 stood for by the least name in its interior.  Names that occur in two
 documents reveal where windows can repeat; only those windows are looked at
-whole.  Two windows are equal if two independent 64-bit hashes of their words
-are, so equal windows are always found, and others are taken for equal with a
-chance of 2**-125 a pair.
+whole.  Two windows count as equal if two independent hashes of their words
+(64 and 31 bits) are equal, so equal windows are always found, and others are
+taken for equal with a chance of 2**-92 a pair.
 """
 
 from __future__ import annotations
@@ -133,7 +133,7 @@ def _windows(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBat
             continue
         doc = np.searchsorted(first, at, "right") - 1
         where = pa.array(doc)
-        both = [hash_slices(w, at, at + WINDOW).view(np.int64) for w in (words, mix(words + np.uint64(1)))]
+        both = [hash_slices(words, at, at + WINDOW).view(np.int64), (hash_slices(mix(words + np.uint64(1)), at, at + WINDOW) >> np.uint64(33)).astype(np.int32)]
         yield pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1]), batch.column(0).take(where), batch.column(1).take(where), pa.array((at - first[doc]).astype(np.int32))],
                                          names=["window", "check", "doc", "key", "at"])
 
@@ -197,7 +197,7 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
     known = rows.filter("id is not null").select(F.col("id").cast("long").alias("id"), "key", "text")
     names = known.mapInArrow(_names, "name long, doc long").groupBy("name").agg(F.min("doc").alias("low"), F.max("doc").alias("high"))
     shared = key_filter(stored(names.filter("low < high").select("name"), "names", folder))
-    found = stored(known.mapInArrow(partial(_windows, shared=shared), "window long, check long, doc long, key long, at int"), "windows", folder)
+    found = stored(known.mapInArrow(partial(_windows, shared=shared), "window long, check int, doc long, key long, at int"), "windows", folder)
     shared.destroy()
     # the least document of each window, counted map-side; a common window's rows may be split in the join
     least = found.groupBy("window", "check").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).filter("low < high")
