@@ -174,3 +174,17 @@ def test_detections_inside_stronger_ones_are_dropped_in_linear_time():
         licenses.detect((notice * n).encode())
         seconds.append(time.process_time() - began)
     assert seconds[1] < 24 * seconds[0] + 0.5
+
+
+def test_a_sweep_gives_rows_their_successors_longest_first():
+    from callsheet.llm.packing import GAP, MATCH, ROWS, UPDATED, sweep
+
+    items = [(GAP, 100, 7, 2), (ROWS, 60, 0, 1), (GAP, 50, 3, 1), (ROWS, 25, 0, 5), (ROWS, 10, 4, 1)]
+    got = sweep(items)
+    assert [r for r in got if r[0] == MATCH] == [(MATCH, 60, 0, 1, 7, 1), (MATCH, 25, 0, 2, 3, 2), (MATCH, 25, 2, 3, 8, 3)]
+    assert [r[:4] for r in got if r[0] == UPDATED] == [(UPDATED, 40, 7, 1), (UPDATED, 0, 3, 1), (UPDATED, 25, 8, 1)]
+    assert [r[:4] for r in got if r[0] == ROWS] == [(ROWS, 10, 4, 1)] and not [r for r in got if r[0] == GAP]
+    # a range that is swept in two parts, and the rest of both once more, gives the same rows the same gaps
+    head, tail = sweep(items[:2]), sweep(items[2:])
+    rest = sorted([r[:4] for r in head + tail if r[0] in (GAP, ROWS)], key=lambda r: (-r[1], r[0]))
+    assert sorted([r for r in head + tail + sweep(rest) if r[0] == MATCH]) == sorted(r for r in got if r[0] == MATCH)
