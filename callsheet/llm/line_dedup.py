@@ -270,7 +270,9 @@ def _rounds(held: DataFrame, pairs: DataFrame, gone: DataFrame, once: DataFrame,
     own = stored(held.join(still, "run", "left_semi").join(placed.select(F.col("run").alias("_run"), F.col("key").alias("_key"), "place"), (F.col("run") == F.col("_run")) & (F.col("key") == F.col("_key"))).select("run", "key", "start", "stop", "place"), "own", folder)
     low = 1
     while low < last:
-        open_ = staying(own.filter(F.col("place") > low + 1), gone).select("run", "key", "place").distinct()
+        open_ = stored(staying(own.filter(F.col("place") > low + 1), gone).select("run", "key", "place").distinct(), f"open_{low}", folder)
+        if open_.isEmpty():  # later rounds have fewer
+            break
         among = placed.filter(F.col("place").between(low + 1, 2 * low)).select(F.col("run").alias("_run"), F.col("key").alias("earlier"), F.col("place").alias("_place"))
         more = open_.join(among, (F.col("run") == F.col("_run")) & (F.col("_place") < F.col("place"))).select("earlier", "key").distinct()
         more = stored(more.join(pairs, ["earlier", "key"], "left_anti"), f"pairs_{low}", folder)
