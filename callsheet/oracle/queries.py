@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from callsheet import constants as K
+from callsheet.oracle import literals as K
 from callsheet.oracle.duckdb_sql import (
     AGREEMENTS,
     ANY_CONTACT,
