@@ -12,8 +12,8 @@ once on both sides make anchors, the longest increasing run of anchors is
 kept, and between anchors the same is done again; equal neighbours extend a
 block.  Aligned blocks are deleted from the later document.
 
-A shared run that stays (it crosses others in the first holder) leads to the
-next holders, one, two, four and so on of them at a time, until it is gone or
+A shared run that stays in every place it has (it crosses others in the first
+holder) leads to the next holders, one, two, four and so on of them at a time, until it is gone or
 every earlier holder was aligned.
 """
 
@@ -252,11 +252,12 @@ def _merged(gone: DataFrame) -> DataFrame:
 
 def _rounds(held: DataFrame, pairs: DataFrame, gone: DataFrame, once: DataFrame, min_block: int, folder: str) -> DataFrame:
     """``gone`` of the first pairs, and of those with further holders of the
-    runs (run, rank, key, start, stop) that stay."""
+    runs (run, rank, key, start, stop) that stay, in every place of theirs."""
     def staying(runs: DataFrame, gone: DataFrame) -> DataFrame:
         known = runs.join(_merged(gone), F.col("key") == F.col("_gone_key"), "left")
         left = F.array_except(F.sequence("start", F.col("stop") - 1), F.coalesce("_gone", F.array().cast("array<int>")))
-        return known.filter(F.size(left) > 0).drop("_gone_key", "_gone")
+        of = [c for c in runs.columns if c not in ("start", "stop")]
+        return known.groupBy(*of).agg(F.min(F.size(left)).alias("_stay")).filter("_stay > 0").drop("_stay")
 
     later = held.join(pairs.select(F.col("key").alias("_p")).distinct(), F.col("key") == F.col("_p"), "left_semi")
     still = stored(staying(later, gone).select("run").distinct(), "staying", folder)
@@ -270,7 +271,7 @@ def _rounds(held: DataFrame, pairs: DataFrame, gone: DataFrame, once: DataFrame,
     own = stored(held.join(still, "run", "left_semi").join(placed.select(F.col("run").alias("_run"), F.col("key").alias("_key"), "place"), (F.col("run") == F.col("_run")) & (F.col("key") == F.col("_key"))).select("run", "key", "start", "stop", "place"), "own", folder)
     low = 1
     while low < last:
-        open_ = stored(staying(own.filter(F.col("place") > low + 1), gone).select("run", "key", "place").distinct(), f"open_{low}", folder)
+        open_ = stored(staying(own.filter(F.col("place") > low + 1), gone), f"open_{low}", folder)
         if open_.isEmpty():  # later rounds have fewer
             break
         among = placed.filter(F.col("place").between(low + 1, 2 * low)).select(F.col("run").alias("_run"), F.col("key").alias("earlier"), F.col("place").alias("_place"))
