@@ -14,7 +14,7 @@ import pyarrow as pa
 #: Texts are worked on in chunks of at most so many UTF-8 bytes (one longer
 #: text makes a chunk of its own), so that a task's memory does not follow
 #: the number of rows in an Arrow batch.
-CHUNK_BYTES = 1_000_000
+CHUNK_BYTES = 500_000
 
 _WS = np.zeros(256, bool)
 _WS[[9, 10, 11, 12, 13, 32]] = True

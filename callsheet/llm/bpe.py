@@ -24,7 +24,7 @@ from callsheet.llm.arrays import distinct, joined, ragged
 
 #: Encoded pre-tokens a worker keeps in each of two generations; a full one
 #: becomes the old one, from which what is met again moves on (results do not change).
-CACHE_ENTRIES = 150_000
+CACHE_ENTRIES = 60_000
 #: Pre-tokens of more bytes are merged one by one with a heap instead of side by side.
 LONG_PRETOKEN = 48
 
@@ -167,10 +167,11 @@ class Merges:
         self.token_at = np.cumsum(self.token_len) - self.token_len
         self.none = len(token_bytes) + 1
         keys = np.array([a << 20 | b for a, b in pairs], np.int64)
-        self.shift = np.uint64(64 - 21)
+        bits = max(16, (8 * len(pairs)).bit_length())
+        self.shift = np.uint64(64 - bits)
         self.mult = np.uint64(0x9E3779B97F4A7C15)
-        self.keys = np.full((1 << 21) + 256, -1, np.int64)
-        self.made = np.full((1 << 21) + 256, self.none, np.int32)
+        self.keys = np.full((1 << bits) + 256, -1, np.int64)
+        self.made = np.full((1 << bits) + 256, self.none, np.int32)
         slot = ((keys.astype(np.uint64) * self.mult) >> self.shift).astype(np.int64)
         self.probes = 1
         for k, s, made in zip(keys.tolist(), slot.tolist(), pairs.values(), strict=True):
