@@ -24,7 +24,7 @@ from callsheet.llm.arrays import distinct, joined, ragged
 
 #: Encoded pre-tokens a worker keeps in each of two generations; a full one
 #: becomes the old one, from which what is met again moves on (results do not change).
-CACHE_ENTRIES = 60_000
+CACHE_ENTRIES = 100_000
 #: Pre-tokens of more bytes are merged one by one with a heap instead of side by side.
 LONG_PRETOKEN = 48
 
