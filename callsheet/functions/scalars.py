@@ -68,6 +68,12 @@ def cut_bytes(c, most: int) -> Column:
     return F.when(F.octet_length(c) <= most, c).otherwise(F.coalesce(*ends))
 
 
+def _one_of_each_key(spelled: Column) -> Column:
+    """``shown`` of the first of each ``key`` in a sorted array of (key, shown)."""
+    first = F.filter(spelled, lambda v, i: (i == 0) | (v["key"] != F.get(spelled, i - 1)["key"]))
+    return F.transform(first, lambda v: v["shown"])
+
+
 def distinct_concat(col: str, sep: str = K.LIST_SEPARATOR, folded: bool = False, max_bytes: int | None = None) -> Column:
     """Aggregate: distinct non-NULL values, ascending, joined by ``sep``.
 
@@ -83,10 +89,11 @@ def distinct_concat(col: str, sep: str = K.LIST_SEPARATOR, folded: bool = False,
     size of that group's result string (with ``folded``, of all spellings).
     """
     if folded:
-        spelled = F.array_sort(F.collect_set(F.when(F.col(col).isNotNull(), F.struct(fold(col).alias("key"), F.col(col).alias("shown")))))
-        first = F.filter(spelled, lambda v, i: (i == 0) | (v["key"] != F.get(spelled, i - 1)["key"]))
-        values = F.transform(first, lambda v: v["shown"])
+        found = F.collect_set(F.when(F.col(col).isNotNull(), F.struct(fold(col).alias("key"), F.col(col).alias("shown"))))
+        # the sorted list is named by a lambda over it alone: an expression in a lambda's body is worked out for each element again
+        values = F.get(F.transform(F.array(F.sort_array(found)), _one_of_each_key), 0)
     else:
-        values = F.array_sort(F.collect_set(F.col(col)))
-    text = F.when(F.size(values) > 0, F.array_join(values, sep))
+        found = F.collect_set(F.col(col))
+        values = F.array_sort(found)
+    text = F.when(F.size(found) > 0, F.array_join(values, sep))
     return text if max_bytes is None else cut_bytes(text, max_bytes)

@@ -234,3 +234,15 @@ def test_bounded_lists(spark):
     cut = {(r.cod_cli, r.cod_cad): r for r in mailing(t, "broken", p, concat_bytes=30).collect()}
     assert set(whole) == set(cut) and any(len(r.Contratos) > 30 for r in whole.values())
     assert all(r.Contratos == whole[k].Contratos[:30] and r.TipoProduto == whole[k].TipoProduto[:30] for k, r in cut.items())
+
+
+def test_folded_lists_are_sorted_once(spark):
+    from callsheet.functions.scalars import distinct_concat
+
+    labels = [t for i in range(300) for t in (f"L{i:03d}", f"l{i:03d}  ", f"L{i:03d} ")] + [None]
+    df = spark.createDataFrame([(1, t) for t in labels] + [(2, None)], "k int, t string")
+    got = df.groupBy("k").agg(distinct_concat("t", folded=True).alias("x"))
+    assert dict(got.collect()) == {1: " || ".join(f"L{i:03d}" for i in range(300)), 2: None}
+    # not in a lambda's body, where each element would sort the list again
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("sort_array(") + plan.count("array_sort(") == 1
