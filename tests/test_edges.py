@@ -246,3 +246,13 @@ def test_folded_lists_are_sorted_once(spark):
     # not in a lambda's body, where each element would sort the list again
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("sort_array(") + plan.count("array_sort(") == 1
+
+
+def test_folded_mailing_sorts_each_list_once(spark):
+    rows = base_rows()
+    rows["receivables"] = [("C1", 517, t) for t in ("b/1", "B/1 ", "a/2", "A/2", "ENTRADA c/1")]
+    rows["complements"] += [("c1 ", 517, 10, 101, "auto "), ("C1", 517, 10, 101, "Boat")]
+    got = run(spark, rows, case_insensitive=True)
+    assert [(r.Contratos, r.TipoProduto) for r in got.collect()] == [("A/2 || B/1 ", "AUTO || Boat")]
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("sort_array(") + plan.count("array_sort(") == 2
