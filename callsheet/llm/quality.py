@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from callsheet.llm.arrays import chunks, distinct, hash_bytes, joined, mix, utf8, word_spans
+from callsheet.llm.arrays import distinct, hash_bytes, joined, mix, text_chunks, word_spans
 
 #: The classifier is fitted on at most so many labelled rows, those with the smallest hash of their id.
 MAX_LABELLED = 1500
@@ -175,9 +175,8 @@ def train_quality(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id",
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = utf8(batch.column(1))
-            for a, z in chunks(texts):
-                kinds = _grams(texts[a:z])
+            for a, z, texts in text_chunks(batch.column(1)):
+                kinds = _grams(texts)
                 index, value = [], []
                 for i in range(z - a):
                     ix, va = [], []
@@ -218,12 +217,10 @@ FIELDS = (("n_words", "bigint"), ("word_chars", "bigint"), ("n_symbols", "bigint
           ("base_failed", "boolean"), ("quality_probability", "double"), ("kept", "boolean"))
 
 
-def _judged(batches: Iterator[pa.RecordBatch], model: QualityModel, threshold: float) -> Iterator[pa.RecordBatch]:
-    """(row, verdict fields) of (row, text) rows."""
+def _judged(batches: Iterator[pa.RecordBatch], model: QualityModel, threshold: float, at: int | None = None) -> Iterator[pa.RecordBatch]:
+    """(row, verdict fields) of (row, text) rows, or of rows alone whose field ``at`` is the text."""
     for batch in batches:
-        texts = utf8(batch.column(1))
-        for a, z in chunks(texts):
-            part = texts[a:z]
+        for a, z, part in text_chunks(batch.column(1) if at is None else batch.column(0).field(at)):
             c = base_counts(part)
             failed = (c["n_words"] < MIN_WORDS) | (100 * c["n_repeat_words"] > MAX_REPEAT_PERCENT * c["n_words"])
             p = model.probability(_scores(part, model.weights))
@@ -233,8 +230,11 @@ def _judged(batches: Iterator[pa.RecordBatch], model: QualityModel, threshold: f
 
 def _verdict_rows(docs: DataFrame, row: Column, model: QualityModel, text_column: str, threshold: float) -> DataFrame:
     source = docs.select(row.alias("row"), F.col(text_column).alias("text"))
+    at = None
+    if isinstance(source.schema["row"].dataType, T.StructType) and text_column in docs.columns:  # a whole row has its text; it travels once
+        source, at = source.select("row"), docs.columns.index(text_column)
     schema = T.StructType([source.schema["row"], *T.StructType.fromDDL(", ".join(f"{n} {t}" for n, t in FIELDS)).fields])
-    return source.mapInArrow(partial(_judged, model=model, threshold=threshold), schema)
+    return source.mapInArrow(partial(_judged, model=model, threshold=threshold, at=at), schema)
 
 
 def quality_verdicts(docs: DataFrame, model: QualityModel, id_column: str = "doc_id", text_column: str = "text",

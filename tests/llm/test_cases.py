@@ -115,3 +115,13 @@ def test_row_wise_operators_ignore_clashing_columns(spark):
     kept = quality_verdicts(df, model, keep_columns=True)
     assert len(set(kept.columns)) == len(kept.columns) and kept.filter(F.col("lang") == "lang of 1").count() == 1
     assert rows(kept, "doc_id", "n_words") == rows(quality_verdicts(plain, model), "doc_id", "n_words")
+
+
+def test_quality_rows_bring_their_text_once(spark):
+    """A batch from the JVM to Python has the whole row, with its text, and nothing beside it."""
+    df = spark.createDataFrame([(1, "a b\n" * 60, "x"), (2, None, "y")], "doc_id long, text string, lang string")
+    model = train_quality(df, spark.createDataFrame([], "doc_id long, quality int"))
+    for out in (good_documents(df, model), quality_verdicts(df, model, keep_columns=True)):
+        sent = [n for n in out._jdf.queryExecution().analyzed().toString().split("\n") if "AS row#" in n]
+        assert sent and not any("AS text#" in n for n in sent)
+    assert [r.n_words for r in quality_verdicts(df, model, keep_columns=True).orderBy("doc_id").collect()] == [120, 0]

@@ -188,3 +188,14 @@ def test_a_sweep_gives_rows_their_successors_longest_first():
     head, tail = sweep(items[:2]), sweep(items[2:])
     rest = sorted([r[:4] for r in head + tail if r[0] in (GAP, ROWS)], key=lambda r: (-r[1], r[0]))
     assert sorted([r for r in head + tail + sweep(rest) if r[0] == MATCH]) == sorted(r for r in got if r[0] == MATCH)
+
+
+def test_text_chunks_are_those_of_all_texts():
+    import pyarrow as pa
+
+    from callsheet.llm.arrays import chunks, text_chunks, utf8
+
+    column = pa.array(["é" * 30, None, "", "x" * 200, "ab", "c\nd"] * 7)
+    for part in (column, column.slice(3), column.slice(0, 0)):
+        texts = utf8(part)
+        assert list(text_chunks(part, 100)) == [(a, z, texts[a:z]) for a, z in chunks(texts, 100)]
