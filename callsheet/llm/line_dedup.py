@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from callsheet.llm.arrays import chunks, hash_bytes, hash_slices, joined, utf8
+from callsheet.llm.arrays import hash_bytes, hash_slices, joined, text_chunks
 from callsheet.llm.keyfilter import key_filter, may_hold
 from callsheet.llm.store import row_key, shared_folder, stored
 
@@ -49,9 +49,8 @@ def _documents(batches: Iterator[pa.RecordBatch], min_block: int) -> Iterator[pa
     """(id, key, whole, lines, size) of (id, key, text) rows that have a block's size: the lines with
     a word and their sizes; ``whole`` names the list of lines."""
     for batch in batches:
-        texts = utf8(batch.column(2))
-        for a, z in chunks(texts):
-            buf, begins = joined(texts[a:z])
+        for a, z, texts in text_chunks(batch.column(2)):
+            buf, begins = joined(texts)
             stop = np.flatnonzero(buf == 10)
             start = np.concatenate([[0], stop[:-1] + 1])
             text = np.searchsorted(begins, start, "right") - 1
@@ -205,17 +204,18 @@ def _aligned(batches: Iterator[pa.RecordBatch], min_block: int) -> Iterator[pa.R
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(gone, pa.list_(pa.int32()))], names=["key", "gone"])
 
 
-def _cut(batches: Iterator[pa.RecordBatch], flagged=None) -> Iterator[pa.RecordBatch]:
-    """(row, text, n_lines, n_removed) of (row, key, text[, gone]) rows: the
-    text less the lines that go (the place -1 stands for every line with a
+def _cut(batches: Iterator[pa.RecordBatch], at: int, flagged=None) -> Iterator[pa.RecordBatch]:
+    """(row, n_lines, n_removed) of (row, key[, gone]) rows, whose field ``at`` is the text: the
+    rows with their text less the lines that go (the place -1 stands for every line with a
     word).  With a bitmap, of the rows it does not hold."""
     for batch in batches:
         if flagged is not None:
             batch = batch.filter(pa.array(~may_hold(flagged.value, batch.column(1).to_numpy())))
-        for a, z in chunks(utf8(batch.column(2))):
+        for a, z, _ in text_chunks(batch.column(0).field(at)):
             part = batch.slice(a, z - a)
-            texts = part.column(2).to_pylist()
-            lists = [None] * len(texts) if flagged is not None else part.column(3).to_pylist()
+            fields = part.column(0).flatten()
+            texts = fields[at].to_pylist()
+            lists = [None] * len(texts) if flagged is not None else part.column(2).to_pylist()
             new, lines, removed = [], [], []
             for t, g in zip(texts, lists, strict=True):
                 lines.append(0 if not t else t.count("\n") + 1)
@@ -227,7 +227,9 @@ def _cut(batches: Iterator[pa.RecordBatch], flagged=None) -> Iterator[pa.RecordB
                     t = "\n".join([x for i, x in enumerate(split) if i not in drop])
                 new.append(t)
                 removed.append(len(drop))
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(new, pa.string()), pa.array(lines, pa.int64()), pa.array(removed, pa.int64())], names=["row", "text", "n_lines", "n_removed"])
+            fields[at] = pa.array(new, pa.string())
+            row = pa.StructArray.from_arrays(fields, names=[f.name for f in part.column(0).type])
+            yield pa.RecordBatch.from_arrays([row, pa.array(lines, pa.int64()), pa.array(removed, pa.int64())], names=["row", "n_lines", "n_removed"])
 
 
 def _held(batches: Iterator[pa.RecordBatch], flagged) -> Iterator[pa.RecordBatch]:
@@ -298,7 +300,9 @@ def remove_shared_lines(docs: DataFrame, id_column: str = "doc_id", text_column:
     """
     spark = docs.sparkSession
     folder = shared_folder(spark)
-    keyed = docs.select(F.struct(*docs.columns).alias("row"), row_key(id_column, text_column).alias("key"), F.col(text_column).alias("text"))
+    # a whole row has its text, which travels once
+    keyed = docs.select(F.struct(*docs.columns).alias("row"), row_key(id_column, text_column).alias("key"))
+    at = docs.columns.index(text_column)
     rows = docs.select(F.col(id_column).cast("long").alias("id"), row_key(id_column, text_column).alias("key"), F.col(text_column).alias("text"))
     all_ = rows.mapInArrow(partial(_documents, min_block=min_block), "id long, key long, whole long, lines array<long>, size array<int>")
     all_ = stored(all_, "lines", folder)
@@ -327,10 +331,11 @@ def remove_shared_lines(docs: DataFrame, id_column: str = "doc_id", text_column:
     gone = stored(_merged(gone), "gone", folder)
     flagged = key_filter(gone.select("_gone_key"))
     # rows that stay as they are do not travel
-    out = T.StructType([keyed.schema["row"], T.StructField("text", T.StringType()), T.StructField("n_lines", T.LongType()), T.StructField("n_removed", T.LongType())])
-    whole = keyed.mapInArrow(partial(_cut, flagged=flagged), out)
-    some = keyed.mapInArrow(partial(_held, flagged=flagged), keyed.schema).join(gone, F.col("key") == F.col("_gone_key"), "left").drop("_gone_key")
-    result = whole.unionByName(some.mapInArrow(_cut, out))
+    out = T.StructType([keyed.schema["row"], T.StructField("n_lines", T.LongType()), T.StructField("n_removed", T.LongType())])
+    row = out["row"].dataType = T.StructType([T.StructField(f.name, f.dataType) for f in keyed.schema["row"].dataType])
+    whole = keyed.mapInArrow(partial(_cut, at=at, flagged=flagged), out)
+    some = keyed.mapInArrow(partial(_held, flagged=flagged), T.StructType([T.StructField("row", row), keyed.schema["key"]])).join(gone, F.col("key") == F.col("_gone_key"), "left").drop("_gone_key")
+    result = whole.unionByName(some.mapInArrow(partial(_cut, at=at), out))
     taken = {c.lower() for c in counts}
-    kept = [F.col("text").alias(c) if c == text_column else F.col("row")[c].alias(c) for c in docs.columns if c.lower() not in taken]
+    kept = [F.col("row")[c].alias(c) for c in docs.columns if c.lower() not in taken]
     return result.select(*kept, F.col("n_lines").alias(counts[0]), F.col("n_removed").alias(counts[1]))

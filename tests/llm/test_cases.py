@@ -125,3 +125,13 @@ def test_quality_rows_bring_their_text_once(spark):
         sent = [n for n in out._jdf.queryExecution().analyzed().toString().split("\n") if "AS row#" in n]
         assert sent and not any("AS text#" in n for n in sent)
     assert [r.n_words for r in quality_verdicts(df, model, keep_columns=True).orderBy("doc_id").collect()] == [120, 0]
+
+
+def test_line_dedup_rows_bring_their_text_once(spark):
+    same = "one line that is long enough\nand another one as long\n"
+    df = spark.createDataFrame([(1, same, "x"), (2, same + "own words here", "y"), (3, None, "z"), (2, same + "own words here", "y")], "doc_id long, text string, lang string")
+    out = remove_shared_lines(df)
+    assert sorted(map(tuple, out.collect())) == sorted(
+        [(1, same, "x", 3, 0), (2, "own words here", "y", 3, 2), (3, None, "z", 0, 0), (2, "own words here", "y", 3, 2)])
+    sent = [n for n in out._jdf.queryExecution().analyzed().toString().split("\n") if "AS row#" in n]
+    assert sent and not any("AS text#" in n for n in sent)
