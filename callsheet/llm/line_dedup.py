@@ -302,7 +302,7 @@ def remove_shared_lines(docs: DataFrame, id_column: str = "doc_id", text_column:
     folder = shared_folder(spark)
     # a whole row has its text, which travels once
     keyed = docs.select(F.struct(*docs.columns).alias("row"), row_key(id_column, text_column).alias("key"))
-    at = docs.columns.index(text_column)
+    at = [c.lower() for c in docs.columns].index(text_column.lower())
     rows = docs.select(F.col(id_column).cast("long").alias("id"), row_key(id_column, text_column).alias("key"), F.col(text_column).alias("text"))
     all_ = rows.mapInArrow(partial(_documents, min_block=min_block), "id long, key long, whole long, lines array<long>, size array<int>")
     all_ = stored(all_, "lines", folder)
