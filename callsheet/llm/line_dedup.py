@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from callsheet.llm.arrays import hash_bytes, hash_slices, joined, text_chunks
+from callsheet.llm.arrays import hash_bytes, hash_slices, joined, text_chunks, text_ranges
 from callsheet.llm.keyfilter import key_filter, may_hold
 from callsheet.llm.store import row_key, shared_folder, stored
 
@@ -39,7 +39,7 @@ MIN_BLOCK = 20
 #: Lengths of the runs of lines that lead to documents with more in common, in the same order.
 RUNS = (2, 4, 8)
 #: Runs are named for so many lines at a time.
-RUN_LINES = 100_000
+RUN_LINES = 25_000
 
 _WS = np.zeros(256, bool)
 _WS[[9, 10, 11, 12, 13, 32]] = True
@@ -93,8 +93,8 @@ def run_spans(lines: np.ndarray, size: np.ndarray, edge: np.ndarray, min_block:
 
 
 def _runs(batches: Iterator[pa.RecordBatch], min_block: int, shared=None) -> Iterator[pa.RecordBatch]:
-    """(run, id, key, start, stop) of (id, key, lines, size) rows, of the shared runs only if they
-    are given; else each run of a document once."""
+    """(run, id, key, start, stop) of (id, key, lines, size) rows, of the shared runs only; without
+    them (run), each run of a document once."""
     for batch in batches:
         many = np.diff(batch.column(2).offsets.to_numpy()) if batch.num_rows else np.zeros(0, np.int64)
         cut = np.unique(np.append(np.searchsorted(np.cumsum(many), np.arange(0, int(many.sum()), RUN_LINES), "left"), batch.num_rows))
@@ -108,7 +108,9 @@ def _runs(batches: Iterator[pa.RecordBatch], min_block: int, shared=None) -> Ite
                 order = np.lexsort((run, doc))
                 new = np.ones(len(run), bool)
                 new[1:] = (run[order][1:] != run[order][:-1]) | (doc[order][1:] != doc[order][:-1])
-                keep = order[new]
+                for s in range(0, len(order), 100_000):
+                    yield pa.RecordBatch.from_arrays([pa.array(run[order[s:s + 100_000]][new[s:s + 100_000]])], names=["run"])
+                continue
             for s in range(0, len(keep), 100_000):
                 k = keep[s:s + 100_000]
                 where = pa.array(doc[k])
@@ -209,10 +211,10 @@ def _cut(batches: Iterator[pa.RecordBatch], at: int, flagged=None) -> Iterator[p
     rows with their text less the lines that go (the place -1 stands for every line with a
     word).  With a bitmap, of the rows it does not hold."""
     for batch in batches:
-        if flagged is not None:
-            batch = batch.filter(pa.array(~may_hold(flagged.value, batch.column(1).to_numpy())))
-        for a, z, _ in text_chunks(batch.column(0).field(at)):
+        for a, z in text_ranges(batch.column(0).field(at)):
             part = batch.slice(a, z - a)
+            if flagged is not None:
+                part = part.filter(pa.array(~may_hold(flagged.value, part.column(1).to_numpy())))
             fields = part.column(0).flatten()
             texts = fields[at].to_pylist()
             lists = [None] * len(texts) if flagged is not None else part.column(2).to_pylist()
@@ -232,20 +234,27 @@ def _cut(batches: Iterator[pa.RecordBatch], at: int, flagged=None) -> Iterator[p
             yield pa.RecordBatch.from_arrays([row, pa.array(lines, pa.int64()), pa.array(removed, pa.int64())], names=["row", "n_lines", "n_removed"])
 
 
-def _held(batches: Iterator[pa.RecordBatch], flagged) -> Iterator[pa.RecordBatch]:
-    """The rows whose key the bitmap may hold."""
+def _held(batches: Iterator[pa.RecordBatch], flagged, at: int = 1) -> Iterator[pa.RecordBatch]:
+    """The rows whose key, column ``at``, the bitmap may hold."""
     for batch in batches:
-        yield batch.filter(pa.array(may_hold(flagged.value, batch.column(1).to_numpy())))
+        yield batch.filter(pa.array(may_hold(flagged.value, batch.column(at).to_numpy())))
 
 
 def _lines_gone(pairs: DataFrame, once: DataFrame, min_block: int, name: str, folder: str) -> DataFrame:
-    """(key, gone): the lines of later documents that go, by the pairs (earlier, key).  A document may
-    be in a third of the pairs; both joins have an exchange on either side, so AQE may split it."""
-    here = once.select(F.col("key").alias("_k"), F.col("lines").alias("here"), "size")
-    there = once.select(F.col("key").alias("_e"), F.col("lines").alias("there"))
+    """(key, gone): the lines of later documents that go, by the pairs (earlier, key).  Only documents
+    of a pair travel.  A document may be in a third of the pairs; both joins have an exchange on either
+    side, so AQE may split it, and keeps the two Python steps in stages of their own: in one they would
+    take two Python processes for each core, which stay as long as the executor."""
+    wanted = key_filter(pairs.select("key").unionByName(pairs.select(F.col("earlier").alias("key"))))
+    some = once.select("key", "lines", "size").mapInArrow(partial(_held, flagged=wanted, at=0), "key long, lines array<long>, size array<int>")
+    here = some.select(F.col("key").alias("_k"), F.col("lines").alias("here"), "size").hint("merge")
+    some = once.select("key", "lines").mapInArrow(partial(_held, flagged=wanted, at=0), "key long, lines array<long>")
+    there = some.select(F.col("key").alias("_e"), F.col("lines").alias("there")).hint("merge")
     both = pairs.join(here, F.col("key") == F.col("_k")).join(there, F.col("earlier") == F.col("_e"))
     gone = both.select("key", "there", "here", "size").mapInArrow(partial(_aligned, min_block=min_block), "key long, gone array<int>").filter(F.size("gone") > 0)
-    return stored(gone, name, folder)
+    gone = stored(gone, name, folder)
+    wanted.destroy()
+    return gone
 
 
 def _merged(gone: DataFrame) -> DataFrame:
@@ -265,12 +274,13 @@ def _rounds(held: DataFrame, pairs: DataFrame, gone: DataFrame, once: DataFrame,
     still = stored(staying(later, gone).select("run").distinct(), "staying", folder)
     if still.isEmpty():
         return gone
-    # the holders of such a run, in their order
-    once_each = held.groupBy("run", "rank", "key").agg(F.min("start").alias("start")).drop("start")
+    # the holders of such a run, in their order: by one exchange of the run's places
     order = Window.partitionBy("run").orderBy("rank")
-    placed = stored(once_each.join(still, "run", "left_semi").withColumn("place", F.row_number().over(order)), "holders", folder)
+    opens = F.coalesce(F.lag("key").over(Window.partitionBy("run").orderBy("rank", "start")) != F.col("key"), F.lit(True))
+    own = held.join(still, "run", "left_semi").withColumns({"place": F.dense_rank().over(order), "opens": opens})
+    own = stored(own.select("run", "key", "start", "stop", "place", "opens"), "own", folder)
+    placed, own = own.filter("opens").select("run", "key", "place"), own.drop("opens")
     last = placed.agg(F.max("place").alias("n")).first()["n"]
-    own = stored(held.join(still, "run", "left_semi").join(placed.select(F.col("run").alias("_run"), F.col("key").alias("_key"), "place"), (F.col("run") == F.col("_run")) & (F.col("key") == F.col("_key"))).select("run", "key", "start", "stop", "place"), "own", folder)
     low = 1
     while low < last:
         open_ = stored(staying(own.filter(F.col("place") > low + 1), gone), f"open_{low}", folder)
@@ -313,17 +323,16 @@ def remove_shared_lines(docs: DataFrame, id_column: str = "doc_id", text_column:
     lead = once.filter("copied").select(F.col("whole").alias("_w"), F.col("key").alias("first"))
     copies = all_.select("whole", "key").distinct().join(lead, (F.col("whole") == F.col("_w")) & (F.col("key") != F.col("first")))
     copies = copies.select("key", F.array(F.lit(-1)).alias("gone"))
-    # each run leads its later holders to the first one
+    # each run leads its later holders to the first one; who holds it travels for shared runs only
     docs_ = once.select("id", "key", "lines", "size")
     schema = "run long, id long, key long, start int, stop int"
     rank = F.struct(F.col("id").isNull().alias("none"), F.col("id").alias("id"), F.col("key").alias("key"))
-    runs = docs_.mapInArrow(partial(_runs, min_block=min_block), schema)
-    first = runs.groupBy("run").agg(F.min(rank).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    first = stored(first.select(F.col("run").alias("_r"), F.col("first.key").alias("earlier")), "first", folder)
-    shared = key_filter(first.select("_r"))
+    runs = docs_.mapInArrow(partial(_runs, min_block=min_block), "run long")
+    shared = key_filter(stored(runs.groupBy("run").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("run"), "shared", folder))
     held = docs_.mapInArrow(partial(_runs, min_block=min_block, shared=shared), schema).select("run", rank.alias("rank"), "key", "start", "stop")
     held = stored(held, "held", folder)
     shared.destroy()
+    first = held.groupBy(F.col("run").alias("_r")).agg(F.min("rank").alias("first")).select("_r", F.col("first.key").alias("earlier"))
     match = held.select("run", "key").join(first, (F.col("run") == F.col("_r")) & (F.col("key") != F.col("earlier")))
     pairs = stored(match.select("earlier", "key").distinct(), "pairs", folder)
     gone = _lines_gone(pairs, once, min_block, "aligned", folder)
@@ -334,7 +343,9 @@ def remove_shared_lines(docs: DataFrame, id_column: str = "doc_id", text_column:
     out = T.StructType([keyed.schema["row"], T.StructField("n_lines", T.LongType()), T.StructField("n_removed", T.LongType())])
     row = out["row"].dataType = T.StructType([T.StructField(f.name, f.dataType) for f in keyed.schema["row"].dataType])
     whole = keyed.mapInArrow(partial(_cut, at=at, flagged=flagged), out)
-    some = keyed.mapInArrow(partial(_held, flagged=flagged), T.StructType([T.StructField("row", row), keyed.schema["key"]])).join(gone, F.col("key") == F.col("_gone_key"), "left").drop("_gone_key")
+    some = keyed.mapInArrow(partial(_held, flagged=flagged), T.StructType([T.StructField("row", row), keyed.schema["key"]]))
+    # the table of the lines that go grows with the input: it is dealt by key at any size, and no text is sorted
+    some = some.join(gone.hint("shuffle_hash"), F.col("key") == F.col("_gone_key"), "left").drop("_gone_key")
     result = whole.unionByName(some.mapInArrow(partial(_cut, at=at), out))
     taken = {c.lower() for c in counts}
     kept = [F.col("row")[c].alias(c) for c in docs.columns if c.lower() not in taken]
