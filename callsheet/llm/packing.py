@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from callsheet.llm import bpe
-from callsheet.llm.arrays import chunks, utf8
+from callsheet.llm.arrays import text_chunks
 from callsheet.llm.store import shared_folder, stored
 
 #: Rows of one size are ranked in so many parts (a common length may hold a third of all rows).
@@ -50,9 +50,8 @@ def token_pieces(docs: DataFrame, capacity: int, id_column: str = "doc_id", text
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = bpe.Encoder(bpe.from_json(tokenizer))
         for batch in batches:
-            texts = utf8(batch.column(1))
-            for a, z in chunks(texts):
-                ids, at = encoder.encode(texts[a:z])
+            for a, z, texts in text_chunks(batch.column(1)):
+                ids, at = encoder.encode(texts)
                 n = np.diff(at) + 1  # with the closing id
                 ids = np.insert(ids, at[1:], 0).astype("<u4")
                 begin = np.cumsum(n) - n
@@ -115,8 +114,10 @@ def sweep(items: list[tuple[int, int, int, int]]) -> list[tuple[int, int, int, i
 
 
 def _swept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One range of lengths and gaps, at most as many as there are lengths and runs of sequences."""
-    out = sweep([row for b in batches for row in zip(*(b.column(c).to_pylist() for c in _NAMES[:4]), strict=True)])
+    """One range of lengths and gaps, at most as many as there are lengths and runs of sequences.
+    They are held whole, so they are put in order here: each sort by Spark takes a page of tens of MB for its few rows."""
+    rows = [row for b in batches for row in zip(*(b.column(c).to_pylist() for c in _NAMES[:4]), strict=True)]
+    out = sweep(sorted(rows, key=lambda row: (-row[1], row[0], row[2])))
     if out:
         yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], pa.int32() if k == 0 else pa.int64()) for k in range(len(_NAMES))], names=_NAMES)
 
@@ -125,7 +126,6 @@ def packing_rounds(lengths: DataFrame, capacity: int, folder: str) -> DataFrame:
     """Matches of (size, n) lengths: rows of a length from rank ``first`` on
     stand ``each`` to a sequence, from ``sequence`` on, in the order of ``round``."""
     spark = lengths.sparkSession
-    order = (F.desc("size"), F.asc("kind"))
     items = lengths.select(F.lit(ROWS).alias("kind"), F.col("size").cast("long"), F.lit(0).cast("long").alias("first"), F.col("n").cast("long"))
     opened, turn, matches = 0, 0, None
     while True:
@@ -137,9 +137,9 @@ def packing_rounds(lengths: DataFrame, capacity: int, folder: str) -> DataFrame:
             new = -(-state["left"] // capacity)
             items = items.unionByName(spark.range(0, 1, 1, 1).select(F.lit(GAP).alias("kind"), *[F.lit(x).cast("long").alias(c) for c, x in (("size", capacity), ("first", opened), ("n", new))]))
             opened += new
-        ranges = items.repartitionByRange(RANGES, F.desc("size")).sortWithinPartitions(*order)
+        ranges = items.repartitionByRange(RANGES, F.desc("size"))
         swept = stored(ranges.mapInArrow(_swept, _ITEM), f"ranges_{turn}", folder)
-        carried = swept.filter(F.col("kind").isin(GAP, ROWS)).repartition(1).sortWithinPartitions(*order)
+        carried = swept.filter(F.col("kind").isin(GAP, ROWS)).repartition(1)
         swept = stored(swept.filter(F.col("kind").isin(UPDATED, MATCH)).unionByName(carried.mapInArrow(_swept, _ITEM)), f"round_{turn}", folder)
         found = swept.filter(F.col("kind") == MATCH).withColumn("round", F.lit(turn))
         matches = found if matches is None else matches.unionByName(found)

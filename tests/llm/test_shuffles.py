@@ -5,7 +5,7 @@ from types import SimpleNamespace
 import numpy as np
 import pyarrow as pa
 
-from callsheet.llm import keyfilter, line_dedup, ngram_join
+from callsheet.llm import keyfilter, line_dedup, ngram_join, packing
 
 TEXT = "one line that is long enough\nand another one as long"
 
@@ -73,3 +73,42 @@ def test_middle_sized_cells_are_searched_in_full_at_once():
     assert ngram_join.SMALL_CELL < n <= ngram_join.WHOLE_CELL
     got = {(r["a"], r["b"]) for b in ngram_join._searched(iter([table]), True) for r in b.to_pylist()}
     assert got == {(a, b) for a in node for b in node if a < b}
+
+
+def test_packing_rounds_put_their_few_rows_in_order_themselves(spark, tmp_path, monkeypatch):
+    items = [(packing.GAP, 30, 4, 3), (packing.GAP, 11, 0, 2), (packing.ROWS, 10, 0, 7), (packing.ROWS, 30, 0, 1), (packing.ROWS, 7, 2, 4)]
+    assert items != sorted(items, key=lambda r: (-r[1], r[0]))
+    one, other = ([r for b in packing._swept(iter([pa.RecordBatch.from_pylist([dict(zip(packing._NAMES, r, strict=False)) for r in rows])])) for r in b.to_pylist()] for rows in (items, items[::-1]))
+    assert one == other == [dict(zip(packing._NAMES, r, strict=True)) for r in packing.sweep(sorted(items, key=lambda r: (-r[1], r[0])))]
+
+    plans = []
+
+    def kept(df, name="table", folder=None, stored=packing.stored):
+        plans.append((name, df._jdf.queryExecution().optimizedPlan().toString()))
+        return stored(df, name, folder)
+
+    monkeypatch.setattr(packing, "stored", kept)
+    lengths = spark.createDataFrame([(n, 3) for n in range(1, 60)], "size int, n int")
+    got = packing.packing_rounds(lengths, 64, f"file://{tmp_path}").collect()
+    assert sum(r["n"] for r in got) == 3 * 59
+    assert any(name.startswith("round_") for name, _ in plans) and not [name for name, plan in plans if "Sort" in plan]
+
+
+def test_tokens_are_made_with_one_chunk_of_texts_out_of_the_batch(spark, monkeypatch):
+    from callsheet.llm import arrays, bpe
+
+    most = []
+    encode = bpe.Encoder.encode
+    monkeypatch.setattr(bpe.Encoder, "encode", lambda self, texts: (most.append(sum(map(len, texts))), encode(self, texts))[1])
+    monkeypatch.setattr(arrays, "utf8", lambda column, whole=arrays.utf8: (most.append(sum(len(x or "") for x in column.to_pylist())), whole(column))[1])
+    monkeypatch.setattr(packing, "utf8", arrays.utf8, raising=False)
+    df = spark.createDataFrame([(i, "word " * 50_000) for i in range(4)] + [(9, None)], "doc_id long, text string")
+    captured = []
+    monkeypatch.setattr(type(df), "mapInArrow", lambda self, f, schema: captured.append(f))
+    packing.token_pieces(df, 2048)
+    batch = pa.RecordBatch.from_pydict({"_id": list(range(4)) + [9], "_text": ["word " * 50_000] * 4 + [None]})
+    rows = [r for b in captured[0](iter([batch])) for r in b.to_pylist()]
+    assert max(most) <= arrays.CHUNK_BYTES and {r["doc_id"] for r in rows} == {0, 1, 2, 3, 9}
+    # a column of nulls alone, of no type
+    void = pa.RecordBatch.from_pydict({"_id": [1], "_text": pa.nulls(1)})
+    assert [r["length"] for b in captured[0](iter([void])) for r in b.to_pylist()] == [1]
