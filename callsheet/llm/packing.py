@@ -117,7 +117,7 @@ def _swept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One range of lengths and gaps, at most as many as there are lengths and runs of sequences.
     They are held whole, so they are put in order here: each sort by Spark takes a page of tens of MB for its few rows."""
     rows = [row for b in batches for row in zip(*(b.column(c).to_pylist() for c in _NAMES[:4]), strict=True)]
-    out = sweep(sorted(rows, key=lambda row: (-row[1], row[0], row[2])))
+    out = sweep(sorted(rows, key=lambda row: (-row[1], row[0])))
     if out:
         yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], pa.int32() if k == 0 else pa.int64()) for k in range(len(_NAMES))], names=_NAMES)
 
