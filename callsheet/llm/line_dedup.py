@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 
 from callsheet.llm.arrays import hash_bytes, hash_slices, joined, text_chunks, text_ranges
 from callsheet.llm.keyfilter import key_filter, may_hold
-from callsheet.llm.store import row_key, shared_folder, stored
+from callsheet.llm.store import folder_for, row_key, shared_folder, stored
 
 #: A block is deleted if its lines have at least so many characters (bytes of UTF-8) together.
 MIN_BLOCK = 20
@@ -316,6 +316,7 @@ def remove_shared_lines(docs: DataFrame, id_column: str = "doc_id", text_column:
     rows = docs.select(F.col(id_column).cast("long").alias("id"), row_key(id_column, text_column).alias("key"), F.col(text_column).alias("text"))
     all_ = rows.mapInArrow(partial(_documents, min_block=min_block), "id long, key long, whole long, lines array<long>, size array<int>")
     all_ = stored(all_, "lines", folder)
+    folder = folder_for(all_, folder)
     # of documents with the same lines the first stands for all; the others go whole
     ranked = F.struct(F.col("id").isNull().alias("none"), "id", "key", "lines", "size")
     once = all_.groupBy("whole").agg(F.min(ranked).alias("d"), F.max("key").alias("_high"), F.min("key").alias("_low"))

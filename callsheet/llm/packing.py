@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from callsheet.llm import bpe
 from callsheet.llm.arrays import chunks, utf8
-from callsheet.llm.store import shared_folder, stored
+from callsheet.llm.store import folder_for, shared_folder, stored
 
 #: Rows of one size are ranked in so many parts (a common length may hold a third of all rows).
 RANK_PARTS = 16
@@ -190,6 +190,7 @@ def pack(pieces: DataFrame, capacity: int, length_column: str = "length") -> Dat
     kept = [c for c in pieces.columns if c.lower() not in ("sequence_id", "offset")]
     checked = F.when(F.col(length_column).between(1, capacity), F.col(length_column)).otherwise(F.raise_error(F.lit("a length is not between 1 and the capacity")))
     table = stored(pieces.select(F.struct(*kept).alias("kept"), F.monotonically_increasing_id().alias("row"), checked.cast("long").alias("size")), "pieces", folder)
+    folder = folder_for(table, folder)
     rows = table.withColumn("part", F.pmod(F.xxhash64("row"), F.lit(RANK_PARTS)).cast("long"))
     counted = stored(rows.groupBy("size", "part").agg(F.count(F.lit(1)).alias("n")), "lengths", folder)
     matches = packing_rounds(counted.groupBy("size").agg(F.sum("n").alias("n")), capacity, folder)

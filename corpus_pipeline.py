@@ -1,6 +1,8 @@
 """A corpus pipeline: quality rules, line de-duplication, near duplicates,
 personal data, packing.  Each stage is written as Parquet and read again by
-the next; all but the last return the columns of ``documents``."""
+the next; all but the last return the columns of ``documents``.  Stages that
+leave whole texts in Python steps to their caller keep the session's Arrow
+batches small."""
 
 from __future__ import annotations
 
@@ -12,11 +14,12 @@ from callsheet.llm.ngram_join import link_components
 from callsheet.llm.packing import pack_documents
 from callsheet.llm.pii import redact
 from callsheet.llm.quality import good_documents, train_quality
-from callsheet.llm.store import row_key, shared_folder, stored
+from callsheet.llm.store import keep_small_batches, row_key, shared_folder, stored
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
+    keep_small_batches(spark)
     model = train_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return good_documents(docs, model)
 
@@ -24,6 +27,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines they share with an earlier one; a document
     that loses all its words goes."""
+    keep_small_batches(spark)
     lost = free_name(docs, "_n_removed")
     cut = remove_shared_lines(docs, counts=(free_name(docs, "_n_lines"), lost))
     left = cut.filter((F.col(lost) == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
